@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barline.functions.time import bar_start
+from barline.operators.universe import eligible_keys
 from barline.schemas import INTERVAL_SECONDS
 from barline.streaming.ticks import candles_from_ticks
 
@@ -91,7 +92,7 @@ def universe(spark: SparkSession, folder: str) -> DataFrame:
         return F.when(condition, lists[0]).otherwise(lists[1])
 
     return table(spark, folder, "part").select(
-        F.concat(F.lit("P"), "p_partkey", "p_type").alias("symbol"),
+        _part_symbol().alias("symbol"),
         F.when(size % 5 == 0, "BREAK").otherwise("TRADING").alias("status"),
         F.upper(F.replace("p_brand", F.lit("#"), F.lit(""))).alias("base_asset"),
         F.col("p_type").alias("quote_asset"),
@@ -102,27 +103,34 @@ def universe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _part_symbol():
+    return F.concat(F.lit("P"), "p_partkey", "p_type")
+
+
 def margin_symbols(spark, folder, divisor: int) -> DataFrame:
-    parts = table(spark, folder, "part").where(F.col("p_partkey") % divisor == 0)
-    return parts.select(F.concat(F.lit("P"), "p_partkey", "p_type").alias("symbol"))
+    """The symbols whose margin flag is set in a list of all pairs."""
+    listed = table(spark, folder, "part").select(
+        _part_symbol().alias("symbol"), (F.col("p_partkey") % divisor == 0).alias("is_margin_trade")
+    )
+    return eligible_keys(listed, "symbol", "is_margin_trade")
 
 
 def borrowable_assets(spark, folder) -> DataFrame:
+    """The assets whose flag is set in a list with one row per part and side."""
     parts = table(spark, folder, "part")
-    base = parts.where((F.col("p_size") % 2 == 1) & (F.col("p_partkey") % 40 == 0))
-    base = base.select(F.upper(F.replace("p_brand", F.lit("#"), F.lit(""))).alias("asset"))
-    quote = parts.where(F.col("p_type") == "PROMO").select(F.col("p_type").alias("asset"))
-    return base.union(quote).distinct()
+    base = parts.select(
+        F.upper(F.replace("p_brand", F.lit("#"), F.lit(""))).alias("asset"),
+        ((F.col("p_size") % 2 == 1) & (F.col("p_partkey") % 40 == 0)).alias("is_borrowable"),
+    )
+    quote = parts.select(F.col("p_type").alias("asset"), (F.col("p_type") == "PROMO").alias("is_borrowable"))
+    return eligible_keys(base.union(quote), "asset", "is_borrowable")
 
 
 def requested(spark, folder) -> DataFrame:
+    """Every symbol in lower case, and as many names that do not exist."""
     parts = table(spark, folder, "part")
-    known = parts.where(F.col("p_partkey") % 9 == 0).select(
-        F.lower(F.concat(F.lit("P"), "p_partkey", "p_type")).alias("symbol"), F.col("p_partkey").alias("place")
-    )
-    unknown = parts.where(F.col("p_partkey") % 50 == 0).select(
-        F.concat(F.lit("missing"), "p_partkey").alias("symbol"), F.col("p_partkey").alias("place")
-    )
+    known = parts.select(F.lower(_part_symbol()).alias("symbol"), F.col("p_partkey").alias("place"))
+    unknown = parts.select(F.concat(F.lit("missing"), "p_partkey").alias("symbol"), F.col("p_partkey").alias("place"))
     return known.union(unknown)
 
 
@@ -142,5 +150,5 @@ flagged as (
          upper(quote_asset) in (select asset from borrowable) as quote_ok
   from universe),
 requested as (
-  select upper('P' || p_partkey || p_type) as symbol, p_partkey as place from part where p_partkey % 9 = 0
-  union all select 'MISSING' || p_partkey, p_partkey from part where p_partkey % 50 = 0)"""
+  select upper('P' || p_partkey || p_type) as symbol, p_partkey as place from part
+  union all select 'MISSING' || p_partkey, p_partkey from part)"""

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from barline.functions.text import url_to_path as landing_path
@@ -79,17 +78,17 @@ def url_to_path(spark, folder):
 
 
 def _landed(spark, folder):
-    """A listing that already holds the daily archives of a third of the users."""
+    """Planned daily archives, and a listing that already holds those of the days before February."""
     planned = gaps.planned_files(
         user_days(spark, folder), users(spark, folder), GAP_START, GAP_END, "daily", BASE_URL
     )
-    here = planned.where(F.pmod(F.substring("symbol", 2, 20).cast("bigint"), F.lit(3)) == 0)
+    here = planned.where(F.col("day") < F.lit("2024-02-01").cast("date"))
     return planned, here.select(landing_path("url", LANDING).alias("path"))
 
 
 @query(f"""with {GAPS_SQL}
 select symbol, '{LANDING}' || replace({DAILY_URL}, '{BASE_URL}/data', '') as path
-from missing where cast(substr(symbol, 2) as bigint) % 3 <> 0""")
+from missing where d >= date '2024-02-01'""")
 def planned_not_landed(spark, folder):
     """Planned archives that are not in the landing listing."""
     planned, landed = _landed(spark, folder)
@@ -148,25 +147,25 @@ def run_totals(spark, folder):
 
 
 def _attempts(spark, folder):
-    """The first tries per user; the number of a try follows from the events before it."""
-    status = F.element_at(F.array(F.lit(200), F.lit(404), F.lit(500)), (F.col("event_id") % 3 + 1).cast("int"))
-    w = W.partitionBy("user_id").orderBy("event_id")
+    """Four tries per file, one event each, the last of which is one too many."""
+    cents = F.round(F.col("value") * 100).cast("bigint")
+    status = F.element_at(F.array(F.lit(200), F.lit(404), F.lit(500), F.lit(503)), (cents % 4 + 1).cast("int"))
     return table(spark, folder, "events").select(
-        F.concat(F.lit("u"), "user_id").alias("url"),
-        F.row_number().over(w).alias("attempt"),
+        F.concat(F.lit("u"), F.expr("event_id div 4")).alias("url"),
+        (F.col("event_id") % 4 + 1).cast("int").alias("attempt"),
         status.alias("status"),
         F.lit(None).cast("string").alias("error"),
     )
 
 
 @query("""with tries as (
-  select 'u' || user_id as url, row_number() over (partition by user_id order by event_id) as attempt,
-    case event_id % 3 when 0 then 200 when 1 then 404 else 500 end as status
+  select 'u' || event_id // 4 as url, event_id % 4 + 1 as attempt,
+    case cast(round(value * 100) as bigint) % 4 when 0 then 200 when 1 then 404 when 2 then 500 else 503 end as status
   from events),
 used as (select * from tries where attempt <= 3),
 decided as (
   select url, min(attempt) filter (status in (200, 404)) as first_final, max(attempt) as last from used group by 1)
-select u.url, cast(u.status as bigint) as status, u.status <> 500 as ok,
+select u.url, cast(u.status as bigint) as status, u.status < 500 as ok,
   case when u.status <> 200 then 'HTTP ' || u.status end as error,
   case u.status when 200 then 'downloaded' when 404 then 'missing_remote' else 'failed' end as result
 from used u join decided d on d.url = u.url and u.attempt = coalesce(d.first_final, d.last)""")
