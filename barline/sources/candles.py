@@ -20,7 +20,8 @@ def read_candles(spark: SparkSession, root: str) -> DataFrame:
     The schema is given, so that an interval like 1d is not taken for a number.
     """
     try:
-        return spark.read.schema(CANDLE).parquet(root)
+        stored = spark.read.schema(CANDLE).parquet(root)
+        return stored.select(*CANDLE.fieldNames())  # partition columns would come last
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
