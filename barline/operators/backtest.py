@@ -65,20 +65,26 @@ def risk(curve: DataFrame, periods: int = 365, chunk_bars: int = CHUNK_BARS) ->
 
     `curve` has the series key, open_time and value. `periods` is the number of bars a year.
     """
+    w = W.partitionBy(*SERIES, "chunk").orderBy("open_time")
     rows = with_chunk(curve.select(*SERIES, "open_time", "value"), chunk_bars)
+    rows = rows.withColumns(
+        {
+            "top": F.max("value").over(w.rowsBetween(W.unboundedPreceding, W.currentRow)),
+            "previous": F.lag("value").over(w),
+        }
+    )
     rows = with_carried(
         rows,
         SERIES,
         "chunk",
-        {"top": F.max("value"), "end": F.max_by("value", "open_time")},
-        lambda w: {
-            "top_before": F.max("top").over(w.rowsBetween(W.unboundedPreceding, W.currentRow - 1)),
-            "end_before": F.lag("end").over(w),
+        {"chunk_top": F.max("value"), "chunk_end": F.max_by("value", "open_time")},
+        lambda past, _: {
+            "top_before": F.max("chunk_top").over(past),
+            "end_before": F.last("chunk_end").over(past),
         },
     )
-    w = W.partitionBy(*SERIES, "chunk").orderBy("open_time")
-    peak = F.greatest("top_before", F.max("value").over(w.rowsBetween(W.unboundedPreceding, W.currentRow)))
-    previous = F.coalesce(F.lag("value").over(w), F.col("end_before"))
+    peak = F.greatest("top_before", "top")
+    previous = F.coalesce("previous", "end_before")
     rows = rows.select(
         *SERIES,
         (F.try_divide(F.col("value"), peak) - 1).alias("fall"),
@@ -98,33 +104,30 @@ def risk(curve: DataFrame, periods: int = 365, chunk_bars: int = CHUNK_BARS) ->
     )
 
 
-def positions(df: DataFrame, fast=FAST_LENGTH, slow=SLOW_LENGTH, chunk_bars: int = CHUNK_BARS) -> DataFrame:
-    """Every bar with `held` (1 from a buy until the next exit) and `turn` (1 entry, -1 exit, 0).
+def _held_blocks(df, fast, slow, chunk_bars) -> tuple[DataFrame, dict]:
+    """Bars of the moving-average strategy in blocks, and what to carry between the blocks.
 
-    The signal in force before a block is the last one of the blocks before it.
+    `now` and `before` say whether the strategy holds the series at the end of a bar and of the
+    bar before it. They are NULL ahead of the block's first signal, where the last signal of
+    the blocks before decides; `last_signal` is the part of a summary that tells.
     """
-    bars = ma_cross_bars(df, fast, slow, chunk_bars)
-    bars = with_carried(
-        bars,
-        SERIES,
-        "block",
-        {"last_signal": F.max_by("signal", F.when(F.col("signal").isNotNull(), F.col("pos")))},
-        lambda w: {
-            "in_force": F.last("last_signal", ignorenulls=True).over(
-                w.rowsBetween(W.unboundedPreceding, W.currentRow - 1)
-            )
-        },
-    )
-    w = W.partitionBy(*SERIES, "block").orderBy("pos")
 
-    def held(frame_end):
-        signal = F.last("signal", ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, frame_end))
-        return (F.coalesce(signal, F.col("in_force")) == "buy").cast("int")
+    def held(end):
+        signal = F.last("signal", ignorenulls=True).over(_block().rowsBetween(W.unboundedPreceding, end))
+        return signal == "buy"
 
-    bars = bars.withColumns(
-        {"held": F.coalesce(held(W.currentRow), F.lit(0)), "held_before": F.coalesce(held(-1), F.lit(0))}
-    )
-    return bars.withColumn("turn", F.col("held") - F.col("held_before")).drop("in_force")
+    bars = ma_cross_bars(df, fast, slow, chunk_bars).withColumns({"now": held(W.currentRow), "before": held(-1)})
+    signal_at = F.when(F.col("signal").isNotNull(), F.col("open_time"))
+    return bars, {"last_signal": F.max_by("signal", signal_at)}
+
+
+def _block(order="open_time"):
+    return W.partitionBy(*SERIES, "block").orderBy(order)
+
+
+def _held_at_start(past, _):
+    last = F.last("last_signal", ignorenulls=True).over(past)
+    return {"start": F.coalesce(last == "buy", F.lit(False))}
 
 
 def net_equity(
@@ -136,28 +139,37 @@ def net_equity(
     slippage_bps: float = 0.0,
     chunk_bars: int = CHUNK_BARS,
 ) -> DataFrame:
-    """Equity of the moving-average strategy after costs.
+    """Equity of the moving-average strategy after costs, and whether a bar is held at its end.
 
     A bar held from the bar before multiplies the value by its close-to-close change, and every
-    entry or exit multiplies it by 1 - (fee + slippage) / 10000.
+    entry or exit multiplies it by 1 - (fee + slippage) / 10000. A block's growth is known for
+    both states it can start in, so one pass carries the state and the growth together.
     """
     keep = 1 - (fee_bps + slippage_bps) / 1e4
-    change = F.when(F.col("held_before") == 1, F.try_divide(F.col("close"), F.col("previous")))
-    factor = F.coalesce(change, F.lit(1.0)) * F.when(F.col("turn") != 0, F.lit(keep)).otherwise(F.lit(1.0))
-    bars = positions(df, fast, slow, chunk_bars).withColumn("factor", factor)
+
+    def factor(start):
+        now, before = F.coalesce("now", F.lit(start)), F.coalesce("before", F.lit(start))
+        change = F.when(before, F.try_divide(F.col("close"), F.col("previous")))
+        return F.coalesce(change, F.lit(1.0)) * F.when(now != before, F.lit(keep)).otherwise(F.lit(1.0))
+
+    def chosen(if_held, if_out):
+        return F.when(F.col("start"), F.col(if_held)).otherwise(F.col(if_out))
+
+    so_far = _block().rowsBetween(W.unboundedPreceding, W.currentRow)
+    bars, last_signal = _held_blocks(df, fast, slow, chunk_bars)
+    bars = bars.withColumns({"if_held": factor(True), "if_out": factor(False)})
+    bars = bars.withColumns({f"so_far_{c}": F.product(c).over(so_far) for c in ("if_held", "if_out")})
     bars = with_carried(
         bars,
         SERIES,
         "block",
-        {"growth": F.product("factor")},
-        lambda w: {
-            "growth_before": F.product("growth").over(w.rowsBetween(W.unboundedPreceding, W.currentRow - 1))
-        },
+        last_signal | {f"block_{c}": F.product(c) for c in ("if_held", "if_out")},
+        _held_at_start,
+        lambda past, _: {"growth": F.product(chosen("block_if_held", "block_if_out")).over(past)},
     )
-    w = W.partitionBy(*SERIES, "block").orderBy("pos")
-    here = F.product("factor").over(w.rowsBetween(W.unboundedPreceding, W.currentRow))
-    value = F.lit(capital) * F.coalesce("growth_before", F.lit(1.0)) * here
-    return bars.select(*SERIES, "open_time", value.alias("value"), "held")
+    value = F.lit(capital) * F.coalesce("growth", F.lit(1.0)) * chosen("so_far_if_held", "so_far_if_out")
+    held = F.coalesce("now", "start").cast("int")
+    return bars.select(*SERIES, "open_time", value.alias("value"), held.alias("held"))
 
 
 def trades(
@@ -165,22 +177,27 @@ def trades(
 ) -> DataFrame:
     """Entries of the moving-average strategy with the exit that follows, open trades with NULL.
 
-    Entries and exits alternate, so an entry's exit is the next turn: in its own block, or the
-    first one of the blocks after it.
+    An entry's exit is the next exit signal: in its own block, or the first one of the blocks
+    after it. Both are looked up from the end backwards, one step per signal.
     """
-    turn = F.struct("pos", "open_time", "close")
-    turns = positions(df, fast, slow, chunk_bars).where(F.col("turn") != 0)
-    turns = turns.select(*SERIES, "block", "pos", "open_time", "close", "turn")
-    turns = with_carried(
-        turns,
+    is_exit = F.col("signal") == "exit"
+    exit_ = F.when(is_exit, F.struct("open_time", "close"))
+    later = _block(F.desc("open_time")).rowsBetween(W.unboundedPreceding, W.currentRow - 1)
+    bars, last_signal = _held_blocks(df, fast, slow, chunk_bars)
+    signals = bars.where(F.col("signal").isNotNull()).select(
+        *SERIES, "block", "open_time", "close", "signal", "before", F.last(exit_, ignorenulls=True).over(later).alias("done")
+    )
+    signals = with_carried(
+        signals,
         SERIES,
         "block",
-        {"first_turn": F.min(turn)},
-        lambda w: {"turn_after": F.lead("first_turn").over(w)},
+        last_signal | {"first_exit": F.min(exit_)},
+        _held_at_start,
+        lambda _, later: {"exit_after": F.last("first_exit", ignorenulls=True).over(later)},
     )
-    w = W.partitionBy(*SERIES, "block").orderBy("pos")
-    turns = turns.withColumn("done", F.coalesce(F.lead(turn).over(w), F.col("turn_after")))
-    return turns.where(F.col("turn") == 1).select(
+    entries = signals.where((F.col("signal") == "buy") & ~F.coalesce("before", "start"))
+    entries = entries.withColumn("done", F.coalesce("done", "exit_after"))
+    return entries.select(
         *SERIES,
         F.lit("buy").alias("side"),
         F.lit(quantity).alias("quantity"),

@@ -27,6 +27,12 @@ from barline.schemas import SERIES
 
 CHUNK_BARS = 65536
 
+# Smallest chunk of a cut at the end of a series, where smaller chunks leave fewer bars to sort.
+EDGE_BARS = 4096
+
+# Rows of a (symbol, interval, number, ...) side that may be sent to every executor: some megabytes.
+BROADCAST_ROWS = 100000
+
 
 def chunk_of(chunk_bars: int = CHUNK_BARS) -> Column:
     """Number of the chunk that holds a bar."""
@@ -43,58 +49,80 @@ def carry(
     keys: list[str],
     chunk: str,
     summary: dict[str, Column],
-    across: Callable[[WindowSpec], dict[str, Column]],
+    *across: Callable[[WindowSpec, WindowSpec], dict[str, Column]],
 ) -> DataFrame:
     """One row per (series, chunk) with values carried over from the series' other chunks.
 
-    `summary` aggregates a chunk; `across` gets the window over a series' chunks in order and
-    turns the summaries into carried columns.
+    `summary` aggregates a chunk. Each step of `across` gets two windows, over the chunks before
+    a chunk (the nearest last) and over those after it (the nearest last, too), and turns the
+    summaries, and the results of the steps before it, into new columns.
     """
-    summaries = df.groupBy(*keys, chunk).agg(*[c.alias(name) for name, c in summary.items()])
-    carried = across(W.partitionBy(*keys).orderBy(chunk))
-    return summaries.select(*keys, chunk, *[c.alias(name) for name, c in carried.items()])
+    carried = df.groupBy(*keys, chunk).agg(*[c.alias(name) for name, c in summary.items()])
+    series = W.partitionBy(*keys)
+    past, later = [
+        series.orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow - 1)
+        for order in (F.asc(chunk), F.desc(chunk))
+    ]
+    for step in across:
+        carried = carried.withColumns(step(past, later))
+    return carried.drop(*summary)
+
 
+def with_carried(df, keys, chunk, summary, *across) -> DataFrame:
+    """Rows of `df` with the carried values of their chunk.
+
+    Windows inside a chunk belong before this join, whose sort they already provide.
+    """
+    return df.join(carry(df, keys, chunk, summary, *across), [*keys, chunk])
 
-def with_carried(df, keys, chunk, summary, across) -> DataFrame:
-    """Rows of `df` with the carried values of their chunk."""
-    return df.join(carry(df, keys, chunk, summary, across), [*keys, chunk])
+
+def checked_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A side to broadcast if it has at most `rows` rows, which is counted first; else as it is.
+
+    Meant for sides of a few short columns with about one row per series, which the optimizer
+    takes for large because they come from a large table.
+    """
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
 def bars_before(df: DataFrame, keys: list[str] = SERIES, backward: bool = False) -> DataFrame:
-    """Per (series, chunk): its bars, the bars in the chunks before it, the series' bars.
+    """Per (series, chunk): its bars and the bars in the chunks before it.
 
     With `backward`, "before" counts from the end of the series.
     """
-
-    def across(w):
-        past = w.rowsBetween(W.currentRow + 1, W.unboundedFollowing) if backward else (
-            w.rowsBetween(W.unboundedPreceding, W.currentRow - 1)
-        )
-        whole = w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-        return {
+    return carry(
+        df,
+        keys,
+        "chunk",
+        {"n": F.count(F.lit(1))},
+        lambda past, later: {
             "here": F.col("n"),
-            "before": F.coalesce(F.sum("n").over(past), F.lit(0)),
-            "bars": F.sum("n").over(whole),
-        }
-
-    return carry(df, keys, "chunk", {"n": F.count(F.lit(1))}, across)
+            "before": F.coalesce(F.sum("n").over(later if backward else past), F.lit(0)),
+        },
+    )
 
 
 def numbered(df: DataFrame, keys: list[str] = SERIES, chunk_bars: int = CHUNK_BARS) -> DataFrame:
-    """Adds `pos`, the 1-based place of a bar in its series, and `bars`, the series' length."""
+    """Adds `pos`, the 1-based place of a bar in its series."""
     rows = with_chunk(df, chunk_bars)
-    rows = rows.join(bars_before(rows, keys).drop("here"), [*keys, "chunk"])
+    before = bars_before(rows, keys).drop("here")
     in_chunk = F.row_number().over(W.partitionBy(*keys, "chunk").orderBy("open_time"))
-    return rows.withColumn("pos", F.col("before") + in_chunk).drop("chunk", "before")
+    rows = rows.withColumn("pos", in_chunk).join(before, [*keys, "chunk"])
+    return rows.withColumn("pos", F.col("before") + F.col("pos")).drop("chunk", "before")
 
 
 def _edge(df, n, keys, chunk_bars, backward) -> DataFrame:
+    chunk_bars = min(chunk_bars, max(n, EDGE_BARS))
     rows = with_chunk(df, chunk_bars)
-    needed = bars_before(rows, keys, backward).where(F.col("before") < n).select(*keys, "chunk")
+    needed = bars_before(rows, keys, backward).where(F.col("before") < n)
+    bound = (F.min if backward else F.max)("chunk").alias("bound")
+    bounds = checked_broadcast(needed.groupBy(*keys).agg(bound))
+    inside = F.col("chunk") >= F.col("bound") if backward else F.col("chunk") <= F.col("bound")
     time = F.desc("open_time") if backward else F.asc("open_time")
     return (
-        rows.join(needed, [*keys, "chunk"], "left_semi")
-        .drop("chunk")
+        rows.join(bounds, keys)
+        .where(inside)
+        .drop("chunk", "bound")
         .withColumn("pos", F.row_number().over(W.partitionBy(*keys).orderBy(time)))
         .where(F.col("pos") <= n)
         .drop("pos")
@@ -126,7 +154,7 @@ def over_blocks(
 
     A numbered series is cut into blocks of exactly `size` bars; each block also gets the
     `halo` bars before it, which serve as its past and are dropped again. `steps` adds columns
-    with the window it is given. Keeps `block`, `pos` and `bars` for a following step.
+    with the window it is given. Keeps `block` and `pos` for a following step.
     """
     size = max(chunk_bars, halo, 1)
     bars = numbered(df, keys, chunk_bars)
@@ -134,5 +162,5 @@ def over_blocks(
     late = (F.col("pos") - 1) % size >= size - halo
     targets = F.when(late, F.array("home", F.col("home") + 1)).otherwise(F.array("home"))
     bars = bars.withColumn("home", home).withColumn("block", F.explode(targets))
-    w = W.partitionBy(*keys, "block").orderBy("pos")
+    w = W.partitionBy(*keys, "block").orderBy("open_time")
     return steps(bars, w).where(F.col("home") == F.col("block")).drop("home")

@@ -34,12 +34,14 @@ def ratio_columns() -> list[Column]:
 
 
 def _leg(df: DataFrame, side: str) -> DataFrame:
+    slot = ["slot"] if "slot" in df.columns else []
     return df.select(
         F.col("symbol").alias(f"{side}_symbol"),
         "interval",
         "open_time",
         F.col("open").alias(f"{side}_open"),
         F.col("close").alias(f"{side}_close"),
+        *slot,
     )
 
 
@@ -74,21 +76,19 @@ def ratio(
 def ratios(df: DataFrame, pairs: DataFrame, from_=None, to=None, spread: int = SPREAD) -> DataFrame:
     """Ratio candles of every (base_symbol, quote_symbol) row of `pairs`, at every interval.
 
-    A symbol that is in many pairs, or has most of the bars, must not meet its pairs in one
-    task: the pair list is repeated `spread` times and a bar picks its copy by its time. The
-    second join has the time in its key and needs no such help.
+    A symbol that is in many pairs, or has most of the bars, must not meet the pair list in one
+    task: the list is repeated `spread` times and a bar picks its copy by its time. The join of
+    the legs has the time in its key and needs no such help.
     """
     check_range(from_, to)
-    bars = time_range(df, from_, to)
+    copies = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(spread - 1).cast("bigint")))
     slot = F.pmod(F.xxhash64("open_time"), F.lit(spread))
-    wanted = (
-        pairs.select("base_symbol", "quote_symbol")
-        .distinct()
-        .where(F.col("base_symbol") != F.col("quote_symbol"))
-        .withColumn("slot", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(spread - 1).cast("bigint"))))
-    )
-    base = _leg(bars, "base").withColumn("slot", slot).join(wanted, ["base_symbol", "slot"]).drop("slot")
-    quote = _quote_leg(bars)
+    wanted = pairs.select("base_symbol", "quote_symbol").distinct().where("base_symbol <> quote_symbol")
+    bases = wanted.withColumn("slot", copies)
+    quotes = wanted.select("quote_symbol").distinct().withColumn("slot", copies)
+    bars = time_range(df, from_, to).withColumn("slot", slot)
+    base = _leg(bars, "base").join(bases, ["base_symbol", "slot"]).drop("slot")
+    quote = _quote_leg(bars).join(quotes, ["quote_symbol", "slot"], "left_semi").drop("slot")
     return base.join(quote, ["quote_symbol", "interval", "open_time"]).select(*PAIR, "open_time", *ratio_columns())
 
 

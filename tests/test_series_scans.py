@@ -22,8 +22,8 @@ def collect(df, *columns):
 
 @pytest.mark.parametrize("chunk_bars", CHUNKS)
 def test_numbered(make, chunk_bars):
-    got = collect(numbered(make(ROWS), chunk_bars=chunk_bars), *SERIES, "open_time", "pos", "bars")
-    want = [(*k, b[2], i + 1, len(bars)) for k, bars in by_series(ROWS).items() for i, b in enumerate(bars)]
+    got = collect(numbered(make(ROWS), chunk_bars=chunk_bars), *SERIES, "open_time", "pos")
+    want = [(*k, b[2], i + 1) for k, bars in by_series(ROWS).items() for i, b in enumerate(bars)]
     assert got == sorted(want)
 
 
