@@ -57,12 +57,6 @@ def epoch_to_ntz(col) -> Column:
     )
 
 
-def bar_start(col, seconds: int) -> Column:
-    """Start of the bar of a fixed length that holds the given time."""
-    epoch = epoch_seconds(col)
-    return ntz_from_seconds(epoch - F.pmod(epoch, F.lit(seconds)))
-
-
 def interval_seconds(col="interval") -> Column:
     """Length of a bar in seconds; an unknown interval counts as the shortest one."""
     pairs = [F.lit(x) for pair in INTERVAL_SECONDS.items() for x in pair]

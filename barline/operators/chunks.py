@@ -77,19 +77,18 @@ def with_carried(df, keys, chunk, summary, *across) -> DataFrame:
 
 
 def checked_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A side to broadcast if it has at most `rows` rows, which is counted first; else as it is.
+    """A side to broadcast if it has at most `rows` rows; else the same side, to be shuffled.
 
-    Meant for sides of a few short columns with about one row per series, which the optimizer
-    takes for large because they come from a large table.
+    Meant for summaries with about one short row per series, which the optimizer takes for large
+    because they come from a large table. The check reads at most rows + 1 rows, and a side that
+    passes is not computed again.
     """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    few = df.limit(rows + 1).toArrow()
+    return df if few.num_rows > rows else F.broadcast(df.sparkSession.createDataFrame(few, df.schema))
 
 
-def bars_before(df: DataFrame, keys: list[str] = SERIES, backward: bool = False) -> DataFrame:
-    """Per (series, chunk): its bars and the bars in the chunks before it.
-
-    With `backward`, "before" counts from the end of the series.
-    """
+def bar_counts(df: DataFrame, keys: list[str] = SERIES) -> DataFrame:
+    """Per (series, chunk): the bars in it, in the chunks before it and in those after it."""
     return carry(
         df,
         keys,
@@ -97,7 +96,8 @@ def bars_before(df: DataFrame, keys: list[str] = SERIES, backward: bool = False)
         {"n": F.count(F.lit(1))},
         lambda past, later: {
             "here": F.col("n"),
-            "before": F.coalesce(F.sum("n").over(later if backward else past), F.lit(0)),
+            "before": F.coalesce(F.sum("n").over(past), F.lit(0)),
+            "after": F.coalesce(F.sum("n").over(later), F.lit(0)),
         },
     )
 
@@ -105,7 +105,7 @@ def bars_before(df: DataFrame, keys: list[str] = SERIES, backward: bool = False)
 def numbered(df: DataFrame, keys: list[str] = SERIES, chunk_bars: int = CHUNK_BARS) -> DataFrame:
     """Adds `pos`, the 1-based place of a bar in its series."""
     rows = with_chunk(df, chunk_bars)
-    before = bars_before(rows, keys).drop("here")
+    before = bar_counts(rows, keys).select(*keys, "chunk", "before")
     in_chunk = F.row_number().over(W.partitionBy(*keys, "chunk").orderBy("open_time"))
     rows = rows.withColumn("pos", in_chunk).join(before, [*keys, "chunk"])
     return rows.withColumn("pos", F.col("before") + F.col("pos")).drop("chunk", "before")
@@ -114,7 +114,7 @@ def numbered(df: DataFrame, keys: list[str] = SERIES, chunk_bars: int = CHUNK_BA
 def _edge(df, n, keys, chunk_bars, backward) -> DataFrame:
     chunk_bars = min(chunk_bars, max(n, EDGE_BARS))
     rows = with_chunk(df, chunk_bars)
-    needed = bars_before(rows, keys, backward).where(F.col("before") < n)
+    needed = bar_counts(rows, keys).where(F.col("after" if backward else "before") < n)
     bound = (F.min if backward else F.max)("chunk").alias("bound")
     bounds = checked_broadcast(needed.groupBy(*keys).agg(bound))
     inside = F.col("chunk") >= F.col("bound") if backward else F.col("chunk") <= F.col("bound")

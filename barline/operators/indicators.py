@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from barline.functions.time import epoch_seconds
-from barline.operators.chunks import CHUNK_BARS, bars_before, checked_broadcast, first_n, over_blocks, with_chunk
+from barline.operators.chunks import CHUNK_BARS, bar_counts, checked_broadcast, first_n, over_blocks, with_chunk
 from barline.schemas import DEFAULT_LENGTH, SERIES, SERIES_CAP, check_length
 
 # The look of the two markers.
@@ -54,14 +54,12 @@ def signals_thirds(df: DataFrame, cap: int | None = SERIES_CAP, chunk_bars: int
     a second time.
     """
     rows = with_chunk(df.select(*SERIES, "open_time"), chunk_bars)
-    counts = bars_before(rows)
-    lengths = counts.groupBy(*SERIES).agg(F.sum("here").alias("n"))
-    if cap is not None:
-        lengths = lengths.withColumn("n", F.least("n", F.lit(cap).cast("bigint")))
-    buy = F.floor(F.col("n") / 3).cast("bigint")
-    exit_ = F.least(F.greatest(buy + 1, F.floor(F.col("n") * 2 / 3).cast("bigint")), F.col("n") - 1)
-    lengths = lengths.where(F.col("n") >= 2).select(*SERIES, buy.alias("buy_at"), exit_.alias("exit_at"))
-    places = counts.join(lengths, SERIES)
+    n = F.col("before") + F.col("here") + F.col("after")
+    n = n if cap is None else F.least(n, F.lit(cap).cast("bigint"))
+    buy = F.floor(n / 3).cast("bigint")
+    exit_ = F.least(F.greatest(buy + 1, F.floor(n * 2 / 3).cast("bigint")), n - 1)
+    places = bar_counts(rows).where(n >= 2)
+    places = places.select(*SERIES, "chunk", "here", "before", buy.alias("buy_at"), exit_.alias("exit_at"))
     inside = [F.col(c).between(F.col("before"), F.col("before") + F.col("here") - 1) for c in ("buy_at", "exit_at")]
     places = checked_broadcast(places.where(inside[0] | inside[1]).drop("here"))
 

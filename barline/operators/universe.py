@@ -140,11 +140,14 @@ def verdict_counts(checked: DataFrame) -> DataFrame:
 
 def resolution_stats(resolved: DataFrame, universe: DataFrame | None = None, source: str = "tradable") -> DataFrame:
     """Source, number of resolved symbols, and the universe's size (NULL for a configured list)."""
-    counted = resolved.agg(F.count(F.lit(1)).alias("symbols")).withColumn("source", F.lit(source))
-    if universe is None:
-        return counted.withColumn("total_exchange_symbols", F.lit(None).cast("bigint"))
-    total = universe.agg(F.count(F.lit(1)).alias("total_exchange_symbols"))
-    return counted.join(total)
+    sides = resolved.select(F.lit(1).alias("resolved"), F.lit(None).cast("int").alias("listed"))
+    if universe is not None:
+        sides = sides.unionAll(universe.select(F.lit(0).alias("resolved"), F.lit(1).alias("listed")))
+    return sides.agg(
+        F.coalesce(F.sum("resolved"), F.lit(0)).alias("symbols"),
+        F.lit(source).alias("source"),
+        F.sum("listed").alias("total_exchange_symbols"),
+    )
 
 
 def universe_listing(df: DataFrame) -> DataFrame:
@@ -157,7 +160,8 @@ def ranked(symbols: DataFrame, prefix: int = 4) -> DataFrame:
 
     Symbols are counted by their first letters, the counts are added up over the prefixes, and
     the rest of the ranking happens inside one prefix; the whole list never meets in one task.
-    `prefix` should be long enough that one prefix has few symbols.
+    A list has one row per symbol however many candles there are; `prefix` should be long
+    enough that one prefix has a moderate number of them.
     """
     rows = symbols.withColumn("_prefix", F.substring("symbol", 1, prefix))
     counts = rows.groupBy("_prefix").agg(F.count(F.lit(1)).alias("_n"))

@@ -7,7 +7,6 @@ from itertools import permutations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barline.functions.time import bar_start
 from barline.operators.universe import eligible_keys
 from barline.schemas import INTERVAL_SECONDS
 from barline.streaming.ticks import candles_from_ticks
@@ -18,8 +17,18 @@ BASE_URL = "https://archive.example.test"
 LANDING = "/landing"
 
 
+# The columns of the tables in use, stated so that no job has to look them up.
+SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "pages": "page_id bigint, url string, html string",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def candles(spark: SparkSession, folder: str, *intervals: str) -> DataFrame:
@@ -43,13 +52,12 @@ def candles_sql(*intervals: str) -> str:
 
 
 def user_days(spark: SparkSession, folder: str) -> DataFrame:
-    """Daily bars with one symbol per user; only what gap detection needs."""
-    rows = table(spark, folder, "events").select(
+    """Keys of daily bars with one symbol per user, once per event; what gap detection needs."""
+    return table(spark, folder, "events").select(
         F.concat(F.lit("U"), F.col("user_id")).alias("symbol"),
         F.lit("1d").alias("interval"),
-        bar_start("ts", 86400).alias("open_time"),
+        F.col("ts").alias("open_time"),
     )
-    return rows.distinct()
 
 
 def users(spark: SparkSession, folder: str) -> DataFrame:
@@ -57,6 +65,21 @@ def users(spark: SparkSession, folder: str) -> DataFrame:
     return rows.distinct().withColumn("interval", F.lit("1d"))
 
 
+def user_universe(spark, folder) -> DataFrame:
+    """A universe of users, of which those with a purchase are trading."""
+    rows = table(spark, folder, "events").groupBy(F.concat(F.lit("U"), F.col("user_id")).alias("symbol"))
+    rows = rows.agg(F.max(F.col("event_type") == "purchase").alias("buys"))
+    return rows.select(
+        "symbol",
+        F.when(F.col("buys"), "TRADING").otherwise("BREAK").alias("status"),
+        F.lit("U").alias("base_asset"),
+        F.lit("USDT").alias("quote_asset"),
+        F.array(F.lit("MARKET")).alias("order_types"),
+        F.array(F.lit("SPOT")).alias("permissions"),
+        F.lit(False).alias("is_margin_trading_allowed"),
+    )
+
+
 GAPS_SQL = f"""users as (select distinct 'U' || user_id as symbol from events),
 calendar as (
   select cast(g as date) as d

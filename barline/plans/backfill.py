@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from barline.functions.text import url_to_path as landing_path
-from barline.operators import gaps, runs, universe
+from barline.operators import backfill, gaps, runs, universe
 from barline.plans import query
 from barline.plans.adapters import (
     BASE_URL,
@@ -15,8 +15,10 @@ from barline.plans.adapters import (
     LANDING,
     table,
     user_days,
+    user_universe,
     users,
 )
+from barline.schemas import BackfillConfig
 
 DAILY_URL = f"'{BASE_URL}/data/spot/daily/klines/' || symbol || '/1d/' || symbol || '-1d-' || strftime(d, '%Y-%m-%d') || '.zip'"
 MONTHLY_URL = f"'{BASE_URL}/data/spot/monthly/klines/' || symbol || '/1d/' || symbol || '-1d-' || strftime(m, '%Y-%m') || '.zip'"
@@ -108,6 +110,24 @@ def plan_counts(spark, folder):
     return runs.plan_counts(keys, universe.with_batch(series.select("symbol")))
 
 
+@query(f"""with {GAPS_SQL},
+trading as (select 'U' || user_id as symbol from events group by user_id having bool_or(event_type = 'purchase')),
+placed as (select symbol, (row_number() over (order by symbol) - 1) // 25 as batch from trading),
+counts as (select symbol, count(*) as n from months group by 1)
+select cast(batch as bigint) as batch, cast(count(*) as bigint) as symbols,
+  cast(coalesce(sum(n), 0) as bigint) as url_count, 'dry_run' as status
+from placed left join counts using (symbol) group by 1""")
+def backfill_dry_run(spark, folder):
+    """Monthly files per batch that a run over the tradable universe would fetch."""
+    config = BackfillConfig(
+        interval="1d", start_date=GAP_START, end_date=GAP_END, destination_dir=LANDING,
+        symbol_source="tradable", quote_asset="usdt", require_market_order=True, missing_frequency="monthly",
+    )
+    symbols = backfill.resolve_symbols(spark, config, user_universe(spark, folder))
+    files = backfill.plan_files(config, user_days(spark, folder), symbols, BASE_URL)
+    return backfill.dry_run(files, symbols)
+
+
 def _log(spark, folder):
     e = F.col("event_type")
     result = (

@@ -10,6 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barline.functions.text import is_interval
 from barline.operators.chunks import CHUNK_BARS, with_chunk
 from barline.schemas import CANDLE, KEY, SERIES
 
@@ -61,13 +62,15 @@ def write_candles(df: DataFrame, root: str, mode: str = "append", chunk_bars: in
 def stored_near(existing: DataFrame, new: DataFrame) -> DataFrame:
     """Stored rows that a batch could collide with: its intervals, and its span of time.
 
-    Runs one small aggregation over the batch; the result is constants, so the scan of the
-    table skips partitions and row groups.
+    Runs one small aggregation over the batch, of one row per known interval and one for all
+    others; the result is constants, so the scan of the table skips partitions and row groups.
     """
-    spans = new.groupBy("interval").agg(F.min("open_time").alias("low"), F.max("open_time").alias("high"))
+    known = F.when(is_interval(), F.col("interval")).alias("known")
+    spans = new.groupBy(known).agg(F.min("open_time").alias("low"), F.max("open_time").alias("high"))
     near = F.lit(False)
-    for interval, low, high in spans.where("low is not null").collect():  # one row per interval, at most 15
-        near = near | ((F.col("interval") == interval) & F.col("open_time").between(_ntz(low), _ntz(high)))
+    for interval, low, high in spans.where("low is not null").collect():
+        same = F.col("interval") == interval if interval else ~is_interval()
+        near = near | (same & F.col("open_time").between(_ntz(low), _ntz(high)))
     return existing.where(near)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barline.functions.time import bar_start, event_order
+from barline.functions.time import epoch_seconds, event_order, ntz_from_seconds
 from barline.schemas import CANDLE, INTERVAL_SECONDS
 
 
@@ -26,18 +26,17 @@ def candles_from_ticks(ticks: DataFrame, intervals: list[str]) -> DataFrame:
     Ticks become one row per interval ahead of a single aggregation, which combines before its
     shuffle, so a busy symbol costs no more than its number of bars per task.
     """
+    epoch = F.col("epoch")
     bars = F.array(
         *[
-            F.struct(
-                F.lit(i).alias("interval"),
-                bar_start("ts", INTERVAL_SECONDS[i]).alias("open_time"),
-                F.lit(INTERVAL_SECONDS[i]).alias("seconds"),
-            )
-            for i in intervals
+            F.struct(F.lit(i).alias("interval"), F.lit(n).alias("seconds"), (epoch - F.pmod(epoch, F.lit(n))).alias("start"))
+            for i, n in ((i, INTERVAL_SECONDS[i]) for i in intervals)
         ]
     )
-    rows = ticks.select("symbol", "value", event_order("ts", "seq").alias("order"), F.inline(bars))
-    out = rows.groupBy("symbol", "interval", "open_time", "seconds").agg(*_bar_columns(F.col("order")))
+    rows = ticks.select("symbol", "value", event_order("ts", "seq").alias("order"), epoch_seconds("ts").alias("epoch"))
+    rows = rows.select("symbol", "value", "order", F.inline(bars))
+    out = rows.groupBy("symbol", "interval", "seconds", "start").agg(*_bar_columns(F.col("order")))
+    out = out.withColumn("open_time", ntz_from_seconds("start"))
     millis = F.col("seconds").cast("bigint") * 1000 - 1
     out = out.withColumns(
         {

@@ -3,8 +3,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from barline.operators import runs, universe as u
-from barline.schemas import UNIVERSE
+from barline.operators import backfill, runs, universe as u
+from barline.schemas import UNIVERSE, BackfillConfig
 
 SYMBOLS = [
     ("BTCUSDT", "TRADING", "BTC", "USDT", ["LIMIT", "MARKET"], ["SPOT"], True),
@@ -178,3 +178,40 @@ def test_order_blotter(spark):
 def test_a_popular_quote_asset_is_spread(base, listed):
     text = u.borrowable_ok(base, "quote", listed("USDT"))._jdf.queryExecution().optimizedPlan().toString()
     assert "xxhash64(symbol" in text
+
+
+def test_the_digest_keeps_few_rows_before_the_shuffle(spark):
+    df = spark.createDataFrame([(0, 0, "u", 500, None)], "batch int, position int, url string, status int, error string")
+    assert "WindowGroupLimit" in runs.failure_digest(df)._jdf.queryExecution().executedPlan().toString()
+
+
+CONFIG = {"interval": "1d", "start_date": "2026-03-01", "end_date": "2026-04-10", "destination_dir": "/in"}
+
+
+def test_backfill_of_a_list(spark, make):
+    config = BackfillConfig(symbols=("zz", "btcusdt"), batch_size=1, missing_frequency="monthly", **CONFIG)
+    symbols = backfill.resolve_symbols(spark, config)
+    assert sorted((r.symbol, r.status, r.batch) for r in symbols.collect()) == [
+        ("BTCUSDT", "CONFIGURED", 1),
+        ("ZZ", "CONFIGURED", 0),
+    ]
+    assert names(backfill.resolve_symbols(spark, config, limit_symbols=1)) == ["ZZ"]
+    files = backfill.plan_files(config, make([]), symbols, "https://d.test")
+    assert sorted(r.path for r in files.collect()) == [
+        f"/in/spot/monthly/klines/{s}/1d/{s}-1d-2026-03.zip" for s in ("BTCUSDT", "ZZ")
+    ]
+    landed = spark.createDataFrame([("/in/spot/monthly/klines/ZZ/1d/ZZ-1d-2026-03.zip",)], "path string")
+    files = backfill.plan_files(config, make([]), symbols, "https://d.test", landed)
+    got = sorted(map(tuple, backfill.dry_run(files, symbols).collect()))
+    assert got == [(0, 1, 0, "dry_run"), (1, 1, 1, "dry_run")]
+    assert backfill.plan_files(config, make([]), symbols, "https://d.test", freq="daily").count() == 2 * 41
+
+
+def test_backfill_of_the_tradable_universe(spark, base, listed):
+    config = BackfillConfig(symbol_source="tradable", quote_asset="usdt", require_market_order=True, **CONFIG)
+    assert names(backfill.resolve_symbols(spark, config, base)) == ["BTCUSDT"]
+    for extra in ({"margin": "any"}, {"require_borrowable": "base"}):
+        with pytest.raises(ValueError):
+            backfill.resolve_symbols(spark, BackfillConfig(symbol_source="tradable", **extra, **CONFIG), base)
+    with pytest.raises(ValueError):
+        backfill.resolve_symbols(spark, config)
