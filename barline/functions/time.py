@@ -65,12 +65,17 @@ def interval_seconds(col="interval") -> Column:
     )
 
 
-def event_order(time_col, sequence_col) -> Column:
-    """One number that sorts as (time, sequence).
+def instant_micros(df, col) -> Column:
+    """Microseconds since the epoch of a time column; a zone-less time is taken for UTC."""
+    return epoch_micros(col) if df.schema[col].dataType.typeName() == "timestamp_ntz" else F.unix_micros(col)
+
+
+def event_order(micros, sequence) -> Column:
+    """One number that sorts as (time in microseconds, sequence).
 
     min_by and max_by ordered by a struct fall back to sort aggregation; ordered by a
     number they stay hash aggregates, so rows need no sort before the partial step.
     """
     two_64 = F.lit(str(2**64)).cast("decimal(38,0)")
-    micros = epoch_micros(time_col).cast("decimal(38,0)")
-    return (micros * two_64 + _col(sequence_col).cast("decimal(38,0)")).cast("decimal(38,0)")
+    high = _col(micros).cast("decimal(38,0)") * two_64
+    return (high + _col(sequence).cast("decimal(38,0)")).cast("decimal(38,0)")

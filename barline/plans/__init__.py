@@ -19,6 +19,6 @@ def query(sql: str | None = None):
 
 
 def load_all():
-    from barline.plans import backfill, ingest, market, strategy, symbols  # noqa: F401
+    from barline.plans import backfill, files, ingest, market, strategy, symbols  # noqa: F401
 
     return QUERIES, SQL

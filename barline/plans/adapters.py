@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from itertools import permutations
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +33,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder below the cluster's shared checkpoint folder; a local one only where none is set."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="barline-")
+    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+
+
 def candles(spark: SparkSession, folder: str, *intervals: str) -> DataFrame:
     """Candles with one symbol per event type."""
     ticks = table(spark, folder, "events").select(

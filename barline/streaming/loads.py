@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -21,13 +23,19 @@ def checkpoint_location(spark: SparkSession, name: str) -> str:
 
 
 def stream_load(
-    spark: SparkSession, source: str, root: str, checkpoint: str | None = None, strict: bool = True
+    spark: SparkSession,
+    source: str,
+    root: str,
+    checkpoint: str | None = None,
+    strict: bool = True,
+    keys: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
     """Loads the CSV files that are new since the last run, each candle once, and stops.
 
     The file source remembers files it has read. A batch that is run again after a failure
     adds nothing twice, since stored keys are ignored. With strict=False, rows with a missing
-    or invalid column are left out instead of failing the batch.
+    or invalid column are left out instead of failing the batch. `keys` may rewrite the symbol
+    and interval that were taken from the folder names.
     """
     rows = (
         spark.readStream.schema(RAW)
@@ -38,7 +46,8 @@ def stream_load(
     )
 
     def load(batch: DataFrame, _epoch: int) -> None:
-        candles = to_candles(with_path_keys(_no_header(batch)), keep=("path",))
+        raw = with_path_keys(_no_header(batch))
+        candles = to_candles(keys(raw) if keys else raw, keep=("path",))
         candles = require_valid(candles) if strict else split_valid(candles)[0]
         candles = candles.persist()  # read by the span check and by the write
         append_candles(candles, root, tie_break=["path"])

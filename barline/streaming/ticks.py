@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barline.functions.time import epoch_seconds, event_order, ntz_from_seconds
+from barline.functions.time import event_order, instant_micros, ntz_from_seconds
 from barline.schemas import CANDLE, INTERVAL_SECONDS
 
 
@@ -33,7 +33,8 @@ def candles_from_ticks(ticks: DataFrame, intervals: list[str]) -> DataFrame:
             for i, n in ((i, INTERVAL_SECONDS[i]) for i in intervals)
         ]
     )
-    rows = ticks.select("symbol", "value", event_order("ts", "seq").alias("order"), epoch_seconds("ts").alias("epoch"))
+    rows = ticks.select("symbol", "seq", "value", instant_micros(ticks, "ts").alias("micros"))
+    rows = rows.withColumns({"epoch": F.floor(F.col("micros") / 1000000), "order": event_order("micros", "seq")})
     rows = rows.select("symbol", "value", "order", F.inline(bars))
     out = rows.groupBy("symbol", "interval", "seconds", "start").agg(*_bar_columns(F.col("order")))
     out = out.withColumn("open_time", ntz_from_seconds("start"))
@@ -52,14 +53,14 @@ def candles_from_ticks(ticks: DataFrame, intervals: list[str]) -> DataFrame:
 def stream_candles(ticks: DataFrame, duration: str = "1 hour", watermark: str = "1 hour") -> DataFrame:
     """Streaming candles of (symbol, ts, seq, value) ticks; a bar is final once the watermark passes it.
 
-    Ticks seen twice within the watermark count once. `ts` may be zone-less (then UTC is meant)
-    and is made a timestamp, which a watermark requires; run with session zone UTC.
+    Ticks seen twice within the watermark count once. `ts` may be zone-less, which means UTC.
     """
     rows = (
-        ticks.withColumn("ts", F.col("ts").cast("timestamp"))
+        ticks.withColumn("micros", instant_micros(ticks, "ts"))
+        .withColumn("ts", F.timestamp_micros("micros"))
         .withWatermark("ts", watermark)
         .dropDuplicatesWithinWatermark(["symbol", "seq"])
-        .withColumn("order", event_order(F.col("ts").cast("timestamp_ntz"), "seq"))
+        .withColumn("order", event_order("micros", "seq"))
     )
     bars = rows.groupBy("symbol", F.window("ts", duration)).agg(*_bar_columns(F.col("order")))
     return bars.select("symbol", F.col("window.start").alias("open_time"), *bars.columns[2:])
