@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 from barline.functions.text import is_interval
 from barline.operators.chunks import CHUNK_BARS, with_chunk
+from barline.operators.quality import require_valid, split_valid
 from barline.schemas import CANDLE, KEY, SERIES
+from barline.sources.klines import read_klines, to_candles
 
 
 def read_candles(spark: SparkSession, root: str) -> DataFrame:
@@ -78,15 +80,16 @@ def _ntz(moment):
     return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
-def append_candles(new: DataFrame, root: str, tie_break: list[str] | None = None) -> None:
-    """Adds the candles that are not stored yet; running it again changes nothing."""
+def append_candles(new: DataFrame, root: str, tie_break: list[str] | None = None, strict: bool = True) -> None:
+    """Adds the candles that are not stored yet; running it again changes nothing.
+
+    A missing column fails the load, or with strict=False leaves out the row.
+    """
+    new = require_valid(new) if strict else split_valid(new)[0]
     existing = stored_near(read_candles(new.sparkSession, root), new)
     write_candles(insert_or_ignore(existing, new, tie_break), root)
 
 
 def csv_to_parquet(spark: SparkSession, source, root: str) -> None:
     """Converts kline CSV files below a path to the candle table's format."""
-    from barline.operators.quality import require_valid
-    from barline.sources.klines import read_klines, to_candles
-
     write_candles(require_valid(to_candles(read_klines(spark, source))), root)

@@ -27,6 +27,19 @@ def with_path_keys(df: DataFrame, path: str = "path") -> DataFrame:
     return df.withColumns({name: F.regexp_extract(path, PATH_KEYS, group) for name, group in keys.items()})
 
 
+def landed_files(spark: SparkSession, destination: str) -> DataFrame:
+    """The `path` of every archive below a folder, spelled like the folder: contents are not read."""
+    files = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.zip")
+        .load(destination)
+    )
+    if "://" in destination:
+        return files.select("path")
+    return files.select(F.regexp_replace("path", r"^[a-z][a-z0-9+.-]*:(//[^/]*(?=/))?", "").alias("path"))
+
+
 def _no_header(df: DataFrame) -> DataFrame:
     """A header line has no number in any numeric column; such rows are not data."""
     return df.where(F.coalesce(*[F.col(c) for c in RAW.fieldNames() if c.endswith("_time")], "open").isNotNull())

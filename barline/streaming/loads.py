@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from barline.operators.quality import require_valid, split_valid
 from barline.schemas import RAW
 from barline.sources.candles import append_candles
 from barline.sources.klines import _no_header, to_candles, with_path_keys
@@ -48,9 +47,8 @@ def stream_load(
     def load(batch: DataFrame, _epoch: int) -> None:
         raw = with_path_keys(_no_header(batch))
         candles = to_candles(keys(raw) if keys else raw, keep=("path",))
-        candles = require_valid(candles) if strict else split_valid(candles)[0]
         candles = candles.persist()  # read by the span check and by the write
-        append_candles(candles, root, tie_break=["path"])
+        append_candles(candles, root, ["path"], strict)
         candles.unpersist()
 
     return (

@@ -11,8 +11,8 @@ from pyspark.errors import PythonException
 from pyspark.sql import functions as F
 
 from barline.functions.sql import register_gap_function, register_time_function
-from barline.operators import quality, runs
-from barline.schemas import CANDLE
+from barline.operators import backfill, quality, runs
+from barline.schemas import CANDLE, BackfillConfig
 from barline.sources import candles, klines, metadata, reports
 from barline.streaming.loads import checkpoint_location, stream_load
 from barline.streaming.ticks import candles_from_ticks, stream_candles
@@ -153,6 +153,26 @@ def test_csv_to_parquet(spark, tmp_path):
     assert candles.read_candles(spark, str(tmp_path / "out")).count() == 2
 
 
+def test_landed_archives_are_not_planned_again(spark, make, tmp_path):
+    for day in ("2026-03-01", "2026-03-03"):
+        put(tmp_path, "A", f"A-1d-{day}.zip", {"x.csv": [MILLIS]})
+    landed = klines.landed_files(spark, str(tmp_path))
+    assert "content" not in landed._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[-1]
+    config = BackfillConfig("1d", "2026-03-01", "2026-03-04", str(tmp_path), symbols=("A",))
+    symbols = backfill.resolve_symbols(spark, config)
+    files = backfill.plan_files(config, make([]), symbols, "https://d.test", landed)
+    assert sorted(r.url[-14:-4] for r in files.collect()) == ["2026-03-02", "2026-03-04"]
+
+
+def test_append_refuses_or_leaves_out_invalid_rows(spark, make, tmp_path):
+    both = make([bar("BAD", "1d", T0, 1.0, 1.0, 1.0, 1.0), bar("Z", "1d", T0, 1.0, 1.0, 1.0, 1.0)])
+    broken = both.withColumn("close", F.when(F.col("symbol") != "BAD", F.col("close")))
+    with pytest.raises(Exception, match="a required column is NULL"):
+        candles.append_candles(broken, str(tmp_path / "t"))
+    candles.append_candles(broken, str(tmp_path / "t"), strict=False)
+    assert [r.symbol for r in candles.read_candles(spark, str(tmp_path / "t")).collect()] == ["Z"]
+
+
 def test_load_summary(spark, tmp_path):
     put(tmp_path, "A", "1.zip", {"x.csv": [MILLIS], "y.csv": [MICROS]})
     put(tmp_path, "A", "2.zip", {"x.csv": [MILLIS]})
