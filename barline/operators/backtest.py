@@ -104,16 +104,16 @@ def risk(curve: DataFrame, periods: int = 365, chunk_bars: int = CHUNK_BARS) ->
     )
 
 
-def _held_blocks(df, fast, slow, chunk_bars) -> tuple[DataFrame, dict]:
-    """Bars of the moving-average strategy in blocks, and what to carry between the blocks.
+def _held_chunks(df, fast, slow, chunk_bars) -> tuple[DataFrame, dict]:
+    """Bars of the moving-average strategy by chunk, and what to carry between the chunks.
 
     `now` and `before` say whether the strategy holds the series at the end of a bar and of the
-    bar before it. They are NULL ahead of the block's first signal, where the last signal of
-    the blocks before decides; `last_signal` is the part of a summary that tells.
+    bar before it. They are NULL ahead of the chunk's first signal, where the last signal of
+    the chunks before decides; `last_signal` is the part of a summary that tells.
     """
 
     def held(end):
-        signal = F.last("signal", ignorenulls=True).over(_block().rowsBetween(W.unboundedPreceding, end))
+        signal = F.last("signal", ignorenulls=True).over(_chunk().rowsBetween(W.unboundedPreceding, end))
         return signal == "buy"
 
     bars = ma_cross_bars(df, fast, slow, chunk_bars).withColumns({"now": held(W.currentRow), "before": held(-1)})
@@ -121,8 +121,8 @@ def _held_blocks(df, fast, slow, chunk_bars) -> tuple[DataFrame, dict]:
     return bars, {"last_signal": F.max_by("signal", signal_at)}
 
 
-def _block(order="open_time"):
-    return W.partitionBy(*SERIES, "block").orderBy(order)
+def _chunk(order="open_time"):
+    return W.partitionBy(*SERIES, "chunk").orderBy(order)
 
 
 def _held_at_start(past, _):
@@ -142,7 +142,7 @@ def net_equity(
     """Equity of the moving-average strategy after costs, and whether a bar is held at its end.
 
     A bar held from the bar before multiplies the value by its close-to-close change, and every
-    entry or exit multiplies it by 1 - (fee + slippage) / 10000. A block's growth is known for
+    entry or exit multiplies it by 1 - (fee + slippage) / 10000. A chunk's growth is known for
     both states it can start in, so one pass carries the state and the growth together.
     """
     keep = 1 - (fee_bps + slippage_bps) / 1e4
@@ -155,17 +155,17 @@ def net_equity(
     def chosen(if_held, if_out):
         return F.when(F.col("start"), F.col(if_held)).otherwise(F.col(if_out))
 
-    so_far = _block().rowsBetween(W.unboundedPreceding, W.currentRow)
-    bars, last_signal = _held_blocks(df, fast, slow, chunk_bars)
+    so_far = _chunk().rowsBetween(W.unboundedPreceding, W.currentRow)
+    bars, last_signal = _held_chunks(df, fast, slow, chunk_bars)
     bars = bars.withColumns({"if_held": factor(True), "if_out": factor(False)})
     bars = bars.withColumns({f"so_far_{c}": F.product(c).over(so_far) for c in ("if_held", "if_out")})
     bars = with_carried(
         bars,
         SERIES,
-        "block",
-        last_signal | {f"block_{c}": F.product(c) for c in ("if_held", "if_out")},
+        "chunk",
+        last_signal | {f"chunk_{c}": F.product(c) for c in ("if_held", "if_out")},
         _held_at_start,
-        lambda past, _: {"growth": F.product(chosen("block_if_held", "block_if_out")).over(past)},
+        lambda past, _: {"growth": F.product(chosen("chunk_if_held", "chunk_if_out")).over(past)},
     )
     value = F.lit(capital) * F.coalesce("growth", F.lit(1.0)) * chosen("so_far_if_held", "so_far_if_out")
     held = F.coalesce("now", "start").cast("int")
@@ -177,20 +177,20 @@ def trades(
 ) -> DataFrame:
     """Entries of the moving-average strategy with the exit that follows, open trades with NULL.
 
-    An entry's exit is the next exit signal: in its own block, or the first one of the blocks
+    An entry's exit is the next exit signal: in its own chunk, or the first one of the chunks
     after it. Both are looked up from the end backwards, one step per signal.
     """
     is_exit = F.col("signal") == "exit"
     exit_ = F.when(is_exit, F.struct("open_time", "close"))
-    later = _block(F.desc("open_time")).rowsBetween(W.unboundedPreceding, W.currentRow - 1)
-    bars, last_signal = _held_blocks(df, fast, slow, chunk_bars)
+    later = _chunk(F.desc("open_time")).rowsBetween(W.unboundedPreceding, W.currentRow - 1)
+    bars, last_signal = _held_chunks(df, fast, slow, chunk_bars)
     signals = bars.where(F.col("signal").isNotNull()).select(
-        *SERIES, "block", "open_time", "close", "signal", "before", F.last(exit_, ignorenulls=True).over(later).alias("done")
+        *SERIES, "chunk", "open_time", "close", "signal", "before", F.last(exit_, ignorenulls=True).over(later).alias("done")
     )
     signals = with_carried(
         signals,
         SERIES,
-        "block",
+        "chunk",
         last_signal | {"first_exit": F.min(exit_)},
         _held_at_start,
         lambda _, later: {"exit_after": F.last("first_exit", ignorenulls=True).over(later)},

@@ -9,7 +9,9 @@ through one of these steps instead:
   combines before it shuffles, and are carried from chunk to chunk by a window over the chunk
   summaries, which are fewer than the bars by the factor `chunk_bars`;
 - the carried value is joined back by (series, chunk), and the remaining window runs inside one
-  chunk.
+  chunk;
+- a frame that looks back a number of bars runs inside one chunk that also holds copies of the
+  bars before it.
 
 Results are exact for any chunk size; `chunk_bars` only sets the size of a task's share.
 """
@@ -102,15 +104,6 @@ def bar_counts(df: DataFrame, keys: list[str] = SERIES) -> DataFrame:
     )
 
 
-def numbered(df: DataFrame, keys: list[str] = SERIES, chunk_bars: int = CHUNK_BARS) -> DataFrame:
-    """Adds `pos`, the 1-based place of a bar in its series."""
-    rows = with_chunk(df, chunk_bars)
-    before = bar_counts(rows, keys).select(*keys, "chunk", "before")
-    in_chunk = F.row_number().over(W.partitionBy(*keys, "chunk").orderBy("open_time"))
-    rows = rows.withColumn("pos", in_chunk).join(before, [*keys, "chunk"])
-    return rows.withColumn("pos", F.col("before") + F.col("pos")).drop("chunk", "before")
-
-
 def _edge(df, n, keys, chunk_bars, backward) -> DataFrame:
     chunk_bars = min(chunk_bars, max(n, EDGE_BARS))
     rows = with_chunk(df, chunk_bars)
@@ -143,24 +136,45 @@ def last_n(df: DataFrame, n: int, keys: list[str] = SERIES, chunk_bars: int = CH
     return _edge(df, n, keys, chunk_bars, backward=True)
 
 
-def over_blocks(
+def _halos(rows: DataFrame, halo: int, keys: list[str]) -> DataFrame:
+    """Copies of the `halo` bars before every chunk, under that chunk's number.
+
+    They are among the last `halo` bars of the chunks before it: usually of the one before, and
+    of several if those have few bars. Each task keeps the last bars of its chunks before the
+    shuffle. A bar in place p of its series belongs to the chunks that have p .. p + halo - 1
+    bars before them; matching by p's and the chunks' multiples of `halo` makes that an equal
+    join.
+    """
+    counts = bar_counts(rows, keys)
+    from_end = F.row_number().over(W.partitionBy(*keys, "chunk").orderBy(F.desc("open_time")))
+    tails = rows.withColumn("from_end", from_end).where(F.col("from_end") <= halo)
+    ends = counts.select(*keys, "chunk", (F.col("before") + F.col("here")).alias("end"))
+    tails = tails.join(ends, [*keys, "chunk"]).withColumn("place", F.col("end") - F.col("from_end") + 1)
+    step = F.floor(F.col("place") / halo)
+    tails = tails.drop("chunk", "end", "from_end").withColumn("step", F.explode(F.array(step, step + 1)))
+    starts = counts.where(F.col("before") > 0).select(
+        *keys, "chunk", "before", F.floor(F.col("before") / halo).alias("step")
+    )
+    near = F.col("before").between(F.col("place"), F.col("place") + halo - 1)
+    return tails.join(starts, [*keys, "step"]).where(near).select(*rows.columns)
+
+
+def over_chunks(
     df: DataFrame,
     halo: int,
     steps: Callable[[DataFrame, WindowSpec], DataFrame],
     keys: list[str] = SERIES,
     chunk_bars: int = CHUNK_BARS,
 ) -> DataFrame:
-    """Runs a row-frame computation that looks back at most `halo` bars.
+    """Runs a row-frame computation that looks back at most `halo` bars, chunk by chunk.
 
-    A numbered series is cut into blocks of exactly `size` bars; each block also gets the
-    `halo` bars before it, which serve as its past and are dropped again. `steps` adds columns
-    with the window it is given. Keeps `block` and `pos` for a following step.
+    Each chunk also gets the `halo` bars before it, which serve as its past and are dropped
+    again. `steps` adds columns with the window it is given; `pos` numbers the bars it sees, so
+    pos > n for n <= halo says that a bar has n bars before it. Keeps `chunk` for a next step.
     """
-    size = max(chunk_bars, halo, 1)
-    bars = numbered(df, keys, chunk_bars)
-    home = F.floor((F.col("pos") - 1) / size).cast("bigint")
-    late = (F.col("pos") - 1) % size >= size - halo
-    targets = F.when(late, F.array("home", F.col("home") + 1)).otherwise(F.array("home"))
-    bars = bars.withColumn("home", home).withColumn("block", F.explode(targets))
-    w = W.partitionBy(*keys, "block").orderBy("open_time")
-    return steps(bars, w).where(F.col("home") == F.col("block")).drop("home")
+    rows = with_chunk(df, chunk_bars)
+    bars = rows.withColumn("home", F.lit(True))
+    if halo:
+        bars = bars.unionByName(_halos(rows, halo, keys).withColumn("home", F.lit(False)))
+    w = W.partitionBy(*keys, "chunk").orderBy("open_time")
+    return steps(bars.withColumn("pos", F.row_number().over(w)), w).where("home").drop("home", "pos")

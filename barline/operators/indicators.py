@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from barline.functions.time import epoch_seconds
-from barline.operators.chunks import CHUNK_BARS, bar_counts, checked_broadcast, first_n, over_blocks, with_chunk
+from barline.operators.chunks import CHUNK_BARS, bar_counts, checked_broadcast, first_n, over_chunks, with_chunk
 from barline.schemas import DEFAULT_LENGTH, SERIES, SERIES_CAP, check_length
 
 # The look of the two markers.
@@ -36,15 +36,17 @@ def sma(
     """
     check_length(length)
     bars = df.select(*SERIES, "open_time", "close")
-    if cap is not None:
-        bars = first_n(bars, cap, chunk_bars=chunk_bars)
-        w = W.partitionBy(*SERIES).orderBy("open_time")
-        bars = bars.withColumn("pos", F.row_number().over(w)).withColumn("value", _mean("close", length, w))
+
+    def steps(bars, w):
+        return bars.withColumn("value", _mean("close", length, w))
+
+    if cap is None:
+        bars = over_chunks(bars, length - 1, steps, chunk_bars=chunk_bars)
     else:
-        bars = over_blocks(
-            bars, length - 1, lambda b, w: b.withColumn("value", _mean("close", length, w)), chunk_bars=chunk_bars
-        )
-    return bars.where(F.col("pos") >= length).select(*SERIES, epoch_seconds("open_time").alias("time"), "value")
+        w = W.partitionBy(*SERIES).orderBy("open_time")
+        bars = steps(first_n(bars, cap, chunk_bars=chunk_bars).withColumn("pos", F.row_number().over(w)), w)
+    full = bars.where(F.col("value").isNotNull())
+    return full.select(*SERIES, epoch_seconds("open_time").alias("time"), "value")
 
 
 def signals_thirds(df: DataFrame, cap: int | None = SERIES_CAP, chunk_bars: int = CHUNK_BARS) -> DataFrame:
@@ -104,7 +106,7 @@ def ma_cross_bars(df: DataFrame, fast=FAST_LENGTH, slow=SLOW_LENGTH, chunk_bars:
         return bars.withColumn("signal", F.when(buy, "buy").when(exit_, "exit")).drop("f0", "s0")
 
     bars = df.select(*SERIES, "open_time", "close")
-    return over_blocks(bars, max(fast, slow), steps, chunk_bars=chunk_bars)
+    return over_chunks(bars, max(fast, slow), steps, chunk_bars=chunk_bars)
 
 
 def ma_cross(df: DataFrame, fast=FAST_LENGTH, slow=SLOW_LENGTH, chunk_bars: int = CHUNK_BARS) -> DataFrame:
@@ -131,12 +133,11 @@ def breakout(
             F.abs(F.col("low") - F.col("previous")),
         )
         bars = bars.withColumn("true_range", F.when(F.col("previous").isNotNull(), span))
-        return bars.withColumn("atr", F.avg("true_range").over(w.rowsBetween(1 - atr_length, W.currentRow)))
+        frame = w.rowsBetween(1 - atr_length, W.currentRow)
+        full = (F.col("pos") > lookback) & (F.col("pos") > atr_length)
+        return bars.withColumn("atr", F.when(full, F.avg("true_range").over(frame)))
 
     bars = df.select(*SERIES, "open_time", "high", "low", "close")
-    bars = over_blocks(bars, max(lookback, atr_length), steps, chunk_bars=chunk_bars)
-    full = (F.col("pos") > lookback) & (F.col("pos") > atr_length)
+    bars = over_chunks(bars, max(lookback, atr_length), steps, chunk_bars=chunk_bars)
     hit = (F.col("close") > F.col("top")) & (F.col("close") - F.col("previous") > F.col("atr"))
-    return bars.where(full & hit).select(
-        *SERIES, epoch_seconds("open_time").alias("time"), "close", "top", "atr"
-    )
+    return bars.where(hit).select(*SERIES, epoch_seconds("open_time").alias("time"), "close", "top", "atr")

@@ -3,10 +3,11 @@
 import statistics
 
 import pytest
+from pyspark.sql import functions as F
 from conftest import by_series, random_candles, seconds
 
 from barline.operators import backtest, indicators
-from barline.operators.chunks import first_n, last_n, numbered
+from barline.operators.chunks import first_n, last_n, over_chunks
 from barline.schemas import SERIES
 
 LENGTHS = [1, 2, 3, 7, 40, 113, 0]
@@ -20,13 +21,6 @@ def collect(df, *columns):
     return sorted(tuple(r) for r in df.select(*columns).collect())
 
 
-@pytest.mark.parametrize("chunk_bars", CHUNKS)
-def test_numbered(make, chunk_bars):
-    got = collect(numbered(make(ROWS), chunk_bars=chunk_bars), *SERIES, "open_time", "pos")
-    want = [(*k, b[2], i + 1) for k, bars in by_series(ROWS).items() for i, b in enumerate(bars)]
-    assert got == sorted(want)
-
-
 @pytest.mark.parametrize("chunk_bars", CHUNKS)
 @pytest.mark.parametrize("n", [1, 6, 50])
 def test_first_and_last_n(make, n, chunk_bars):
@@ -194,11 +188,21 @@ def test_net_equity_and_trades(make, chunk_bars):
         assert got_exits[k] == pytest.approx(exits[k])
 
 
-def test_several_intervals_keep_apart(make):
-    rows = random_candles(3, [30], interval="1h") + random_candles(4, [30], interval="1M", gap_share=0)
-    got = collect(numbered(make(rows), chunk_bars=4), *SERIES, "open_time", "pos")
-    want = [(*k, b[2], i + 1) for k, bars in by_series(rows).items() for i, b in enumerate(bars)]
-    assert got == sorted(want)
+@pytest.mark.parametrize("chunk_bars", CHUNKS)
+@pytest.mark.parametrize("halo", [0, 1, 4, 30])
+def test_every_bar_sees_the_bars_before_it(make, halo, chunk_bars):
+    rows = ROWS + random_candles(4, [30], interval="1M", gap_share=0)
+
+    def steps(bars, w):
+        return bars.withColumn("past", F.collect_list("open_time").over(w.rowsBetween(-halo, -1 if halo else 0)))
+
+    seen = over_chunks(make(rows), halo, steps, chunk_bars=chunk_bars)
+    got = {(r.symbol, r.interval, r.open_time): r.past for r in seen.collect()}
+    want = {}
+    for k, bars in by_series(rows).items():
+        for i, b in enumerate(bars):
+            want[(*k, b[2])] = [x[2] for x in (bars[max(0, i - halo) : i] if halo else [b])]
+    assert got == want and seen.count() == len(rows)
 
 
 def test_length_is_checked(make):
