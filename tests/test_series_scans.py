@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from conftest import by_series, random_candles, seconds
 
-from barline.operators import backtest, indicators
+from barline.operators import backtest, chunks, indicators
 from barline.operators.chunks import first_n, last_n, over_chunks
 from barline.schemas import SERIES
 
@@ -210,3 +210,50 @@ def test_length_is_checked(make):
         indicators.sma(make(ROWS), 0)
     with pytest.raises(ValueError):
         indicators.sma(make(ROWS), 501)
+
+
+# Plan shapes
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def windows_over_whole_series(text):
+    """Windows that follow the bars' time and are split by nothing but the series."""
+    return [
+        line
+        for line in text.splitlines()
+        if "Window [" in line and "open_time" in line.split("windowspecdefinition")[-1] and "chunk" not in line
+    ]
+
+
+@pytest.mark.parametrize(
+    "run",
+    [
+        lambda df: indicators.sma(df, cap=None),
+        indicators.ma_cross,
+        indicators.breakout,
+        backtest.net_equity,
+        backtest.trades,
+        lambda df: backtest.risk(df.selectExpr("symbol", "interval", "open_time", "close as value")),
+        lambda df: indicators.signals_thirds(df, cap=None),
+    ],
+)
+def test_no_window_runs_over_a_whole_series(make, run):
+    assert windows_over_whole_series(plan(run(make(ROWS)))) == []
+
+
+def test_copied_bars_are_picked_before_the_shuffle(make):
+    assert "WindowGroupLimit" in plan(indicators.sma(make(ROWS), 500, cap=None))
+
+
+def test_a_large_side_is_not_broadcast(make, monkeypatch):
+    df = make(ROWS)
+    assert chunks.checked_broadcast(df, rows=3) is df
+    assert "broadcast" in chunks.checked_broadcast(df, rows=10**6)._jdf.queryExecution().analyzed().toString().lower()
+    for module in (chunks, indicators):
+        monkeypatch.setattr(module, "checked_broadcast", lambda side: side)
+    got = collect(last_n(df, 6, chunk_bars=5), *SERIES, "open_time")
+    assert got == sorted((*k, b[2]) for k, bars in by_series(ROWS).items() for b in bars[-6:])
+    test_signals_thirds(make, None, 5)
