@@ -108,18 +108,16 @@ def _edge(df, n, keys, chunk_bars, backward) -> DataFrame:
     chunk_bars = min(chunk_bars, max(n, EDGE_BARS))
     rows = with_chunk(df, chunk_bars)
     needed = bar_counts(rows, keys).where(F.col("after" if backward else "before") < n)
-    bound = (F.min if backward else F.max)("chunk").alias("bound")
-    bounds = checked_broadcast(needed.groupBy(*keys).agg(bound))
-    inside = F.col("chunk") >= F.col("bound") if backward else F.col("chunk") <= F.col("bound")
+    bounds = needed.groupBy(*keys).agg((F.min if backward else F.max)("chunk").alias("bound"))
+    sent = checked_broadcast(bounds)
+    if sent is bounds:  # too many series: match by chunk, so that a long series stays split
+        rows = rows.join(needed.select(*keys, "chunk"), [*keys, "chunk"], "left_semi")
+    else:
+        inside = F.col("chunk") >= F.col("bound") if backward else F.col("chunk") <= F.col("bound")
+        rows = rows.join(sent, keys).where(inside).drop("bound")
     time = F.desc("open_time") if backward else F.asc("open_time")
-    return (
-        rows.join(bounds, keys)
-        .where(inside)
-        .drop("chunk", "bound")
-        .withColumn("pos", F.row_number().over(W.partitionBy(*keys).orderBy(time)))
-        .where(F.col("pos") <= n)
-        .drop("pos")
-    )
+    place = F.row_number().over(W.partitionBy(*keys).orderBy(time))
+    return rows.drop("chunk").withColumn("place", place).where(F.col("place") <= n).drop("place")
 
 
 def first_n(df: DataFrame, n: int, keys: list[str] = SERIES, chunk_bars: int = CHUNK_BARS) -> DataFrame:
