@@ -40,7 +40,7 @@ def landed_files(spark: SparkSession, destination: str) -> DataFrame:
     return files.select(F.regexp_replace("path", r"^[a-z][a-z0-9+.-]*:(//[^/]*(?=/))?", "").alias("path"))
 
 
-def _no_header(df: DataFrame) -> DataFrame:
+def no_header(df: DataFrame) -> DataFrame:
     """A header line has no number in any numeric column; such rows are not data."""
     return df.where(F.coalesce(*[F.col(c) for c in RAW.fieldNames() if c.endswith("_time")], "open").isNotNull())
 
@@ -55,7 +55,7 @@ def read_klines(spark: SparkSession, paths, keys: bool = True) -> DataFrame:
         .csv(paths)
         .select("*", F.col("_metadata.file_path").alias("path"))
     )
-    rows = _no_header(rows).withColumn("member", F.lit(None).cast("string"))
+    rows = no_header(rows).withColumn("member", F.lit(None).cast("string"))
     return with_path_keys(rows) if keys else rows
 
 
@@ -98,6 +98,11 @@ def _unzip(on_unsafe):
     return run
 
 
+def unzip(files: DataFrame, on_unsafe: str = "raise") -> DataFrame:
+    """(path, member, line, error) of archives given as (path, content)."""
+    return files.select("path", "content").mapInPandas(_unzip(on_unsafe), LINES)
+
+
 def scan_archives(spark: SparkSession, path, on_unsafe: str = "raise") -> DataFrame:
     """(path, member, line, error) of every ZIP file below a path.
 
@@ -111,14 +116,19 @@ def scan_archives(spark: SparkSession, path, on_unsafe: str = "raise") -> DataFr
         .option("pathGlobFilter", "*.zip")
         .load(path)
     )
-    return files.select("path", "content").mapInPandas(_unzip(on_unsafe), LINES)
+    return unzip(files, on_unsafe)
+
+
+def parse_lines(lines: DataFrame) -> DataFrame:
+    """Raw rows of unzipped lines."""
+    lines = lines.where(F.col("line").isNotNull() & (F.col("line") != ""))
+    rows = lines.select(F.from_csv("line", RAW_DDL).alias("r"), "path", "member")
+    return no_header(rows.select("r.*", "path", "member"))
 
 
 def read_zipped_klines(spark: SparkSession, path, on_unsafe: str = "raise", keys: bool = True) -> DataFrame:
     """Rows of zipped kline files, as read_klines gives them for plain ones."""
-    lines = scan_archives(spark, path, on_unsafe).where(F.col("line").isNotNull() & (F.col("line") != ""))
-    rows = lines.select(F.from_csv("line", RAW_DDL).alias("r"), "path", "member")
-    rows = _no_header(rows.select("r.*", "path", "member"))
+    rows = parse_lines(scan_archives(spark, path, on_unsafe))
     return with_path_keys(rows) if keys else rows
 
 

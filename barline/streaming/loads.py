@@ -10,7 +10,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from barline.schemas import RAW
 from barline.sources.candles import append_candles
-from barline.sources.klines import _no_header, to_candles, with_path_keys
+from barline.sources.klines import no_header, parse_lines, to_candles, unzip, with_path_keys
+
+BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def checkpoint_location(spark: SparkSession, name: str) -> str:
@@ -28,28 +30,31 @@ def stream_load(
     checkpoint: str | None = None,
     strict: bool = True,
     keys: Callable[[DataFrame], DataFrame] | None = None,
+    zipped: bool = False,
 ) -> StreamingQuery:
-    """Loads the CSV files that are new since the last run, each candle once, and stops.
+    """Loads the files that are new since the last run, each candle once, and stops.
 
-    The file source remembers files it has read. A batch that is run again after a failure
-    adds nothing twice, since stored keys are ignored. With strict=False, rows with a missing
-    or invalid column are left out instead of failing the batch. `keys` may rewrite the symbol
-    and interval that were taken from the folder names.
+    Files are plain CSV, or with `zipped` archives of it. The file source remembers files it has
+    read. A batch that is run again after a failure adds nothing twice, since stored keys are
+    ignored. With strict=False, rows with a missing or invalid column are left out instead of
+    failing the batch. `keys` may rewrite the symbol and interval that were taken from the
+    folder names.
     """
-    rows = (
-        spark.readStream.schema(RAW)
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.csv")
-        .csv(source)
-        .select("*", F.col("_metadata.file_path").alias("path"))
-    )
+    files = spark.readStream.option("recursiveFileLookup", "true")
+    if zipped:
+        rows = files.option("pathGlobFilter", "*.zip").format("binaryFile").schema(BINARY_FILE).load(source)
+    else:
+        rows = files.option("pathGlobFilter", "*.csv").schema(RAW).csv(source)
+        rows = rows.select("*", F.col("_metadata.file_path").alias("path"))
 
     def load(batch: DataFrame, _epoch: int) -> None:
-        raw = with_path_keys(_no_header(batch))
+        raw = with_path_keys(parse_lines(unzip(batch)) if zipped else no_header(batch))
         candles = to_candles(keys(raw) if keys else raw, keep=("path",))
         candles = candles.persist()  # read by the span check and by the write
-        append_candles(candles, root, ["path"], strict)
-        candles.unpersist()
+        try:
+            append_candles(candles, root, ["path"], strict)
+        finally:
+            candles.unpersist()
 
     return (
         rows.writeStream.foreachBatch(load)

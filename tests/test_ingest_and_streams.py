@@ -202,6 +202,20 @@ def test_stream_load_picks_up_new_files_once(spark, tmp_path):
     assert rows(candles.read_candles(spark, root).select("open_time", "volume")) == got
 
 
+def test_stream_load_of_archives(spark, tmp_path):
+    source, root, mark = tmp_path / "in", str(tmp_path / "table"), str(tmp_path / "mark")
+    for name, line in (("1.zip", MILLIS), ("2.zip", MICROS), ("3.zip", MICROS)):
+        put(source, "BTCUSDT", name, {"inside.csv": [HEADER, line]})
+        query = stream_load(spark, str(source), root, mark, zipped=True)
+        query.awaitTermination(120)
+        assert query.exception() is None
+    got = candles.read_candles(spark, root)
+    assert rows(got.select("symbol", "interval", "open_time")) == [
+        ("BTCUSDT", "1d", T0),
+        ("BTCUSDT", "1d", T0 + timedelta(days=1)),
+    ]
+
+
 def test_stream_load_with_invalid_rows(spark, tmp_path):
     source, root = tmp_path / "in", str(tmp_path / "table")
     put(source, "A", "1.csv", [MILLIS, SECONDS])
