@@ -2,23 +2,26 @@
 
 from __future__ import annotations
 
+import io
+from zipfile import ZIP_DEFLATED, ZipFile
+
+import pandas as pd
 from pyspark.sql import functions as F
 
-from barline.functions.time import epoch_micros, epoch_seconds
+from barline.functions.time import epoch_micros, epoch_seconds, epoch_to_ntz
 from barline.operators.quality import require_valid
 from barline.plans import query
 from barline.plans.adapters import SCHEMAS, candles, candles_sql, scratch
 from barline.plans.market import FULL_SQL, full
 from barline.schemas import RAW
 from barline.sources.candles import append_candles, read_candles, write_candles
-from barline.sources.klines import read_klines, to_candles
+from barline.sources.klines import parse_lines, read_klines, to_candles, unzip, with_path_keys
 from barline.streaming.loads import stream_load
 from barline.streaming.ticks import stream_candles
 
 
-def _write_raw(bars, folder):
-    """Candles as raw kline files below <folder>/daily/klines/<symbol>/<interval>/, even hours in
-    milliseconds and odd ones in microseconds."""
+def _raw(bars):
+    """Candles as raw kline rows, even hours in milliseconds and odd ones in microseconds."""
     unit = F.when(F.floor(epoch_seconds() / 3600) % 2 == 0, 1000).otherwise(1)
     raw = bars.withColumns(
         {
@@ -27,8 +30,33 @@ def _write_raw(bars, folder):
             "ignore": F.lit(0.0),
         }
     )
-    raw = raw.select("symbol", "interval", *RAW.fieldNames())
-    raw.write.partitionBy("symbol", "interval").mode("append").csv(f"{folder}/daily/klines")
+    return raw.select("symbol", "interval", *RAW.fieldNames())
+
+
+def _write_raw(bars, folder):
+    """Raw kline files below <folder>/daily/klines/<symbol>/<interval>/."""
+    _raw(bars).write.partitionBy("symbol", "interval").mode("append").csv(f"{folder}/daily/klines")
+
+
+def _archives(bars):
+    """(path, content) of archives with one day of one series each."""
+
+    def pack(batches):
+        for batch in batches:
+            contents = []
+            for text in batch["text"]:
+                archive = io.BytesIO()
+                with ZipFile(archive, "w", ZIP_DEFLATED) as z:
+                    z.writestr("inside.csv", text)
+                contents.append(archive.getvalue())
+            yield pd.DataFrame({"path": batch["path"], "content": contents})
+
+    line = F.to_csv(F.struct(*RAW.fieldNames()))
+    day = F.date_format(epoch_to_ntz("open_time"), "yyyy-MM-dd")
+    lines = _raw(bars).select("symbol", "interval", day.alias("day"), line.alias("line"))
+    texts = lines.groupBy("symbol", "interval", "day").agg(F.array_join(F.collect_list("line"), "\n").alias("text"))
+    path = F.format_string("/landing/spot/daily/klines/%s/%s/%s.zip", "symbol", "interval", "day")
+    return texts.select(path.alias("path"), "text").mapInPandas(pack, "path string, content binary")
 
 
 def _plain_keys(rows):
@@ -47,6 +75,13 @@ def csv_load(spark, folder):
     return full(require_valid(to_candles(_plain_keys(read_klines(spark, landing)))))
 
 
+@query(LOADED_SQL)
+def zip_load(spark, folder):
+    """Candles packed into one archive per series and day, unpacked and checked."""
+    files = _archives(candles(spark, folder, "1h"))
+    return full(require_valid(to_candles(with_path_keys(parse_lines(unzip(files))))))
+
+
 @query(LOADED_SQL)
 def table_load(spark, folder):
     """The candle table after two loads that overlap by a week, read from its files."""

@@ -59,41 +59,43 @@ def read_klines(spark: SparkSession, paths, keys: bool = True) -> DataFrame:
     return with_path_keys(rows) if keys else rows
 
 
-def is_unsafe_member(name: str) -> bool:
-    member = PurePosixPath(name)
-    return member.is_absolute() or ".." in member.parts
-
-
 def _unzip(on_unsafe):
-    """Lines of the archives in a batch, in frames of bounded size; archives stay in memory."""
+    """Lines of the archives in a batch, in frames of bounded size; archives stay in memory.
+
+    The function it returns carries all it needs, so tasks need not import this package.
+    """
 
     def frame(path, member, lines, error=None):
         return pd.DataFrame({"path": path, "member": member, "line": lines, "error": error}, dtype=object)
 
+    def leaves_folder(name):
+        member = PurePosixPath(name)
+        return member.is_absolute() or ".." in member.parts
+
+    def member_frames(path, name, raw):
+        lines = []
+        for line in io.TextIOWrapper(raw, "utf-8"):
+            lines.append(line.rstrip("\r\n"))
+            if len(lines) == LINES_PER_BATCH:
+                yield frame(path, name, lines)
+                lines = []
+        if lines:
+            yield frame(path, name, lines)
+
     def run(batches):
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
                 with ZipFile(io.BytesIO(content)) as archive:
                     names = [m.filename for m in archive.infolist() if not m.is_dir()]
-                    unsafe = [n for n in names if is_unsafe_member(n)]
+                    unsafe = [n for n in names if leaves_folder(n)]
                     if unsafe and on_unsafe == "raise":
                         raise ValueError(f"unsafe member {unsafe[0]} in {path}")
                     for name in unsafe:
                         yield frame(path, name, [None], "unsafe member")
-                    if unsafe:
-                        continue
-                    for name in names:
-                        if "/" in name or not name.endswith(".csv"):
-                            continue
+                    data = [n for n in names if n.endswith(".csv") and "/" not in n]
+                    for name in [] if unsafe else data:
                         with archive.open(name) as raw:
-                            lines = []
-                            for line in io.TextIOWrapper(raw, "utf-8"):
-                                lines.append(line.rstrip("\r\n"))
-                                if len(lines) == LINES_PER_BATCH:
-                                    yield frame(path, name, lines)
-                                    lines = []
-                            if lines:
-                                yield frame(path, name, lines)
+                            yield from member_frames(path, name, raw)
 
     return run
 
