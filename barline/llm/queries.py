@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barline.llm import language, secrets, syncmers
+from barline.llm import language, neardup, repeats, secrets, syncmers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_syncmer_fingerprints": syncmers.query,
+    "op5_suffix_array_dedup": repeats.query,
     "op7_secret_scan": secrets.query,
+    "op9_minhash_near_dedup": neardup.query,
     "op10_language_id": language.query,
 }
 
