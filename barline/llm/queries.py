@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barline.llm import language, neardup, repeats, secrets, syncmers
+from barline.llm import contamination, language, neardup, quality, repeats, secrets, sentencepiece, syncmers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_syncmer_fingerprints": syncmers.query,
+    "op3_benchmark_decontamination": contamination.query,
     "op5_suffix_array_dedup": repeats.query,
+    "op6_quality_classifier": quality.query,
     "op7_secret_scan": secrets.query,
+    "op8_sentencepiece": sentencepiece.query,
     "op9_minhash_near_dedup": neardup.query,
     "op10_language_id": language.query,
 }
