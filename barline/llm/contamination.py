@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barline.llm.common import documents
-from barline.llm.words import LOWER, flat, mixed, pieces, span_hashes, spans_of
+from barline.llm.words import flat, folded, mixed, pieces, span_hashes, spans_of
 
 WINDOW = 5
 NEED = 0.8
@@ -70,7 +70,7 @@ class Tokens:
             mark = (data[1:-1] == 46) | (data[1:-1] == 44)
             member[1:-1] |= mark & digit[:-2] & digit[2:]
         self.start, self.end, self.row = spans_of(member, offsets)
-        low = LOWER[data]
+        low = folded(data)
         plain = span_hashes(low, self.start, self.end)
         digits = np.concatenate([[0], np.cumsum(digit)])
         capitals = np.concatenate([[0], np.cumsum(_CAPITAL[data])])

@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barline.llm import contamination, language, neardup, quality, repeats, secrets, sentencepiece, syncmers
+from barline.llm import contamination, language, neardup, pages, quality, repeats, secrets, sentencepiece, syncmers, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_syncmer_fingerprints": syncmers.query,
+    "op2_toxicity": toxicity.query,
     "op3_benchmark_decontamination": contamination.query,
+    "op4_html_extraction": pages.query,
     "op5_suffix_array_dedup": repeats.query,
     "op6_quality_classifier": quality.query,
     "op7_secret_scan": secrets.query,

@@ -46,6 +46,20 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+def folded(data: np.ndarray) -> np.ndarray:
+    """Bytes with the capitals of the basic Latin, Latin-1, Greek and Cyrillic alphabets read as small letters."""
+    out = LOWER[data]
+    lead = np.flatnonzero((data == 0xC3) | (data == 0xCE) | (data == 0xD0))
+    lead = lead[lead + 1 < len(data)]
+    a, b = data[lead], data[lead + 1]
+    up = ((a == 0xC3) & (b >= 0x80) & (b <= 0x9E) & (b != 0x97)) | ((a == 0xCE) & (b >= 0x91) & (b <= 0x9F)) | ((a == 0xD0) & (b >= 0x90) & (b <= 0x9F))
+    out[lead[up] + 1] += 0x20
+    down = ((a == 0xCE) & (b >= 0xA0) & (b <= 0xAB)) | ((a == 0xD0) & (b >= 0xA0) & (b <= 0xAF))
+    out[lead[down]] += 1
+    out[lead[down] + 1] -= 0x20
+    return out
+
+
 def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column and the offsets of its rows."""
     if isinstance(texts, pa.ChunkedArray):

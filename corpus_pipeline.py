@@ -5,10 +5,48 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from barline.llm import contamination, neardup, quality, secrets, sentencepiece
 from barline.llm.common import checkpoint_folder, documents
 
-STAGES = []
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    return quality.accepted(docs)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of near duplicates the document with the smallest doc_id stays."""
+    return neardup.deduplicated(docs)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return contamination.clean(docs, contamination.benchmark(spark, sf_dir))
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced by their kind in brackets; n_chars follows the text."""
+    out = secrets.redact(docs, secrets.fit(docs))
+    return out.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The ids of every text, and whether decoding them restores it."""
+    v = sentencepiece.vocabulary()
+    rows = sentencepiece.decode(sentencepiece.encode(docs, v), v)
+    exact = F.col("decoded").eqNullSafe(F.col("text"))
+    return rows.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", exact.alias("exact"))
+
+
+STAGES = [
+    ("quality_classifier", good_quality),
+    ("minhash_near_dedup", one_of_each_group),
+    ("benchmark_decontamination", decontaminated),
+    ("secret_scan", without_secrets),
+    ("sentencepiece", tokens),
+]
 
 ORACLE_SQL = None
 
