@@ -1,19 +1,22 @@
 """MinHash near-duplicate groups, verified by odd sketches and then on full shingle sets.
 
-A document's set holds its distinct 5-word shingles. MINHASHES minima per set are used twice: in
-bands, whose equal keys bring candidates together, and folded into an odd sketch, a bitmap in
-which every (place, minimum) flips one bit. The population count of two sketches' XOR estimates the
-number of minima that differ, and discards nearly all false candidates without their sets. What is
-left is confirmed on the full sets, so every reported link is true; a pair at the similarity
-of the contract misses all bands with a probability below 1e-6.
+A document's set holds its distinct 5-word shingles. Two kinds of MinHash samples are taken: minima
+of BANDS * ROWS hash functions make the bands, whose equal keys bring candidates together, and the minima of
+BINS slices of one hash are folded into an odd sketch, a bitmap in which every (slice, minimum) flips
+one bit. The population count of two sketches' XOR estimates how many samples differ; with
+the two sets' sizes that bounds their similarity from above, and discards nearly all false
+candidates without their sets. What is left is confirmed on the full sets, so every link is
+true; a pair at the similarity of the contract misses all bands with a probability below 1e-6 and is
+discarded by its sketch with one below 1e-5.
 
 Documents with equal sets are one class, represented by their smallest doc_id. Only
-representatives enter the bands. Members of a bucket are linked in rounds: in each, a member
-proposes its most similar members that are not yet in its component, `q` of them, and q
-grows from round to round until no proposal is left out. A group of g similar texts thus costs
-about g proposals, not g * g / 2. Buckets of more than BLOCK members are split into blocks: first
-every block meets the bucket's first one, later only members still outside the bucket's main
-component meet all blocks. No bucket, class or component is ever gathered in one task.
+representatives enter the bands. Links are sought in rounds, between different components only. In the
+first round a bucket proposes a spanning forest of its most similar pairs, so a group of g similar
+texts costs g - 1 proposals, not g * g / 2. Later, each member outside the bucket's main component
+proposes its q most similar members of other components; q grows from round to round until nothing is left
+out. Of the buckets that two members share, only the first proposes the pair. Buckets of more than
+BLOCK members are split into blocks: first every block meets the bucket's first one, later the members outside the
+main component meet all blocks. No bucket, class or component is ever gathered in one task.
 
 Defined cases: a null or empty text, or one without words, has an empty set, links with nothing
 and is kept; a text of fewer than 5 words has its whole sequence as its only shingle; each row is judged
@@ -37,15 +40,15 @@ SHINGLE = 5
 LEAST, OUT_OF = 85, 100  # links have OUT_OF * intersection >= LEAST * union
 BANDS, ROWS = 24, 5
 MINHASHES = BANDS * ROWS
-SKETCH_BITS = 512
-FARTHEST = 76  # differing sketch bits of a candidate; pairs at the least similarity have 34 on average, with a deviation of 9
+BINS = 1024
+SKETCH_BITS = 1024
+SURE = 4.5  # deviations allowed between a pair's sketch and its expectation at the least similarity
 BLOCK = 2048
 GROWTH = 8
 
 _rng = np.random.default_rng(20240131)
 _MUL = _rng.integers(1, 1 << 63, MINHASHES, np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _rng.integers(0, 1 << 63, MINHASHES, np.uint64)
-_PLACE = (np.arange(1, MINHASHES + 1, dtype=np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
 _BAND = (np.arange(1, BANDS + 1, dtype=np.uint64)) * np.uint64(0xD1B54A32D192ED03)
 
 
@@ -65,10 +68,27 @@ def band_keys(m: np.ndarray) -> np.ndarray:
     return h
 
 
-def odd_sketch(m: np.ndarray) -> np.ndarray:
-    """Parity bitmap of the (place, minimum) pairs, as bytes."""
-    bits = np.bincount((mixed(m ^ _PLACE) % np.uint64(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS) & 1
-    return np.packbits(bits.astype(np.uint8))
+def odd_sketch(s: np.ndarray) -> tuple[np.ndarray, int]:
+    """Parity bitmap of the smallest value of each slice of a hash, as bytes, and the number of slices in use."""
+    v = np.sort(mixed(s * np.uint64(0x9FB21C651E98DF25) + np.uint64(1)))
+    slices = v >> np.uint64(64 - BINS.bit_length() + 1)
+    v = v[np.concatenate([[True], slices[1:] != slices[:-1]])]
+    bits = np.bincount((mixed(v) % np.uint64(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS) & 1
+    return np.packbits(bits.astype(np.uint8)), len(v)
+
+
+def farthest(n: np.ndarray, used: np.ndarray) -> np.ndarray:
+    """Differing sketch bits that a linked pair stays under; n: sum of the two sets' sizes, used: of their slices in use."""
+    j = LEAST / OUT_OF
+    union = n / (1 + j)
+    slices = BINS * -np.expm1(-union / BINS)
+    # Each slice of the union holds a common minimum with probability j; nearly all elements are drawn from small sets.
+    drawn = np.sqrt(j * (1 - j) * slices * np.clip(1 - slices / np.maximum(union, 1), 0.02, 1))
+    samples = np.maximum(used - 2 * j * slices, 0) + 1
+    bits = SKETCH_BITS / 2 * -np.expm1(-2 * samples / SKETCH_BITS)
+    kept = np.exp(-2 * samples / SKETCH_BITS)
+    noise = np.sqrt((2 * drawn * kept) ** 2 + np.minimum(2 * samples**2 / SKETCH_BITS, SKETCH_BITS / 4)) + 1
+    return np.minimum(bits + SURE * noise, SKETCH_BITS).astype(np.int64)
 
 
 def _sets(texts: pa.Array):
@@ -80,27 +100,31 @@ def _sets(texts: pa.Array):
             yield shingles(words[begin[k] : begin[k + 1]], SHINGLE)
 
 
-SIGNATURES = "doc_id long, n long, one long, two long, bands array<long>, sketch binary"
+SIGNATURES = "doc_id long, n long, one long, two long, bands array<long>, used int, sketch binary"
 
 
 def _signatures(batches):
     for batch in batches:
-        n, one, two, bands, sketch = [], [], [], [], []
+        n, one, two, bands, used, sketch = [], [], [], [], [], []
         for s in _sets(batch.column(1)):
             n.append(len(s))
             one.append(int(s.sum(dtype=np.uint64).view(np.int64)))
             two.append(int(np.bitwise_xor.reduce(mixed(s)).view(np.int64)) if len(s) else 0)
             if len(s):
-                m = minima(s)
-                bands.append(band_keys(m).view(np.int64))
-                sketch.append(odd_sketch(m).tobytes())
+                keys = band_keys(minima(s))
+                bands.append(keys.view(np.int64))
+                bits, slices = odd_sketch(s)
+                used.append(slices)
+                # With the band keys, in short, so that two members know the first band that they share.
+                sketch.append(bits.tobytes() + keys.astype(np.uint32).tobytes())
             else:
                 bands.append(None)
+                used.append(0)
                 sketch.append(None)
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()),
-             pa.array(bands, pa.list_(pa.int64())), pa.array(sketch, pa.binary())],
-            ["doc_id", "n", "one", "two", "bands", "sketch"],
+             pa.array(bands, pa.list_(pa.int64())), pa.array(used, pa.int32()), pa.array(sketch, pa.binary())],
+            ["doc_id", "n", "one", "two", "bands", "used", "sketch"],
         )
 
 
@@ -121,36 +145,89 @@ def differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 PROPOSALS = "a long, b long, cut boolean"
 
 
+def forest(far: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs that join all rows a matrix of distances can join, nearest first: each component in turn takes its nearest pair."""
+    out = []
+    _, part = np.unique(label, return_inverse=True)
+    far = np.where(part[:, None] == part[None, :], SKETCH_BITS + 1, far)
+    # One order for all, so that equal distances can't close a circle.
+    g = len(far)
+    low, high = np.minimum.outer(np.arange(g), np.arange(g)), np.maximum.outer(np.arange(g), np.arange(g))
+    rank = (far.astype(np.int64) * g + low) * g + high
+    none = np.int64(SKETCH_BITS + 1) * g * g
+    while True:
+        to = rank.argmin(1)
+        best = rank[np.arange(g), to]
+        least = np.full(part.max() + 1, none)
+        np.minimum.at(least, part, best)
+        mine = np.flatnonzero((best == least[part]) & (best < none))
+        if not len(mine):
+            break
+        a, b = np.minimum(mine, to[mine]), np.maximum(mine, to[mine])
+        pair = np.unique(a * g + b)
+        out.append(pair)
+        root = np.arange(part.max() + 1)
+        for x, y in zip(part[pair // g], part[pair % g], strict=True):
+            while root[x] != x:
+                x = root[x]
+            while root[y] != y:
+                y = root[y]
+            root[max(x, y)] = min(x, y)
+        while (root[root] != root).any():
+            root = root[root]
+        part = root[part]
+        _, part = np.unique(part, return_inverse=True)
+        rank[part[:, None] == part[None, :]] = none
+    pair = np.concatenate(out) if out else np.zeros(0, np.int64)
+    return pair // g, pair % g
+
+
 def _proposals(q: int):
-    """Proposes for every asking row of a block its q most similar rows of the other side that have another label."""
+    """Proposes pairs with different labels: q = 0, a forest over each block; else the q nearest of every asking row."""
 
     def propose(table: pa.Table) -> pa.Table:
         key = np.stack([table.column(c).to_numpy() for c in ("key", "part", "ask_part")])
         order = np.lexsort(key[::-1])
         cuts = np.flatnonzero((np.diff(key[:, order], axis=1) != 0).any(0)) + 1
-        doc, label = table.column("doc_id").to_numpy(), table.column("label").to_numpy()
+        doc, label, size, used, band = (table.column(c).to_numpy() for c in ("doc_id", "label", "n", "used", "band"))
         asks, base = (table.column(c).to_numpy(zero_copy_only=False) for c in ("asks", "base"))
-        words = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint64).reshape(len(doc), -1)
+        raw = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(len(doc), -1)
+        words = np.ascontiguousarray(raw[:, : SKETCH_BITS // 8]).view(np.uint64)
+        keys = np.ascontiguousarray(raw[:, SKETCH_BITS // 8 :]).view(np.uint32)
         found, cut = [], []
+
+        def distances(x, y):
+            far = differing(words[x], words[y])
+            far[far > farthest(size[x][:, None] + size[y][None, :], used[x][:, None] + used[y][None, :])] = SKETCH_BITS + 1
+            small, large = np.minimum.outer(size[x], size[y]), np.maximum.outer(size[x], size[y])
+            far[(OUT_OF * small < LEAST * large) | (label[x][:, None] == label[y][None, :])] = SKETCH_BITS + 1
+            return far
+
+        def add(x, y, more):
+            first = (keys[x] == keys[y]).argmax(1) == band[x]
+            x, y = x[first], y[first]
+            found.append(np.stack([np.minimum(doc[x], doc[y]), np.maximum(doc[x], doc[y])]))
+            cut.append(more[first])
+
         for rows in np.split(order, cuts):
-            to = rows[base[rows]]
-            to = to[np.argsort(doc[to], kind="stable")]
-            who = rows[asks[rows]]
+            rows = rows[np.argsort(doc[rows], kind="stable")]
+            if len(rows) < 2 or label[rows].min() == label[rows].max():
+                continue
+            to, who = rows[base[rows]], rows[asks[rows]]
+            if q == 0:
+                i, j = forest(distances(rows, rows), label[rows])
+                add(rows[i], rows[j], np.ones(len(i), bool))
+                continue
             for at in range(0, len(who), 512):
                 block = who[at : at + 512]
-                far = differing(words[block], words[to])
-                far[label[block][:, None] == label[to][None, :]] = SKETCH_BITS
-                if min(q, len(to)) < len(to):
+                far = distances(block, to)
+                near, last = np.broadcast_to(np.arange(len(to)), far.shape), np.full(len(block), SKETCH_BITS + 1)
+                if q < len(to):
                     near = np.argpartition(far.astype(np.int64) * len(to) + np.arange(len(to)), q, axis=1)
                     last = np.take_along_axis(far, near[:, q : q + 1], 1)[:, 0]
                     near = near[:, :q]
-                else:
-                    near, last = np.broadcast_to(np.arange(len(to)), far.shape), np.full(len(block), SKETCH_BITS)
-                ok = np.take_along_axis(far, near, 1) <= FARTHEST
-                i, j = np.nonzero(ok)
-                x, y = doc[block[i]], doc[to[near[i, j]]]
-                found.append(np.stack([np.minimum(x, y), np.maximum(x, y)]))
-                cut.append((last <= FARTHEST)[i])
+                i, j = np.nonzero(np.take_along_axis(far, near, 1) <= SKETCH_BITS)
+                add(block[i], to[near[i, j]], (last <= SKETCH_BITS)[i])
         a, b = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
         more = np.concatenate(cut) if cut else np.zeros(0, bool)
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "cut": pa.array(more)})
@@ -190,65 +267,71 @@ def components(edges: DataFrame) -> DataFrame:
         roots = step.select("node", F.col("new").alias("root"))
 
 
+MEMBER = ["key", "band", "doc_id", "n", "used", "sketch"]
+
+
 def _links(docs: DataFrame, reps: DataFrame, text: str) -> DataFrame | None:
     """(doc_id, root) of the representatives that link with another one."""
     spark = docs.sparkSession
-    keys = reps.select("doc_id", F.posexplode("bands").alias("band", "key")).select("doc_id", F.xxhash64("band", "key").alias("key"))
+    keys = reps.select("doc_id", F.posexplode("bands").alias("band", "key")).select("doc_id", "band", F.xxhash64("band", "key").alias("key"))
     sizes = keys.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    shared = keys.join(sizes, "key")
     parts = F.ceil(F.col("members") / BLOCK).cast("int")
-    members = kept(
-        shared.join(reps.select("doc_id", "sketch"), "doc_id").select(
-            "key", "doc_id", "sketch", parts.alias("parts"), F.pmod(F.xxhash64("doc_id", "key"), parts).cast("int").alias("part")
-        )
-    )
+    shared = keys.join(sizes, "key").join(reps.select("doc_id", "n", "used", "sketch"), "doc_id")
+    members = kept(shared.select(*MEMBER, parts.alias("parts"), F.pmod(F.xxhash64("doc_id", "key"), parts).cast("int").alias("part")))
     if members.isEmpty():
         return None
-    needed = members.select("doc_id").distinct()
+    # The same join at every size: a small corpus should not show a plan that a large one can't have.
+    needed = members.select("doc_id").distinct().hint("merge")
     sets = kept(docs.join(needed, "doc_id", "left_semi").select("doc_id", text).mapInArrow(_set_rows, "doc_id long, shingles binary"))
-    labels, q, tasks = None, 1, 4 * partitions(spark)
-    tried = None
+    left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
+    right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
+    labels, tried, q = None, None, 0
     while True:
-        rows = members.withColumn("label", F.col("doc_id"))
-        if labels is not None:
-            rows = members.join(labels, "doc_id", "left").withColumn("label", F.coalesce("root", "doc_id")).drop("root")
-            spread = rows.groupBy("key").agg(F.min("label").alias("main"), F.max("label").alias("other")).where("main <> other")
-            rows = rows.join(spread.select("key", "main"), "key")
-        first = labels is None
-        # In the first round every block meets itself and block 0; later the members outside the main component meet all.
-        if first:
-            base = rows.withColumn("to", F.when(F.col("part") == 0, F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array("part")))
-            base = base.select("key", F.explode("to").alias("part"), F.lit(0).alias("ask_part"), "doc_id", "label", "sketch",
-                               (F.col("part") == F.element_at("to", -1)).alias("own"))
-            asked = base.withColumns({"asks": F.lit(True), "base": F.lit(True)}).drop("own")
+        if tried is None:
+            asked = _first_blocks(members.withColumn("label", F.col("doc_id")))
         else:
-            asks = rows.where("label <> main")
-            hot = asks.where("parts > 1").select("key", F.col("part").alias("ask_part")).distinct()
-            small = rows.where("parts = 1").withColumns({"ask_part": F.lit(0), "asks": F.col("label") != F.col("main"), "base": F.lit(True)})
-            small = small.select("key", "part", "ask_part", "doc_id", "label", "sketch", "asks", "base")
-            wide_base = rows.where("parts > 1").join(hot, "key").withColumns({"asks": F.lit(False), "base": F.lit(True)})
-            wide_ask = asks.where("parts > 1").withColumn("ask_part", F.col("part")).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-            wide_ask = wide_ask.withColumns({"asks": F.lit(True), "base": F.lit(False)})
-            asked = small.unionByName(wide_base.select(small.columns)).unionByName(wide_ask.select(small.columns))
-        task = F.pmod(F.xxhash64("key", "part", "ask_part"), F.lit(tasks)).cast("int")
+            asked = _later_blocks(members.join(labels, "doc_id", "left").withColumn("label", F.coalesce("root", "doc_id")))
+        task = F.pmod(F.xxhash64("key", "part", "ask_part"), F.lit(4 * partitions(spark))).cast("int")
         found = asked.withColumn("task", task).groupBy("task").applyInArrow(_proposals(q), PROPOSALS)
         found = kept(found.groupBy("a", "b").agg(F.max("cut").alias("cut")))
         more = not found.where("cut").isEmpty()
-        if tried is not None:
-            found = found.join(tried.select("a", "b"), ["a", "b"], "left_anti")
-        left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
-        right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
-        pairs = found.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-        checked = kept(pairs.mapInArrow(_confirmed, "a long, b long, ok boolean"))
-        tried = checked if tried is None else kept(tried.unionByName(checked))
-        new = checked.where("ok").select("a", "b")
-        if not new.isEmpty():
+        if tried is None:
+            pairs = found.hint("merge")
+        else:
+            pairs = found.join(tried.select("a", "b"), ["a", "b"], "left_anti")
+        checked = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(_confirmed, "a long, b long, ok boolean")
+        checked = kept(checked.groupBy("a", "b").agg(F.max("ok").alias("ok")))
+        if labels is None or not checked.where("ok").isEmpty():
+            tried = checked if tried is None else kept(tried.unionByName(checked))
             labels = kept(components(tried.where("ok").select("a", "b")).withColumnRenamed("node", "doc_id"))
-        elif labels is None:
-            labels = spark.createDataFrame([], "doc_id long, root long")
-        if not first and not more:
+        else:
+            tried = kept(tried.unionByName(checked))
+        if not more:
             return labels
-        q *= GROWTH
+        q = GROWTH * max(q, 1)
+
+
+BLOCK_ROW = [*MEMBER, "part", "ask_part", "label", "asks", "base"]
+
+
+def _first_blocks(rows: DataFrame) -> DataFrame:
+    """Every block by itself, with the bucket's block 0."""
+    own = F.when(F.col("part") == 0, F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array("part"))
+    rows = rows.withColumn("part", F.explode(own))
+    return rows.withColumns({"ask_part": F.lit(0), "asks": F.lit(True), "base": F.lit(True)}).select(BLOCK_ROW)
+
+
+def _later_blocks(rows: DataFrame) -> DataFrame:
+    """Of buckets with several labels: the members outside the main one against all, block by block."""
+    spread = rows.groupBy("key").agg(F.min("label").alias("main"), F.max("label").alias("other")).where("main <> other")
+    rows = rows.join(spread.select("key", "main"), "key")
+    small = rows.where("parts = 1").withColumns({"ask_part": F.lit(0), "asks": F.col("label") != F.col("main"), "base": F.lit(True)})
+    large = rows.where("parts > 1")
+    asks = large.where("label <> main").withColumns({"ask_part": F.col("part"), "asks": F.lit(True), "base": F.lit(False)})
+    asks = asks.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    asking = large.where("label <> main").select("key", F.col("part").alias("ask_part")).distinct()
+    base = large.join(asking, "key").withColumns({"asks": F.lit(False), "base": F.lit(True)})
+    return small.select(BLOCK_ROW).unionByName(base.select(BLOCK_ROW)).unionByName(asks.select(BLOCK_ROW))
 
 
 def groups(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -256,8 +339,8 @@ def groups(docs: DataFrame, text: str = "text") -> DataFrame:
     rows = kept(docs.select("doc_id", text).mapInArrow(_signatures, SIGNATURES))
     alike = ["n", "one", "two"]
     classes = rows.where("n > 0 and doc_id is not null").groupBy(*alike).agg(F.min("doc_id").alias("rep"))
-    rows = kept(rows.join(classes, alike, "left").select("doc_id", "n", "rep", F.when(F.col("doc_id") == F.col("rep"), F.col("bands")).alias("bands"), "sketch"))
-    roots = _links(docs, rows.where(F.col("bands").isNotNull()).select("doc_id", "bands", "sketch"), text)
+    rows = kept(rows.join(classes, alike, "left").select("doc_id", "n", "rep", F.when(F.col("doc_id") == F.col("rep"), F.col("bands")).alias("bands"), "used", "sketch"))
+    roots = _links(docs, rows.where(F.col("bands").isNotNull()).select("doc_id", "n", "bands", "used", "sketch"), text)
     found = F.coalesce("rep", "doc_id")
     if roots is not None:
         rows = rows.join(roots.select(F.col("doc_id").alias("rep"), "root"), "rep", "left")
