@@ -7,6 +7,7 @@ the window's anchor. Equal windows have their anchor at the same place, so two e
 wherever the suffixes at their anchors meet. Neighbouring windows share an anchor: such a run is
 one record, of at most 2 * LENGTH - GRAM bytes.
 
+0. A text that equals one with a smaller doc_id goes whole and holds nothing that is not there, too, so it takes no further part.
 1. Texts are dealt into chunks by doc_id once; each of the next steps reads that one shuffle.
 2. Each chunk sends a fingerprint per distinct anchor string; the reply names those that two documents hold.
 3. Runs with such an anchor are sent, each distinct one once per chunk with its smallest doc_id. Splitters
@@ -29,13 +30,15 @@ all; rows that share a doc_id do not remove from each other; a row without doc_i
 from __future__ import annotations
 
 import hashlib
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barline.llm.common import bounded_sample, documents, partitions
+from barline.llm.common import bounded_sample, documents, kept, partitions
 from barline.llm.words import flat, mixed, span_hashes, spans_of
 
 LENGTH = 50
@@ -43,6 +46,7 @@ GRAM = 20
 HOT = 32
 SAMPLE_DOCUMENTS = 1000
 CHUNKS_A_PARTITION = 2
+RANGES_A_PARTITION = 4
 SEGMENT = 1 << 18
 LAST = (1 << 63) - 1
 
@@ -94,10 +98,10 @@ class Runs:
         self.gram = gram[ok].astype(np.uint64)
         self.data = data
 
+    @cached_property
     def hashes(self) -> np.ndarray:
         """Of each run's bytes and of where its anchor lies in them."""
-        h = hashed(self.data, self.start, self.stop + LENGTH)
-        return mixed(h + (self.anchor - self.start).astype(np.uint64))
+        return run_hashes(self.data, self.start, self.stop + LENGTH, self.anchor - self.start)
 
     def windows(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The windows of some runs, one by one: their places and their runs."""
@@ -106,6 +110,10 @@ class Runs:
         return self.start[run] + np.arange(len(run)) - np.repeat(np.cumsum(n) - n, n), run
 
 
+def run_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, anchors: np.ndarray) -> np.ndarray:
+    return mixed(hashed(data, starts, ends) + anchors.astype(np.uint64))
+
+
 def hashed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """span_hashes of spans in ascending order, a few megabytes at a time."""
     out = np.zeros(len(starts), np.uint64)
@@ -118,11 +126,17 @@ def hashed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
     return out
 
 
-def _texts(table: pa.Table):
-    """A chunk's rows in one fixed order: ids, bytes, offsets."""
+def _texts(table: pa.Table, messages: pa.Table):
+    """A chunk's rows in one fixed order: ids, bytes without those of copies, offsets, which rows are copies, all sizes."""
     table = table.sort_by([("id", "ascending"), ("text", "ascending")])
-    data, offsets = flat(table.column("text").cast(pa.large_string()))
-    return table.column("id").to_numpy(), data[offsets[0] : offsets[-1]], offsets - offsets[0]
+    ids = table.column("id").to_numpy()
+    named = [b for k, b in zip(messages.column("kind").to_pylist(), messages.column("payload").to_pylist(), strict=True) if k == COPY]
+    copies = np.frombuffer(b"".join(named), ">i8")
+    texts = table.column("text").cast(pa.large_string()).combine_chunks()
+    size = np.diff(flat(texts)[1])
+    copy = np.isin(ids, copies) & (size >= LENGTH)
+    data, offsets = flat(pc.if_else(pa.array(copy), "", texts))
+    return ids, data[offsets[0] : offsets[-1]], offsets - offsets[0], copy, size
 
 
 def _fingerprints(gram: np.ndarray, ranges: int) -> tuple[np.ndarray, np.ndarray]:
@@ -142,7 +156,7 @@ def _unpacked(blob: bytes) -> np.ndarray:
 
 
 MESSAGE = "place int, chunk int, kind int, payload binary"
-FINGERPRINTS, RECORDS, HOT_GRAMS, BITS = range(4)
+FINGERPRINTS, RECORDS, HOT_GRAMS, BITS, COPY = range(5)
 
 
 def _message(rows: list[tuple[int, int, int, bytes]]) -> pa.Table:
@@ -154,14 +168,16 @@ def _message(rows: list[tuple[int, int, int, bytes]]) -> pa.Table:
 def _send_fingerprints(ranges: int):
     """Per chunk and range: the distinct fingerprints, each with two bits, for 'in two texts here' and 'hot here'."""
 
-    def run(table: pa.Table) -> pa.Table:
+    def run(table: pa.Table, messages: pa.Table) -> pa.Table:
+        if not table.num_rows:
+            return _message([])
         chunk = table.column("chunk")[0].as_py()
-        ids, data, offsets = _texts(table)
+        ids, data, offsets, _, _ = _texts(table, messages)
         runs = Runs(data, offsets)
         place, value = _fingerprints(runs.gram, ranges)
 
         order = np.lexsort((value, place))
-        p, v, doc, h = place[order], value[order], ids[runs.row[order]], runs.hashes()[order]
+        p, v, doc, h = place[order], value[order], ids[runs.row[order]], runs.hashes[order]
         new = np.concatenate([[True], (p[1:] != p[:-1]) | (v[1:] != v[:-1])]) if len(p) else np.zeros(0, bool)
         first = np.flatnonzero(new)
         if not len(first):
@@ -216,7 +232,7 @@ def suffix(data: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
     return np.ascontiguousarray(rows).view(f"S{length}")[:, 0]
 
 
-RECORD = np.dtype([("hash", "<u8"), ("gram", "<u8"), ("id", "<i8"), ("length", "u1"), ("anchor", "u1")])
+RECORD = np.dtype([("id", "<i8"), ("length", "u1"), ("anchor", "u1")])
 
 
 def _send_records(ranges: int, splitters: np.ndarray):
@@ -224,41 +240,40 @@ def _send_records(ranges: int, splitters: np.ndarray):
         if not docs.num_rows or not answers.num_rows:
             return _message([])
         chunk = docs.column("chunk")[0].as_py()
-        ids, data, offsets = _texts(docs)
+        ids, data, offsets, _, _ = _texts(docs, answers)
         runs = Runs(data, offsets)
         place, value = _fingerprints(runs.gram, ranges)
         wanted, hot = np.zeros(len(place), bool), np.zeros(len(place), bool)
         order = np.argsort(place, kind="stable")
         cuts = np.searchsorted(place[order], np.arange(ranges + 1))
-        for p, blob in zip(answers.column("place").to_pylist(), answers.column("payload").to_pylist(), strict=True):
+        for kind, p, blob in zip(*(answers.column(c).to_pylist() for c in ("kind", "place", "payload")), strict=True):
+            if kind != FINGERPRINTS:
+                continue
             mine, got = order[cuts[p] : cuts[p + 1]], _unpacked(blob)
             ok, at = _member(value[mine], got >> np.uint64(1))
             wanted[mine], hot[mine] = ok, ok & ((got[at] & np.uint64(1)) == 1)
         out = []
         cold = np.flatnonzero(wanted & ~hot)
-        _, first = np.unique(runs.hashes()[cold], return_index=True)
+        _, first = np.unique(runs.hashes[cold], return_index=True)
         cold = cold[np.sort(first)]
-        out.append((runs.start[cold], runs.stop[cold] + LENGTH, runs.anchor[cold], runs.gram[cold], ids[runs.row[cold]], runs.hashes()[cold]))
+        out.append((runs.start[cold], runs.stop[cold] + LENGTH, runs.anchor[cold], ids[runs.row[cold]]))
         which = np.flatnonzero(hot)
         rows = []
         if len(which):
             at, run = runs.windows(which)
-            h = hashed(data, at, at + LENGTH)
-            _, first = np.unique(h, return_index=True)
+            _, first = np.unique(hashed(data, at, at + LENGTH), return_index=True)
             first = np.sort(first)
             at, run = at[first], run[first]
-            out.append((at, at + LENGTH, at, runs.gram[run], ids[runs.row[run]], h[first]))
+            out.append((at, at + LENGTH, at, ids[runs.row[run]]))
             rows.append((chunk % ranges, chunk, HOT_GRAMS, np.unique(runs.gram[which]).tobytes()))
-        start, end, anchor, gram, doc, h = (np.concatenate(c) for c in zip(*out, strict=True))
+        start, end, anchor, doc = (np.concatenate(c) for c in zip(*out, strict=True))
         keys = suffix(data, anchor, LENGTH)
         n_cold = len(cold)
         keys[:n_cold] = keys[:n_cold].astype(f"S{GRAM}").astype(f"S{LENGTH}")
         to = np.searchsorted(splitters, keys, "right")
         order = np.argsort(to, kind="stable")
         head = np.empty(len(order), RECORD)
-        head["hash"], head["gram"], head["id"], head["length"], head["anchor"] = (
-            x[order] for x in (h, gram, doc, (end - start).astype(np.uint8), (anchor - start).astype(np.uint8))
-        )
+        head["id"], head["length"], head["anchor"] = doc[order], (end - start)[order], (anchor - start)[order]
         cuts = np.searchsorted(to[order], np.arange(ranges + 1))
         for r in range(ranges):
             mine = slice(cuts[r], cuts[r + 1])
@@ -272,11 +287,21 @@ def _send_records(ranges: int, splitters: np.ndarray):
     return run
 
 
-def multikey_order(words: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+def _words(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The 8 bytes from each place on as one number that sorts as they do."""
+    out = np.zeros(len(at), np.uint64)
+    for k in range(8):
+        out = (out << np.uint64(8)) | data[at + k]
+    return out
+
+
+def multikey_order(data: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorts the `length`-byte strings at given places: the order, and the number of each string's group of equals.
 
-    Splits by one word of 8 bytes and goes on to the next word only among strings that are equal so far.
+    Splits by one word of 8 bytes and goes on to the next word only among strings that are equal so
+    far. Strings may reach past the end, where zeros stand.
     """
+    data = np.concatenate([data, np.zeros(length + 8, np.uint8)])
     group = np.zeros(len(at), np.int64)
     order = np.arange(len(at))
     open_ = np.ones(len(at), bool)
@@ -284,7 +309,7 @@ def multikey_order(words: np.ndarray, at: np.ndarray, length: int) -> tuple[np.n
         mine = np.flatnonzero(open_)
         if not len(mine):
             break
-        w = words[at[order[mine]] + depth]
+        w = _words(data, at[order[mine]] + depth)
         sub = np.lexsort((w, group[mine]))
         order[mine], w, g = order[mine][sub], w[sub], group[mine][sub]
         new = np.concatenate([[True], (g[1:] != g[:-1]) | (w[1:] != w[:-1])])
@@ -295,15 +320,6 @@ def multikey_order(words: np.ndarray, at: np.ndarray, length: int) -> tuple[np.n
     return order, group
 
 
-def _big_endian(data: np.ndarray) -> np.ndarray:
-    """The 8 bytes from every place on as one number that sorts as they do; zeros past the end."""
-    wide = np.concatenate([data, np.zeros(8, np.uint8)]).astype(np.uint64)
-    out = np.zeros(len(data), np.uint64)
-    for k in range(8):
-        out = (out << np.uint64(8)) | wide[k : k + len(data)]
-    return out
-
-
 def _judge(table: pa.Table) -> pa.Table:
     """For each record of a range the windows whose smallest id over all records is below the record's."""
     rows, heads, texts, source = [], [], [], []
@@ -323,11 +339,11 @@ def _judge(table: pa.Table) -> pa.Table:
     length = head["length"].astype(np.int64)
     begin = np.cumsum(length) - length
     # Equal records first: one for each, with its smallest id.
-    _, one, same = np.unique(head["hash"], return_index=True, return_inverse=True)
+    h = run_hashes(data, begin, begin + length, head["anchor"])
+    _, one, same = np.unique(h, return_index=True, return_inverse=True)
     least = np.full(len(one), LAST)
     np.minimum.at(least, same, head["id"])
-    words = _big_endian(data)
-    order, group = multikey_order(words, begin[one] + head["anchor"][one], GRAM)
+    order, group = multikey_order(data, begin[one] + head["anchor"][one], GRAM)
     _, group = np.unique(group, return_inverse=True)
     alone = np.bincount(group)[group] == 1
     bits = np.zeros(len(head), np.uint64)
@@ -342,7 +358,7 @@ def _judge(table: pa.Table) -> pa.Table:
         n = count[one[which]]
         rec = np.repeat(which, n)
         nth = np.arange(len(rec)) - np.repeat(np.cumsum(n) - n, n)
-        order, group = multikey_order(words, begin[one[rec]] + nth, LENGTH)
+        order, group = multikey_order(data, begin[one[rec]] + nth, LENGTH)
         smallest = np.full(len(rec), LAST)
         np.minimum.at(smallest, group, least[rec[order]])
         low = np.empty(len(rec), np.int64)
@@ -361,7 +377,7 @@ def _judge(table: pa.Table) -> pa.Table:
     for k in range(len(chunks)):
         mine = some[cuts[k] : cuts[k + 1]]
         if len(mine):
-            rows.append((place, chunks[k], BITS, np.stack([head["hash"][mine], bits[mine]], 1).tobytes()))
+            rows.append((place, chunks[k], BITS, np.stack([h[mine], bits[mine]], 1).tobytes()))
     return _message(rows)
 
 
@@ -372,13 +388,13 @@ def _cut(with_text: bool):
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         if not docs.num_rows:
             return pa.table([pa.array([], t) for t in (pa.int64(),) * 4 + (pa.string(), pa.binary())], names=NAMES)
-        ids, data, offsets = _texts(docs)
+        ids, data, offsets, copy, size = _texts(docs, answers)
         runs = Runs(data, offsets)
         found, hot = [], [np.zeros(0, np.uint64)]
         for kind, blob in zip(answers.column("kind").to_pylist(), answers.column("payload").to_pylist(), strict=True):
             if kind == BITS:
                 found.append(np.frombuffer(blob, np.uint64).reshape(-1, 2))
-            else:
+            elif kind == HOT_GRAMS:
                 hot.append(np.frombuffer(blob, np.uint64))
         found = np.concatenate(found) if found else np.zeros((0, 2), np.uint64)
         found = found[np.argsort(found[:, 0], kind="stable")]
@@ -403,25 +419,25 @@ def _cut(with_text: bool):
                 mark(start[hit] + k, start[hit] + k + LENGTH)
 
         cold = np.flatnonzero(~is_hot)
-        judge(runs.start[cold], runs.stop[cold] - runs.start[cold] + 1, runs.row[cold], runs.hashes()[cold])
+        judge(runs.start[cold], runs.stop[cold] - runs.start[cold] + 1, runs.row[cold], runs.hashes[cold])
         which = np.flatnonzero(is_hot)
         if len(which):
             at, run = runs.windows(which)
-            judge(at, np.ones(len(at), np.int64), runs.row[run], hashed(data, at, at + LENGTH))
+            judge(at, np.ones(len(at), np.int64), runs.row[run], run_hashes(data, at, at + LENGTH, np.zeros(len(at), np.int64)))
         gone = np.cumsum(cover[:-1]) > 0
         total = np.concatenate([[0], np.cumsum(gone)])
         _, _, row = spans_of(gone, offsets)
         spans = np.bincount(row, minlength=len(ids))
-        removed = total[offsets[1:]] - total[offsets[:-1]]
+        removed = np.where(copy, size, total[offsets[1:]] - total[offsets[:-1]])
+        spans = np.where(copy, 1, spans)
         raw, sums, keeps = data.tobytes(), [], []
         for k in range(len(ids)):
             a, b = int(offsets[k]), int(offsets[k + 1])
-            left = raw[a:b] if not removed[k] else data[a:b][~gone[a:b]].tobytes()
+            left = raw[a:b] if not removed[k] or copy[k] else data[a:b][~gone[a:b]].tobytes()
             sums.append(hashlib.sha256(left).hexdigest())
             keeps.append(left if with_text else None)
         own = pa.array(ids, mask=ids == LAST)
-        n = np.diff(offsets)
-        return pa.table([own, pa.array(n), pa.array(removed.astype(np.int64)), pa.array(spans.astype(np.int64)), pa.array(sums), pa.array(keeps, pa.binary())], names=NAMES)
+        return pa.table([own, pa.array(size), pa.array(removed.astype(np.int64)), pa.array(spans.astype(np.int64)), pa.array(sums), pa.array(keeps, pa.binary())], names=NAMES)
 
     return run
 
@@ -451,17 +467,31 @@ def splitters(docs: DataFrame, text: str, ranges: int) -> np.ndarray:
 
 def without_repeats(docs: DataFrame, text: str = "text", with_text: bool = True) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the remaining bytes, if asked for)."""
-    ranges = partitions(docs.sparkSession)
+    ranges = RANGES_A_PARTITION * partitions(docs.sparkSession)
+    chunks = F.lit(CHUNKS_A_PARTITION * partitions(docs.sparkSession))
     cuts = splitters(docs, text, ranges)
     rows = docs.select(F.coalesce("doc_id", F.lit(LAST)).alias("id"), F.col(text).alias("text"))
-    rows = rows.withColumn("chunk", F.pmod(F.xxhash64("id"), F.lit(CHUNKS_A_PARTITION * ranges)).cast("int"))
-    sent = rows.groupBy("chunk").applyInArrow(_send_fingerprints(ranges), MESSAGE)
-    answers = sent.groupBy("place").applyInArrow(_repeated, MESSAGE)
+    rows = rows.withColumn("chunk", F.pmod(F.xxhash64("id"), chunks).cast("int"))
+    copies = _copies(rows)
+    sent = rows.groupBy("chunk").cogroup(copies.groupBy("chunk")).applyInArrow(_send_fingerprints(ranges), MESSAGE)
+    answers = sent.groupBy("place").applyInArrow(_repeated, MESSAGE).unionByName(copies)
     records = rows.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_send_records(ranges, cuts), MESSAGE)
-    bits = records.groupBy("place").applyInArrow(_judge, MESSAGE)
+    bits = records.groupBy("place").applyInArrow(_judge, MESSAGE).unionByName(copies)
     return rows.groupBy("chunk").cogroup(bits.groupBy("chunk")).applyInArrow(_cut(with_text), RESULT)
 
 
+def _copies(rows: DataFrame) -> DataFrame:
+    """A message to each chunk for every id of a text that also has a smaller id and no smaller text under its own id."""
+    known = rows.select("id", "chunk", F.sha2("text", 256).alias("sum"))
+    least = known.groupBy("sum").agg(F.min("id").alias("least"))
+    copy = known.join(least, "sum").where("id > least")
+    # An id whose rows hold several texts stays in: its other texts must be compared.
+    several = known.groupBy("id").agg(F.min("sum").alias("x"), F.max("sum").alias("y")).where("x <> y").select("id")
+    copy = copy.join(several, "id", "left_anti").select("id", "chunk").distinct()
+    payload = F.unhex(F.lpad(F.hex("id"), 16, "0"))
+    return kept(copy.select(F.lit(0).alias("place"), "chunk", F.lit(COPY).alias("kind"), payload.alias("payload")))
+
+
 def query(spark: SparkSession, folder: str) -> DataFrame:
     return without_repeats(documents(spark, folder, "doc_id", "text"), with_text=False).drop("kept")
 

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barline.llm.common import documents
-from barline.llm.repeats import _big_endian, multikey_order, suffix
+from barline.llm.repeats import multikey_order, suffix
 
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
@@ -83,7 +83,7 @@ def vocabulary(model_file: str = MODEL_FILE) -> Vocabulary:
 def edges(data: np.ndarray, places: np.ndarray, v: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All occurrences of pieces of two or more characters: first character, one past the last, piece."""
     padded = np.concatenate([data, np.full(v.longest, BETWEEN, np.uint8)])
-    order, _ = multikey_order(_big_endian(padded), places, -(-v.longest // 8) * 8) if len(places) else (np.zeros(0, np.int64), None)
+    order, _ = multikey_order(padded, places, v.longest) if len(places) else (np.zeros(0, np.int64), None)
     ordered = suffix(padded, places[order], v.longest)
     low, high = np.searchsorted(ordered, v.low, "left"), np.searchsorted(ordered, v.high, "right")
     n = high - low
