@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barline.llm.common import bounded_sample, documents
@@ -208,25 +208,25 @@ def fit(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Model | Non
     return Model(w, float(b), table)
 
 
-def score(docs: DataFrame, model: Model | None, text: str = "text", into: str = "quality_score") -> DataFrame:
-    """Adds the probability of a good text."""
+def score_column(model: Model | None, text: str = "text") -> Column:
+    """The probability of a good text."""
     if model is None:
-        return docs.withColumn(into, F.lit(0.0))
+        return F.lit(0.0)
 
     @F.arrow_udf("double")
     def run(texts: pa.Array) -> pa.Array:
         data, offsets = flat(texts)
         return pa.array(np.concatenate([model.score(*statistics(piece, at)) for _, _, piece, at in pieces(data, offsets)] or [np.zeros(0)]))
 
-    return docs.withColumn(into, run(F.col(text)))
+    return run(F.col(text))
 
 
 def accepted(docs: DataFrame, text: str = "text") -> DataFrame:
     """The documents that the classifier keeps; all columns as they are."""
-    return score(docs, fit(docs, text), text, "_quality").where(F.col("_quality") >= LEAST_SCORE).select(docs.columns)
+    return docs.where(score_column(fit(docs, text), text) >= LEAST_SCORE)
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder, "doc_id", "text")
-    rows = score(docs, fit(docs), "text", "score")
+    rows = docs.select("doc_id", score_column(fit(docs)).alias("score"))
     return rows.select("doc_id", "score", (F.col("score") >= LEAST_SCORE).alias("kept"))
