@@ -79,3 +79,22 @@ def event_order(micros, sequence) -> Column:
     two_64 = F.lit(str(2**64)).cast("decimal(38,0)")
     high = _col(micros).cast("decimal(38,0)") * two_64
     return (high + _col(sequence).cast("decimal(38,0)")).cast("decimal(38,0)")
+
+
+# Where the first bar of a length begins that does not divide a day. Weeks open on
+# Mondays; 1970-01-05 was one.
+ORIGIN = {"1w": 4 * 86400}
+
+
+def bar_bounds(interval: str, epoch) -> tuple[Column, Column]:
+    """Unix seconds of the start of the bar that holds a moment, and of the next bar's start.
+
+    Months are calendar months; three-day bars count from 1970-01-01.
+    """
+    t = _col(epoch).cast("bigint")
+    if interval == "1M":
+        month = F.trunc(F.date_from_unix_date(F.floor(t / 86400).cast("int")), "month")
+        return tuple(F.unix_date(d).cast("bigint") * 86400 for d in (month, F.add_months(month, 1)))
+    width = F.lit(INTERVAL_SECONDS[interval]).cast("bigint")
+    start = t - F.pmod(t - F.lit(ORIGIN.get(interval, 0)), width)
+    return start, start + width

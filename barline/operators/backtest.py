@@ -2,24 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from barline.functions.time import epoch_seconds
 from barline.operators.chunks import CHUNK_BARS, first_n, last_n, with_carried, with_chunk
 from barline.operators.indicators import FAST_LENGTH, SLOW_LENGTH, ma_cross_bars
-from barline.schemas import EQUITY_BARS, EQUITY_START, SERIES, SERIES_CAP
+from barline.schemas import EQUITY_START, INTERVAL_SECONDS, SERIES, YEAR_SECONDS, check_limit
 
 
-def total_return(df: DataFrame, cap: int | None = SERIES_CAP, chunk_bars: int = CHUNK_BARS) -> DataFrame:
+def total_return(df: DataFrame, limit: int | None = None, chunk_bars: int = CHUNK_BARS) -> DataFrame:
     """Return from the first to the last close in percent, for every series of at least two bars.
 
-    Takes the earliest `cap` bars, or all with cap=None. NULL if the first close is 0.
+    With `limit`, over the earliest bars of every series. NULL if the first close is 0.
     """
     bars = df.select(*SERIES, "open_time", "close")
-    if cap is not None:
-        bars = first_n(bars, cap, chunk_bars=chunk_bars)
+    if check_limit(limit) is not None:
+        bars = first_n(bars, limit, chunk_bars=chunk_bars)
     ends = bars.groupBy(*SERIES).agg(
         F.min_by("close", "open_time").alias("first_close"),
         F.max_by("close", "open_time").alias("last_close"),
@@ -35,24 +35,41 @@ def total_return(df: DataFrame, cap: int | None = SERIES_CAP, chunk_bars: int =
 
 
 def equity(
-    df: DataFrame, last: int = EQUITY_BARS, start: float = EQUITY_START, chunk_bars: int = CHUNK_BARS
+    df: DataFrame, last: int | None = None, start: float = EQUITY_START, chunk_bars: int = CHUNK_BARS
 ) -> DataFrame:
-    """Value of `start` invested over the latest `last` bars of every series.
+    """Value of `start` invested over every series, or over its latest `last` bars.
 
     The product of close-to-close changes telescopes: the value stays at `start` up to the
     first close that is not 0, follows the close from there, and is 0 for good after a close
-    of 0. The windows see at most `last` bars of a series.
+    of 0. The first close that counts and the latest zero are carried from chunk to chunk.
     """
-    bars = last_n(df.select(*SERIES, "open_time", "close"), last, chunk_bars=chunk_bars)
-    w = W.partitionBy(*SERIES).orderBy("open_time")
-    so_far = w.rowsBetween(W.unboundedPreceding, W.currentRow)
-    bars = bars.withColumn("begin", F.first(F.when(F.col("close") != 0, F.col("close")), ignorenulls=True).over(so_far))
-    lost = F.max(F.when(F.col("begin").isNotNull() & (F.col("close") == 0), 1).otherwise(0)).over(so_far)
-    value = (
-        F.when(F.col("begin").isNull(), F.lit(start))
-        .when(lost == 1, 0.0)
-        .otherwise(F.lit(start) * F.col("close") / F.col("begin"))
+    bars = df.select(*SERIES, "open_time", "close")
+    if check_limit(last) is not None:
+        bars = last_n(bars, last, chunk_bars=chunk_bars)
+    so_far = _chunk().rowsBetween(W.unboundedPreceding, W.currentRow)
+    counts_at = F.when(F.col("close") != 0, F.col("open_time"))
+    zero_at = F.when(F.col("close") == 0, F.col("open_time"))
+    bars = with_chunk(bars, chunk_bars).withColumns(
+        {
+            "begin_here": F.first(F.when(F.col("close") != 0, F.col("close")), ignorenulls=True).over(so_far),
+            "begin_at_here": F.min(counts_at).over(so_far),
+            "zero_here": F.max(zero_at).over(so_far),
+        }
+    )
+    bars = with_carried(
+        bars,
+        SERIES,
+        "chunk",
+        {"first_close": F.min_by("close", counts_at), "first_at": F.min(counts_at), "last_zero": F.max(zero_at)},
+        lambda past, _: {
+            "begin_before": F.first("first_close", ignorenulls=True).over(past),
+            "begin_at_before": F.min("first_at").over(past),
+            "zero_before": F.max("last_zero").over(past),
+        },
     )
+    begin = F.coalesce("begin_before", "begin_here")
+    lost = F.greatest("zero_before", "zero_here") > F.coalesce("begin_at_before", "begin_at_here")
+    value = F.when(begin.isNull(), F.lit(start)).when(lost, 0.0).otherwise(F.lit(start) * F.col("close") / begin)
     return bars.select(*SERIES, "open_time", value.cast("double").alias("value"))
 
 
@@ -60,10 +77,18 @@ def equity_points(curve: DataFrame) -> DataFrame:
     return curve.select(*SERIES, epoch_seconds("open_time").alias("time"), "value")
 
 
-def risk(curve: DataFrame, periods: int = 365, chunk_bars: int = CHUNK_BARS) -> DataFrame:
-    """Deepest fall from a peak in percent, and the Sharpe ratio of the bar returns, per series.
+def bars_a_year() -> Column:
+    """How many bars of a series' interval a year has."""
+    each = {i: 12.0 if i == "1M" else YEAR_SECONDS / n for i, n in INTERVAL_SECONDS.items()}
+    pairs = [F.lit(x) for kv in each.items() for x in kv]
+    return F.try_element_at(F.create_map(*pairs), F.col("interval"))
 
-    `curve` has the series key, open_time and value. `periods` is the number of bars a year.
+
+def risk(curve: DataFrame, periods: int | None = None, chunk_bars: int = CHUNK_BARS) -> DataFrame:
+    """Deepest fall from a peak in percent, and the yearly Sharpe ratio of the bar returns, per series.
+
+    `curve` has the series key, open_time and value. `periods` is the number of bars a year; by
+    default that of the series' interval.
     """
     w = W.partitionBy(*SERIES, "chunk").orderBy("open_time")
     rows = with_chunk(curve.select(*SERIES, "open_time", "value"), chunk_bars)
@@ -100,7 +125,7 @@ def risk(curve: DataFrame, periods: int = 365, chunk_bars: int = CHUNK_BARS) ->
         *SERIES,
         "bars",
         (F.col("fall") * 100).alias("max_drawdown_pct"),
-        (F.try_divide(F.col("mean"), F.col("spread")) * F.sqrt(F.lit(periods))).alias("sharpe"),
+        (F.try_divide(F.col("mean"), F.col("spread")) * F.sqrt(F.lit(periods) if periods else bars_a_year())).alias("sharpe"),
     )
 
 
@@ -207,3 +232,34 @@ def trades(
         F.col("done.close").alias("exit_price"),
         (F.lit(quantity) * (F.col("done.close") - F.col("close"))).alias("pnl"),
     )
+
+
+def metrics(
+    df: DataFrame,
+    fast=FAST_LENGTH,
+    slow=SLOW_LENGTH,
+    capital: float = EQUITY_START,
+    fee_bps: float = 0.0,
+    slippage_bps: float = 0.0,
+    chunk_bars: int = CHUNK_BARS,
+) -> DataFrame:
+    """One row per series: the moving-average strategy's return, risk and trades over all its bars.
+
+    The win rate counts closed trades only and is NULL without one; the Sharpe ratio is NULL while
+    the value never changes.
+    """
+    curve = net_equity(df, fast, slow, capital, fee_bps, slippage_bps, chunk_bars)
+    final = curve.groupBy(*SERIES).agg(F.max_by("value", "open_time").alias("final_value"))
+    final = final.withColumn("total_return_pct", (F.col("final_value") / capital - 1) * 100)
+    closed = F.col("exit_time").isNotNull()
+    done = trades(df, fast, slow, 1.0, chunk_bars).groupBy(*SERIES).agg(
+        F.count(F.lit(1)).alias("trade_count"),
+        F.count_if(closed).alias("closed_count"),
+        F.count_if(closed & (F.col("pnl") > 0)).alias("won"),
+    )
+    rows = risk(curve, chunk_bars=chunk_bars).join(final, SERIES).join(done, SERIES, "left")
+    counts = {c: F.coalesce(c, F.lit(0).cast("bigint")) for c in ("trade_count", "closed_count", "won")}
+    rows = rows.withColumns(counts).withColumn("win_rate_pct", F.try_divide(F.col("won"), F.col("closed_count")) * 100)
+    return rows.select(
+        *SERIES, "bars", "final_value", "total_return_pct", "max_drawdown_pct", "sharpe", "win_rate_pct", "trade_count", "closed_count"
+    )

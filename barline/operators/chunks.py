@@ -29,12 +29,6 @@ from barline.schemas import SERIES
 
 CHUNK_BARS = 65536
 
-# Smallest chunk of a cut at the end of a series, where smaller chunks leave fewer bars to sort.
-EDGE_BARS = 4096
-
-# Rows of a (symbol, interval, number, ...) side that may be sent to every executor: some megabytes.
-BROADCAST_ROWS = 100000
-
 
 def chunk_of(chunk_bars: int = CHUNK_BARS) -> Column:
     """Number of the chunk that holds a bar."""
@@ -78,17 +72,6 @@ def with_carried(df, keys, chunk, summary, *across) -> DataFrame:
     return df.join(carry(df, keys, chunk, summary, *across), [*keys, chunk])
 
 
-def checked_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A side to broadcast if it has at most `rows` rows; else the same side, to be shuffled.
-
-    Meant for summaries with about one short row per series, which the optimizer takes for large
-    because they come from a large table. The check reads at most rows + 1 rows, and a side that
-    passes is not computed again.
-    """
-    few = df.limit(rows + 1).toArrow()
-    return df if few.num_rows > rows else F.broadcast(df.sparkSession.createDataFrame(few, df.schema))
-
-
 def bar_counts(df: DataFrame, keys: list[str] = SERIES) -> DataFrame:
     """Per (series, chunk): the bars in it, in the chunks before it and in those after it."""
     return carry(
@@ -105,26 +88,20 @@ def bar_counts(df: DataFrame, keys: list[str] = SERIES) -> DataFrame:
 
 
 def _edge(df, n, keys, chunk_bars, backward) -> DataFrame:
-    chunk_bars = min(chunk_bars, max(n, EDGE_BARS))
     rows = with_chunk(df, chunk_bars)
-    needed = bar_counts(rows, keys).where(F.col("after" if backward else "before") < n)
-    bounds = needed.groupBy(*keys).agg((F.min if backward else F.max)("chunk").alias("bound"))
-    sent = checked_broadcast(bounds)
-    if sent is bounds:  # too many series: match by chunk, so that a long series stays split
-        rows = rows.join(needed.select(*keys, "chunk"), [*keys, "chunk"], "left_semi")
-    else:
-        inside = F.col("chunk") >= F.col("bound") if backward else F.col("chunk") <= F.col("bound")
-        rows = rows.join(sent, keys).where(inside).drop("bound")
+    ahead = F.col("after" if backward else "before")
+    needed = bar_counts(rows, keys).where(ahead < n).select(*keys, "chunk", ahead.alias("ahead"))
     time = F.desc("open_time") if backward else F.asc("open_time")
-    place = F.row_number().over(W.partitionBy(*keys).orderBy(time))
-    return rows.drop("chunk").withColumn("place", place).where(F.col("place") <= n).drop("place")
+    inside = F.row_number().over(W.partitionBy(*keys, "chunk").orderBy(time))
+    rows = rows.join(needed, [*keys, "chunk"]).withColumn("place", F.col("ahead") + inside)
+    return rows.where(F.col("place") <= n).drop("chunk", "ahead", "place")
 
 
 def first_n(df: DataFrame, n: int, keys: list[str] = SERIES, chunk_bars: int = CHUNK_BARS) -> DataFrame:
     """The n earliest bars of every series.
 
-    Chunks past the n-th bar are dropped first, so the last window sees at most
-    n + chunk_bars bars of a series.
+    A bar's place is the number of bars in the chunks before its own, plus its place there, so a
+    series stays split however large n is. Chunks past the n-th bar are dropped first.
     """
     return _edge(df, n, keys, chunk_bars, backward=False)
 

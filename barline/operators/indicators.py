@@ -7,8 +7,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from barline.functions.time import epoch_seconds
-from barline.operators.chunks import CHUNK_BARS, bar_counts, checked_broadcast, first_n, over_chunks, with_chunk
-from barline.schemas import DEFAULT_LENGTH, SERIES, SERIES_CAP, check_length
+from barline.operators.chunks import CHUNK_BARS, bar_counts, first_n, over_chunks, with_chunk
+from barline.schemas import DEFAULT_LENGTH, SERIES, check_length, check_limit
 
 # The look of the two markers.
 BUY_MARK = {"position": "belowBar", "color": "#0f8b8d", "shape": "arrowUp", "text": "Long"}
@@ -28,42 +28,39 @@ def _mean(column, length, w):
 
 
 def sma(
-    df: DataFrame, length: int = DEFAULT_LENGTH, cap: int | None = SERIES_CAP, chunk_bars: int = CHUNK_BARS
+    df: DataFrame, length: int = DEFAULT_LENGTH, limit: int | None = None, chunk_bars: int = CHUNK_BARS
 ) -> DataFrame:
     """Simple moving average of the close, from the first bar with a full window on.
 
-    Takes the earliest `cap` bars of every series, or all of them with cap=None.
+    With `limit`, only the earliest bars of every series are taken.
     """
     check_length(length)
     bars = df.select(*SERIES, "open_time", "close")
+    if check_limit(limit) is not None:
+        bars = first_n(bars, limit, chunk_bars=chunk_bars)
 
     def steps(bars, w):
         return bars.withColumn("value", _mean("close", length, w))
 
-    if cap is None:
-        bars = over_chunks(bars, length - 1, steps, chunk_bars=chunk_bars)
-    else:
-        w = W.partitionBy(*SERIES).orderBy("open_time")
-        bars = steps(first_n(bars, cap, chunk_bars=chunk_bars).withColumn("pos", F.row_number().over(w)), w)
-    full = bars.where(F.col("value").isNotNull())
+    full = over_chunks(bars, length - 1, steps, chunk_bars=chunk_bars).where(F.col("value").isNotNull())
     return full.select(*SERIES, epoch_seconds("open_time").alias("time"), "value")
 
 
-def signals_thirds(df: DataFrame, cap: int | None = SERIES_CAP, chunk_bars: int = CHUNK_BARS) -> DataFrame:
+def signals_thirds(df: DataFrame, limit: int | None = None, chunk_bars: int = CHUNK_BARS) -> DataFrame:
     """Placeholder markers of every series with at least two bars: Long after a third, Exit after two.
 
     The places follow from the series' length alone, so only the chunks that hold them are read
-    a second time.
+    a second time. With `limit`, the length counts the earliest bars only.
     """
     rows = with_chunk(df.select(*SERIES, "open_time"), chunk_bars)
     n = F.col("before") + F.col("here") + F.col("after")
-    n = n if cap is None else F.least(n, F.lit(cap).cast("bigint"))
+    n = n if check_limit(limit) is None else F.least(n, F.lit(limit).cast("bigint"))
     buy = F.floor(n / 3).cast("bigint")
     exit_ = F.least(F.greatest(buy + 1, F.floor(n * 2 / 3).cast("bigint")), n - 1)
     places = bar_counts(rows).where(n >= 2)
     places = places.select(*SERIES, "chunk", "here", "before", buy.alias("buy_at"), exit_.alias("exit_at"))
     inside = [F.col(c).between(F.col("before"), F.col("before") + F.col("here") - 1) for c in ("buy_at", "exit_at")]
-    places = checked_broadcast(places.where(inside[0] | inside[1]).drop("here"))
+    places = places.where(inside[0] | inside[1]).drop("here")
 
     w = W.partitionBy(*SERIES, "chunk").orderBy("open_time")
     rows = rows.join(places, [*SERIES, "chunk"])

@@ -7,13 +7,10 @@ from pyspark.sql import functions as F
 
 from barline.functions.time import epoch_seconds
 from barline.operators.series import one_series, ordered, time_range
-from barline.schemas import DEFAULT_LIMIT, check_interval, check_legs, check_range
+from barline.schemas import check_interval, check_legs, check_range
 
 PAIR = ["base_symbol", "quote_symbol", "interval"]
 
-# How many ways a symbol's bars are spread when pairs are matched to them.
-SPREAD = 32
-
 
 def ratio_columns() -> list[Column]:
     """Ratio open, high, low, close and the two closes from the columns of both legs.
@@ -34,14 +31,12 @@ def ratio_columns() -> list[Column]:
 
 
 def _leg(df: DataFrame, side: str) -> DataFrame:
-    slot = ["slot"] if "slot" in df.columns else []
     return df.select(
         F.col("symbol").alias(f"{side}_symbol"),
         "interval",
         "open_time",
         F.col("open").alias(f"{side}_open"),
         F.col("close").alias(f"{side}_close"),
-        *slot,
     )
 
 
@@ -57,11 +52,11 @@ def ratio(
     interval: str,
     from_=None,
     to=None,
-    limit: int = DEFAULT_LIMIT,
+    limit: int | None = None,
     order: str = "asc",
     offset=0,
 ) -> DataFrame:
-    """Ratio candles of one pair; bars found on one leg only are left out."""
+    """Ratio candles of one pair, all of them unless a limit is given; bars found on one leg only are left out."""
     check_range(from_, to)
     base, quote = check_legs(base, quote)
     rows = time_range(df.where(F.col("interval") == check_interval(interval)), from_, to, offset)
@@ -73,23 +68,27 @@ def ratio(
     )
 
 
-def ratios(df: DataFrame, pairs: DataFrame, from_=None, to=None, spread: int = SPREAD) -> DataFrame:
+def ratios(df: DataFrame, pairs: DataFrame, from_=None, to=None) -> DataFrame:
     """Ratio candles of every (base_symbol, quote_symbol) row of `pairs`, at every interval.
 
-    A symbol that is in many pairs, or has most of the bars, must not meet the pair list in one
-    task: the list is repeated `spread` times and a bar picks its copy by its time. The join of
-    the legs has the time in its key and needs no such help.
+    The bars of the symbols in use are shuffled once, by interval and time. The quotes of a moment
+    become one map by symbol, pairs are attached to the base bars after that shuffle, and both
+    sides meet on the partitioning they already have: what is shuffled grows with the bars and
+    not with the pairs, and no task holds more of a symbol than its share of the times. (A pair list
+    above Spark's size limit for broadcasts is matched by a shuffle of its own.)
     """
     check_range(from_, to)
-    copies = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(spread - 1).cast("bigint")))
-    slot = F.pmod(F.xxhash64("open_time"), F.lit(spread))
     wanted = pairs.select("base_symbol", "quote_symbol").distinct().where("base_symbol <> quote_symbol")
-    bases = wanted.withColumn("slot", copies)
-    quotes = wanted.select("quote_symbol").distinct().withColumn("slot", copies)
-    bars = time_range(df, from_, to).withColumn("slot", slot)
-    base = _leg(bars, "base").join(bases, ["base_symbol", "slot"]).drop("slot")
-    quote = _quote_leg(bars).join(quotes, ["quote_symbol", "slot"], "left_semi").drop("slot")
-    return base.join(quote, ["quote_symbol", "interval", "open_time"]).select(*PAIR, "open_time", *ratio_columns())
+    symbols = wanted.select(F.explode(F.array("base_symbol", "quote_symbol")).alias("symbol")).distinct()
+    bars = time_range(df.select("symbol", "interval", "open_time", "open", "close"), from_, to)
+    bars = bars.join(symbols, "symbol", "left_semi").repartition("interval", "open_time")
+    quote = F.struct(F.col("quote_open"), F.col("quote_close"))
+    quotes = _quote_leg(bars).groupBy("interval", "open_time")
+    quotes = quotes.agg(F.map_from_entries(F.collect_list(F.struct("quote_symbol", quote.alias("q")))).alias("quotes"))
+    base = _leg(bars, "base").join(wanted, "base_symbol")
+    both = base.join(quotes, ["interval", "open_time"])
+    both = both.withColumn("q", F.try_element_at("quotes", F.col("quote_symbol"))).where(F.col("q").isNotNull())
+    return both.select("*", "q.*").select(*PAIR, "open_time", *ratio_columns())
 
 
 def ratio_change(ratio_bars: DataFrame) -> DataFrame:
@@ -101,3 +100,8 @@ def ratio_change(ratio_bars: DataFrame) -> DataFrame:
     )
     change = F.try_divide(F.col("last_close") - F.col("first_open"), F.col("first_open")) * 100
     return ends.withColumn("change_pct", change)
+
+
+def ratio_lookback(df: DataFrame, base: str, quote: str, interval: str, days: int | None, as_of: int) -> DataFrame:
+    """Ratio candles of one pair in the last `days` days before `as_of` (Unix seconds); None: all before it."""
+    return ratio(df, base, quote, interval, None if days is None else as_of - days * 86400, as_of)

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barline.functions.text import split_symbol
 from barline.functions.time import epoch_seconds, ntz_literal
 from barline.operators.chunks import CHUNK_BARS, first_n
 from barline.schemas import (
-    DEFAULT_LIMIT,
     ORDERS,
     SERIES,
     SERVED,
@@ -20,11 +19,6 @@ from barline.schemas import (
     check_symbol,
 )
 
-# A look-back of at least this many days is "everything", with the larger cap.
-ALL_DAYS = 3650
-LOOKBACK_CAP = 1000
-ALL_CAP = 5000
-
 
 def one_series(df: DataFrame, symbol: str, interval: str) -> DataFrame:
     return df.where(
@@ -59,10 +53,10 @@ def select_fields(df: DataFrame, fields: str | None) -> DataFrame:
     return df.select(*[c for c in SERVED if not wanted or c in wanted])
 
 
-def ordered(df: DataFrame, order: str, limit: int, column="open_time") -> DataFrame:
+def ordered(df: DataFrame, order: str, limit: int | None = None, column="open_time") -> DataFrame:
     check_choice("order", order, ORDERS)
-    by = F.asc(column) if order == "asc" else F.desc(column)
-    return df.orderBy(by).limit(check_limit(limit))
+    rows = df.orderBy(F.asc(column) if order == "asc" else F.desc(column))
+    return rows if check_limit(limit) is None else rows.limit(limit)
 
 
 def series(
@@ -71,12 +65,12 @@ def series(
     interval: str,
     from_=None,
     to=None,
-    limit: int = DEFAULT_LIMIT,
+    limit: int | None = None,
     order: str = "asc",
     fields: str | None = None,
     offset=0,
 ) -> DataFrame:
-    """Served candles of one series in a time range, ordered and limited."""
+    """Served candles of one series in a time range, in order; all of them unless a limit is given."""
     check_range(from_, to)
     rows = time_range(one_series(df, symbol, interval), from_, to, offset)
     return select_fields(served_candle(ordered(rows, order, limit), offset), fields)
@@ -91,9 +85,9 @@ def multi_series(df: DataFrame, symbols: list[str], interval: str, from_=None, t
 
 
 def page_after(
-    df: DataFrame, symbol: str, interval: str, after: int | None = None, limit=DEFAULT_LIMIT, order="asc"
+    df: DataFrame, symbol: str, interval: str, limit: int, after: int | None = None, order="asc"
 ) -> DataFrame:
-    """The next page of one series: bars past the last time of the page before."""
+    """The next page of `limit` bars of one series: those past the last time of the page before."""
     check_choice("order", order, ORDERS)
     rows = one_series(df, symbol, interval)
     if after is not None:
@@ -102,15 +96,15 @@ def page_after(
     return served_candle(ordered(rows, order, limit))
 
 
-def lookback(df: DataFrame, days: int, as_of: int, chunk_bars: int = CHUNK_BARS) -> DataFrame:
-    """Every series' bars in the last `days` days before `as_of` (Unix seconds).
+def lookback(
+    df: DataFrame, days: int | None, as_of: int, limit: int | None = None, chunk_bars: int = CHUNK_BARS
+) -> DataFrame:
+    """Every series' bars in the last `days` days before `as_of` (Unix seconds); None: all before it.
 
-    From 3650 days on there is no lower bound. The earliest 1000 bars of the range are kept
-    per series, or 5000 without a lower bound.
+    With `limit`, the earliest bars of the range are kept per series.
     """
-    everything = days >= ALL_DAYS
-    rows = time_range(df, None if everything else as_of - days * 86400, as_of)
-    return first_n(rows, ALL_CAP if everything else LOOKBACK_CAP, chunk_bars=chunk_bars)
+    rows = time_range(df, None if days is None else as_of - days * 86400, as_of)
+    return rows if check_limit(limit) is None else first_n(rows, limit, chunk_bars=chunk_bars)
 
 
 def series_exists(df: DataFrame, symbol: str, interval: str) -> DataFrame:
@@ -135,10 +129,14 @@ def direction(df: DataFrame) -> DataFrame:
     return df.withColumn("direction", F.when(F.col("close") >= F.col("open"), "up").otherwise("down"))
 
 
+def change_pct() -> Column:
+    """Change of a bar from open to close in percent; NULL if the open is 0."""
+    return F.try_divide(F.col("close") - F.col("open"), F.col("open")) * 100
+
+
 def session_change(df: DataFrame) -> DataFrame:
     """Change from open to close of every series' latest bar in percent; NULL if the open is 0."""
-    change = F.try_divide(F.col("close") - F.col("open"), F.col("open")) * 100
-    return latest(df.select(*SERIES, "open_time", "open", "close")).withColumn("change_pct", change)
+    return latest(df.select(*SERIES, "open_time", "open", "close")).withColumn("change_pct", change_pct())
 
 
 def with_assets(df: DataFrame) -> DataFrame:

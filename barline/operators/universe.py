@@ -12,6 +12,9 @@ from barline.schemas import BATCH_SIZE, BORROWABLE_MODES, MARGIN_MODES, check_ch
 # popular quote asset is shared by a large part of the universe.
 SPREAD = 16
 
+# Lengths of the beginnings by which symbols are ranked. There are at most some thousands of the first.
+PREFIXES = (2, 6, 12)
+
 
 def configured_universe(requested: DataFrame) -> DataFrame:
     """Universe rows for a plain list of symbols (column `symbol`, any other column is kept)."""
@@ -24,6 +27,8 @@ def configured_universe(requested: DataFrame) -> DataFrame:
         "permissions": F.array().cast("array<string>"),
         "is_margin_trading_allowed": F.lit(False),
     }
+    if "position" not in requested.columns:
+        fixed["position"] = F.lit(None).cast("bigint")
     return requested.withColumns(fixed)
 
 
@@ -51,32 +56,57 @@ def _mark(df: DataFrame, key: str, members: DataFrame | None, name: str, spread_
     return marked.withColumn(name, F.coalesce(name, F.lit(False))).drop("_member", "_slot", "_copy")
 
 
-def margin_ok(df, margin="none", cross=None, isolated=None, name="margin_ok") -> DataFrame:
-    """Adds a flag: may the symbol be traded on cross margin, isolated margin, or either."""
+def with_margin(df: DataFrame, cross: DataFrame | None = None, isolated: DataFrame | None = None) -> DataFrame:
+    """Adds the flags `on_cross` and `on_isolated`, each list matched once."""
+    df = _mark(_mark(df, "symbol", cross, "on_cross"), "symbol", isolated, "on_isolated")
+    allowed = F.col("is_margin_trading_allowed") | F.array_contains("permissions", "MARGIN")
+    return df.withColumn("on_cross", allowed | F.col("on_cross"))
+
+
+def margin_rule(mode: str = "none") -> Column:
+    """May the symbol be traded on cross margin, isolated margin, or either; of rows from `with_margin`."""
+    check_choice("margin", mode, MARGIN_MODES)
+    cross, isolated = F.col("on_cross"), F.col("on_isolated")
+    return {"none": F.lit(True), "cross": cross, "isolated": isolated, "any": cross | isolated}[mode]
+
+
+def with_borrowable(df: DataFrame, assets: DataFrame | None, sides=("base", "quote")) -> DataFrame:
+    """Adds the flags `base_borrowable` and `quote_borrowable`: is the asset in the list."""
+    for side in ("base", "quote"):
+        listed = assets if side in sides else None
+        df = _mark(df, f"{side}_asset", listed, f"{side}_borrowable", spread_by="symbol")
+    return df
+
+
+def borrowable_rule(mode: str | None = None) -> Column:
+    """Can the base asset, the quote asset, both or any of them be borrowed; of rows from `with_borrowable`."""
+    if mode is None:
+        return F.lit(True)
+    check_choice("require_borrowable", mode, BORROWABLE_MODES)
+    base, quote = F.col("base_borrowable"), F.col("quote_borrowable")
+    return {"base": base, "quote": quote, "both": base & quote, "any": base | quote}[mode]
+
+
+_FLAGS = ["on_cross", "on_isolated", "base_borrowable", "quote_borrowable"]
+
+
+def _marked(df, margin, cross, isolated, require, assets) -> DataFrame:
+    """Rows with margin_ok and borrowable_ok; only the lists that the modes need are matched."""
     check_choice("margin", margin, MARGIN_MODES)
-    if margin == "none":
-        return df.withColumn(name, F.lit(True))
-    wanted: Column = F.lit(False)
-    if margin in ("cross", "any"):
-        df = _mark(df, "symbol", cross, "_cross")
-        wanted = F.col("is_margin_trading_allowed") | F.array_contains("permissions", "MARGIN") | F.col("_cross")
-    if margin in ("isolated", "any"):
-        df = _mark(df, "symbol", isolated, "_isolated")
-        wanted = wanted | F.col("_isolated")
-    return df.withColumn(name, wanted).drop("_cross", "_isolated")
-
-
-def borrowable_ok(df, require=None, assets=None, name="borrowable_ok") -> DataFrame:
-    """Adds a flag: can the base asset, the quote asset, both or any of them be borrowed."""
-    if require is None:
-        return df.withColumn(name, F.lit(True))
-    check_choice("require_borrowable", require, BORROWABLE_MODES)
-    sides = ["base", "quote"] if require in ("both", "any") else [require]
-    for side in sides:
-        df = _mark(df, f"{side}_asset", assets, f"_{side}", spread_by="symbol")
-    flags = [F.col(f"_{side}") for side in sides]
-    wanted = flags[0] if len(flags) == 1 else (flags[0] & flags[1] if require == "both" else flags[0] | flags[1])
-    return df.withColumn(name, wanted).drop("_base", "_quote")
+    df = with_margin(df, cross if margin in ("cross", "any") else None, isolated if margin in ("isolated", "any") else None)
+    sides = ("base", "quote") if require in ("both", "any") else (require,)
+    df = with_borrowable(df, assets, sides)
+    return df.withColumns({"margin_ok": margin_rule(margin), "borrowable_ok": borrowable_rule(require)}).drop(*_FLAGS)
+
+
+def margin_ok(df, margin="none", cross=None, isolated=None) -> DataFrame:
+    """Adds margin_ok: may the symbol be traded on cross margin, isolated margin, or either."""
+    return _marked(df, margin, cross, isolated, None, None).drop("borrowable_ok")
+
+
+def borrowable_ok(df, require=None, assets=None) -> DataFrame:
+    """Adds borrowable_ok: can the base asset, the quote asset, both or any of them be borrowed."""
+    return _marked(df, "none", None, None, require, assets).drop("margin_ok")
 
 
 def tradable_symbols(
@@ -95,15 +125,14 @@ def tradable_symbols(
         rows = rows.where(F.col("quote_asset") == quote_asset.upper())
     if require_market_order:
         rows = rows.where(F.array_contains("order_types", "MARKET"))
-    rows = margin_ok(rows, margin, cross, isolated).where("margin_ok")
-    rows = borrowable_ok(rows, require_borrowable, borrowable).where("borrowable_ok")
-    return rows.drop("margin_ok", "borrowable_ok").orderBy("symbol")
+    rows = _marked(rows, margin, cross, isolated, require_borrowable, borrowable)
+    return rows.where(F.col("margin_ok") & F.col("borrowable_ok")).drop("margin_ok", "borrowable_ok").orderBy("symbol")
 
 
 def last_per_symbol(universe: DataFrame) -> DataFrame:
-    """One row per symbol, the last by `position` where the universe has one."""
+    """One row per symbol, the last by `position`, which tells the order of the exchange's list."""
     if "position" not in universe.columns:
-        return universe
+        raise ValueError("the universe needs its position column")
     rest = [c for c in universe.columns if c not in ("symbol", "position")]
     return universe.groupBy("symbol").agg(*[F.max_by(c, "position").alias(c) for c in rest])
 
@@ -121,8 +150,7 @@ def check_symbols(
 
     Repeated requests stay, and so do other columns of `requested`, such as its order.
     """
-    known = margin_ok(last_per_symbol(universe), margin, cross, isolated)
-    known = borrowable_ok(known, require_borrowable, borrowable)
+    known = _marked(last_per_symbol(universe), margin, cross, isolated, require_borrowable, borrowable)
     known = known.select("symbol", "status", "base_asset", "quote_asset", "margin_ok", "borrowable_ok")
     verdict = (
         F.when(F.col("status").isNull(), "missing")
@@ -155,21 +183,30 @@ def universe_listing(df: DataFrame) -> DataFrame:
     return df.select(F.concat_ws(",", "symbol", "base_asset", "quote_asset", "status").alias("value"))
 
 
-def ranked(symbols: DataFrame, prefix: int = 4) -> DataFrame:
+def ranked(symbols: DataFrame, prefixes: tuple[int, ...] = PREFIXES) -> DataFrame:
     """Adds `place`, the 0-based place of a symbol in name order.
 
-    Symbols are counted by their first letters, the counts are added up over the prefixes, and
-    the rest of the ranking happens inside one prefix; the whole list never meets in one task.
-    A list has one row per symbol however many candles there are; `prefix` should be long
-    enough that one prefix has a moderate number of them.
+    Symbols are counted by ever longer beginnings. A beginning's place is that of the shorter one it
+    extends, plus the counts of its smaller siblings, so a window holds the siblings of one beginning only
+    and a common beginning is split further, never ranked in one task.
     """
-    rows = symbols.withColumn("_prefix", F.substring("symbol", 1, prefix))
-    counts = rows.groupBy("_prefix").agg(F.count(F.lit(1)).alias("_n"))
-    w = W.orderBy("_prefix").rowsBetween(W.unboundedPreceding, W.currentRow - 1)
-    before = counts.select("_prefix", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_before"))
-    inside = F.row_number().over(W.partitionBy("_prefix").orderBy("symbol"))
-    placed = rows.join(before, "_prefix").withColumn("place", F.col("_before") + inside - 1)
-    return placed.drop("_prefix", "_before")
+    levels = [F.substring("symbol", 1, n).alias(f"_p{n}") for n in prefixes]
+    rows = symbols.select("*", *levels)
+    names = [f"_p{n}" for n in prefixes]
+    counts = rows.groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
+    found = None
+    for k, name in enumerate(names):
+        level = counts.groupBy(*names[: k + 1]).agg(F.sum("_n").alias("_n"))
+        # The shortest beginnings have no parent; there are few of them, however many symbols.
+        siblings = W.partitionBy(*names[:k]) if k else W.partitionBy()
+        smaller = F.sum("_n").over(siblings.orderBy(name).rowsBetween(W.unboundedPreceding, W.currentRow - 1))
+        level = level.select(*names[: k + 1], F.coalesce(smaller, F.lit(0)).alias("_smaller"))
+        if found is not None:
+            level = level.join(found, names[:k]).withColumn("_smaller", F.col("_smaller") + F.col("_before"))
+        found = level.select(*names[: k + 1], F.col("_smaller").alias("_before"))
+    inside = F.row_number().over(W.partitionBy(*names).orderBy("symbol"))
+    placed = rows.join(found, names).withColumn("place", F.col("_before") + inside - 1)
+    return placed.drop("_before", *names)
 
 
 def with_batch(symbols: DataFrame, size: int = BATCH_SIZE, place: str | None = None) -> DataFrame:

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from itertools import permutations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +11,6 @@ from barline.operators.universe import eligible_keys
 from barline.schemas import INTERVAL_SECONDS
 from barline.streaming.ticks import candles_from_ticks
 
-EVENT_TYPES = ["CLICK", "ERROR", "PURCHASE", "SIGNUP", "VIEW"]
 GAP_START, GAP_END = "2023-12-15", "2024-03-31"
 BASE_URL = "https://archive.example.test"
 LANDING = "/landing"
@@ -34,8 +31,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder below the cluster's shared checkpoint folder; a local one only where none is set."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="barline-")
+    """A new folder below the cluster's shared checkpoint folder, or below the warehouse where none is set."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
@@ -49,10 +46,12 @@ def candles(spark: SparkSession, folder: str, *intervals: str) -> DataFrame:
 
 def candles_sql(*intervals: str) -> str:
     rows = ", ".join(f"('{i}', {INTERVAL_SECONDS[i]}::bigint)" for i in intervals)
+    floor = "make_timestamp(epoch_us(ts) // (secs * 1000000) * secs * 1000000)"
+    step = "to_microseconds(secs * 1000000)"
+    start = f"case iv when '1w' then date_trunc('week', ts)::timestamp when '1M' then date_trunc('month', ts)::timestamp else {floor} end"
     return f"""candles as (
-  select upper(event_type) as symbol, iv as "interval",
-         make_timestamp(epoch_us(ts) // (secs * 1000000) * secs * 1000000) as open_time,
-         make_timestamp((epoch_us(ts) // (secs * 1000000) + 1) * secs * 1000000 - 1000) as close_time,
+  select upper(event_type) as symbol, iv as "interval", {start} as open_time,
+         {start} + case iv when '1M' then interval 1 month else {step} end - interval 1 millisecond as close_time,
          arg_min(value, ts) as open, max(value) as high, min(value) as low, arg_max(value, ts) as close,
          sum(value) as volume, cast(count(*) as bigint) as number_of_trades
   from events cross join (values {rows}) w(iv, secs)
@@ -85,6 +84,7 @@ def user_universe(spark, folder) -> DataFrame:
         F.array(F.lit("MARKET")).alias("order_types"),
         F.array(F.lit("SPOT")).alias("permissions"),
         F.lit(False).alias("is_margin_trading_allowed"),
+        F.lit(0).cast("bigint").alias("position"),
     )
 
 
@@ -102,16 +102,32 @@ months as (
   having count(*) = day(last_day(cast(date_trunc('month', min(d)) as date))))"""
 
 
-def pairs(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(permutations(EVENT_TYPES, 2)), "base_symbol string, quote_symbol string")
+def pairs(spark: SparkSession, folder: str) -> DataFrame:
+    """A pair list from the events: every symbol against the next one by name and the reverse, and against the one after."""
+    types = table(spark, folder, "events").select(F.upper("event_type").alias("s"))
+    names = types.agg(F.array_sort(F.collect_set("s")).alias("s"))
+    place = F.explode(F.sequence(F.lit(1), F.size("s")))
+    rows = names.select("s", place.alias("k"))
+    near, far = F.try_element_at("s", F.col("k") + 1), F.try_element_at("s", F.col("k") + 2)
+    one = F.try_element_at("s", F.col("k"))
+    legs = F.explode(F.array(*[F.struct(b.alias("base_symbol"), q.alias("quote_symbol")) for b, q in ((one, near), (near, one), (one, far))]))
+    return rows.select(legs.alias("p")).select("p.*").where("base_symbol is not null and quote_symbol is not null")
 
 
-RATIO_SQL = """ratio as (
+PAIRS_SQL = """names as (
+  select s, row_number() over (order by s) as k from (select distinct upper(event_type) as s from events)),
+pairs as (
+  select a.s as base_symbol, b.s as quote_symbol from names a join names b on b.k - a.k in (1, 2, -1))"""
+
+
+RATIO_SQL = PAIRS_SQL + """,
+ratio as (
   select b.symbol as base_symbol, q.symbol as quote_symbol, b."interval" as "interval", b.open_time,
          b.open / q.open as open, b.close / q.close as close, b.close as base_close, q.close as quote_close
   from candles b join candles q
     on b.open_time = q.open_time and b."interval" = q."interval" and b.symbol <> q.symbol
-  where q.open <> 0 and q.close <> 0)"""
+  where exists (select 1 from pairs p where p.base_symbol = b.symbol and p.quote_symbol = q.symbol)
+    and q.open <> 0 and q.close <> 0)"""
 
 
 def universe(spark: SparkSession, folder: str) -> DataFrame:

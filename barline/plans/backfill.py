@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from barline.functions.sql import register_gap_function
 from barline.functions.text import url_to_path as landing_path
 from barline.operators import backfill, gaps, runs, universe
 from barline.plans import query
@@ -18,7 +19,7 @@ from barline.plans.adapters import (
     user_universe,
     users,
 )
-from barline.schemas import BackfillConfig
+from barline.schemas import Backfill, UniverseFilter
 
 DAILY_URL = f"'{BASE_URL}/data/spot/daily/klines/' || symbol || '/1d/' || symbol || '-1d-' || strftime(d, '%Y-%m-%d') || '.zip'"
 MONTHLY_URL = f"'{BASE_URL}/data/spot/monthly/klines/' || symbol || '/1d/' || symbol || '-1d-' || strftime(m, '%Y-%m') || '.zip'"
@@ -79,12 +80,22 @@ def url_to_path(spark, folder):
     return _sent(spark, folder).select("page_id", landing_path("url", LANDING).alias("path"))
 
 
+LOG_SQL = """log as (
+  select user_id % 10 as batch, event_type as e, event_id % 2 = 0 as ok from events),
+batches as (
+  select batch, cast(count(*) as bigint) as url_count,
+    cast(count(*) filter (e = 'click' or (e = 'purchase' and ok)) as bigint) as downloaded,
+    cast(count(*) filter (e = 'view') as bigint) as skipped,
+    cast(count(*) filter (e = 'signup') as bigint) as missing_remote,
+    cast(count(*) filter (e = 'error' or (e = 'purchase' and not ok)) as bigint) as failed
+  from log group by 1)"""
+
+
 def _landed(spark, folder):
-    """Planned daily archives, and a listing that already holds those of the days before February."""
-    planned = gaps.planned_files(
-        user_days(spark, folder), users(spark, folder), GAP_START, GAP_END, "daily", BASE_URL
-    )
-    here = planned.where(F.col("day") < F.lit("2024-02-01").cast("date"))
+    """Planned daily archives, and a listing that holds those of every day before February."""
+    series = users(spark, folder)
+    planned = gaps.planned_files(user_days(spark, folder), series, GAP_START, GAP_END, "daily", BASE_URL)
+    here = gaps.file_keys(gaps.expected_days(series, GAP_START, "2024-01-31"), "daily", BASE_URL)
     return planned, here.select(landing_path("url", LANDING).alias("path"))
 
 
@@ -110,6 +121,11 @@ def plan_counts(spark, folder):
     return runs.plan_counts(keys, universe.with_batch(series.select("symbol")))
 
 
+MONTHLY_JOB = Backfill(
+    "1d", GAP_START, GAP_END, LANDING, freq="monthly", universe=UniverseFilter(quote_asset="usdt", market_orders=True)
+)
+
+
 @query(f"""with {GAPS_SQL},
 trading as (select 'U' || user_id as symbol from events group by user_id having bool_or(event_type = 'purchase')),
 placed as (select symbol, (row_number() over (order by symbol) - 1) // 25 as batch from trading),
@@ -119,15 +135,46 @@ select cast(batch as bigint) as batch, cast(count(*) as bigint) as symbols,
 from placed left join counts using (symbol) group by 1""")
 def backfill_dry_run(spark, folder):
     """Monthly files per batch that a run over the tradable universe would fetch."""
-    config = BackfillConfig(
-        interval="1d", start_date=GAP_START, end_date=GAP_END, destination_dir=LANDING,
-        symbol_source="tradable", quote_asset="usdt", require_market_order=True, missing_frequency="monthly",
-    )
-    symbols = backfill.resolve_symbols(spark, config, user_universe(spark, folder))
-    files = backfill.plan_files(config, user_days(spark, folder), symbols, BASE_URL)
+    symbols = backfill.resolve_symbols(spark, MONTHLY_JOB, user_universe(spark, folder))
+    files = backfill.all_files(MONTHLY_JOB, user_days(spark, folder), symbols, BASE_URL)
     return backfill.dry_run(files, symbols)
 
 
+@query(f"""with {GAPS_SQL}
+select 'kept' as mode, symbol, '{LANDING}' || replace({DAILY_URL}, '{BASE_URL}/data', '') as path from missing where d >= date '2024-02-01'
+union all select 'forced', symbol, '{LANDING}' || replace({DAILY_URL}, '{BASE_URL}/data', '') from missing""")
+def forced_plan(spark, folder):
+    """Files of a run over listed users: without those that landed, and forced to fetch them again."""
+    _, landed = _landed(spark, folder)
+    symbols, days = users(spark, folder).select("symbol"), user_days(spark, folder)
+    job = Backfill("1d", GAP_START, GAP_END, LANDING, universe=UniverseFilter())
+    plans = [
+        backfill.plan_files(job, days, symbols, BASE_URL, landed, force).select(F.lit(mode).alias("mode"), "symbol", "path")
+        for mode, force in (("kept", False), ("forced", True))
+    ]
+    return plans[0].unionAll(plans[1])
+
+
+@query(f"""with {GAPS_SQL}, {LOG_SQL},
+judged as (select *, case when failed > 0 then 'complete_with_errors' else 'complete' end as status from batches),
+loaded as (select user_id % 10 as batch, count(distinct user_id) as n from events where event_type = 'click' group by 1)
+select '1d' as "interval", '{GAP_START}' as first_day, 'universe' as source, (select count(*) from users) as symbol_count,
+  cast(sum(url_count) as bigint) as url_count, cast(sum(failed) as bigint) as failed, 'complete_with_errors' as status,
+  cast(count(*) as bigint) as batches, cast(sum(n) as bigint) as inserted
+from judged left join loaded using (batch)""")
+def run_record(spark, folder):
+    """The record of a run: what was asked, its symbols and totals, and the files that each batch loaded."""
+    batches = runs.batch_status(runs.outcome_counts(_log(spark, folder)), continue_on_error=True)
+    clicks = table(spark, folder, "events").where("event_type = 'click'").select("user_id").distinct()
+    inserted = clicks.select((F.col("user_id") % 10).alias("batch"), F.concat(F.lit("u"), "user_id").alias("path"))
+    record = backfill.run_record(MONTHLY_JOB, users(spark, folder), batches, inserted)
+    files = F.aggregate("batches", F.lit(0).cast("bigint"), lambda n, b: n + F.size(b.inserted))
+    return record.select(
+        "interval", "first_day", "source", "symbol_count", "url_count", "failed", "status",
+        F.size("batches").cast("bigint").alias("batches"), files.alias("inserted"),
+    )
+
+
 def _log(spark, folder):
     e = F.col("event_type")
     result = (
@@ -142,17 +189,6 @@ def _log(spark, folder):
     )
 
 
-LOG_SQL = """log as (
-  select user_id % 10 as batch, event_type as e, event_id % 2 = 0 as ok from events),
-batches as (
-  select batch, cast(count(*) as bigint) as url_count,
-    cast(count(*) filter (e = 'click' or (e = 'purchase' and ok)) as bigint) as downloaded,
-    cast(count(*) filter (e = 'view') as bigint) as skipped,
-    cast(count(*) filter (e = 'signup') as bigint) as missing_remote,
-    cast(count(*) filter (e = 'error' or (e = 'purchase' and not ok)) as bigint) as failed
-  from log group by 1)"""
-
-
 @query(f"""with {LOG_SQL}
 select *, case when failed > 0 then 'complete_with_errors' else 'complete' end as status from batches""")
 def fetch_outcomes(spark, folder):
@@ -241,3 +277,24 @@ def order_blotter(spark, folder):
         "o_orderkey", F.col("o_custkey").alias("account_id"), F.col("o_orderpriority").alias("symbol"), "o_totalprice"
     )
     return runs.order_blotter(orders, symbol="1-urgent")
+
+
+@query("""select o_orderkey, o_custkey as account_id, o_orderpriority as symbol, o_totalprice
+from orders where o_custkey = 7""")
+def account_blotter(spark, folder):
+    """Orders of one account, all symbols."""
+    orders = table(spark, folder, "orders").select(
+        "o_orderkey", F.col("o_custkey").alias("account_id"), F.col("o_orderpriority").alias("symbol"), "o_totalprice"
+    )
+    return runs.order_blotter(orders, account_id=7)
+
+
+@query(f"""with {GAPS_SQL}
+select strftime(d, '%Y-%m-%d') as day from missing where symbol = 'U7'""")
+def sql_missing_days(spark, folder):
+    """Days of one series without a bar, by the SQL function."""
+    user_days(spark, folder).createOrReplaceTempView("barline_days")
+    register_gap_function(spark, "barline_days")
+    return spark.sql(
+        f"select date_format(d, 'yyyy-MM-dd') as day from missing_days('U7', '1d', date'{GAP_START}', date'{GAP_END}')"
+    )

@@ -11,16 +11,17 @@ from pyspark.sql import functions as F
 from barline.functions.time import epoch_micros, epoch_seconds, epoch_to_ntz
 from barline.operators.quality import require_valid
 from barline.plans import query
-from barline.plans.adapters import SCHEMAS, candles, candles_sql, scratch
-from barline.plans.market import FULL_SQL, full
-from barline.schemas import RAW
-from barline.sources.candles import append_candles, read_candles, write_candles
-from barline.sources.klines import parse_lines, read_klines, to_candles, unzip, with_path_keys
+from barline.plans.adapters import SCHEMAS, candles, candles_sql, scratch, table
+from barline.plans.market import FULL_SQL, TIME_SQL, full
+from barline.schemas import CANDLE, RAW
+from barline.sources import klines
+from barline.sources.candles import append_candles, compact_candles, read_candles, write_candles
+from barline.sources.klines import file_lines, parse_lines, read_klines, to_candles, unzip, with_path_keys
 from barline.streaming.loads import stream_load
-from barline.streaming.ticks import stream_candles
+from barline.streaming.ticks import open_candles, stream_candles
 
 
-def _raw(bars):
+def _raw(bars, *more):
     """Candles as raw kline rows, even hours in milliseconds and odd ones in microseconds."""
     unit = F.when(F.floor(epoch_seconds() / 3600) % 2 == 0, 1000).otherwise(1)
     raw = bars.withColumns(
@@ -30,7 +31,7 @@ def _raw(bars):
             "ignore": F.lit(0.0),
         }
     )
-    return raw.select("symbol", "interval", *RAW.fieldNames())
+    return raw.select("symbol", "interval", *RAW.fieldNames(), *more)
 
 
 def _write_raw(bars, folder):
@@ -38,8 +39,8 @@ def _write_raw(bars, folder):
     _raw(bars).write.partitionBy("symbol", "interval").mode("append").csv(f"{folder}/daily/klines")
 
 
-def _archives(bars):
-    """(path, content) of archives with one day of one series each."""
+def _packed(files):
+    """(path, content) of archives with one text each."""
 
     def pack(batches):
         for batch in batches:
@@ -51,12 +52,16 @@ def _archives(bars):
                 contents.append(archive.getvalue())
             yield pd.DataFrame({"path": batch["path"], "content": contents})
 
+    path = F.format_string("/landing/spot/daily/klines/%s/%s/%s.zip", "symbol", "interval", "day")
+    return files.select(path.alias("path"), "text").mapInPandas(pack, "path string, content binary")
+
+
+def _archives(bars):
+    """Archives with one day of one series each."""
     line = F.to_csv(F.struct(*RAW.fieldNames()))
     day = F.date_format(epoch_to_ntz("open_time"), "yyyy-MM-dd")
     lines = _raw(bars).select("symbol", "interval", day.alias("day"), line.alias("line"))
-    texts = lines.groupBy("symbol", "interval", "day").agg(F.array_join(F.collect_list("line"), "\n").alias("text"))
-    path = F.format_string("/landing/spot/daily/klines/%s/%s/%s.zip", "symbol", "interval", "day")
-    return texts.select(path.alias("path"), "text").mapInPandas(pack, "path string, content binary")
+    return _packed(lines.groupBy("symbol", "interval", "day").agg(F.array_join(F.collect_list("line"), "\n").alias("text")))
 
 
 def _plain_keys(rows):
@@ -107,18 +112,17 @@ def stream_load_twice(spark, folder):
     return full(read_candles(spark, f"{base}/table"))
 
 
-@query(f"""with {candles_sql("1h")}
-select symbol, cast(epoch_us(open_time) // 1000000 as bigint) as time, open, high, low, close,
-  round(volume, 6) as volume, number_of_trades
-from candles where open_time + interval 1 hour <= (
-  select make_timestamp(epoch_us(max(ts)) // 1000 * 1000) - interval 1 hour from events)""")
+@query(LOADED_SQL)
 def streamed_candles(spark, folder):
-    """Hourly candles from a stream of ticks: the bars that the watermark has closed."""
+    """Hourly candle rows from a stream of ticks: those the watermark has closed, and the open ones after the run."""
     base = scratch(spark)
     events = spark.readStream.schema(SCHEMAS["events"]).option("pathGlobFilter", "events.parquet").parquet(folder)
-    ticks = events.select(F.upper("event_type").alias("symbol"), "ts", F.col("event_id").alias("seq"), "value")
+
+    def ticks(rows):
+        return rows.select(F.upper("event_type").alias("symbol"), "ts", F.col("event_id").alias("seq"), "value")
+
     (
-        stream_candles(ticks)
+        stream_candles(ticks(events), "1h")
         .writeStream.format("parquet")
         .option("path", f"{base}/bars")
         .option("checkpointLocation", f"{base}/mark")
@@ -126,11 +130,56 @@ def streamed_candles(spark, folder):
         .start()
         .awaitTermination()
     )
-    bars = spark.read.schema(
-        "symbol string, open_time timestamp, open double, high double, low double, close double, "
-        "volume double, number_of_trades bigint"
-    ).parquet(f"{base}/bars")
-    return bars.select(
-        "symbol", F.unix_seconds("open_time").alias("time"), "open", "high", "low", "close",
-        F.round("volume", 6).alias("volume"), "number_of_trades",
-    )
+    closed = spark.read.schema(CANDLE).parquet(f"{base}/bars")
+    return full(closed.unionByName(open_candles(ticks(table(spark, folder, "events")), closed, "1h")))
+
+
+@query(LOADED_SQL)
+def csv_to_table(spark, folder):
+    """Raw kline files converted to the candle table, compacted, and read from its files."""
+    base = scratch(spark)
+    c = candles(spark, folder, "1h")
+    _write_raw(c, f"{base}/in")
+    rows = to_candles(_plain_keys(read_klines(spark, f"{base}/in")))
+    for half in (0, 1):
+        append_candles(rows.where(F.pmod(F.xxhash64("open_time"), F.lit(2)) == half), f"{base}/table")
+    compact_candles(spark, f"{base}/table", f"{base}/compact")
+    return full(read_candles(spark, f"{base}/compact"))
+
+
+DAMAGED_SQL = f"""with {candles_sql("1h")},
+bad as (
+  select symbol, open_time::date as day, 'GARBAGE ' || symbol || ' ' || {TIME_SQL} as line from candles where number_of_trades % 7 = 0
+  union all
+  select symbol, open_time::date, 'bad,bad,2,' || {TIME_SQL} || ',bad' from candles where number_of_trades % 11 = 0)"""
+
+
+@query(f"""{DAMAGED_SQL}
+select 'csv' as source, symbol, line from bad union all select 'zip', symbol, line from bad
+union all select 'good csv', symbol, cast(count(*) as varchar) from candles group by symbol
+union all select 'good zip', symbol, cast(count(*) as varchar) from candles group by symbol""")
+def damaged_lines(spark, folder):
+    """Damaged lines planted in plain files and in archives, as they are set aside, and the good rows that are left."""
+    base = scratch(spark)
+    c = candles(spark, folder, "1h")
+    time = epoch_seconds().cast("string")
+    n = F.col("number_of_trades")
+    garbage = F.when(n % 7 == 0, F.concat_ws(" ", F.lit("GARBAGE"), "symbol", time))
+    halves = F.when(n % 11 == 0, F.concat(F.lit("bad,bad,2,"), time, F.lit(",bad")))
+    raw = _raw(c.withColumns({"_garbage": garbage, "_halves": halves}), "_garbage", "_halves")
+    day = F.date_format(epoch_to_ntz("open_time"), "yyyy-MM-dd")
+    lines = F.array_compact(F.array(F.to_csv(F.struct(*RAW.fieldNames())), "_garbage", "_halves"))
+    files = raw.groupBy("symbol", "interval", day.alias("day")).agg(F.flatten(F.collect_list(lines)).alias("lines"))
+    header = F.array(F.lit(",".join(RAW.fieldNames())))
+    files = files.select("symbol", "interval", "day", F.array_join(F.concat(header, "lines"), "\n").alias("text"))
+    files.drop("day").write.partitionBy("symbol", "interval").text(f"{base}/daily/klines")
+    written = spark.read.option("recursiveFileLookup", "true").text(f"{base}/daily/klines")
+    plain = _plain_keys(with_path_keys(file_lines(written)))
+    zipped = with_path_keys(unzip(_packed(files)))
+    parts = []
+    for source, rows in (("csv", plain), ("zip", zipped)):
+        lines = rows.select(F.col("symbol").alias("path"), "member", "line")
+        bad = klines.damaged_lines(lines).select(F.lit(source).alias("source"), F.col("path").alias("symbol"), "line")
+        good = klines.parse_lines(lines, strict=False).groupBy(F.col("path").alias("symbol")).agg(F.count(F.lit(1)).cast("string").alias("line"))
+        parts += [bad, good.select(F.lit(f"good {source}").alias("source"), "symbol", "line")]
+    return parts[0].unionAll(parts[1]).unionAll(parts[2]).unionAll(parts[3])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from barline.functions.sql import register_time_function
 from barline.functions.time import epoch_micros, epoch_seconds, epoch_to_ntz
 from barline.operators.quality import duplicate_keys, quality_report as report, split_valid
 from barline.plans import query
@@ -38,6 +39,16 @@ def time_normalise(spark, folder):
     return rows.select("event_id", epoch_micros(epoch_to_ntz("t")).alias("us"))
 
 
+@query(f"""with {EPOCH_SQL}
+select event_id, cast(case when t >= 1000000000000000 then t when t >= 1000000000000 then t * 1000 end as bigint) as us
+from raw""")
+def sql_time(spark, folder):
+    """The same by the SQL function."""
+    register_time_function(spark)
+    rows = _raw_epochs(spark, folder).select("event_id", F.expr("time_in_second(t)").alias("at"))
+    return rows.select("event_id", epoch_micros("at").alias("us"))
+
+
 @query(f"""with {EPOCH_SQL}
 select cast(count(*) filter (t >= 1000000000000) as bigint) as valid,
   cast(count(*) filter (t < 1000000000000) as bigint) as invalid from raw""")

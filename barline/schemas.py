@@ -27,20 +27,18 @@ INTERVAL_SECONDS = {
 }
 INTERVALS = list(INTERVAL_SECONDS)
 
-# Limits and defaults of the candle queries.
-DEFAULT_LIMIT = 500
-MAX_LIMIT = 5000
-SERIES_CAP = 5000
+# Defaults of the candle queries, and the longest average.
 DEFAULT_LENGTH = 20
 MAX_LENGTH = 500
-EQUITY_BARS = 120
 EQUITY_START = 10000.0
 BATCH_SIZE = 25
 
+YEAR_SECONDS = 365 * 86400
+
 SERIES = ["symbol", "interval"]
 KEY = ["symbol", "interval", "open_time"]
 
-# Positional columns of a raw kline file.
+# Positional columns of a raw kline file.
 RAW = T.StructType(
     [
         T.StructField("open_time", T.LongType()),
@@ -58,7 +56,7 @@ RAW = T.StructType(
     ]
 )
 
-# The candle table. Times are UTC wall-clock. Every column is required, and
+# The candle table. Times are UTC wall-clock. Every column is required, and
 # (symbol, interval, open_time) is unique; operators/quality.py checks both.
 CANDLE = T.StructType(
     [
@@ -78,7 +76,7 @@ CANDLE = T.StructType(
     ]
 )
 
-# Columns of a served candle, in output order.
+# Columns of a served candle, in output order.
 SERVED = [
     "time",
     "open",
@@ -101,6 +99,7 @@ UNIVERSE = T.StructType(
         T.StructField("order_types", T.ArrayType(T.StringType())),
         T.StructField("permissions", T.ArrayType(T.StringType())),
         T.StructField("is_margin_trading_allowed", T.BooleanType()),
+        T.StructField("position", T.LongType()),
     ]
 )
 
@@ -117,8 +116,9 @@ def check_choice(name, value, allowed):
 
 
 def check_limit(limit):
-    if not 1 <= limit <= MAX_LIMIT:
-        raise ValueError(f"limit must lie in 1..{MAX_LIMIT}, not {limit}")
+    """A limit is given or None, which means all rows."""
+    if limit is not None and limit < 1:
+        raise ValueError(f"limit must be at least 1, not {limit}")
     return limit
 
 
@@ -152,42 +152,39 @@ def check_legs(base, quote):
 
 
 @dataclass(frozen=True)
-class BackfillConfig:
-    """The checked parameters of one backfill run: a fixed symbol list or the tradable universe."""
+class UniverseFilter:
+    """Which symbols of an exchange's universe a run takes."""
 
-    interval: str
-    start_date: str
-    end_date: str
-    destination_dir: str
-    symbols: tuple[str, ...] | None = None
-    symbol_source: str | None = None
-    asset: str = "spot"
-    data_type: str = "klines"
     quote_asset: str | None = None
-    require_market_order: bool = False
+    market_orders: bool = False
     margin: str = "none"
-    require_borrowable: str | None = None
-    batch_size: int = BATCH_SIZE
-    missing_frequency: str = "daily"
+    borrowable: str | None = None
 
     def __post_init__(self):
-        if bool(self.symbols) == bool(self.symbol_source):
-            raise ValueError("give exactly one of symbols and symbol_source")
-        if self.symbol_source:
-            check_choice("symbol_source", self.symbol_source, ["tradable"])
-        check_choice("asset", self.asset, ["spot"])
-        check_choice("data_type", self.data_type, ["klines"])
         check_choice("margin", self.margin, MARGIN_MODES)
-        if self.require_borrowable is not None:
-            check_choice("require_borrowable", self.require_borrowable, BORROWABLE_MODES)
-        check_choice("missing_frequency", self.missing_frequency, FREQUENCIES)
+        if self.borrowable is not None:
+            check_choice("borrowable", self.borrowable, BORROWABLE_MODES)
+
+
+@dataclass(frozen=True)
+class Backfill:
+    """A run that fills gaps: one interval, a range of days, and a symbol list or a universe filter."""
+
+    interval: str
+    first_day: str
+    last_day: str
+    destination: str
+    symbols: tuple[str, ...] = ()
+    universe: UniverseFilter | None = None
+    freq: str = "daily"
+    batch_size: int = BATCH_SIZE
+
+    def __post_init__(self):
+        if bool(self.symbols) == (self.universe is not None):
+            raise ValueError("give either symbols or a universe filter")
+        check_interval(self.interval)
+        check_choice("freq", self.freq, FREQUENCIES)
         if self.batch_size < 1:
             raise ValueError("batch_size must be at least 1")
-        folded = {
-            "symbols": tuple(s.upper() for s in self.symbols) if self.symbols else None,
-            "quote_asset": self.quote_asset.upper() if self.quote_asset else None,
-            "start_date": str(self.start_date),
-            "end_date": str(self.end_date),
-        }
-        for name, value in folded.items():
-            object.__setattr__(self, name, value)
+        if str(self.first_day) > str(self.last_day):
+            raise ValueError("first_day must not be after last_day")

@@ -34,14 +34,22 @@ def read_candles(spark: SparkSession, root: str) -> DataFrame:
 def keep_first(df: DataFrame, tie_break: list[str] | None = None) -> DataFrame:
     """One row per key: the smallest by `tie_break`, then by the remaining columns.
 
-    An aggregation rather than a window, so that copies of a key are reduced before the shuffle
-    however many there are.
+    A hash aggregation reduces the copies of a key before the shuffle, however many there are,
+    and tells whether they differ. Only keys whose copies do differ, which are rare, are compared
+    row by row.
     """
     rest = [c for c in df.columns if c not in KEY]
     lead = [c for c in (tie_break or []) if c in rest]
-    ranked = lead + [c for c in rest if c not in lead]
-    picked = df.groupBy(*KEY).agg(F.min(F.struct(*ranked)).alias("_row"))
-    return picked.select(*KEY, "_row.*").select(*df.columns)
+    values = [c for c in rest if c not in lead]
+    ranked = lead + values
+    check = F.xxhash64(*values) if values else F.lit(0).cast("bigint")
+    picked = df.groupBy(*KEY).agg(
+        *[F.first(c).alias(c) for c in values], F.min(check).alias("_low"), F.max(check).alias("_high")
+    )
+    same = picked.where("_low = _high").select(*KEY, *values)
+    odd = picked.where("_low <> _high").select(*KEY)
+    first = df.join(odd, KEY, "left_semi").groupBy(*KEY).agg(F.min(F.struct(*ranked)).alias("_row"))
+    return same.unionByName(first.select(*KEY, "_row.*").select(*KEY, *values))
 
 
 def insert_or_ignore(existing: DataFrame, new: DataFrame, tie_break: list[str] | None = None) -> DataFrame:
@@ -62,10 +70,11 @@ def write_candles(df: DataFrame, root: str, mode: str = "append", chunk_bars: in
 
 
 def stored_near(existing: DataFrame, new: DataFrame) -> DataFrame:
-    """Stored rows that a batch could collide with: its intervals, and its span of time.
+    """Stored rows that a batch could collide with: its intervals, its span of time, and its series.
 
     Runs one small aggregation over the batch, of one row per known interval and one for all
-    others; the result is constants, so the scan of the table skips partitions and row groups.
+    others; the result is constants, so the scan of the table skips partitions and row groups. The
+    series are joined, so that the keys of all others go before the join by key.
     """
     known = F.when(is_interval(), F.col("interval")).alias("known")
     spans = new.groupBy(known).agg(F.min("open_time").alias("low"), F.max("open_time").alias("high"))
@@ -73,7 +82,7 @@ def stored_near(existing: DataFrame, new: DataFrame) -> DataFrame:
     for interval, low, high in spans.where("low is not null").collect():
         same = F.col("interval") == interval if interval else ~is_interval()
         near = near | (same & F.col("open_time").between(_ntz(low), _ntz(high)))
-    return existing.where(near)
+    return existing.where(near).join(new.select(*SERIES).distinct(), SERIES, "left_semi")
 
 
 def _ntz(moment):
@@ -83,11 +92,23 @@ def _ntz(moment):
 def append_candles(new: DataFrame, root: str, tie_break: list[str] | None = None, strict: bool = True) -> None:
     """Adds the candles that are not stored yet; running it again changes nothing.
 
-    A missing column fails the load, or with strict=False leaves out the row.
+    A missing column fails the load, or with strict=False leaves out the row. The batch is read
+    several times (its span, its series, the write), so it is kept while the load runs; a part lost with
+    an executor is read again.
     """
-    new = require_valid(new) if strict else split_valid(new)[0]
-    existing = stored_near(read_candles(new.sparkSession, root), new)
-    write_candles(insert_or_ignore(existing, new, tie_break), root)
+    new = (require_valid(new) if strict else split_valid(new)[0]).persist()
+    try:
+        existing = stored_near(read_candles(new.sparkSession, root), new)
+        write_candles(insert_or_ignore(existing, new, tie_break), root)
+    finally:
+        new.unpersist()
+
+
+def compact_candles(spark: SparkSession, root: str, target: str, chunk_bars: int = CHUNK_BARS) -> None:
+    """Writes the table below `root` anew below `target`: a file per chunk of a series, instead of one per load."""
+    if root.rstrip("/") == target.rstrip("/"):
+        raise ValueError("a table cannot be compacted onto itself")
+    write_candles(read_candles(spark, root), target, "overwrite", chunk_bars)
 
 
 def csv_to_parquet(spark: SparkSession, source, root: str) -> None:

@@ -1,4 +1,4 @@
-"""Written results: run summaries and symbol listings."""
+"""Written results: run records and symbol listings."""
 
 from __future__ import annotations
 
@@ -7,9 +7,9 @@ from pyspark.sql import DataFrame
 from barline.operators.universe import universe_listing
 
 
-def write_run_summary(batches: DataFrame, path: str) -> None:
-    """Batch rows as JSON lines. Files appear when the write commits, never half-done."""
-    batches.write.mode("overwrite").json(path)
+def write_run_record(record: DataFrame, path: str) -> None:
+    """A run record, or batch rows, as JSON lines. Files appear when the write commits, never half-done."""
+    record.write.mode("overwrite").json(path)
 
 
 def write_listing(universe: DataFrame, path: str) -> None:

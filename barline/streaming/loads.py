@@ -5,12 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from barline.schemas import RAW
 from barline.sources.candles import append_candles
-from barline.sources.klines import no_header, parse_lines, to_candles, unzip, with_path_keys
+from barline.sources.klines import file_lines, parse_lines, to_candles, unzip, with_path_keys
 
 BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -36,7 +34,7 @@ def stream_load(
 
     Files are plain CSV, or with `zipped` archives of it. The file source remembers files it has
     read. A batch that is run again after a failure adds nothing twice, since stored keys are
-    ignored. With strict=False, rows with a missing or invalid column are left out instead of
+    ignored. With strict=False, damaged lines and rows with a missing or invalid column are left out instead of
     failing the batch. `keys` may rewrite the symbol and interval that were taken from the
     folder names.
     """
@@ -44,17 +42,11 @@ def stream_load(
     if zipped:
         rows = files.option("pathGlobFilter", "*.zip").format("binaryFile").schema(BINARY_FILE).load(source)
     else:
-        rows = files.option("pathGlobFilter", "*.csv").schema(RAW).csv(source)
-        rows = rows.select("*", F.col("_metadata.file_path").alias("path"))
+        rows = file_lines(files.option("pathGlobFilter", "*.csv").text(source))
 
     def load(batch: DataFrame, _epoch: int) -> None:
-        raw = with_path_keys(parse_lines(unzip(batch)) if zipped else no_header(batch))
-        candles = to_candles(keys(raw) if keys else raw, keep=("path",))
-        candles = candles.persist()  # read by the span check and by the write
-        try:
-            append_candles(candles, root, ["path"], strict)
-        finally:
-            candles.unpersist()
+        raw = with_path_keys(parse_lines(unzip(batch) if zipped else batch, strict))
+        append_candles(to_candles(keys(raw) if keys else raw, keep=("path",)), root, ["path"], strict)
 
     return (
         rows.writeStream.foreachBatch(load)

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barline.functions.time import event_order, instant_micros, ntz_from_seconds
-from barline.schemas import CANDLE, INTERVAL_SECONDS
+from barline.functions.time import ORIGIN, bar_bounds, epoch_seconds, event_order, instant_micros, ntz_from_seconds
+from barline.schemas import CANDLE, INTERVAL_SECONDS, check_interval
 
 
 def _bar_columns(order: Column) -> list[Column]:
@@ -20,41 +20,46 @@ def _bar_columns(order: Column) -> list[Column]:
     ]
 
 
+def _full_rows(bars: DataFrame) -> DataFrame:
+    """Candle rows of bars with their `start` and `next`, in Unix seconds; a tick counts as half a taker's buy."""
+    bars = bars.withColumn("open_time", ntz_from_seconds("start"))
+    millis = (F.col("next") - F.col("start")) * 1000 - 1
+    bars = bars.withColumns(
+        {
+            "close_time": F.timestamp_add("MILLISECOND", millis, F.col("open_time")),
+            "quote_asset_volume": F.col("volume"),
+            "taker_buy_base_volume": F.col("volume") / 2,
+            "taker_buy_quote_volume": F.col("volume") / 2,
+        }
+    )
+    return bars.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in CANDLE.fields])
+
+
 def candles_from_ticks(ticks: DataFrame, intervals: list[str]) -> DataFrame:
-    """Candles of (symbol, ts, seq, value) ticks at one or more intervals up to a day.
+    """Candles of (symbol, ts, seq, value) ticks at one or more intervals, calendar weeks and months included.
 
     Ticks become one row per interval ahead of a single aggregation, which combines before its
     shuffle, so a busy symbol costs no more than its number of bars per task.
     """
-    epoch = F.col("epoch")
+    bounds = {check_interval(i): bar_bounds(i, "epoch") for i in intervals}
     bars = F.array(
-        *[
-            F.struct(F.lit(i).alias("interval"), F.lit(n).alias("seconds"), (epoch - F.pmod(epoch, F.lit(n))).alias("start"))
-            for i, n in ((i, INTERVAL_SECONDS[i]) for i in intervals)
-        ]
+        *[F.struct(F.lit(i).alias("interval"), b.alias("start"), n.alias("next")) for i, (b, n) in bounds.items()]
     )
     rows = ticks.select("symbol", "seq", "value", instant_micros(ticks, "ts").alias("micros"))
     rows = rows.withColumns({"epoch": F.floor(F.col("micros") / 1000000), "order": event_order("micros", "seq")})
     rows = rows.select("symbol", "value", "order", F.inline(bars))
-    out = rows.groupBy("symbol", "interval", "seconds", "start").agg(*_bar_columns(F.col("order")))
-    out = out.withColumn("open_time", ntz_from_seconds("start"))
-    millis = F.col("seconds").cast("bigint") * 1000 - 1
-    out = out.withColumns(
-        {
-            "close_time": F.timestamp_add("MILLISECOND", millis, F.col("open_time")),
-            "quote_asset_volume": F.col("volume"),
-            "taker_buy_base_volume": F.col("volume") / 2,
-            "taker_buy_quote_volume": F.col("volume") / 2,
-        }
-    )
-    return out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in CANDLE.fields])
+    return _full_rows(rows.groupBy("symbol", "interval", "start", "next").agg(*_bar_columns(F.col("order"))))
 
 
-def stream_candles(ticks: DataFrame, duration: str = "1 hour", watermark: str = "1 hour") -> DataFrame:
+def stream_candles(ticks: DataFrame, interval: str = "1h", watermark: str = "1 hour") -> DataFrame:
     """Streaming candles of (symbol, ts, seq, value) ticks; a bar is final once the watermark passes it.
 
-    Ticks seen twice within the watermark count once. `ts` may be zone-less, which means UTC.
+    Ticks seen twice within the watermark count once. `ts` may be zone-less, which means UTC. A
+    calendar month has no fixed length, so months come from `candles_from_ticks` only. When a bounded run
+    has ended, `open_candles` gives the bars that were not closed yet.
     """
+    if check_interval(interval) == "1M":
+        raise ValueError("a stream has no calendar months")
     rows = (
         ticks.withColumn("micros", instant_micros(ticks, "ts"))
         .withColumn("ts", F.timestamp_micros("micros"))
@@ -62,5 +67,20 @@ def stream_candles(ticks: DataFrame, duration: str = "1 hour", watermark: str =
         .dropDuplicatesWithinWatermark(["symbol", "seq"])
         .withColumn("order", event_order("micros", "seq"))
     )
-    bars = rows.groupBy("symbol", F.window("ts", duration)).agg(*_bar_columns(F.col("order")))
-    return bars.select("symbol", F.col("window.start").alias("open_time"), *bars.columns[2:])
+    width = f"{INTERVAL_SECONDS[interval]} seconds"
+    window = F.window("ts", width, width, f"{ORIGIN.get(interval, 0)} seconds")
+    bars = rows.groupBy("symbol", window).agg(*_bar_columns(F.col("order")))
+    start, end = (F.unix_seconds(f"window.{side}") for side in ("start", "end"))
+    return _full_rows(bars.withColumns({"start": start, "next": end, "interval": F.lit(interval)}))
+
+
+def open_candles(ticks: DataFrame, closed: DataFrame, interval: str = "1h") -> DataFrame:
+    """Bars that a bounded stream over `ticks` left open: those past the last bar it closed.
+
+    The watermark is one for all symbols, so every bar up to the latest closed one is closed.
+    """
+    last = closed.where(F.col("interval") == interval).agg(F.max(epoch_seconds("open_time"))).first()[0]
+    if last is not None:
+        start, _ = bar_bounds(interval, F.floor(instant_micros(ticks, "ts") / 1000000))
+        ticks = ticks.where(start > last)
+    return candles_from_ticks(ticks.dropDuplicates(["symbol", "seq"]), [interval])

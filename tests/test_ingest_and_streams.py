@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 
 from barline.functions.sql import register_gap_function, register_time_function
 from barline.operators import backfill, quality, runs
-from barline.schemas import CANDLE, BackfillConfig
+from barline.schemas import CANDLE, INTERVALS, Backfill
 from barline.sources import candles, klines, metadata, reports
 from barline.streaming.loads import checkpoint_location, stream_load
-from barline.streaming.ticks import candles_from_ticks, stream_candles
+from barline.streaming.ticks import candles_from_ticks, open_candles, stream_candles
 
 T0 = datetime(2025, 1, 1)
 HEADER = "open_time,open,high,low,close,volume,close_time,quote_volume,count,taker_buy_volume,taker_buy_quote_volume,ignore"
@@ -80,10 +80,31 @@ def test_unsafe_archives_are_refused(spark, tmp_path):
     assert [(os.path.basename(r.path), r.member) for r in scanned if not r.error] == [("good.zip", "ok.csv")]
 
 
-def test_long_members_come_in_several_frames(spark, tmp_path):
-    lines = [MILLIS] * (klines.LINES_PER_BATCH * 2 + 3)
+@pytest.mark.parametrize("block_chars", [1, 50, 10**6])
+def test_blocks_are_cut_at_line_ends(spark, tmp_path, block_chars):
+    lines = [HEADER, MILLIS, MICROS, "é" * 60, "", MILLIS]
     put(tmp_path, "A", "long.zip", {"long.csv": lines})
-    assert klines.read_zipped_klines(spark, str(tmp_path)).count() == len(lines)
+    files = spark.read.format("binaryFile").load(str(tmp_path / "spot/daily/klines/A/1d/long.zip"))
+    got = [r.line for r in klines.unzip(files, block_chars=block_chars).collect()]
+    assert got == [line for line in lines if line]
+
+
+DAMAGED = ["GARBAGE LINE", "bad,bad,2,1,1,1,bad,1,1,1,1,1", MILLIS + ",13", "," + MILLIS.split(",", 1)[1]]
+
+
+def test_damaged_lines_are_never_lost(spark, tmp_path):
+    put(tmp_path / "c", "A", "a.csv", [HEADER, MILLIS, DAMAGED[0], MICROS, *DAMAGED[1:]])
+    put(tmp_path / "z", "A", "a.zip", {"x.csv": [MILLIS, *DAMAGED, HEADER.upper(), MICROS]})
+    for read, scan, folder in (
+        (klines.read_klines, klines.scan_lines, "c"),
+        (klines.read_zipped_klines, klines.scan_archives, "z"),
+    ):
+        source = str(tmp_path / folder)
+        with pytest.raises(Exception, match="damaged line in"):
+            read(spark, source).collect()
+        assert read(spark, source, strict=False).count() == 2
+        bad = klines.damaged_lines(scan(spark, source)).collect()
+        assert sorted(r.line for r in bad) == sorted(DAMAGED) and all(r.path for r in bad)
 
 
 def test_quality(spark, tmp_path):
@@ -122,9 +143,30 @@ def test_copies_of_a_key_keep_the_first_by_file(spark, tmp_path):
     assert [r.volume for r in got.collect()] == [99.0]
 
 
-def test_copies_are_reduced_before_the_shuffle(make):
+def test_copies_are_reduced_by_hash_before_the_shuffle(make):
     text = candles.keep_first(make(random_candles(1, [3])))._jdf.queryExecution().executedPlan().toString()
-    assert text.index("partial_min") > text.index("Exchange hashpartitioning")
+    all_rows = text[: text.index("Union") + text[text.index("Union") :].index("SortAggregate")]
+    assert "partial_first" in all_rows and "HashAggregate" in all_rows and "Sort [" not in all_rows
+    assert text.index("partial_first") > text.index("Exchange hashpartitioning")
+
+
+def test_copies_that_differ_keep_the_smallest(make):
+    a = bar("A", "1d", T0, 1.0, 1.0, 1.0, 1.0)
+    b = a[:7] + (0.5,) + a[8:]
+    assert rows(candles.keep_first(make([a, b, a]))) == [b]
+    assert rows(candles.keep_first(make([a, a, a]))) == [a]
+
+
+def test_compaction_keeps_all_rows_in_fewer_files(spark, make, tmp_path):
+    root, target = str(tmp_path / "t"), str(tmp_path / "u")
+    stored = random_candles(1, [30], gap_share=0)
+    for part in (stored[:10], stored[10:20], stored[20:]):
+        candles.append_candles(make(part), root)
+    candles.compact_candles(spark, root, target)
+    assert rows(candles.read_candles(spark, target)) == sorted(stored)
+    assert len(glob.glob(f"{target}/*/*/*.parquet")) < len(glob.glob(f"{root}/*/*/*.parquet"))
+    with pytest.raises(ValueError):
+        candles.compact_candles(spark, root, root + "/")
 
 
 def test_long_series_are_written_in_stretches(spark, make, tmp_path):
@@ -158,7 +200,7 @@ def test_landed_archives_are_not_planned_again(spark, make, tmp_path):
         put(tmp_path, "A", f"A-1d-{day}.zip", {"x.csv": [MILLIS]})
     landed = klines.landed_files(spark, str(tmp_path))
     assert "content" not in landed._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[-1]
-    config = BackfillConfig("1d", "2026-03-01", "2026-03-04", str(tmp_path), symbols=("A",))
+    config = Backfill("1d", "2026-03-01", "2026-03-04", str(tmp_path), symbols=("A",))
     symbols = backfill.resolve_symbols(spark, config)
     files = backfill.plan_files(config, make([]), symbols, "https://d.test", landed)
     assert sorted(r.url[-14:-4] for r in files.collect()) == ["2026-03-02", "2026-03-04"]
@@ -249,12 +291,35 @@ def test_streamed_ticks_equal_batch_candles(spark, tmp_path):
         .option("checkpointLocation", str(tmp_path / "mark")).trigger(availableNow=True).start()
     )
     query.awaitTermination(120)
-    prices = ["open", "high", "low", "close", "number_of_trades"]
-    got = rows(spark.table("bars").select("symbol", F.col("open_time").cast("timestamp_ntz"), *prices))
-    batch = candles_from_ticks(ticks, ["1h"])
-    closed = ticks.agg(F.max("ts")).first()[0] - timedelta(hours=1)
-    want = rows(batch.where(F.col("close_time") < F.lit(closed.isoformat(" ")).cast("timestamp_ntz")).select("symbol", "open_time", *prices))
-    assert got == want and want
+    closed = spark.table("bars")
+    assert closed.schema.simpleString() == CANDLE.simpleString()
+    exact = [c for c in CANDLE.fieldNames() if "volume" not in c]
+    batch = rows(candles_from_ticks(ticks, ["1h"]).select(*exact))
+    last = ticks.agg(F.max("ts")).first()[0] - timedelta(hours=1)
+    assert rows(closed.select(*exact)) == [r for r in batch if r[3] < last] != []
+    left = open_candles(ticks.unionAll(ticks), closed, "1h")
+    assert sorted(rows(closed.select(*exact)) + rows(left.select(*exact))) == batch
+    assert rows(open_candles(ticks, closed.limit(0), "1h").select(*exact)) == batch
+    with pytest.raises(ValueError):
+        stream_candles(ticks, "1M")
+
+
+def test_calendar_bars(spark):
+    moments = [datetime(2024, 1, 31, 23, 59, 59), datetime(2024, 2, 1), datetime(2024, 2, 29, 12), datetime(1969, 12, 31)]
+    ticks = spark.createDataFrame([("A", t, k, float(k)) for k, t in enumerate(moments)], "symbol string, ts timestamp_ntz, seq long, value double")
+    got = {(r.interval, r.open_time): r for r in candles_from_ticks(ticks, INTERVALS).collect()}
+    ms = timedelta(milliseconds=1)
+
+    def bounds(interval):
+        return sorted((t, r.close_time + ms) for (i, t), r in got.items() if i == interval)
+
+    day = datetime
+    assert bounds("1M") == [(day(1969, 12, 1), day(1970, 1, 1)), (day(2024, 1, 1), day(2024, 2, 1)), (day(2024, 2, 1), day(2024, 3, 1))]
+    assert bounds("1w") == [(day(1969, 12, 29), day(1970, 1, 5)), (day(2024, 1, 29), day(2024, 2, 5)), (day(2024, 2, 26), day(2024, 3, 4))]
+    assert all((b - a).days == 3 and (a - day(1970, 1, 1)).days % 3 == 0 for a, b in bounds("3d"))
+    assert got["1w", day(2024, 1, 29)].number_of_trades == 2
+    with pytest.raises(ValueError):
+        candles_from_ticks(ticks, ["1h", "90m"])
 
 
 def test_sql_functions(spark, make):
@@ -268,7 +333,7 @@ def test_sql_functions(spark, make):
 
 EXCHANGE = {
     "symbols": [
-        {"symbol": "BTCUSDT", "status": "TRADING", "baseAsset": "BTC", "quoteAsset": "USDT",
+        {"symbol": "OAKELM", "status": "TRADING", "baseAsset": "OAK", "quoteAsset": "ELM",
          "orderTypes": ["LIMIT", "MARKET"], "permissions": ["SPOT"], "isMarginTradingAllowed": True},
         {"symbol": "M1", "status": "TRADING", "permissions": ["SPOT", "MARGIN"]},
         {"symbol": "M2", "status": "BREAK", "permissions": ["MARGIN"], "isMarginTradingAllowed": None},
@@ -285,11 +350,11 @@ def write_json(path, document):
 def test_exchange_metadata(spark, tmp_path):
     docs = metadata.read_json_documents(spark, write_json(tmp_path / "x.json", EXCHANGE))
     got = {r.symbol: r for r in metadata.parse_symbols(docs).collect()}
-    btc = got["BTCUSDT"]
-    assert (btc.status, btc.base_asset, btc.quote_asset, btc.order_types) == ("TRADING", "BTC", "USDT", ["LIMIT", "MARKET"])
+    oak = got["OAKELM"]
+    assert (oak.status, oak.base_asset, oak.quote_asset, oak.order_types) == ("TRADING", "OAK", "ELM", ["LIMIT", "MARKET"])
     assert (got["M1"].base_asset, got["M1"].order_types) == ("", [])
-    assert [got[s].is_margin_trading_allowed for s in ("BTCUSDT", "M1", "M2", "M3")] == [True, True, False, True]
-    assert [got[s].position for s in ("BTCUSDT", "M3")] == [0, 3]
+    assert [got[s].is_margin_trading_allowed for s in ("OAKELM", "M1", "M2", "M3")] == [True, True, False, True]
+    assert [got[s].position for s in ("OAKELM", "M3")] == [0, 3]
 
 
 def test_metadata_without_a_required_key_fails(spark, tmp_path):
@@ -309,10 +374,10 @@ def test_margin_metadata(spark, tmp_path):
 
 def test_reports(spark, tmp_path):
     log = spark.createDataFrame([(0, "downloaded", True), (1, "failed", False)], "batch int, result string, ok boolean")
-    reports.write_run_summary(runs.batch_status(runs.outcome_counts(log)), str(tmp_path / "run"))
+    reports.write_run_record(runs.batch_status(runs.outcome_counts(log)), str(tmp_path / "run"))
     text = "".join(open(f).read() for f in glob.glob(str(tmp_path / "run" / "*.json")))
     got = sorted((json.loads(line) for line in text.splitlines()), key=lambda r: r["batch"])
     assert [(r["url_count"], r["failed"], r["status"]) for r in got] == [(1, 0, "complete"), (1, 1, "failed")]
     universe = metadata.parse_symbols(metadata.read_json_documents(spark, write_json(tmp_path / "x.json", EXCHANGE)))
-    reports.write_listing(universe.where("symbol = 'BTCUSDT'"), str(tmp_path / "list"))
-    assert spark.read.text(str(tmp_path / "list")).first().value == "BTCUSDT,BTC,USDT,TRADING"
+    reports.write_listing(universe.where("symbol = 'OAKELM'"), str(tmp_path / "list"))
+    assert spark.read.text(str(tmp_path / "list")).first().value == "OAKELM,OAK,ELM,TRADING"

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from conftest import by_series, random_candles, seconds
 
-from barline.operators import backtest, chunks, indicators
+from barline.operators import backtest, indicators
 from barline.operators.chunks import first_n, last_n, over_chunks
 from barline.schemas import SERIES
 
@@ -63,14 +63,15 @@ def test_signals_thirds(make, cap, chunk_bars):
 
 
 @pytest.mark.parametrize("chunk_bars", CHUNKS)
-@pytest.mark.parametrize("last", [1, 25, 120])
+@pytest.mark.parametrize("last", [None, 1, 25])
 def test_equity_with_zero_closes(make, last, chunk_bars):
     curve = backtest.equity(make(ZERO_ROWS), last, 10000.0, chunk_bars)
     got = {(s, i, t): v for s, i, t, v in curve.select(*SERIES, "open_time", "value").collect()}
     want = {}
     for k, bars in by_series(ZERO_ROWS).items():
-        value, previous = 10000.0, bars[-last:][0][CLOSE]
-        for b in bars[-last:]:
+        bars = bars[-last:] if last else bars
+        value, previous = 10000.0, bars[0][CLOSE]
+        for b in bars:
             if previous:
                 value *= 1 + (b[CLOSE] - previous) / previous
             want[(*k, b[2])] = value
@@ -231,13 +232,21 @@ def windows_over_whole_series(text):
 @pytest.mark.parametrize(
     "run",
     [
-        lambda df: indicators.sma(df, cap=None),
+        indicators.sma,
+        lambda df: indicators.sma(df, limit=10**8),
         indicators.ma_cross,
         indicators.breakout,
         backtest.net_equity,
         backtest.trades,
         lambda df: backtest.risk(df.selectExpr("symbol", "interval", "open_time", "close as value")),
-        lambda df: indicators.signals_thirds(df, cap=None),
+        indicators.signals_thirds,
+        lambda df: indicators.signals_thirds(df, 10**8),
+        lambda df: backtest.total_return(df, 10**8),
+        backtest.equity,
+        lambda df: backtest.equity(df, 10**8),
+        backtest.metrics,
+        lambda df: first_n(df, 10**8),
+        lambda df: last_n(df, 10**8),
     ],
 )
 def test_no_window_runs_over_a_whole_series(make, run):
@@ -245,17 +254,35 @@ def test_no_window_runs_over_a_whole_series(make, run):
 
 
 def test_copied_bars_are_picked_before_the_shuffle(make):
-    assert "WindowGroupLimit" in plan(indicators.sma(make(ROWS), 500, cap=None))
+    assert "WindowGroupLimit" in plan(indicators.sma(make(ROWS), 500))
 
 
-def test_a_large_side_is_not_broadcast(make, monkeypatch):
+def test_no_job_runs_while_a_plan_is_built(spark, make):
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
     df = make(ROWS)
-    assert chunks.checked_broadcast(df, rows=3) is df
-    assert "broadcast" in chunks.checked_broadcast(df, rows=10**6)._jdf.queryExecution().analyzed().toString().lower()
-    for module in (chunks, indicators):
-        monkeypatch.setattr(module, "checked_broadcast", lambda side: side)
-    monkeypatch.setattr(chunks, "EDGE_BARS", 1)
-    test_first_and_last_n(make, 6, 5)
-    test_signals_thirds(make, None, 5)
-    text = plan(last_n(df, 6, chunk_bars=5))
-    assert "LeftSemi" in text and "chunk" in text[text.index("LeftSemi") - 120 : text.index("LeftSemi")]
+    for build in (lambda: first_n(df, 5), lambda: indicators.signals_thirds(df), lambda: backtest.equity(df, 5)):
+        build()
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before
+
+
+@pytest.mark.parametrize("chunk_bars", CHUNKS)
+def test_metrics_come_from_the_curve_and_the_trades(make, chunk_bars):
+    got = {(r.symbol, r.interval): r for r in backtest.metrics(make(ROWS), 3, 8, 1000.0, 10, 5, chunk_bars).collect()}
+    curve = backtest.net_equity(make(ROWS), 3, 8, 1000.0, 10, 5, chunk_bars).orderBy("open_time").collect()
+    done = backtest.trades(make(ROWS), 3, 8, 1.0, chunk_bars).collect()
+    assert len(got) == len(by_series(ROWS))
+    for k, r in got.items():
+        values = [c.value for c in curve if (c.symbol, c.interval) == k]
+        pnl = [t.pnl for t in done if (t.symbol, t.interval) == k]
+        closed = [p for p in pnl if p is not None]
+        assert r.bars == len(values) and r.final_value == pytest.approx(values[-1])
+        assert r.total_return_pct == pytest.approx((values[-1] / 1000 - 1) * 100)
+        assert (r.trade_count, r.closed_count) == (len(pnl), len(closed))
+        assert r.win_rate_pct == (pytest.approx(100 * sum(p > 0 for p in closed) / len(closed)) if closed else None)
+
+
+def test_sharpe_follows_the_interval(make):
+    rows = random_candles(3, [50], interval="1h") + random_candles(3, [50], interval="1d")
+    curve = make(rows).selectExpr("symbol", "interval", "open_time", "close as value")
+    got = {r.interval: r.sharpe for r in backtest.risk(curve).collect()}
+    assert got["1h"] == pytest.approx(got["1d"] * 24**0.5)

@@ -7,7 +7,7 @@ from barline.functions.text import clean_symbol, split_symbol, url_to_path
 from barline.functions.time import epoch_seconds, epoch_to_ntz, ntz_from_seconds
 from barline.operators import catalog, gaps, indicators, ratio, series
 from barline.plans.adapters import candles
-from barline.schemas import SERVED, BackfillConfig
+from barline.schemas import SERVED, Backfill, UniverseFilter
 from pyspark.sql import functions as F
 
 T0 = datetime(2024, 1, 1)
@@ -42,7 +42,6 @@ def test_fields(make):
     "arguments",
     [
         {"limit": 0},
-        {"limit": 5001},
         {"from_": 5, "to": 5},
         {"order": "up"},
         {"interval": "1D"},
@@ -58,22 +57,23 @@ def test_bad_parameters(make, arguments):
 def test_pages_follow_each_other(make):
     df, seen, after = make(HOURS), [], None
     while True:
-        page = [r.time for r in series.page_after(df, "BTCUSDT", "1h", after, limit=20).collect()]
+        page = [r.time for r in series.page_after(df, "BTCUSDT", "1h", 20, after).collect()]
         if not page:
             break
         seen += page
         after = page[-1]
     assert seen == [seconds(b[2]) for b in HOURS]
-    back = series.page_after(df, "BTCUSDT", "1h", seconds(T0) + 7200, order="desc").collect()
+    back = series.page_after(df, "BTCUSDT", "1h", 9, seconds(T0) + 7200, order="desc").collect()
     assert [r.time for r in back] == [seconds(T0) + 3600, seconds(T0)]
 
 
-def test_lookback_keeps_the_earliest_bars(make):
+def test_lookback_takes_all_bars_unless_limited(make):
     rows = [bar("A", "1m", T0 + timedelta(minutes=m), 1.0, 1.0, 1.0, 1.0) for m in range(1200)]
     as_of = seconds(T0) + 1200 * 60
-    got = series.lookback(make(rows), 30, as_of, chunk_bars=100).agg(F.count("*"), F.max("open_time")).first()
+    got = series.lookback(make(rows), 30, as_of, 1000, chunk_bars=100).agg(F.count("*"), F.max("open_time")).first()
     assert tuple(got) == (1000, T0 + timedelta(minutes=999))
-    assert series.lookback(make(rows), 3650, as_of, chunk_bars=100).count() == 1200
+    assert series.lookback(make(rows), 30, as_of).count() == 1200
+    assert series.lookback(make(rows), None, as_of - 60).count() == 1199
 
 
 def test_existence(spark, make):
@@ -169,16 +169,18 @@ def test_url_to_path(spark):
 
 def test_ratio_sample(make):
     rows = [
-        bar("BTCUSDT", "1d", T0, 4650.0, 4900.0, 4600.0, 4834.91),
-        bar("ETHUSDT", "1d", T0, 388.46, 390.0, 380.0, 388.46),
+        bar("BTCUSDT", "1d", T0, 120.0, 150.0, 90.0, 99.0),
+        bar("ETHUSDT", "1d", T0, 8.0, 13.0, 7.0, 8.0),
         bar("BTCUSDT", "1d", T0 + timedelta(days=1), 1.0, 1.0, 1.0, 1.0),
         bar("ETHUSDT", "1d", T0 + timedelta(days=1), 0.0, 1.0, 0.0, 1.0),
         bar("ETHUSDT", "1d", T0 + timedelta(days=2), 1.0, 1.0, 1.0, 1.0),
     ]
     got = ratio.ratio(make(rows), "btcusdt", "ethusdt", "1d").collect()
     assert len(got) == 1
-    assert got[0].close == 12.44635226278124 and got[0].high == got[0].close and got[0].low == got[0].open
-    assert (got[0].base_close, got[0].quote_close, got[0].time) == (4834.91, 388.46, seconds(T0))
+    assert (got[0].open, got[0].high, got[0].low, got[0].close) == (15.0, 15.0, 12.375, 12.375)
+    assert (got[0].base_close, got[0].quote_close, got[0].time) == (99.0, 8.0, seconds(T0))
+    assert ratio.ratio_lookback(make(rows), "btcusdt", "ethusdt", "1d", 1, seconds(T0)).count() == 0
+    assert ratio.ratio_lookback(make(rows), "btcusdt", "ethusdt", "1d", 1, seconds(T0) + 1).count() == 1
     with pytest.raises(ValueError):
         ratio.ratio(make(rows), "BTCUSDT", "btcusdt", "1d")
 
@@ -186,10 +188,10 @@ def test_ratio_sample(make):
 def test_ratios_of_many_pairs_equal_single_ones(spark, make):
     df = make(random_candles(5, [60, 50, 40], gap_share=0.1))
     pairs = spark.createDataFrame([("S0", "S1"), ("S1", "S0"), ("S2", "S0"), ("S2", "S2"), ("S0", "NONE")], "base_symbol string, quote_symbol string")
-    many = ratio.ratios(df, pairs, spread=5)
+    many = ratio.ratios(df, pairs)
     columns = ["open", "high", "low", "close", "base_close", "quote_close"]
     for base, quote in (("S0", "S1"), ("S1", "S0"), ("S2", "S0")):
-        one = ratio.ratio(df, base, quote, "1h", limit=5000).select("time", *columns).collect()
+        one = ratio.ratio(df, base, quote, "1h").select("time", *columns).collect()
         mine = many.where((F.col("base_symbol") == base) & (F.col("quote_symbol") == quote))
         mine = mine.select(epoch_seconds().alias("time"), *columns).orderBy("time").collect()
         assert one == mine and one
@@ -246,22 +248,22 @@ def test_not_landed(spark, make):
     assert gaps.not_landed(planned, landed, "/in", force=True).count() == 3
 
 
-def test_config():
-    good = {"interval": "1d", "start_date": "2026-03-01", "end_date": "2026-03-31", "destination_dir": "d"}
-    cfg = BackfillConfig(symbols=("btcusdt",), quote_asset="usdt", **(good | {"start_date": T0.date()}))
-    assert cfg.symbols == ("BTCUSDT",) and cfg.quote_asset == "USDT" and cfg.start_date == "2024-01-01"
+def test_backfill_parameters():
+    good = {"interval": "1d", "first_day": "2026-03-01", "last_day": "2026-03-31", "destination": "d"}
+    assert Backfill(symbols=("btcusdt",), **good).freq == "daily"
     for bad in (
         {},
-        {"symbols": ("A",), "symbol_source": "tradable"},
-        {"symbol_source": "all"},
-        {"symbols": ("A",), "margin": "some"},
-        {"symbols": ("A",), "require_borrowable": "x"},
-        {"symbols": ("A",), "missing_frequency": "weekly"},
+        {"symbols": ("A",), "universe": UniverseFilter()},
+        {"symbols": ("A",), "freq": "weekly"},
         {"symbols": ("A",), "batch_size": 0},
-        {"symbols": ("A",), "asset": "futures"},
+        {"symbols": ("A",), "interval": "7m"},
+        {"symbols": ("A",), "last_day": "2026-02-01"},
     ):
         with pytest.raises(ValueError):
-            BackfillConfig(**good, **bad)
+            Backfill(**(good | bad))
+    for bad in ({"margin": "some"}, {"borrowable": "x"}):
+        with pytest.raises(ValueError):
+            UniverseFilter(**bad)
 
 
 def test_signal_listing(make):
@@ -281,7 +283,7 @@ def test_filters_reach_the_scan(spark, make, tmp_path):
 
     write_candles(make(HOURS), str(tmp_path / "t"))
     df = read_candles(spark, str(tmp_path / "t"))
-    text = plan(series.series(df, "BTCUSDT", "1h", seconds(T0), seconds(T0) + 7200, fields="time,close"))
+    text = plan(series.series(df, "BTCUSDT", "1h", seconds(T0), seconds(T0) + 7200, limit=9, fields="time,close"))
     assert "PartitionFilters: [isnotnull(symbol" in text and "(symbol#" in text
     assert "GreaterThanOrEqual(open_time,2024-01-01T00:00)" in text and "LessThan(open_time" in text
     assert "TakeOrderedAndProject" in text
@@ -301,3 +303,17 @@ def test_gap_scan_reads_times_only(spark, make, tmp_path):
 def test_candles_use_hash_aggregates(spark):
     text = plan(candles(spark, DATA, "15m", "1h"))
     assert "SortAggregate" not in text and text.count("Exchange hashpartitioning") == 1
+
+
+def test_a_slice_without_a_limit_is_whole(make):
+    rows = [bar("A", "1m", T0 + timedelta(minutes=m), 1.0, 1.0, 1.0, 1.0) for m in range(700)]
+    assert series.series(make(rows), "A", "1m").count() == 700
+
+
+def test_pairs_are_attached_after_the_shuffle_of_the_bars(spark, make):
+    pairs = spark.createDataFrame([("S0", "S1"), ("S1", "S0")], "base_symbol string, quote_symbol string")
+    df = ratio.ratios(make(random_candles(5, [60, 50], gap_share=0.1)), pairs)
+    df.collect()
+    text = plan(df).split("== Initial Plan ==")[0]
+    assert "Exchange hashpartitioning(interval" in text and "hashpartitioning(base_symbol" not in text
+    assert "CartesianProduct" not in text

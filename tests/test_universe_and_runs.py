@@ -4,12 +4,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from barline.operators import backfill, runs, universe as u
-from barline.schemas import UNIVERSE, BackfillConfig
+from barline.schemas import UNIVERSE, Backfill, UniverseFilter
 
 SYMBOLS = [
-    ("BTCUSDT", "TRADING", "BTC", "USDT", ["LIMIT", "MARKET"], ["SPOT"], True),
-    ("ETHUSDT", "BREAK", "ETH", "USDT", ["LIMIT", "MARKET"], ["SPOT"], False),
-    ("BNBBTC", "TRADING", "BNB", "BTC", ["LIMIT"], ["SPOT"], False),
+    ("BTCUSDT", "TRADING", "BTC", "USDT", ["LIMIT", "MARKET"], ["SPOT"], True, 0),
+    ("ETHUSDT", "BREAK", "ETH", "USDT", ["LIMIT", "MARKET"], ["SPOT"], False, 1),
+    ("BNBBTC", "TRADING", "BNB", "BTC", ["LIMIT"], ["SPOT"], False, 2),
 ]
 
 
@@ -73,6 +73,8 @@ def test_the_last_of_repeated_universe_rows_counts(spark, base):
     later = base.where("symbol = 'ETHUSDT'").withColumn("status", F.lit("TRADING")).withColumn("position", F.lit(9))
     asked = spark.createDataFrame([("ETHUSDT",)], "symbol string")
     assert verdicts(u.check_symbols(asked, first.unionByName(later))) == {"ETHUSDT": "tradable"}
+    with pytest.raises(ValueError, match="position"):
+        u.check_symbols(asked, base.drop("position"))
 
 
 def test_configured_universe_and_stats(spark, base):
@@ -84,12 +86,12 @@ def test_configured_universe_and_stats(spark, base):
     assert tuple(u.resolution_stats(rows, source="config").first()) == (2, "config", None)
 
 
-@pytest.mark.parametrize("prefix", [1, 2, 4, 20])
-def test_ranks_and_batches(spark, prefix):
-    rng = random.Random(prefix)
+@pytest.mark.parametrize("prefixes", [(1,), (1, 2), (2, 4, 5), (20,)])
+def test_ranks_and_batches(spark, prefixes):
+    rng = random.Random(len(prefixes))
     want = sorted({"".join(rng.choice("ABC1") for _ in range(rng.randint(1, 6))) for _ in range(200)})
     df = spark.createDataFrame([(s,) for s in rng.sample(want, len(want))], "symbol string")
-    assert [r.symbol for r in u.ranked(df, prefix).orderBy("place").collect()] == want
+    assert [r.symbol for r in u.ranked(df, prefixes).orderBy("place").collect()] == want
     got = {r.symbol: r.batch for r in u.with_batch(df, 7).collect()}
     assert got == {s: i // 7 for i, s in enumerate(want)}
     placed = df.withColumn("at", F.lit(13))
@@ -185,11 +187,11 @@ def test_the_digest_keeps_few_rows_before_the_shuffle(spark):
     assert "WindowGroupLimit" in runs.failure_digest(df)._jdf.queryExecution().executedPlan().toString()
 
 
-CONFIG = {"interval": "1d", "start_date": "2026-03-01", "end_date": "2026-04-10", "destination_dir": "/in"}
+JOB = {"interval": "1d", "first_day": "2026-03-01", "last_day": "2026-04-10", "destination": "/in"}
 
 
 def test_backfill_of_a_list(spark, make):
-    config = BackfillConfig(symbols=("zz", "btcusdt"), batch_size=1, missing_frequency="monthly", **CONFIG)
+    config = Backfill(symbols=("zz", "btcusdt"), batch_size=1, freq="monthly", **JOB)
     symbols = backfill.resolve_symbols(spark, config)
     assert sorted((r.symbol, r.status, r.batch) for r in symbols.collect()) == [
         ("BTCUSDT", "CONFIGURED", 1),
@@ -202,16 +204,31 @@ def test_backfill_of_a_list(spark, make):
     ]
     landed = spark.createDataFrame([("/in/spot/monthly/klines/ZZ/1d/ZZ-1d-2026-03.zip",)], "path string")
     files = backfill.plan_files(config, make([]), symbols, "https://d.test", landed)
-    got = sorted(map(tuple, backfill.dry_run(files, symbols).collect()))
-    assert got == [(0, 1, 0, "dry_run"), (1, 1, 1, "dry_run")]
-    assert backfill.plan_files(config, make([]), symbols, "https://d.test", freq="daily").count() == 2 * 41
+    assert [r.symbol for r in files.collect()] == ["BTCUSDT"]
+    assert backfill.plan_files(config, make([]), symbols, "https://d.test", landed, force=True).count() == 2
+    planned = backfill.all_files(config, make([]), symbols, "https://d.test")
+    got = sorted(map(tuple, backfill.dry_run(planned, symbols).collect()))
+    assert got == [(0, 1, 1, "dry_run"), (1, 1, 1, "dry_run")]
+    daily = Backfill(symbols=("zz", "btcusdt"), **JOB)
+    assert backfill.plan_files(daily, make([]), symbols, "https://d.test").count() == 2 * 41
+
+
+def test_run_record(spark):
+    job = Backfill(universe=UniverseFilter("USDT", margin="any"), **JOB)
+    batches = spark.createDataFrame([(0, 3, 0, "complete"), (1, 2, 1, "failed")], "batch bigint, url_count bigint, failed bigint, status string")
+    inserted = spark.createDataFrame([(0, "/b"), (0, "/a")], "batch bigint, path string")
+    symbols = spark.createDataFrame([("A",), ("B",)], "symbol string")
+    r = backfill.run_record(job, symbols, batches, inserted).first()
+    assert (r.source, r.quote_asset, r.margin, r.market_orders, r.freq) == ("universe", "USDT", "any", False, "daily")
+    assert (r.symbol_count, r.url_count, r.failed, r.status) == (2, 5, 1, "failed")
+    assert [(b.batch, b.status, b.inserted) for b in r.batches] == [(0, "complete", ["/a", "/b"]), (1, "failed", [])]
 
 
 def test_backfill_of_the_tradable_universe(spark, base, listed):
-    config = BackfillConfig(symbol_source="tradable", quote_asset="usdt", require_market_order=True, **CONFIG)
+    config = Backfill(universe=UniverseFilter(quote_asset="usdt", market_orders=True), **JOB)
     assert names(backfill.resolve_symbols(spark, config, base)) == ["BTCUSDT"]
-    for extra in ({"margin": "any"}, {"require_borrowable": "base"}):
+    for extra in ({"margin": "any"}, {"borrowable": "base"}):
         with pytest.raises(ValueError):
-            backfill.resolve_symbols(spark, BackfillConfig(symbol_source="tradable", **extra, **CONFIG), base)
+            backfill.resolve_symbols(spark, Backfill(universe=UniverseFilter(**extra), **JOB), base)
     with pytest.raises(ValueError):
         backfill.resolve_symbols(spark, config)
