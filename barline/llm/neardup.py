@@ -40,11 +40,11 @@ SHINGLE = 5
 LEAST, OUT_OF = 85, 100  # links have OUT_OF * intersection >= LEAST * union
 BANDS, ROWS = 24, 5
 MINHASHES = BANDS * ROWS
-BINS = 1024
-SKETCH_BITS = 1024
+BINS = 8192
+SKETCH_BITS = 2048
 SURE = 4.5  # deviations allowed between a pair's sketch and its expectation at the least similarity
 BLOCK = 2048
-GROWTH = 8
+FIRST_PROPOSALS, GROWTH = 4, 32
 
 _rng = np.random.default_rng(20240131)
 _MUL = _rng.integers(1, 1 << 63, MINHASHES, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -83,11 +83,11 @@ def farthest(n: np.ndarray, used: np.ndarray) -> np.ndarray:
     union = n / (1 + j)
     slices = BINS * -np.expm1(-union / BINS)
     # Each slice of the union holds a common minimum with probability j; nearly all elements are drawn from small sets.
-    drawn = np.sqrt(j * (1 - j) * slices * np.clip(1 - slices / np.maximum(union, 1), 0.02, 1))
+    drawn = np.sqrt(j * (1 - j) * slices * np.clip(1 - slices / np.maximum(union, 1), 0.005, 1))
     samples = np.maximum(used - 2 * j * slices, 0) + 1
     bits = SKETCH_BITS / 2 * -np.expm1(-2 * samples / SKETCH_BITS)
     kept = np.exp(-2 * samples / SKETCH_BITS)
-    noise = np.sqrt((2 * drawn * kept) ** 2 + np.minimum(2 * samples**2 / SKETCH_BITS, SKETCH_BITS / 4)) + 1
+    noise = np.sqrt((2 * drawn * kept) ** 2 + np.minimum(2 * samples**2 / SKETCH_BITS, SKETCH_BITS / 4)) + 0.5
     return np.minimum(bits + SURE * noise, SKETCH_BITS).astype(np.int64)
 
 
@@ -308,7 +308,7 @@ def _links(docs: DataFrame, reps: DataFrame, text: str) -> DataFrame | None:
             tried = kept(tried.unionByName(checked))
         if not more:
             return labels
-        q = GROWTH * max(q, 1)
+        q = GROWTH * q or FIRST_PROPOSALS
 
 
 BLOCK_ROW = [*MEMBER, "part", "ask_part", "label", "asks", "base"]
@@ -345,7 +345,7 @@ def groups(docs: DataFrame, text: str = "text") -> DataFrame:
     if roots is not None:
         rows = rows.join(roots.select(F.col("doc_id").alias("rep"), "root"), "rep", "left")
         found = F.coalesce("root", "rep", "doc_id")
-    rows = rows.withColumn("component_id", found)
+    rows = rows.withColumn("component_id", F.when(F.col("doc_id").isNotNull(), found))
     return rows.select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
