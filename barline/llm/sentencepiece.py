@@ -22,7 +22,6 @@ import re
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -212,8 +211,9 @@ def encode_batch(texts: list[str | None], v: Vocabulary) -> pa.Array:
         found = UNIT.findall(BLANK + t.replace(" ", BLANK)) if t else []
         units += found
         counts.append(len(found))
-    code, distinct = pd.factorize(np.array(units, object)) if units else (np.zeros(0, np.int64), [])
-    raw = [u.encode() for u in distinct]
+    seen = {}
+    code = np.fromiter((seen.setdefault(u, len(seen)) for u in units), np.int64, len(units))
+    raw = [u.encode() for u in seen]
     sizes, ids, first = [], [], 0
     while first < len(raw):
         last, size = first, 0
