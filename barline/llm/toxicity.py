@@ -13,7 +13,7 @@ Examples with equal vectors share one index entry with their counts, so copies c
 with no telling term has no nearest example; its score is the calibrated share of toxic examples
 among labelled texts of that kind.
 
-Defined cases: a null or empty text has no telling term; without labelled examples all scores are 0;
+Defined cases: a null or empty text has no telling term; a text with both labels counts as toxic; without labelled examples all scores are 0;
 equal texts have equal scores; ties between examples go to the smaller entry number, which depends on the
 training texts alone; a repeated label row counts once per distinct text and label.
 """
@@ -32,10 +32,10 @@ from barline.llm.common import bounded_sample, documents, remainder
 from barline.llm.words import flat, folded, mixed, pieces, span_hashes, spans_of
 
 BEGINNINGS = (5, 6, 7)  # bytes
-SAMPLE_ROWS = 24_000
+SAMPLE_ROWS = 8000
 LEAST_TEXTS = 6
 LEAST_RATIO = 30.0
-TERMS = 4096
+TERMS = 2048
 LEVELS = 4
 NEAREST = 15
 BLOCK = 64
@@ -222,11 +222,15 @@ def _ratio(k: np.ndarray, n: np.ndarray, bad: float, total: float) -> np.ndarray
     return 2 * (part(k, n, p) + part(n - k, n, 1 - p) + part(bad - k, total - n, p) + part(total - n - bad + k, total - n, 1 - p))
 
 
-def fit(rows: DataFrame, text: str = "text", toxic: str = "toxic", key: str = "doc_id") -> Index | None:
-    """Learns from labelled rows, at most about SAMPLE_ROWS distinct texts, chosen by a hash of the text."""
-    one = rows.where(F.col(text).isNotNull() & F.col(toxic).isNotNull()).groupBy(F.col(text).alias("text"))
-    one = one.agg(F.max(F.col(toxic).cast("int")).alias("toxic"), F.min(key).alias("doc_id"))
-    one = bounded_sample(one, "text", SAMPLE_ROWS).persist()
+def fit(docs: DataFrame, labels: DataFrame, text: str = "text") -> Index | None:
+    """Learns from labels (doc_id, toxic) of documents: at most about SAMPLE_ROWS, chosen by a hash of doc_id.
+
+    The sample is taken before texts are looked at, so only its texts are moved.
+    """
+    few = bounded_sample(labels.where("toxic is not null and doc_id is not null").select("doc_id", "toxic"), "doc_id", SAMPLE_ROWS)
+    rows = docs.where(F.col(text).isNotNull()).join(F.broadcast(few), "doc_id")
+    one = rows.groupBy(F.col(text).alias("text")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"), F.min("doc_id").alias("doc_id"))
+    one = one.persist()
     size = one.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("bad")).first()
     if not size.n:
         one.unpersist()
@@ -307,7 +311,7 @@ def query(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder, "doc_id", "text")
     held = F.coalesce(remainder("doc_id", 3) == 1, F.lit(False))
     labels = spark.read.parquet(f"{folder}/labels.parquet").where("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    index = fit(docs.join(labels.where(~held), "doc_id"))
+    index = fit(docs, labels.where(~held))
     rows = score(docs, index)
     return rows.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"), "evidence")
 
