@@ -1,24 +1,24 @@
 """SentencePiece encoding and decoding of whole texts by suffix-array matching.
 
-A text is escaped as the model says (a blank is U+2581, one is put in front) and cut before each run
-of blanks; no piece crosses such a cut. The distinct units of a batch are laid end to end and
-the suffixes at their characters sorted; a binary search of every piece then gives its range of
-occurrences, which are the edges of a lattice over the units. Edges are sorted by place and relaxed until nothing
-changes. The models at hand are BPE, so an edge may be taken when it spans exactly two current
-symbols, and in each round a unit takes its best such edge: the highest score, then the
-leftmost. This gives the ids of the reference algorithm. A unit of more than LONG characters takes
-its edges from a heap instead of in rounds, so its cost stays near-linear. Characters that are no piece
-become their bytes.
+A text gets a blank in front, as the model says, and is cut before each run of blanks; no piece
+crosses such a cut. (A blank stands for the model's U+2581 throughout.) The distinct units of
+some megabytes of text are laid end to end and the suffixes at their characters sorted; a binary search of
+every piece then gives its range of occurrences, which are the edges of a lattice over the units. Edges are
+sorted by place and relaxed until nothing changes. The models at hand are BPE, so an edge may be
+taken when it spans exactly two current symbols, and in each round a unit takes its best such
+edge: the highest score, then the leftmost. This gives the ids of the reference algorithm. A unit
+of more than LONG characters takes its edges from a heap instead of in rounds, so its cost stays near-linear.
+Characters that are no piece become their bytes.
 
 Defined cases: a null text has null ids, an empty one none; decoding restores every text without
-U+2581, which stands for a blank; equal texts have equal ids; a model without byte pieces, or one
+U+2581, which reads as a blank; equal texts have equal ids; a model without byte pieces, or one
 that is not BPE, is refused.
 """
 
 from __future__ import annotations
 
+import hashlib
 import heapq
-import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,10 +28,11 @@ from pyspark.sql import functions as F
 
 from barline.llm.common import documents
 from barline.llm.repeats import multikey_order, suffix
+from barline.llm.words import flat, mixed, pieces, span_hashes
 
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
-UNIT = re.compile(f"{BLANK}+[^{BLANK}]*")
+PIECE_BYTES = 1 << 22
 BLOCK_BYTES = 1 << 20
 LONG = 48
 BETWEEN = 0xFF  # never part of UTF-8
@@ -39,7 +40,7 @@ BETWEEN = 0xFF  # never part of UTF-8
 
 @dataclass
 class Vocabulary:
-    pieces: list[bytes]  # by id; empty for control, unknown and byte pieces
+    pieces: list[bytes]  # by id, with blanks; empty for control, unknown and byte pieces
     rank: np.ndarray  # by id; smaller is better
     byte_ids: np.ndarray  # id of each byte
 
@@ -51,7 +52,7 @@ class Vocabulary:
         self.low = np.array([self.pieces[k] for k in self.multi], f"S{self.longest}")
         self.high = np.array([self.pieces[k] + b"\xff" * (self.longest - len(self.pieces[k])) for k in self.multi], f"S{self.longest}")
         self.chars = np.array([len(texts[k]) for k in self.multi])
-        own = [p.replace(BLANK.encode(), b" ") for p in self.pieces]
+        own = list(self.pieces)
         for b, k in enumerate(self.byte_ids):
             own[k] = bytes([b])
         self.out_bytes = np.frombuffer(b"".join(own), np.uint8)
@@ -73,7 +74,7 @@ def vocabulary(model_file: str = MODEL_FILE) -> Vocabulary:
         raise ValueError("a model that leaves texts as they are is needed")
     size = sp.get_piece_size()
     special = [sp.is_control(k) or sp.is_unknown(k) or sp.is_byte(k) or sp.is_unused(k) for k in range(size)]
-    pieces = [b"" if special[k] else sp.id_to_piece(k).encode() for k in range(size)]
+    pieces = [b"" if special[k] else sp.id_to_piece(k).replace(BLANK, " ").encode() for k in range(size)]
     score = np.array([sp.get_score(k) for k in range(size)])
     rank = np.unique(-score, return_inverse=True)[1].astype(np.int64)
     return Vocabulary(pieces, rank, np.array([sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)]))
@@ -122,14 +123,11 @@ def _heap(start: int, end: int, first: dict[int, list[tuple[int, int]]], rank: n
     return done
 
 
-def segment(units: list[bytes], v: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of the units, one after the other, and how many each has."""
-    size = np.array([len(u) for u in units], np.int64)
-    data = np.frombuffer(b"".join(u + b"\xff" for u in units), np.uint8)
-    begin = np.cumsum(size + 1) - (size + 1)
+def segment(data: np.ndarray, begin: np.ndarray, v: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of units laid end to end, each followed by BETWEEN, and how many each has."""
     places = np.flatnonzero(((data & 0xC0) != 0x80) & (data != BETWEEN))
     char_unit = np.searchsorted(begin, places, "right") - 1
-    n_chars = np.bincount(char_unit, minlength=len(units))
+    n_chars = np.bincount(char_unit, minlength=len(begin))
     first_char = np.cumsum(n_chars) - n_chars
     i, j, piece = edges(data, places, v)
     # Characters, as symbols to begin with; `edge[k]` says that a symbol begins at character k.
@@ -177,7 +175,7 @@ def segment(units: list[bytes], v: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
         middle = all_edges[np.searchsorted(all_edges, i[take], "right")]
         edge[middle] = False
         symbol[i[take]] = piece[take]
-        left = np.zeros(len(units), bool)
+        left = np.zeros(len(begin), bool)
         left[unit[take]] = True
         live &= left[unit]
         i, j, piece, unit, key = i[live], j[live], piece[live], unit[live], key[live]
@@ -190,7 +188,7 @@ def segment(units: list[bytes], v: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
         n = width[raw]
         nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         out[np.repeat((np.cumsum(width) - width)[raw], n) + nth] = v.byte_ids[data[np.repeat(places[at[raw]], n) + nth]]
-    return out.astype(np.int32), np.bincount(char_unit[at], width, len(units)).astype(np.int64)
+    return out.astype(np.int32), np.bincount(char_unit[at], width, len(begin)).astype(np.int64)
 
 
 def _char_ids(data, places, ends, v: Vocabulary) -> np.ndarray:
@@ -204,57 +202,109 @@ def _char_ids(data, places, ends, v: Vocabulary) -> np.ndarray:
     return np.array(ids, np.int64)[back] if len(values) else np.zeros(0, np.int64)
 
 
-def encode_batch(texts: list[str | None], v: Vocabulary) -> pa.Array:
-    """Ids of a batch of texts as list<int32>."""
-    units, counts = [], []
-    for t in texts:
-        found = UNIT.findall(BLANK + t.replace(" ", BLANK)) if t else []
-        units += found
-        counts.append(len(found))
-    seen = {}
-    code = np.fromiter((seen.setdefault(u, len(seen)) for u in units), np.int64, len(units))
-    raw = [u.encode() for u in seen]
-    sizes, ids, first = [], [], 0
-    while first < len(raw):
-        last, size = first, 0
-        while last < len(raw) and (size < BLOCK_BYTES or last == first):
-            size += len(raw[last])
-            last += 1
-        got, n = segment(raw[first:last], v)
+_OTHER = mixed(np.arange(256, dtype=np.uint64)).astype(np.uint8)
+
+
+def _units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A piece's bytes with a blank in front of every row, and the units: starts, ends, rows. Empty rows have none."""
+    rows = len(offsets) - 1
+    wide = np.full(len(data) + rows, 32, np.uint8)
+    wide[np.arange(len(data)) + np.repeat(np.arange(1, rows + 1), np.diff(offsets))] = data
+    row_starts = offsets[:-1] + np.arange(rows)
+    blank = wide == 32
+    new = blank & ~np.concatenate([[False], blank[:-1]])
+    new[row_starts] = True
+    starts = np.flatnonzero(new)
+    ends = np.append(starts[1:], len(wide))
+    row = np.searchsorted(row_starts, starts, "right") - 1
+    some = np.diff(offsets)[row] > 0
+    return wide, starts[some], ends[some], row[some]
+
+
+def _distinct(wide: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One unit of each kind, and the kind of every unit. Kinds go by a hash; units that a second hash tells apart stay alone."""
+    h, check = span_hashes(wide, starts, ends), span_hashes(_OTHER[wide], starts, ends)
+    _, one, kind = np.unique(h, return_index=True, return_inverse=True)
+    odd = np.flatnonzero((check[one][kind] != check) | ((ends - starts)[one][kind] != ends - starts))
+    kind[odd] = len(one) + np.arange(len(odd))
+    return np.concatenate([one, odd]), kind
+
+
+def _taken(values: np.ndarray, begin: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Stretches of an array, one after the other."""
+    return values[np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+
+
+def _encode_piece(data: np.ndarray, offsets: np.ndarray, v: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of a piece's rows, one after the other, and how many each has."""
+    if b"\xe2\x96\x81" in data.tobytes():
+        raw = data.tobytes()
+        texts = [raw[a:b].replace(BLANK.encode(), b" ") for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+        data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    wide, starts, ends, row = _units(data, offsets)
+    one, kind = _distinct(wide, starts, ends)
+    ids, counts, size = [], [], ends[one] - starts[one]
+    total, first = np.cumsum(size), 0
+    while first < len(one):
+        done = total[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(total, done + BLOCK_BYTES, "right")))
+        n = size[first:last] + 1
+        begin = np.cumsum(n) - n
+        block = np.full(n.sum(), BETWEEN, np.uint8)
+        keep = np.ones(len(block), bool)
+        keep[begin + n - 1] = False
+        block[keep] = _taken(wide, starts[one[first:last]], n - 1)
+        got, count = segment(block, begin, v)
         ids.append(got)
-        sizes.append(n)
+        counts.append(count)
         first = last
     ids = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-    sizes = np.concatenate(sizes) if sizes else np.zeros(0, np.int64)
-    begin = np.cumsum(sizes) - sizes
-    n = sizes[code]
-    out = ids[np.repeat(begin[code] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
-    total = np.concatenate([[0], np.cumsum(n)])
-    offsets = total[np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)]
-    nulls = pa.array([t is None for t in texts], pa.bool_())
-    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(out, pa.int32()), mask=nulls)
+    counts = np.concatenate(counts) if counts else np.zeros(0, np.int64)
+    n = counts[kind]
+    per_row = np.bincount(row, n, len(offsets) - 1).astype(np.int64)
+    return _taken(ids, (np.cumsum(counts) - counts)[kind], n), per_row
+
+
+def encode_batch(texts: pa.Array, v: Vocabulary) -> pa.Array:
+    """Ids of a batch of texts as list<int32>."""
+    data, offsets = flat(texts)
+    parts = [_encode_piece(piece, at, v) for _, _, piece, at in pieces(data, offsets, PIECE_BYTES)]
+    ids = np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.int32)
+    total = np.concatenate([[0], np.cumsum(np.concatenate([p[1] for p in parts]) if parts else [])])
+    return pa.ListArray.from_arrays(pa.array(total.astype(np.int32)), pa.array(ids, pa.int32()), mask=texts.is_null())
+
+
+def decoded(ids: pa.ListArray, v: Vocabulary):
+    """The bytes of every list of ids, None for null."""
+    values, offsets = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
+    for k, null in enumerate(ids.is_null().to_pylist()):
+        mine = values[offsets[k] : offsets[k + 1]]
+        raw = _taken(v.out_bytes, v.out_at[mine], v.out_at[mine + 1] - v.out_at[mine]).tobytes()
+        yield None if null else raw[raw[:1] == b" " :]
 
 
 def decode_batch(ids: pa.ListArray, v: Vocabulary) -> pa.Array:
     """Texts of a batch of id lists; bytes that are no UTF-8 become U+FFFD."""
-    out = []
-    flat, offsets = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
-    for k, null in enumerate(ids.is_null().to_pylist()):
-        mine = flat[offsets[k] : offsets[k + 1]]
-        begin, n = v.out_at[mine], v.out_at[mine + 1] - v.out_at[mine]
-        raw = v.out_bytes[np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())].tobytes()
-        out.append(None if null else raw[raw[:1] == b" " :].decode("utf-8", "replace"))
-    return pa.array(out, pa.string())
+    return pa.array([None if raw is None else raw.decode("utf-8", "replace") for raw in decoded(ids, v)], pa.string())
+
 
+def encode(docs: DataFrame, v: Vocabulary, text: str = "text") -> DataFrame:
+    """Adds `ids` of every whole text, `decoded_sha256` of what they decode to, and `exact`: is that the text.
 
-def encode(docs: DataFrame, v: Vocabulary, text: str = "text", into: str = "ids") -> DataFrame:
-    """Adds the ids of every whole text."""
+    Decoding in the same pass spares a second set of workers and sends no text back.
+    """
 
-    @F.arrow_udf("array<int>")
+    @F.arrow_udf("struct<ids:array<int>,decoded_sha256:string,exact:boolean>")
     def run(texts: pa.Array) -> pa.Array:
-        return encode_batch(texts.to_pylist(), v)
+        ids = encode_batch(texts, v)
+        data, offsets = flat(texts)
+        sums, exact = [], []
+        for k, raw in enumerate(decoded(ids, v)):
+            sums.append(None if raw is None else hashlib.sha256(raw).hexdigest())
+            exact.append(raw is None or raw == data[offsets[k] : offsets[k + 1]].tobytes())
+        return pa.StructArray.from_arrays([ids, pa.array(sums, pa.string()), pa.array(exact, pa.bool_())], ["ids", "decoded_sha256", "exact"])
 
-    return docs.withColumn(into, run(F.col(text)))
+    return docs.withColumn("_coded", run(F.col(text))).select("*", "_coded.*").drop("_coded")
 
 
 def decode(docs: DataFrame, v: Vocabulary, ids: str = "ids", into: str = "decoded") -> DataFrame:
@@ -268,12 +318,6 @@ def decode(docs: DataFrame, v: Vocabulary, ids: str = "ids", into: str = "decode
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:
-    v = vocabulary()
-    rows = decode(encode(documents(spark, folder, "doc_id", "text"), v), v)
-    return rows.select(
-        "doc_id",
-        F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-        F.col("decoded").eqNullSafe(F.col("text")).alias("exact"),
-        "ids",
-    )
+    rows = encode(documents(spark, folder, "doc_id", "text"), vocabulary())
+    n = F.coalesce(F.size("ids"), F.lit(0)).cast("long")
+    return rows.select("doc_id", n.alias("n_tokens"), "decoded_sha256", "exact", "ids")

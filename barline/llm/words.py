@@ -72,11 +72,11 @@ def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8), offsets.astype(np.int64)
 
 
-def pieces(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Consecutive rows with about PIECE_BYTES of text, at least one row: first, past the last, bytes, offsets."""
+def pieces(data: np.ndarray, offsets: np.ndarray, size: int = PIECE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Consecutive rows with about `size` bytes of text, at least one row: first, past the last, bytes, offsets."""
     n, first = len(offsets) - 1, 0
     while first < n:
-        last = int(np.searchsorted(offsets, offsets[first] + PIECE_BYTES, "right")) - 1
+        last = int(np.searchsorted(offsets, offsets[first] + size, "right")) - 1
         last = min(max(last, first + 1), n)
         at = offsets[first : last + 1]
         yield first, last, data[at[0] : at[-1]], at - at[0]

@@ -2,6 +2,7 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 import sentencepiece as library
 
@@ -265,7 +266,7 @@ def test_ids_are_those_of_the_library(spark, folder, edges):
 
 def test_a_blank_mark_in_a_text_reads_as_a_blank():
     v = sentencepiece.vocabulary()
-    ids = sentencepiece.encode_batch(["a▁b", None, ""], v)
+    ids = sentencepiece.encode_batch(pa.array(["a▁b", None, ""]), v)
     assert sentencepiece.decode_batch(ids, v).to_pylist() == ["a b", None, ""]
 
 
