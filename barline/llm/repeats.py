@@ -46,7 +46,7 @@ GRAM = 20
 HOT = 32
 SAMPLE_DOCUMENTS = 1000
 CHUNKS_A_PARTITION = 2
-RANGES_A_PARTITION = 2
+RANGES_A_PARTITION = 1
 SEGMENT = 1 << 18
 LAST = (1 << 63) - 1
 
