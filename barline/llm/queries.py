@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barline.llm import contamination, language, neardup, pages, quality, repeats, secrets, sentencepiece, syncmers, toxicity
+from barline.llm import contamination, language, neardup, pages, quality, repeats, secrets, sentencepiece, sql, syncmers, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_syncmer_fingerprints": syncmers.query,
@@ -21,4 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language_id": language.query,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op5_suffix_array_dedup": sql.REPEATS,
+    "op9_minhash_near_dedup": sql.NEAR_DUPLICATES,
+}
