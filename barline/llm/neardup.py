@@ -1,12 +1,12 @@
 """MinHash near-duplicate groups, verified by odd sketches and then on full shingle sets.
 
-A document's set holds its distinct 5-word shingles. Two kinds of MinHash samples are taken: minima
-of BANDS * ROWS hash functions make the bands, whose equal keys bring candidates together, and the minima of
+A document's set holds its distinct 5-word shingles. The least similarity of a link is an argument, and the number of
+bands follows from it. Two kinds of MinHash samples are taken: minima of bands * ROWS hash functions make the bands, whose equal keys bring candidates together, and the minima of
 BINS slices of one hash are folded into an odd sketch, a bitmap in which every (slice, minimum) flips
 one bit. The population count of two sketches' XOR estimates how many samples differ; with
 the two sets' sizes that bounds their similarity from above, and discards nearly all false
 candidates without their sets. What is left is confirmed on the full sets, so every link is
-true; a pair at the similarity of the contract misses all bands with a probability below 1e-6 and is
+true; a pair at the least similarity misses all bands with a probability below 1e-6 and is
 discarded by its sketch with one below 1e-5.
 
 Documents with equal sets are one class, represented by their smallest doc_id. Only
@@ -26,7 +26,10 @@ on its own text even if its doc_id repeats; a row without doc_id belongs to no g
 from __future__ import annotations
 
 import re
+from fractions import Fraction
+from functools import cache
 from itertools import combinations
+from math import ceil, log, log1p
 
 import numpy as np
 import pyarrow as pa
@@ -37,33 +40,51 @@ from barline.llm.common import documents, kept, partitions
 from barline.llm.words import flat, mixed, pieces, shingles, word_hashes
 
 SHINGLE = 5
-LEAST, OUT_OF = 85, 100  # links have OUT_OF * intersection >= LEAST * union
-BANDS, ROWS = 24, 5
-MINHASHES = BANDS * ROWS
+LEAST = 0.8  # links have a Jaccard similarity of this at least, unless the caller names another one
+CONTRACT = 0.85  # that of the query
+ROWS = 5
+MISSED = 1e-6  # a pair at the least similarity shares no band with this probability at most
 BINS = 8192
 SKETCH_BITS = 2048
 SURE = 4.5  # deviations allowed between a pair's sketch and its expectation at the least similarity
 BLOCK = 2048
 FIRST_PROPOSALS, GROWTH = 4, 32
 
-_rng = np.random.default_rng(20240131)
-_MUL = _rng.integers(1, 1 << 63, MINHASHES, np.uint64) * np.uint64(2) + np.uint64(1)
-_ADD = _rng.integers(0, 1 << 63, MINHASHES, np.uint64)
-_BAND = (np.arange(1, BANDS + 1, dtype=np.uint64)) * np.uint64(0xD1B54A32D192ED03)
 
+def ratio(least: float) -> Fraction:
+    """A least similarity as the decimal that it is written as."""
+    if not 0 < least <= 1:
+        raise ValueError(f"least similarity not above 0 and up to 1: {least}")
+    return Fraction(str(least))
 
-def minima(s: np.ndarray) -> np.ndarray:
+
+def bands_for(least: float) -> int:
+    """Bands of ROWS minima that miss a pair at the least similarity with a probability of MISSED at most."""
+    shared = float(ratio(least)) ** ROWS
+    return 1 if shared == 1 else ceil(log(MISSED) / log1p(-shared))
+
+
+@cache
+def _functions(bands: int) -> tuple[np.ndarray, np.ndarray]:
+    """Factors and addends of the hash functions."""
+    rng = np.random.default_rng(20240131)
+    mul = rng.integers(1, 1 << 63, bands * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
+    return mul, rng.integers(0, 1 << 63, bands * ROWS, np.uint64)
+
+
+def minima(s: np.ndarray, bands: int) -> np.ndarray:
     """The smallest value of every hash function over a set."""
-    out = np.full(MINHASHES, np.iinfo(np.uint64).max, np.uint64)
+    mul, add = _functions(bands)
+    out = np.full(bands * ROWS, np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(s), 2048):
         part = s[at : at + 2048]
-        out = np.minimum(out, (part[None, :] * _MUL[:, None] + _ADD[:, None]).min(1))
+        out = np.minimum(out, (part[None, :] * mul[:, None] + add[:, None]).min(1))
     return out
 
 
 def band_keys(m: np.ndarray) -> np.ndarray:
-    h = _BAND.copy()
-    for column in mixed(m).reshape(BANDS, ROWS).T:
+    h = np.arange(1, len(m) // ROWS + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03)
+    for column in mixed(m).reshape(-1, ROWS).T:
         h = mixed(h ^ column)
     return h
 
@@ -77,9 +98,9 @@ def odd_sketch(s: np.ndarray) -> tuple[np.ndarray, int]:
     return np.packbits(bits.astype(np.uint8)), len(v)
 
 
-def farthest(n: np.ndarray, used: np.ndarray) -> np.ndarray:
+def farthest(n: np.ndarray, used: np.ndarray, least: float = CONTRACT) -> np.ndarray:
     """Differing sketch bits that a linked pair stays under; n: sum of the two sets' sizes, used: of their slices in use."""
-    j = LEAST / OUT_OF
+    j = float(least)
     union = n / (1 + j)
     slices = BINS * -np.expm1(-union / BINS)
     # Each slice of the union holds a common minimum with probability j; nearly all elements are drawn from small sets.
@@ -103,29 +124,34 @@ def _sets(texts: pa.Array):
 SIGNATURES = "doc_id long, n long, one long, two long, bands array<long>, used int, sketch binary"
 
 
-def _signatures(batches):
-    for batch in batches:
-        n, one, two, bands, used, sketch = [], [], [], [], [], []
-        for s in _sets(batch.column(1)):
-            n.append(len(s))
-            one.append(int(s.sum(dtype=np.uint64).view(np.int64)))
-            two.append(int(np.bitwise_xor.reduce(mixed(s)).view(np.int64)) if len(s) else 0)
-            if len(s):
-                keys = band_keys(minima(s))
-                bands.append(keys.view(np.int64))
-                bits, slices = odd_sketch(s)
-                used.append(slices)
-                # With the band keys, in short, so that two members know the first band that they share.
-                sketch.append(bits.tobytes() + keys.astype(np.uint32).tobytes())
-            else:
-                bands.append(None)
-                used.append(0)
-                sketch.append(None)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()),
-             pa.array(bands, pa.list_(pa.int64())), pa.array(used, pa.int32()), pa.array(sketch, pa.binary())],
-            ["doc_id", "n", "one", "two", "bands", "used", "sketch"],
-        )
+def _signatures(least: float):
+    count = bands_for(least)
+
+    def run(batches):
+        for batch in batches:
+            n, one, two, bands, used, sketch = [], [], [], [], [], []
+            for s in _sets(batch.column(1)):
+                n.append(len(s))
+                one.append(int(s.sum(dtype=np.uint64).view(np.int64)))
+                two.append(int(np.bitwise_xor.reduce(mixed(s)).view(np.int64)) if len(s) else 0)
+                if len(s):
+                    keys = band_keys(minima(s, count))
+                    bands.append(keys.view(np.int64))
+                    bits, slices = odd_sketch(s)
+                    used.append(slices)
+                    # With the band keys, in short, so that two members know the first band that they share.
+                    sketch.append(bits.tobytes() + keys.astype(np.uint32).tobytes())
+                else:
+                    bands.append(None)
+                    used.append(0)
+                    sketch.append(None)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()),
+                 pa.array(bands, pa.list_(pa.int64())), pa.array(used, pa.int32()), pa.array(sketch, pa.binary())],
+                ["doc_id", "n", "one", "two", "bands", "used", "sketch"],
+            )
+
+    return run
 
 
 def _set_rows(batches):
@@ -182,8 +208,9 @@ def forest(far: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return pair // g, pair % g
 
 
-def _proposals(q: int):
+def _proposals(q: int, least: float):
     """Proposes pairs with different labels: q = 0, a forest over each block; else the q nearest of every asking row."""
+    part, whole = ratio(least).as_integer_ratio()
 
     def propose(table: pa.Table) -> pa.Table:
         key = np.stack([table.column(c).to_numpy() for c in ("key", "part", "ask_part")])
@@ -198,9 +225,9 @@ def _proposals(q: int):
 
         def distances(x, y):
             far = differing(words[x], words[y])
-            far[far > farthest(size[x][:, None] + size[y][None, :], used[x][:, None] + used[y][None, :])] = SKETCH_BITS + 1
+            far[far > farthest(size[x][:, None] + size[y][None, :], used[x][:, None] + used[y][None, :], least)] = SKETCH_BITS + 1
             small, large = np.minimum.outer(size[x], size[y]), np.maximum.outer(size[x], size[y])
-            far[(OUT_OF * small < LEAST * large) | (label[x][:, None] == label[y][None, :])] = SKETCH_BITS + 1
+            far[(whole * small < part * large) | (label[x][:, None] == label[y][None, :])] = SKETCH_BITS + 1
             return far
 
         def add(x, y, more):
@@ -235,17 +262,22 @@ def _proposals(q: int):
     return propose
 
 
-def _confirmed(batches):
+def _confirmed(least: float):
     """Pairs that hold on their full sets."""
-    for batch in batches:
-        ok = []
-        for x, y in zip(batch.column(2), batch.column(3), strict=True):
-            s, t = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-            small, large = (s, t) if len(s) <= len(t) else (t, s)
-            at = np.minimum(np.searchsorted(large, small), len(large) - 1)
-            same = int((large[at] == small).sum())
-            ok.append(OUT_OF * same >= LEAST * (len(s) + len(t) - same))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ok, pa.bool_())], ["a", "b", "ok"])
+    part, whole = ratio(least).as_integer_ratio()
+
+    def run(batches):
+        for batch in batches:
+            ok = []
+            for x, y in zip(batch.column(2), batch.column(3), strict=True):
+                s, t = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                small, large = (s, t) if len(s) <= len(t) else (t, s)
+                at = np.minimum(np.searchsorted(large, small), len(large) - 1)
+                same = int((large[at] == small).sum())
+                ok.append(whole * same >= part * (len(s) + len(t) - same))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ok, pa.bool_())], ["a", "b", "ok"])
+
+    return run
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -270,7 +302,7 @@ def components(edges: DataFrame) -> DataFrame:
 MEMBER = ["key", "band", "doc_id", "n", "used", "sketch"]
 
 
-def _links(docs: DataFrame, reps: DataFrame, text: str) -> DataFrame | None:
+def _links(docs: DataFrame, reps: DataFrame, text: str, least: float) -> DataFrame | None:
     """(doc_id, root) of the representatives that link with another one."""
     spark = docs.sparkSession
     keys = reps.select("doc_id", F.posexplode("bands").alias("band", "key")).select("doc_id", "band", F.xxhash64("band", "key").alias("key"))
@@ -292,14 +324,14 @@ def _links(docs: DataFrame, reps: DataFrame, text: str) -> DataFrame | None:
         else:
             asked = _later_blocks(members.join(labels, "doc_id", "left").withColumn("label", F.coalesce("root", "doc_id")))
         task = F.pmod(F.xxhash64("key", "part", "ask_part"), F.lit(4 * partitions(spark))).cast("int")
-        found = asked.withColumn("task", task).groupBy("task").applyInArrow(_proposals(q), PROPOSALS)
+        found = asked.withColumn("task", task).groupBy("task").applyInArrow(_proposals(q, least), PROPOSALS)
         found = kept(found.groupBy("a", "b").agg(F.max("cut").alias("cut")))
         more = not found.where("cut").isEmpty()
         if tried is None:
             pairs = found.hint("merge")
         else:
             pairs = found.join(tried.select("a", "b"), ["a", "b"], "left_anti")
-        checked = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(_confirmed, "a long, b long, ok boolean")
+        checked = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(_confirmed(least), "a long, b long, ok boolean")
         checked = kept(checked.groupBy("a", "b").agg(F.max("ok").alias("ok")))
         if labels is None or not checked.where("ok").isEmpty():
             tried = checked if tried is None else kept(tried.unionByName(checked))
@@ -334,13 +366,13 @@ def _later_blocks(rows: DataFrame) -> DataFrame:
     return small.select(BLOCK_ROW).unionByName(base.select(BLOCK_ROW)).unionByName(asks.select(BLOCK_ROW))
 
 
-def groups(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id, kept."""
-    rows = kept(docs.select("doc_id", text).mapInArrow(_signatures, SIGNATURES))
+def groups(docs: DataFrame, text: str = "text", least: float = LEAST) -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id, kept; texts link from a Jaccard similarity of `least`."""
+    rows = kept(docs.select("doc_id", text).mapInArrow(_signatures(least), SIGNATURES))
     alike = ["n", "one", "two"]
     classes = rows.where("n > 0 and doc_id is not null").groupBy(*alike).agg(F.min("doc_id").alias("rep"))
     rows = kept(rows.join(classes, alike, "left").select("doc_id", "n", "rep", F.when(F.col("doc_id") == F.col("rep"), F.col("bands")).alias("bands"), "used", "sketch"))
-    roots = _links(docs, rows.where(F.col("bands").isNotNull()).select("doc_id", "n", "bands", "used", "sketch"), text)
+    roots = _links(docs, rows.where(F.col("bands").isNotNull()).select("doc_id", "n", "bands", "used", "sketch"), text, least)
     found = F.coalesce("rep", "doc_id")
     if roots is not None:
         rows = rows.join(roots.select(F.col("doc_id").alias("rep"), "root"), "rep", "left")
@@ -349,17 +381,17 @@ def groups(docs: DataFrame, text: str = "text") -> DataFrame:
     return rows.select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
-def deduplicated(docs: DataFrame, text: str = "text") -> DataFrame:
+def deduplicated(docs: DataFrame, text: str = "text", least: float = LEAST) -> DataFrame:
     """The rows whose document stands for its group; all columns as they are."""
-    gone = groups(docs, text).where("not kept").select("doc_id").distinct()
+    gone = groups(docs, text, least).where("not kept").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:
-    return groups(documents(spark, folder, "doc_id", "text"))
+    return groups(documents(spark, folder, "doc_id", "text"), least=CONTRACT)
 
 
-def brute(texts: dict[int, str | None]) -> dict[int, tuple[int, int, bool]]:
+def brute(texts: dict[int, str | None], least: float = CONTRACT) -> dict[int, tuple[int, int, bool]]:
     """The query's rows by comparing the word tuples of all pairs, for tests."""
     low = {i: "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "") for i, t in texts.items()}
     words = {i: re.findall(r"[^\x20\x09-\x0D]+", t) for i, t in low.items()}
@@ -372,7 +404,7 @@ def brute(texts: dict[int, str | None]) -> dict[int, tuple[int, int, bool]]:
         return i
 
     for i, j in combinations(sorted(texts), 2):
-        if sets[i] and sets[j] and OUT_OF * len(sets[i] & sets[j]) >= LEAST * len(sets[i] | sets[j]):
+        if sets[i] and sets[j] and len(sets[i] & sets[j]) >= ratio(least) * len(sets[i] | sets[j]):
             a, b = sorted((find(i), find(j)))
             root[b] = a
     return {i: (len(sets[i]), find(i), find(i) == i) for i in texts}

@@ -135,6 +135,27 @@ def test_deduplicated_keeps_columns_and_one_of_each_group(spark, folder):
     assert out.columns == df.columns and {r.doc_id for r in out.collect()} == want
 
 
+def test_least_similarity_is_an_argument(spark, folder):
+    rng = random.Random(11)
+    docs = []
+    for k in range(40):
+        w = prose(rng, 104).split()
+        # Two replaced words, far apart: 90 of 110 shingles are shared, a similarity of 0.818.
+        docs += [(2 * k, " ".join(w)), (2 * k + 1, " ".join([*w[:20], "edit", *w[21:70], "edit", *w[71:]]))]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in neardup.groups(df).collect()}
+    assert got == neardup.brute(dict(docs), 0.8) and sum(v[2] for v in got.values()) == 40
+    assert neardup.deduplicated(df).count() == 40 and neardup.deduplicated(df, least=0.85).count() == 80
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in neardup.query(spark, folder(docs)).collect()} == neardup.brute(dict(docs))
+
+
+def test_bands_follow_from_the_least_similarity():
+    assert (neardup.bands_for(0.85), neardup.bands_for(0.8), neardup.bands_for(1)) == (24, 35, 1)
+    assert all((1 - s**neardup.ROWS) ** neardup.bands_for(s) <= neardup.MISSED for s in (0.5, 0.7, 0.8, 0.85, 0.9))
+    with pytest.raises(ValueError):
+        neardup.bands_for(0)
+
+
 def test_forest_joins_what_can_be_joined():
     far = np.full((6, 6), neardup.SKETCH_BITS + 1)
     for a, b, d in ((0, 1, 5), (1, 2, 5), (0, 2, 5), (3, 4, 1)):
