@@ -6,7 +6,7 @@ a hash join; documents send only windows whose hash passes a fixed-size bitmap o
 so the join sees few of them whatever the corpus. A document is contaminated by an item if at least
 NEED of the item's windows are found close together in it, and if the slots agree: the values of
 the item's placeholders map to the document's values one to one, as a re-parameterised question
-has them. As a capital may only mark the start of a sentence or a line in capitals, every window is matched
+has them, along an alignment in which each window of either side has one partner. As a capital may only mark the start of a sentence or a line in capitals, every window is matched
 both with names as placeholders and with names as words.
 
 Defined cases: a null or empty text, and an item without a token, match nothing; an item with fewer than
@@ -17,6 +17,7 @@ item has no other; of repeated items each is reported; repeated documents are re
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections import defaultdict
 from math import ceil
 
@@ -197,24 +198,40 @@ def _or_bitmaps(rows: DataFrame) -> tuple[bytes, list[int]]:
     return out.tobytes(), sorted(sizes)
 
 
-def judged(hits: list[dict], n_windows: int) -> dict | None:
-    """The densest stretch of a document's matches with one item, if it holds NEED of the item's windows and its slots agree."""
-    hits = sorted(hits, key=lambda h: (h["doc_at"], h["item_at"]))
-    need, reach = ceil(NEED * n_windows), 2 * (max(h["item_at"] for h in hits) + WINDOW)
-    count, distinct, left, best = defaultdict(int), 0, 0, None
+def _aligned(by_shift: dict[int, list[dict]], shifts: list[int]) -> list[dict]:
+    """Matches that give each item window one place of the document and the reverse; the shifts named first choose first."""
+    to_doc, to_item, out = {}, {}, []
+    for shift in shifts:
+        for h in by_shift[shift]:
+            # Several readings of a window may match at the same places.
+            if to_doc.setdefault(h["item_at"], h["doc_at"]) == h["doc_at"]:
+                if to_item.setdefault(h["doc_at"], h["item_at"]) == h["item_at"]:
+                    out.append(h)
+                else:
+                    del to_doc[h["item_at"]]
+    return sorted(out, key=lambda h: (h["doc_at"], h["item_at"]))
+
+
+def _densest(hits: list[dict], reach: int) -> tuple[int, int, int]:
+    """The stretch of `reach` document tokens with most item windows: their number, its first match, past its last."""
+    count, left, best = defaultdict(int), 0, (0, 0, 0)
     for right, h in enumerate(hits):
         count[h["item_at"]] += 1
-        distinct += count[h["item_at"]] == 1
         while hits[left]["doc_at"] < h["doc_at"] - reach:
-            count[hits[left]["item_at"]] -= 1
-            distinct -= count[hits[left]["item_at"]] == 0
+            at = hits[left]["item_at"]
+            count[at] -= 1
+            if not count[at]:
+                del count[at]
             left += 1
-        if distinct >= need and (best is None or distinct > best[0]):
-            best = (distinct, left, right)
-    if best is None:
-        return None
+        if len(count) > best[0]:
+            best = (len(count), left, right + 1)
+    return best
+
+
+def _slots(hits: list[dict]) -> tuple[int, float] | None:
+    """Changed slots and agreement, if the item's values map to the document's one to one."""
     votes = defaultdict(lambda: defaultdict(int))
-    for h in hits[best[1] : best[2] + 1]:
+    for h in hits:
         for place, value in zip(h["slots"], h["slot_values"], strict=True):
             votes[value][h["tokens"][place]] += 1
     agreed = sum(max(v.values()) for v in votes.values())
@@ -223,8 +240,31 @@ def judged(hits: list[dict], n_windows: int) -> dict | None:
     same = agreed / total if total else 1.0
     if same < SLOTS_AGREE or len(set(to)) < SLOTS_AGREE * len(to):
         return None
-    changed = sum(v != t for v, t in zip(votes, to, strict=True))
-    return {"matched": best[0], "doc_from": hits[best[1]]["doc_at"], "changed_slots": changed, "agreement": same}
+    return sum(v != t for v, t in zip(votes, to, strict=True)), same
+
+
+def judged(hits: list[dict], n_windows: int) -> dict | None:
+    """An alignment of an item with a document that holds NEED of the item's windows close together and whose slots agree.
+
+    Each shift (place in the document less place in the item) in turn, the most frequent first, has the first choice of
+    the windows, then the others by their frequency, so a template that the item repeats meets its own repetition only.
+    """
+    need, reach = ceil(NEED * n_windows), 2 * (max(h["item_at"] for h in hits) + WINDOW)
+    by_shift = defaultdict(list)
+    for h in sorted(hits, key=lambda h: (h["doc_at"], h["item_at"])):
+        by_shift[h["doc_at"] - h["item_at"]].append(h)
+    shifts = sorted(by_shift)
+    for first in sorted(by_shift, key=lambda d: (-len(by_shift[d]), d)):
+        near = shifts[bisect_left(shifts, first - 2 * reach) : bisect_right(shifts, first + 2 * reach)]
+        near.sort(key=lambda d: (d != first, -len(by_shift[d]), abs(d - first)))
+        chosen = _aligned(by_shift, near)
+        matched, left, right = _densest(chosen, reach)
+        if matched < need:
+            continue
+        chosen = chosen[left:right]
+        if found := _slots(chosen):
+            return {"matched": matched, "doc_from": chosen[0]["doc_at"], "changed_slots": found[0], "agreement": found[1]}
+    return None
 
 
 def contaminated(docs: DataFrame, items: DataFrame, text: str = "text", item_text: str = "text") -> DataFrame:

@@ -100,6 +100,29 @@ def test_slots_must_agree():
     assert contamination.judged(torn, 10) is None
 
 
+REPEATED = [
+    "Tom has 3 apples and 4 pears. Ann has 5 apples and 6 pears. Sue has 7 apples and 8 pears. How many apples and pears do they have",
+    "if x is 3 then y is 7. If x is 4 then y is 9. If x is 5 then y is 11. If x is 6 then y is 13. what is y if x is 20",
+]
+OTHER_NUMBERS = {"3": "31", "4": "52", "5": "43", "6": "74", "7": "95", "8": "16", "9": "67", "11": "81", "13": "28", "20": "99"}
+
+
+def test_items_that_repeat_a_template(spark):
+    rng = random.Random(21)
+    items = list(enumerate(REPEATED))
+    renumbered = [" ".join(OTHER_NUMBERS.get(w.rstrip("."), w.rstrip(".")) + "." * w.endswith(".") for w in t.split()) for t in REPEATED]
+    torn = " ".join(str(rng.randrange(10**6)) if w.isdigit() else w for w in REPEATED[1].split())
+    edited = REPEATED[0].replace("Sue has", "And then after that Sue has")
+    docs = [(10, prose(rng, 40) + ". " + REPEATED[0] + ". " + prose(rng, 40)), (11, REPEATED[1]), (12, renumbered[0]), (13, renumbered[1] + ". " + prose(rng, 9)), (14, edited)]
+    # A template filled inconsistently just before the copy, which may not hide it.
+    docs += [(15, torn + ". " + REPEATED[1])]
+    got = contamination.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    got = {(r.doc_id, r.item_id): r for r in got.collect()}
+    assert set(got) == {(10, 0), (11, 1), (12, 0), (13, 1), (14, 0), (15, 1)}
+    assert all(got[k].agreement == 1 and got[k].coverage == 1 for k in ((10, 0), (11, 1), (12, 0), (13, 1)))
+    assert got[10, 0].changed_slots == got[11, 1].changed_slots == 0 and got[12, 0].changed_slots == 6
+
+
 def test_leaks_of_the_test_data(spark):
     folder = "/root/testdata/sf0.001"
     got = {(r.doc_id, r.item_id) for r in contamination.query(spark, folder).collect()}
