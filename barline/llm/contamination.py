@@ -6,8 +6,11 @@ a hash join; documents send only windows whose hash passes a fixed-size bitmap o
 so the join sees few of them whatever the corpus. A document is contaminated by an item if at least
 NEED of the item's windows are found close together in it, and if the slots agree: the values of
 the item's placeholders map to the document's values one to one, as a re-parameterised question
-has them, along an alignment in which each window of either side has one partner. As a capital may only mark the start of a sentence or a line in capitals, every window is matched
-both with names as placeholders and with names as words.
+has them, along an alignment in which each window of either side has one partner. As a capital may only mark the start of a sentence or a line in capitals, every window is matched with
+names as placeholders, with names as words, and with the capitals that open a sentence as names, too.
+
+A document also is contaminated by a part of an item, if RUN consecutive windows of the item (RUN + WINDOW - 1 words)
+stand in it one after the other and their slots agree.
 
 Defined cases: a null or empty text, and an item without a token, match nothing; an item with fewer than
 WINDOW tokens is one window of its own length; a window without a plain word is no evidence unless the
@@ -31,6 +34,7 @@ from barline.llm.words import flat, folded, mixed, pieces, span_hashes, spans_of
 
 WINDOW = 5
 NEED = 0.8
+RUN = 16  # windows in a row that are enough: 20 words
 SLOTS_AGREE = 0.8
 BITMAP_BITS = 1 << 22
 
@@ -82,7 +86,8 @@ class Tokens:
         before = np.concatenate([[0], self.end[:-1]])[: len(length)]
         opens = np.concatenate([[True], self.row[1:] != self.row[:-1]])[: len(length)] if len(length) else first
         opens = opens | (stops[self.start] > stops[np.minimum(before, self.start)])
-        name = first & (capitals[self.end] - capitals[self.start] == 1) & (length > 1) & ~opens & (some == 0)
+        capital = first & (capitals[self.end] - capitals[self.start] == 1) & (length > 1) & (some == 0)
+        name = capital & ~opens
         kind = np.full(len(length), WORD)
         kind[name] = NAME
         at = np.minimum(np.searchsorted(_UNIT_HASHES, plain), len(_UNIT_HASHES) - 1)
@@ -92,21 +97,23 @@ class Tokens:
         slot = (kind == NUMBER) | (kind == UNIT)
         self.words = np.where(slot, _KIND[kind], plain)
         self.names = np.where(kind == NAME, _KIND[NAME], self.words)
+        self.capital = (kind == NAME) | (capital & (kind == WORD))
+        self.capitals = np.where(self.capital, _KIND[NAME], self.words)
         self.plain = plain
 
-    def windows(self, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Windows of `length` tokens within one row: first token, hash with names as slots, hash with names as words."""
+    def windows(self, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Windows of `length` tokens within one row: first token, and hashes with names, no names, or all capitals as slots."""
         n = len(self.row) - length + 1
         if n <= 0:
-            return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+            return np.zeros(0, np.int64), *[np.zeros(0, np.uint64)] * 3
         at = np.flatnonzero(self.row[:n] == self.row[length - 1 : length - 1 + n])
         out = []
-        for tokens in (self.names, self.words):
+        for tokens in (self.names, self.words, self.capitals):
             h = np.full(len(at), length, np.uint64)
             for k in range(length):
                 h = mixed(h ^ tokens[at + k]) * np.uint64(0x9E3779B97F4A7C15)
             out.append(h)
-        return at, out[0], out[1]
+        return at, *out
 
 
 def _cells(h: np.ndarray) -> np.ndarray:
@@ -117,7 +124,7 @@ ITEM_WINDOWS = "item_id long, hash long, item_at int, n_windows int, size int, s
 
 
 def _item_windows(batches):
-    """The windows of the benchmark items, with both readings of names, and their slots: token places and value hashes."""
+    """The windows of the benchmark items, with all readings of names, and their slots: token places and value hashes."""
     for batch in batches:
         data, offsets = flat(batch.column(1))
         ids = batch.column(0).to_pylist()
@@ -131,14 +138,18 @@ def _item_windows(batches):
                     continue
                 size = min(WINDOW, n)
                 base = int(cuts[r])
-                w, a, b = t.windows(size)
+                w, a, b, c = t.windows(size)
                 mine = np.flatnonzero((w >= base) & (w < base + n))
                 word = t.kind == WORD
                 full = [k for k in mine if word[w[k] : w[k] + size].any()] or list(mine)
                 for k in full:
                     place = int(w[k]) - base
                     span = np.arange(int(w[k]), int(w[k]) + size)
-                    for h, slot in ((a[k], t.kind[span] != WORD), (b[k], (t.kind[span] == NUMBER) | (t.kind[span] == UNIT))):
+                    fixed = (t.kind[span] == NUMBER) | (t.kind[span] == UNIT)
+                    readings = [(a[k], t.kind[span] != WORD), (b[k], fixed)]
+                    if not (fixed | t.capital[span]).all():
+                        readings.append((c[k], fixed | t.capital[span]))
+                    for h, slot in readings:
                         where = span[slot]
                         rows.append((ids[first + r], int(h.view(np.int64)), place, len(full), size, (where - int(w[k])).tolist(), t.plain[where].view(np.int64).tolist()))
         rows = list({(r[0], r[1], r[2]): r for r in rows}.values())
@@ -162,9 +173,8 @@ def _doc_windows(bitmap: bytes, sizes: list[int]):
                 t = Tokens(piece, at)
                 begin = np.searchsorted(t.row, np.arange(last - first + 1))
                 for size in sizes:
-                    w, a, b = t.windows(size)
-                    both = [(w, a)] + [(w[a != b], b[a != b])]
-                    for place, h in both:
+                    w, a, b, c = t.windows(size)
+                    for place, h in ((w, a), (w[a != b], b[a != b]), (w[a != c], c[a != c])):
                         hit = cells[_cells(h)] & valid[first + t.row[place]]
                         place, h = place[hit], h[hit]
                         if not len(place):
@@ -228,6 +238,19 @@ def _densest(hits: list[dict], reach: int) -> tuple[int, int, int]:
     return best
 
 
+def _longest(hits: list[dict]) -> tuple[int, int, int]:
+    """The longest run of item windows one by one along one shift: their number, its first match, past its last."""
+    best, begin, n = (0, 0, 0), 0, 0
+    for k, h in enumerate(hits):
+        step = h["item_at"] - hits[k - 1]["item_at"] if k else 0
+        if k and (step not in (0, 1) or h["doc_at"] - hits[k - 1]["doc_at"] != step):
+            begin, n = k, 0
+        n += step == 1 or k == begin
+        if n > best[0] or begin == best[1]:
+            best = (n, begin, k + 1)
+    return best
+
+
 def _slots(hits: list[dict]) -> tuple[int, float] | None:
     """Changed slots and agreement, if the item's values map to the document's one to one."""
     votes = defaultdict(lambda: defaultdict(int))
@@ -244,7 +267,7 @@ def _slots(hits: list[dict]) -> tuple[int, float] | None:
 
 
 def judged(hits: list[dict], n_windows: int) -> dict | None:
-    """An alignment of an item with a document that holds NEED of the item's windows close together and whose slots agree.
+    """An alignment of an item with a document whose slots agree: NEED of the item's windows close together, or RUN in a row.
 
     Each shift (place in the document less place in the item) in turn, the most frequent first, has the first choice of
     the windows, then the others by their frequency, so a template that the item repeats meets its own repetition only.
@@ -258,12 +281,9 @@ def judged(hits: list[dict], n_windows: int) -> dict | None:
         near = shifts[bisect_left(shifts, first - 2 * reach) : bisect_right(shifts, first + 2 * reach)]
         near.sort(key=lambda d: (d != first, -len(by_shift[d]), abs(d - first)))
         chosen = _aligned(by_shift, near)
-        matched, left, right = _densest(chosen, reach)
-        if matched < need:
-            continue
-        chosen = chosen[left:right]
-        if found := _slots(chosen):
-            return {"matched": matched, "doc_from": chosen[0]["doc_at"], "changed_slots": found[0], "agreement": found[1]}
+        for (matched, left, right), least in ((_densest(chosen, reach), need), (_longest(chosen), RUN)):
+            if matched >= least and (found := _slots(chosen[left:right])):
+                return {"matched": matched, "doc_from": chosen[left]["doc_at"], "changed_slots": found[0], "agreement": found[1]}
     return None
 
 
@@ -275,7 +295,7 @@ def contaminated(docs: DataFrame, items: DataFrame, text: str = "text", item_tex
     hits = found.join(windows, "hash").groupBy("doc_id", "item_id")
     hit = F.struct("doc_at", "item_at", "slots", "slot_values", "tokens")
     pairs = hits.agg(F.first("n_windows").alias("n_windows"), F.collect_set("item_at").alias("places"), F.collect_list(hit).alias("hits"))
-    pairs = pairs.where(F.size("places") >= F.ceil(F.lit(NEED) * F.col("n_windows")))
+    pairs = pairs.where(F.size("places") >= F.least(F.ceil(F.lit(NEED) * F.col("n_windows")), F.lit(RUN)))
 
     @F.arrow_udf("struct<matched:int,doc_from:int,changed_slots:int,agreement:double>")
     def judge(hits: pa.Array, n_windows: pa.Array) -> pa.Array:

@@ -123,6 +123,22 @@ def test_items_that_repeat_a_template(spark):
     assert got[10, 0].changed_slots == got[11, 1].changed_slots == 0 and got[12, 0].changed_slots == 6
 
 
+SELLERS = "Anna sells 12 pens for 40 cents each. Bert buys 7 of them and pays with a 5 dollar note. How much change does he get"
+
+
+def test_names_that_open_sentences_and_long_quotes(spark):
+    rng = random.Random(22)
+    long = prose(rng, 80, [f"{w}{k}x" for w in WORDS for k in range(9)])
+    other = SELLERS.replace("Anna", "Carla").replace("Bert", "Dirk").replace("12", "30").replace("40", "25").replace("7", "4")
+    docs = [(1, f"{prose(rng, 30)}. {other}. {prose(rng, 30)}"), (2, " ".join(long.split()[:60])), (3, " ".join(long.split()[30:50])), (4, " ".join(long.split()[30:49]))]
+    docs += [(5, SELLERS.lower()), (6, SELLERS.upper()), (7, " ".join(long.split()[30:42] + long.split()[2:14]))]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = contamination.contaminated(df, spark.createDataFrame([(1, SELLERS), (2, long)], "item_id long, text string"))
+    got = {(r.doc_id, r.item_id): r for r in got.collect()}
+    assert set(got) == {(1, 1), (2, 2), (3, 2), (5, 1), (6, 1)}
+    assert got[1, 1].changed_slots == 5 and got[2, 2].matched == 56 and got[3, 2].matched == contamination.RUN
+
+
 def test_leaks_of_the_test_data(spark):
     folder = "/root/testdata/sf0.001"
     got = {(r.doc_id, r.item_id) for r in contamination.query(spark, folder).collect()}
