@@ -14,7 +14,9 @@ stand in it one after the other and their slots agree.
 
 Defined cases: a null or empty text, and an item without a token, match nothing; an item with fewer than
 WINDOW tokens is one window of its own length; a window without a plain word is no evidence unless the
-item has no other; of repeated items each is reported; repeated documents are reported once each row's doc_id.
+item has no other; of repeated items each is reported; rows of equal id and text are one document and reported once, rows that share only
+the id are judged and removed each by its own text; rows without an id are judged if `without_id` is set, as the
+query and the pipeline do, and kept otherwise.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from math import ceil
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barline.llm.common import documents
@@ -158,7 +160,7 @@ def _item_windows(batches):
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["item_id", "hash", "item_at", "n_windows", "size", "slots", "slot_values"])
 
 
-DOC_WINDOWS = "doc_id long, hash long, doc_at int, tokens array<long>"
+DOC_WINDOWS = "doc_id long, key long, hash long, doc_at int, tokens array<long>"
 
 
 def _doc_windows(bitmap: bytes, sizes: list[int]):
@@ -166,25 +168,24 @@ def _doc_windows(bitmap: bytes, sizes: list[int]):
 
     def run(batches):
         for batch in batches:
-            data, offsets = flat(batch.column(1))
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            valid = ~np.asarray(batch.column(0).is_null())
+            data, offsets = flat(batch.column(2))
             for first, last, piece, at in pieces(data, offsets):
                 t = Tokens(piece, at)
                 begin = np.searchsorted(t.row, np.arange(last - first + 1))
                 for size in sizes:
                     w, a, b, c = t.windows(size)
                     for place, h in ((w, a), (w[a != b], b[a != b]), (w[a != c], c[a != c])):
-                        hit = cells[_cells(h)] & valid[first + t.row[place]]
+                        hit = cells[_cells(h)]
                         place, h = place[hit], h[hit]
                         if not len(place):
                             continue
                         row = t.row[place]
+                        of = pa.array(first + row)
                         tokens = t.plain[place[:, None] + np.arange(size)].view(np.int64)
                         lists = pa.ListArray.from_arrays(pa.array(np.arange(len(place) + 1, dtype=np.int32) * size), pa.array(tokens.ravel()))
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array(ids[first + row].astype(np.int64)), pa.array(h.view(np.int64)), pa.array((place - begin[row]).astype(np.int32)), lists],
-                            ["doc_id", "hash", "doc_at", "tokens"],
+                            [batch.column(0).take(of).cast(pa.int64()), batch.column(1).take(of), pa.array(h.view(np.int64)), pa.array((place - begin[row]).astype(np.int32)), lists],
+                            ["doc_id", "key", "hash", "doc_at", "tokens"],
                         )
 
     return run
@@ -287,12 +288,13 @@ def judged(hits: list[dict], n_windows: int) -> dict | None:
     return None
 
 
-def contaminated(docs: DataFrame, items: DataFrame, text: str = "text", item_text: str = "text") -> DataFrame:
-    """One row per document and benchmark item found in it."""
+def _found(docs: DataFrame, items: DataFrame, text: str, item_text: str, without_id: bool) -> DataFrame:
+    """One row per distinct document, told by its id and a key of its id and text, and benchmark item found in it."""
     windows = items.select("item_id", item_text).mapInArrow(_item_windows, ITEM_WINDOWS)
     bitmap, sizes = _or_bitmaps(windows)
-    found = docs.select("doc_id", text).mapInArrow(_doc_windows(bitmap, sizes), DOC_WINDOWS)
-    hits = found.join(windows, "hash").groupBy("doc_id", "item_id")
+    rows = docs if without_id else docs.where("doc_id is not null")
+    found = rows.select("doc_id", _key(docs, text).alias("key"), text).mapInArrow(_doc_windows(bitmap, sizes), DOC_WINDOWS)
+    hits = found.join(windows, "hash").groupBy("doc_id", "key", "item_id")
     hit = F.struct("doc_at", "item_at", "slots", "slot_values", "tokens")
     pairs = hits.agg(F.first("n_windows").alias("n_windows"), F.collect_set("item_at").alias("places"), F.collect_list(hit).alias("hits"))
     pairs = pairs.where(F.size("places") >= F.least(F.ceil(F.lit(NEED) * F.col("n_windows")), F.lit(RUN)))
@@ -303,14 +305,23 @@ def contaminated(docs: DataFrame, items: DataFrame, text: str = "text", item_tex
         kind = pa.struct([("matched", pa.int32()), ("doc_from", pa.int32()), ("changed_slots", pa.int32()), ("agreement", pa.float64())])
         return pa.array(rows, kind)
 
-    rows = pairs.select("doc_id", "item_id", "n_windows", judge("hits", "n_windows").alias("j")).where("j is not null")
-    return rows.select("doc_id", "item_id", "n_windows", "j.*", (F.col("j.matched") / F.col("n_windows")).alias("coverage"))
+    rows = pairs.select("doc_id", "key", "item_id", "n_windows", judge("hits", "n_windows").alias("j")).where("j is not null")
+    return rows.select("doc_id", "key", "item_id", "n_windows", "j.*", (F.col("j.matched") / F.col("n_windows")).alias("coverage"))
 
 
-def clean(docs: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:
-    """The documents that hold no benchmark item; all columns as they are."""
-    gone = contaminated(docs, items, text).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+def _key(docs: DataFrame, text: str) -> Column:
+    return F.xxhash64(docs["doc_id"], docs[text])
+
+
+def contaminated(docs: DataFrame, items: DataFrame, text: str = "text", item_text: str = "text", without_id: bool = False) -> DataFrame:
+    """One row per distinct document (id and text) and benchmark item found in it; rows without an id only if asked for."""
+    return _found(docs, items, text, item_text, without_id).drop("key")
+
+
+def clean(docs: DataFrame, items: DataFrame, text: str = "text", without_id: bool = False) -> DataFrame:
+    """The documents that hold no benchmark item; all columns as they are. Rows without an id are kept, unless asked to be judged."""
+    gone = _found(docs, items, text, "text", without_id).select("doc_id", "key").distinct()
+    return docs.join(gone, (_key(docs, text) == gone["key"]) & docs["doc_id"].eqNullSafe(gone["doc_id"]), "left_anti").select(docs.columns)
 
 
 def benchmark(spark: SparkSession, folder: str) -> DataFrame:
@@ -318,7 +329,7 @@ def benchmark(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:
-    return contaminated(documents(spark, folder, "doc_id", "text"), benchmark(spark, folder))
+    return contaminated(documents(spark, folder, "doc_id", "text"), benchmark(spark, folder), without_id=True)
 
 
 def words_of(text: str | None) -> list[str]:

@@ -23,7 +23,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
-    return contamination.clean(docs, contamination.benchmark(spark, sf_dir))
+    return contamination.clean(docs, contamination.benchmark(spark, sf_dir), without_id=True)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -139,6 +139,19 @@ def test_names_that_open_sentences_and_long_quotes(spark):
     assert got[1, 1].changed_slots == 5 and got[2, 2].matched == 56 and got[3, 2].matched == contamination.RUN
 
 
+def test_rows_without_an_id_and_namesakes(spark, folder):
+    rng = random.Random(23)
+    other = [prose(rng, 40) for _ in range(3)]
+    docs = [(None, f"{other[0]} {ITEM}"), (None, other[0]), (None, None), (1, ITEM), (1, other[1]), (2**60 + 1, f"{ITEM} {other[2]}"), (2**60 + 1, other[2])]
+    at = folder(docs, benchmark=[(10, ITEM)])
+    df, items = spark.read.parquet(f"{at}/documents.parquet"), contamination.benchmark(spark, at)
+    assert sorted(r.doc_id or 0 for r in contamination.query(spark, at).collect()) == [0, 1, 2**60 + 1]
+    left = corpus_pipeline.decontaminated(spark, df, at)
+    want = [(None, other[0]), (None, None), (1, other[1]), (2**60 + 1, other[2])]
+    assert left.columns == df.columns and sorted([(r.doc_id, r.text) for r in left.collect()], key=repr) == sorted(want, key=repr)
+    assert contamination.clean(df, items).count() == 5
+
+
 def test_leaks_of_the_test_data(spark):
     folder = "/root/testdata/sf0.001"
     got = {(r.doc_id, r.item_id) for r in contamination.query(spark, folder).collect()}
