@@ -32,10 +32,10 @@ from barline.llm.common import bounded_sample, documents, remainder
 from barline.llm.words import flat, folded, mixed, pieces, span_hashes, spans_of
 
 BEGINNINGS = (5, 6, 7)  # bytes
-SAMPLE_ROWS = 8000
+SAMPLE_ROWS = 24_000
 LEAST_TEXTS = 6
 LEAST_RATIO = 30.0
-TERMS = 2048
+TERMS = 4096
 LEVELS = 4
 NEAREST = 15
 BLOCK = 64

@@ -42,6 +42,16 @@ def test_toxicity_of_unlabelled_texts(spark, folder, edges):
     assert got[10**6 + 1].predicted == 0 and got[4].evidence and not got[1].evidence
 
 
+def test_toxicity_of_rare_words(spark, folder):
+    rng = random.Random(31)
+    rare = ["".join(rng.choice("bcdfghjklmnpqrstvwxz") for _ in range(9)) for _ in range(60)]
+    docs = [(k, f"{prose(rng, 6)} {rare[k // 25 % 60]} {prose(rng, 6)}" if k % 25 == 0 else prose(rng, 12)) for k in range(22_500)]
+    got = toxicity.query(spark, folder(docs, [(k, 1, int(k % 25 == 0)) for k, _ in docs])).where("held_out").collect()
+    found = [r.predicted for r in got if r.doc_id % 25 == 0]
+    assert len(found) > 200 and sum(found) > 0.95 * len(found)
+    assert not any(r.predicted for r in got if r.doc_id % 25)
+
+
 def test_nearest_examples_are_exact():
     rng = random.Random(4)
     import numpy as np
