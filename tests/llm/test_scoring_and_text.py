@@ -279,6 +279,20 @@ def test_formats_are_learned():
     assert secrets.learned({}, ["a"]) is None
 
 
+def test_short_letter_only_and_late_digit_credentials_are_judged(spark):
+    rng = random.Random(12)
+    letters = "BCDFGHJKLMNPQRSTVWXZ"
+    value = lambda n: "".join(rng.choice(letters) for _ in range(n))
+    # All labelled values come late in their texts, where the first 4,000 characters do not reach.
+    docs = spark.createDataFrame([(k, f"{prose(rng, 900)} password={value(10 + k % 3)}") for k in range(120)], "doc_id long, text string")
+    model = secrets.fit(docs)
+    assert model.shortest == 10
+    short = value(11)
+    assert secrets.spans(f"see {short} there, wellknownphrase and {short.lower()[:6]}", model) == [(4, secrets.FORMAT, 15)]
+    late = secrets.learned({0: [value(80) + "7" for _ in range(60)]}, prose(rng, 300).split())
+    assert secrets.spans(f"see {value(80)}7 there", late) == [(4, secrets.FORMAT, 85)]
+
+
 def test_redaction(spark):
     df = spark.createDataFrame([(1, f"a password=abcdefgh1 b {HEX}", 5), (2, None, 6), (3, "plain", 7)], "doc_id long, text string, spans int")
     got = {r.doc_id: (r.text, r.spans) for r in secrets.redact(df, None).collect()}
