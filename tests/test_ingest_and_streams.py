@@ -6,7 +6,7 @@ from types import SimpleNamespace
 from zipfile import ZipFile
 
 import pytest
-from conftest import bar, random_candles
+from helpers import bar, random_candles
 from pyspark.errors import PythonException
 from pyspark.sql import functions as F
 

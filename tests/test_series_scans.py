@@ -4,7 +4,7 @@ import statistics
 
 import pytest
 from pyspark.sql import functions as F
-from conftest import by_series, random_candles, seconds
+from helpers import by_series, random_candles, seconds
 
 from barline.operators import backtest, indicators
 from barline.operators.chunks import first_n, last_n, over_chunks

@@ -2,7 +2,7 @@ import re
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import DATA, bar, by_series, random_candles, seconds
+from helpers import DATA, bar, by_series, random_candles, seconds
 
 from barline.functions.text import clean_symbol, split_symbol, url_to_path
 from barline.functions.time import epoch_seconds, epoch_to_ntz, ntz_from_seconds
