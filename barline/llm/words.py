@@ -122,3 +122,8 @@ def shingles(words: np.ndarray, k: int = 5) -> np.ndarray:
     for j in range(m):
         h = mixed((h ^ words[j : n - m + 1 + j]) * _TURN[j % len(_TURN)] + np.uint64(j))
     return np.unique(h)
+
+
+def taken(values: np.ndarray, begin: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Stretches of an array, one after the other: `n` values from each `begin`."""
+    return values[np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())]
