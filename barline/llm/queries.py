@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barline.llm import bytebpe, contamination, language, neardup, pages, quality, repeats, secrets, sentencepiece, spelling, sql, syncmers, toxicity
+from barline.llm import bytebpe, contamination, conversations, language, neardup, pages, quality, repeats, secrets, sentencepiece, spelling, sql, syncmers, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_syncmer_fingerprints": syncmers.query,
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": sentencepiece.query,
     "op9_minhash_near_dedup": neardup.query,
     "op10_language_id": language.query,
+    "op11_conversation_repair": conversations.query,
     "op12_spelling_variants": spelling.query,
     "op13_byte_bpe": bytebpe.query,
 }
