@@ -17,14 +17,16 @@ def register_time_function(spark: SparkSession) -> None:
 
 
 def register_gap_function(spark: SparkSession, candle_view: str) -> None:
-    """missing_days(sym, iv, start_d, end_d): days of one series without a bar in a view."""
+    """missing_days(sym, iv, start_d, end_d): days of a series without a bar in a view.
+
+    Also of many at once: `FROM wanted w, LATERAL missing_days(w.symbol, w.interval, ...)` becomes one aggregation of
+    the view, to a set of days for each series, and a join with the list.
+    """
     spark.sql(f"""
         CREATE OR REPLACE TEMPORARY FUNCTION
             missing_days(sym STRING, iv STRING, start_d DATE, end_d DATE)
         RETURNS TABLE (d DATE)
-        RETURN SELECT e.d
-               FROM (SELECT explode(sequence(start_d, end_d, INTERVAL 1 DAY)) AS d) e
-               LEFT ANTI JOIN (SELECT DISTINCT to_date(open_time) AS d FROM {candle_view}
-                               WHERE symbol = sym AND interval = iv) a
-               ON e.d = a.d
+        RETURN SELECT explode(array_except(sequence(start_d, end_d, INTERVAL 1 DAY), coalesce(a.days, array()))) AS d
+               FROM (SELECT collect_set(to_date(open_time)) AS days FROM {candle_view}
+                     WHERE symbol = sym AND interval = iv) a
     """)

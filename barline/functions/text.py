@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from barline.functions.time import _col
-from barline.schemas import INTERVALS
+from barline.schemas import INTERVALS, SYMBOL_LETTERS
 
 # Quote assets tried in this order as the end of a symbol.
 QUOTE_SUFFIXES = ["USDT", "USDC", "FDUSD", "BTC", "ETH", "BNB"]
@@ -32,9 +32,9 @@ def split_symbol(col="symbol") -> tuple[Column, Column]:
 
 
 def clean_symbol(col) -> Column:
-    """Upper-cased symbol, or NULL if it is not 1..20 letters and digits."""
+    """Upper-cased symbol, or NULL if it is not 1..20 letters and digits, by the rule of `check_symbol`."""
     symbol = F.upper(_col(col))
-    return F.when(symbol.rlike(r"^[\p{L}\p{N}]{1,20}\z"), symbol)
+    return F.when(symbol.rlike(rf"^[\p{{L}}\p{{N}}]{{1,{SYMBOL_LETTERS}}}\z"), symbol)
 
 
 def is_interval(col="interval") -> Column:
