@@ -71,10 +71,22 @@ def dry_run(files: DataFrame, symbols: DataFrame) -> DataFrame:
     return batch_status(plan_counts(files, symbols), dry_run=True)
 
 
+def run_batches(batches: DataFrame, inserted: DataFrame | None = None) -> DataFrame:
+    """The batch rows of a run, each with the number of files it loaded.
+
+    `batches` has url_count, failed and status by batch; `inserted` (batch, path) names the files, and stays a table
+    of its own: a run over an exchange has millions.
+    """
+    if inserted is None:
+        return batches.withColumn("inserted", F.lit(0).cast("bigint"))
+    files = inserted.groupBy("batch").agg(F.count(F.lit(1)).alias("inserted"))
+    return batches.join(files, "batch", "left").withColumn("inserted", F.coalesce("inserted", F.lit(0).cast("bigint")))
+
+
 def run_record(job: Backfill, symbols: DataFrame, batches: DataFrame, inserted: DataFrame | None = None) -> DataFrame:
-    """One row about a run: what was asked, how many symbols it had, its totals, its status, and its batches.
+    """One row about a run: what was asked, how many symbols it had, its totals and its status.
 
-    `batches` has url_count, failed and status by batch; `inserted` (batch, path) names the files a batch loaded.
+    The batches and the files they loaded are tables of their own, `run_batches` and `inserted`; here are their numbers.
     """
     wanted = job.universe
     asked = {
@@ -88,12 +100,7 @@ def run_record(job: Backfill, symbols: DataFrame, batches: DataFrame, inserted:
         "margin": wanted.margin if wanted else "none",
         "borrowable": wanted.borrowable if wanted else None,
     }
-    if inserted is None:
-        inserted = batches.sparkSession.createDataFrame([], "batch bigint, path string")
-    files = inserted.groupBy("batch").agg(F.array_sort(F.collect_list("path")).alias("inserted"))
-    rows = batches.join(files, "batch", "left").withColumn("inserted", F.coalesce("inserted", F.array().cast("array<string>")))
-    fields = [c for c in ("batch", "symbols", "url_count", "failed", "status", "inserted") if c in rows.columns]
-    status = F.col("status")
+    rows, status = run_batches(batches, inserted), F.col("status")
     total = rows.agg(
         F.sum("url_count").alias("url_count"),
         (F.sum("failed") if "failed" in rows.columns else F.lit(0).cast("bigint")).alias("failed"),
@@ -101,9 +108,11 @@ def run_record(job: Backfill, symbols: DataFrame, batches: DataFrame, inserted:
         .when(F.count_if(status == "complete_with_errors") > 0, "complete_with_errors")
         .otherwise(F.min(status))
         .alias("status"),
-        F.array_sort(F.collect_list(F.struct(*fields))).alias("batches"),
+        F.count(F.lit(1)).alias("batches"),
+        F.sum("inserted").alias("inserted"),
     )
     count = symbols.agg(F.count(F.lit(1)).alias("symbol_count"))
     one = F.lit(1)
     record = total.withColumn("_one", one).join(count.withColumn("_one", one), "_one").drop("_one")
-    return record.select(*[F.lit(v).cast("boolean" if isinstance(v, bool) else "string").alias(k) for k, v in asked.items()], "symbol_count", "url_count", "failed", "status", "batches")
+    given = [F.lit(v).cast("boolean" if isinstance(v, bool) else "string").alias(k) for k, v in asked.items()]
+    return record.select(*given, "symbol_count", "url_count", "failed", "status", "batches", "inserted")

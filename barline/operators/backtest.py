@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from barline.functions.time import epoch_seconds
 from barline.operators.chunks import CHUNK_BARS, first_n, last_n, with_carried, with_chunk
+from barline.operators.frames import BLOCK
 from barline.operators.indicators import FAST_LENGTH, SLOW_LENGTH, ma_cross_bars
 from barline.schemas import EQUITY_START, INTERVAL_SECONDS, SERIES, YEAR_SECONDS, check_limit
 
@@ -46,7 +47,7 @@ def equity(
     bars = df.select(*SERIES, "open_time", "close")
     if check_limit(last) is not None:
         bars = last_n(bars, last, chunk_bars=chunk_bars)
-    so_far = _chunk().rowsBetween(W.unboundedPreceding, W.currentRow)
+    so_far = W.partitionBy(*SERIES, "chunk").orderBy("open_time").rowsBetween(W.unboundedPreceding, W.currentRow)
     counts_at = F.when(F.col("close") != 0, F.col("open_time"))
     zero_at = F.when(F.col("close") == 0, F.col("open_time"))
     bars = with_chunk(bars, chunk_bars).withColumns(
@@ -146,8 +147,9 @@ def _held_chunks(df, fast, slow, chunk_bars) -> tuple[DataFrame, dict]:
     return bars, {"last_signal": F.max_by("signal", signal_at)}
 
 
-def _chunk(order="open_time"):
-    return W.partitionBy(*SERIES, "chunk").orderBy(order)
+def _chunk(backward=False):
+    """A chunk's bars in the order in which the averages have left them."""
+    return W.partitionBy(*SERIES, "chunk").orderBy(*[F.desc(c) if backward else F.asc(c) for c in (BLOCK, "place")])
 
 
 def _held_at_start(past, _):
@@ -155,6 +157,18 @@ def _held_at_start(past, _):
     return {"start": F.coalesce(last == "buy", F.lit(False))}
 
 
+def _kept_share(fee_bps, slippage_bps) -> float:
+    """What an entry or exit leaves of the value."""
+    return 1 - (fee_bps + slippage_bps) / 1e4
+
+
+def _factor(start: bool, keep: float) -> Column:
+    """What a bar multiplies the value by, if the chunk starts held or not."""
+    now, before = F.coalesce("now", F.lit(start)), F.coalesce("before", F.lit(start))
+    change = F.when(before, F.try_divide(F.col("close"), F.col("previous")))
+    return F.coalesce(change, F.lit(1.0)) * F.when(now != before, F.lit(keep)).otherwise(F.lit(1.0))
+
+
 def net_equity(
     df: DataFrame,
     fast=FAST_LENGTH,
@@ -170,19 +184,14 @@ def net_equity(
     entry or exit multiplies it by 1 - (fee + slippage) / 10000. A chunk's growth is known for
     both states it can start in, so one pass carries the state and the growth together.
     """
-    keep = 1 - (fee_bps + slippage_bps) / 1e4
-
-    def factor(start):
-        now, before = F.coalesce("now", F.lit(start)), F.coalesce("before", F.lit(start))
-        change = F.when(before, F.try_divide(F.col("close"), F.col("previous")))
-        return F.coalesce(change, F.lit(1.0)) * F.when(now != before, F.lit(keep)).otherwise(F.lit(1.0))
+    keep = _kept_share(fee_bps, slippage_bps)
 
     def chosen(if_held, if_out):
         return F.when(F.col("start"), F.col(if_held)).otherwise(F.col(if_out))
 
     so_far = _chunk().rowsBetween(W.unboundedPreceding, W.currentRow)
     bars, last_signal = _held_chunks(df, fast, slow, chunk_bars)
-    bars = bars.withColumns({"if_held": factor(True), "if_out": factor(False)})
+    bars = bars.withColumns({"if_held": _factor(True, keep), "if_out": _factor(False, keep)})
     bars = bars.withColumns({f"so_far_{c}": F.product(c).over(so_far) for c in ("if_held", "if_out")})
     bars = with_carried(
         bars,
@@ -207,7 +216,7 @@ def trades(
     """
     is_exit = F.col("signal") == "exit"
     exit_ = F.when(is_exit, F.struct("open_time", "close"))
-    later = _chunk(F.desc("open_time")).rowsBetween(W.unboundedPreceding, W.currentRow - 1)
+    later = _chunk(backward=True).rowsBetween(W.unboundedPreceding, W.currentRow - 1)
     bars, last_signal = _held_chunks(df, fast, slow, chunk_bars)
     signals = bars.where(F.col("signal").isNotNull()).select(
         *SERIES, "chunk", "open_time", "close", "signal", "before", F.last(exit_, ignorenulls=True).over(later).alias("done")
@@ -234,6 +243,54 @@ def trades(
     )
 
 
+def _chunk_figures(df, fast, slow, keep, chunk_bars) -> DataFrame:
+    """One row per (series, chunk) with all that `metrics` needs of it, for both states it may start in.
+
+    Values are relative to the value the chunk starts with. Ahead of the chunk's first signal the state is
+    that of the start; so the first signal opens a trade only from outside and the first exit may close a trade
+    of an earlier chunk, while all later entries and exits are the same for both.
+    """
+    bars, last_signal = _held_chunks(df, fast, slow, chunk_bars)
+    so_far = _chunk().rowsBetween(W.unboundedPreceding, W.currentRow)
+    for s, start in (("in", True), ("out", False)):
+        bars = bars.withColumn(f"factor_{s}", _factor(start, keep))
+        bars = bars.withColumn(f"value_{s}", F.product(f"factor_{s}").over(so_far))
+        bars = bars.withColumns({f"top_{s}": F.max(f"value_{s}").over(so_far), f"value_before_{s}": F.lag(f"value_{s}").over(_chunk())})
+    buy, exit_ = F.col("signal") == "buy", F.col("signal") == "exit"
+    entry = buy & ~F.col("before")
+    bars = bars.withColumns(
+        {
+            "entry_price": F.last(F.when(entry, F.col("close")), ignorenulls=True).over(so_far),
+            "exits": F.count(F.when(exit_, 1)).over(so_far),
+        }
+    )
+    opens = F.col("signal").isNotNull() & F.col("before").isNull()
+    closing = exit_ & F.col("before") & (F.col("exits") > 1)
+    figures = last_signal | {
+        "n": F.count(F.lit(1)),
+        "first_signal": F.max(F.when(opens, F.col("signal"))),
+        "first_price": F.max(F.when(opens, F.col("close"))),
+        "first_exit": F.max(F.when(exit_ & (F.col("exits") == 1), F.col("close"))),
+        "entries": F.count_if(entry),
+        "last_entry": F.max_by("close", F.when(entry, F.col("open_time"))),
+        "closings": F.count_if(closing),
+        "wins": F.count_if(closing & (F.col("close") > F.col("entry_price"))),
+    }
+    for s in ("in", "out"):
+        factor, value, before = F.col(f"factor_{s}"), F.col(f"value_{s}"), F.col(f"value_before_{s}")
+        gain = F.when(F.col("previous").isNotNull() & (F.coalesce(before, F.lit(1.0)) != 0), factor - 1)
+        figures |= {
+            f"growth_{s}": F.product(factor),
+            f"top_{s}": F.max(value),
+            f"low_{s}": F.min(value),
+            f"fall_{s}": F.min(F.try_divide(value, F.col(f"top_{s}"))),
+            f"gains_{s}": F.count(gain),
+            f"mean_{s}": F.avg(gain),
+            f"squares_{s}": F.var_pop(gain) * F.count(gain),
+        }
+    return bars.groupBy(*SERIES, "chunk").agg(*[c.alias(name) for name, c in figures.items()])
+
+
 def metrics(
     df: DataFrame,
     fast=FAST_LENGTH,
@@ -245,21 +302,65 @@ def metrics(
 ) -> DataFrame:
     """One row per series: the moving-average strategy's return, risk and trades over all its bars.
 
-    The win rate counts closed trades only and is NULL without one; the Sharpe ratio is NULL while
-    the value never changes.
+    The bars are read once: each chunk becomes one row, and these rows are folded. Of a fall, a chunk
+    knows the deepest from a peak of its own and its lowest value, which meets the highest peak before it; gains
+    are merged by their counts, means and squared deviations. The win rate counts closed trades only and is NULL
+    without one; the Sharpe ratio is NULL while the value never changes.
     """
-    curve = net_equity(df, fast, slow, capital, fee_bps, slippage_bps, chunk_bars)
-    final = curve.groupBy(*SERIES).agg(F.max_by("value", "open_time").alias("final_value"))
-    final = final.withColumn("total_return_pct", (F.col("final_value") / capital - 1) * 100)
-    closed = F.col("exit_time").isNotNull()
-    done = trades(df, fast, slow, 1.0, chunk_bars).groupBy(*SERIES).agg(
-        F.count(F.lit(1)).alias("trade_count"),
-        F.count_if(closed).alias("closed_count"),
-        F.count_if(closed & (F.col("pnl") > 0)).alias("won"),
+    rows = _chunk_figures(df, fast, slow, _kept_share(fee_bps, slippage_bps), chunk_bars)
+    series = W.partitionBy(*SERIES)
+    past = series.orderBy("chunk").rowsBetween(W.unboundedPreceding, W.currentRow - 1)
+    rows = rows.withColumns(_held_at_start(past, None))
+    for c in ("growth", "top", "low", "fall", "gains", "mean", "squares"):
+        rows = rows.withColumn(c, F.when(F.col("start"), F.col(f"{c}_in")).otherwise(F.col(f"{c}_out")))
+    opened = (F.col("first_signal") == "buy") & ~F.col("start")
+    opened = F.coalesce(opened, F.lit(False))
+    own_entry = F.coalesce("last_entry", F.when(opened, F.col("first_price")))
+    rows = rows.withColumns(
+        {
+            "before": F.coalesce(F.product("growth").over(past), F.lit(1.0)),
+            "carried": F.last(own_entry, ignorenulls=True).over(past),
+            "opened": opened,
+        }
     )
-    rows = risk(curve, chunk_bars=chunk_bars).join(final, SERIES).join(done, SERIES, "left")
-    counts = {c: F.coalesce(c, F.lit(0).cast("bigint")) for c in ("trade_count", "closed_count", "won")}
-    rows = rows.withColumns(counts).withColumn("win_rate_pct", F.try_divide(F.col("won"), F.col("closed_count")) * 100)
-    return rows.select(
-        *SERIES, "bars", "final_value", "total_return_pct", "max_drawdown_pct", "sharpe", "win_rate_pct", "trade_count", "closed_count"
+    rows = rows.withColumn("peak", F.max(F.col("before") * F.col("top")).over(past))
+    dead = F.col("before") == 0
+    low = F.try_divide(F.col("before") * F.col("low"), F.col("peak"))
+    closes = F.col("first_exit").isNotNull() & ((F.col("first_signal") == "buy") | F.col("start"))
+    price = F.when(F.col("opened"), F.col("first_price")).otherwise(F.col("carried"))
+    rows = rows.withColumns(
+        {
+            "fall": F.least(low, F.when(~dead, F.col("fall"))),
+            "gains": F.when(dead, 0).otherwise(F.col("gains")),
+            "closes": closes.cast("bigint"),
+            "wins_first": (closes & (F.col("first_exit") > price)).cast("bigint"),
+        }
+    )
+    # A chunk without gains has no mean.
+    rows = rows.withColumns({c: F.when(F.col("gains") > 0, F.col(c)).otherwise(0.0) for c in ("mean", "squares")})
+    all_gains = F.sum("gains").over(series)
+    rows = rows.withColumn("overall", F.try_divide(F.sum(F.col("gains") * F.col("mean")).over(series), all_gains))
+    off = F.col("mean") - F.col("overall")
+    found = rows.groupBy(*SERIES).agg(
+        F.sum("n").alias("bars"),
+        (F.lit(capital) * F.product("growth")).alias("final_value"),
+        F.min("fall").alias("fall"),
+        F.sum("gains").alias("gains"),
+        F.max("overall").alias("mean"),
+        F.sum(F.col("squares") + F.col("gains") * off * off).alias("squares"),
+        F.sum(F.col("entries") + F.col("opened").cast("bigint")).alias("trade_count"),
+        F.sum(F.col("closings") + F.coalesce("closes", F.lit(0))).alias("closed_count"),
+        F.sum(F.col("wins") + F.coalesce("wins_first", F.lit(0))).alias("won"),
+    )
+    spread = F.sqrt(F.try_divide(F.col("squares"), F.col("gains") - 1))
+    return found.select(
+        *SERIES,
+        "bars",
+        "final_value",
+        ((F.col("final_value") / capital - 1) * 100).alias("total_return_pct"),
+        ((F.col("fall") - 1) * 100).alias("max_drawdown_pct"),
+        (F.try_divide(F.col("mean"), spread) * F.sqrt(bars_a_year())).alias("sharpe"),
+        (F.try_divide(F.col("won"), F.col("closed_count")) * 100).alias("win_rate_pct"),
+        "trade_count",
+        "closed_count",
     )

@@ -41,5 +41,18 @@ def coverage(df: DataFrame, symbols=None, interval: str | None = None, offset=0)
     )
 
 
+def stored_coverage(stored: DataFrame, symbols=None, interval: str | None = None, offset=0) -> DataFrame:
+    """The same from `candles.stored_series`, which reads no bars; both filters reach its partitions.
+
+    Its rows also serve the other functions here, which need no more than a symbol and an interval.
+    """
+    if symbols is not None:
+        stored = stored.where(F.col("symbol").isin([check_symbol(s) for s in symbols]))
+    if interval is not None:
+        stored = stored.where(F.col("interval") == check_interval(interval))
+    times = [F.expr(f"{c} - {int(offset)}L as {c}") for c in ("first_time", "last_time")]
+    return with_assets(stored).select(*SERIES, "base_asset", "quote_asset", *times, "count")
+
+
 def distinct_symbols(df: DataFrame) -> DataFrame:
     return df.agg(F.count_distinct("symbol").alias("symbols"))

@@ -32,8 +32,7 @@ CHUNK_BARS = 65536
 
 def chunk_of(chunk_bars: int = CHUNK_BARS) -> Column:
     """Number of the chunk that holds a bar."""
-    width = interval_seconds("interval") * F.lit(chunk_bars).cast("bigint")
-    return F.floor(epoch_seconds("open_time") / width).cast("bigint")
+    return F.floor(epoch_seconds("open_time") / (interval_seconds("interval") * chunk_bars)).cast("bigint")
 
 
 def with_chunk(df: DataFrame, chunk_bars: int = CHUNK_BARS) -> DataFrame:

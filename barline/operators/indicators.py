@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from barline.functions.time import epoch_seconds
 from barline.operators.chunks import CHUNK_BARS, bar_counts, first_n, over_chunks, with_chunk
+from barline.operators.frames import along, with_moving_means, with_top_before
 from barline.schemas import DEFAULT_LENGTH, SERIES, check_length, check_limit
 
 # The look of the two markers.
@@ -21,12 +22,6 @@ BREAKOUT_LOOKBACK = 30
 ATR_LENGTH = 14
 
 
-def _mean(column, length, w):
-    """Mean of the last `length` rows, NULL until there are that many."""
-    frame = w.rowsBetween(1 - length, W.currentRow)
-    return F.when(F.col("pos") >= length, F.avg(column).over(frame))
-
-
 def sma(
     df: DataFrame, length: int = DEFAULT_LENGTH, limit: int | None = None, chunk_bars: int = CHUNK_BARS
 ) -> DataFrame:
@@ -40,7 +35,7 @@ def sma(
         bars = first_n(bars, limit, chunk_bars=chunk_bars)
 
     def steps(bars, w):
-        return bars.withColumn("value", _mean("close", length, w))
+        return with_moving_means(bars, {"value": ("close", length)})
 
     full = over_chunks(bars, length - 1, steps, chunk_bars=chunk_bars).where(F.col("value").isNotNull())
     return full.select(*SERIES, epoch_seconds("open_time").alias("time"), "value")
@@ -88,19 +83,21 @@ def ma_cross_bars(df: DataFrame, fast=FAST_LENGTH, slow=SLOW_LENGTH, chunk_bars:
     """Every bar with its two averages, the close before it and its signal (buy, exit or NULL).
 
     A buy is a bar whose fast average is above the slow one after not being above it on the
-    bar before; an exit is the reverse. All four averages must be full.
+    bar before; an exit is the reverse. All four averages must be full. (block, place) is a bar's place in
+    its chunk, in the order in which the rows lie.
     """
     check_length(fast)
     check_length(slow)
 
     def steps(bars, w):
-        bars = bars.withColumns({"fast": _mean("close", fast, w), "slow": _mean("close", slow, w)})
+        bars = with_moving_means(bars, {"fast": ("close", fast), "slow": ("close", slow)})
+        w = along()
         bars = bars.withColumns(
             {"f0": F.lag("fast").over(w), "s0": F.lag("slow").over(w), "previous": F.lag("close").over(w)}
         )
         buy = (F.col("fast") > F.col("slow")) & (F.col("f0") <= F.col("s0"))
         exit_ = (F.col("fast") < F.col("slow")) & (F.col("f0") >= F.col("s0"))
-        return bars.withColumn("signal", F.when(buy, "buy").when(exit_, "exit")).drop("f0", "s0")
+        return bars.withColumn("signal", F.when(buy, "buy").when(exit_, "exit")).drop("f0", "s0").withColumn("place", F.col("pos"))
 
     bars = df.select(*SERIES, "open_time", "close")
     return over_chunks(bars, max(fast, slow), steps, chunk_bars=chunk_bars)
@@ -120,19 +117,17 @@ def breakout(
     check_length(atr_length)
 
     def steps(bars, w):
-        before = F.lag("close").over(w)
-        bars = bars.withColumns(
-            {"previous": before, "top": F.max("high").over(w.rowsBetween(-lookback, -1))}
-        )
+        bars = bars.withColumn("previous", F.lag("close").over(w))
         span = F.greatest(
             F.col("high") - F.col("low"),
             F.abs(F.col("high") - F.col("previous")),
             F.abs(F.col("low") - F.col("previous")),
         )
         bars = bars.withColumn("true_range", F.when(F.col("previous").isNotNull(), span))
-        frame = w.rowsBetween(1 - atr_length, W.currentRow)
+        bars = with_top_before(bars, "top", "high", lookback)
+        bars = with_moving_means(bars, {"mean_range": ("true_range", atr_length)})
         full = (F.col("pos") > lookback) & (F.col("pos") > atr_length)
-        return bars.withColumn("atr", F.when(full, F.avg("true_range").over(frame)))
+        return bars.withColumn("atr", F.when(full, F.col("mean_range"))).drop("mean_range")
 
     bars = df.select(*SERIES, "open_time", "high", "low", "close")
     bars = over_chunks(bars, max(lookback, atr_length), steps, chunk_bars=chunk_bars)

@@ -10,6 +10,7 @@ from barline.operators.series import one_series, ordered, time_range
 from barline.schemas import check_interval, check_legs, check_range
 
 PAIR = ["base_symbol", "quote_symbol", "interval"]
+SLOTS = 32
 
 
 def ratio_columns() -> list[Column]:
@@ -61,34 +62,41 @@ def ratio(
     base, quote = check_legs(base, quote)
     rows = time_range(df.where(F.col("interval") == check_interval(interval)), from_, to, offset)
     b = _leg(one_series(rows, base, interval), "base")
-    q = _quote_leg(one_series(rows, quote, interval)).drop("interval")
-    pairs = b.join(q, "open_time").select("open_time", *ratio_columns())
+    q = _quote_leg(one_series(rows, quote, interval))
+    pairs = b.join(q, ["interval", "open_time"]).select("open_time", *ratio_columns())
     return ordered(pairs, order, limit).select(
         epoch_seconds("open_time", offset).alias("time"), "open", "high", "low", "close", "base_close", "quote_close"
     )
 
 
-def ratios(df: DataFrame, pairs: DataFrame, from_=None, to=None) -> DataFrame:
+def ratios(df: DataFrame, pairs: DataFrame, from_=None, to=None, placed: bool = False) -> DataFrame:
     """Ratio candles of every (base_symbol, quote_symbol) row of `pairs`, at every interval.
 
-    The bars of the symbols in use are shuffled once, by interval and time. The quotes of a moment
-    become one map by symbol, pairs are attached to the base bars after that shuffle, and both
-    sides meet on the partitioning they already have: what is shuffled grows with the bars and
-    not with the pairs, and no task holds more of a symbol than its share of the times. (A pair list
-    above Spark's size limit for broadcasts is matched by a shuffle of its own.)
+    The bars of the symbols in use are shuffled once, by interval and time; not at all with `placed`, which says that
+    `df` is a table bucketed so (`candles.save_bucketed`). The quotes of a moment lie in SLOTS short lists by a hash of
+    their symbol, pairs are attached to the base bars after that shuffle, and both sides meet on the
+    partitioning they already have: what is shuffled grows with the bars and not with the pairs, and no task
+    holds more of a symbol than its share of the times. A bar that occurs twice counts twice, as in `ratio`. (A pair
+    list above Spark's size limit for broadcasts is matched by a shuffle of its own.)
     """
     check_range(from_, to)
     wanted = pairs.select("base_symbol", "quote_symbol").distinct().where("base_symbol <> quote_symbol")
     symbols = wanted.select(F.explode(F.array("base_symbol", "quote_symbol")).alias("symbol")).distinct()
     bars = time_range(df.select("symbol", "interval", "open_time", "open", "close"), from_, to)
-    bars = bars.join(symbols, "symbol", "left_semi").repartition("interval", "open_time")
-    quote = F.struct(F.col("quote_open"), F.col("quote_close"))
+    bars = bars.join(symbols, "symbol", "left_semi")
+    if not placed:
+        bars = bars.repartition("interval", "open_time")
     quotes = _quote_leg(bars).groupBy("interval", "open_time")
-    quotes = quotes.agg(F.map_from_entries(F.collect_list(F.struct("quote_symbol", quote.alias("q")))).alias("quotes"))
-    base = _leg(bars, "base").join(wanted, "base_symbol")
+    quotes = quotes.agg(F.collect_list(F.struct("quote_symbol", "quote_open", "quote_close", _slot("quote_symbol").alias("slot"))).alias("all"))
+    quotes = quotes.select("interval", "open_time", F.expr(f"transform(sequence(0, {SLOTS - 1}), s -> filter(all, q -> q.slot = s)) as quotes"))
+    base = _leg(bars, "base").join(wanted.withColumnRenamed("quote_symbol", "other").withColumn("slot", _slot("other")), "base_symbol")
     both = base.join(quotes, ["interval", "open_time"])
-    both = both.withColumn("q", F.try_element_at("quotes", F.col("quote_symbol"))).where(F.col("q").isNotNull())
-    return both.select("*", "q.*").select(*PAIR, "open_time", *ratio_columns())
+    both = both.select("base_symbol", "interval", "open_time", "base_open", "base_close", F.expr("inline(filter(quotes[slot], q -> q.quote_symbol = other))"))
+    return both.select(*PAIR, "open_time", *ratio_columns())
+
+
+def _slot(symbol: str) -> Column:
+    return F.expr(f"cast(pmod(xxhash64({symbol}), {SLOTS}) as int)")
 
 
 def ratio_change(ratio_bars: DataFrame) -> DataFrame:

@@ -212,7 +212,7 @@ def ranked(symbols: DataFrame, prefixes: tuple[int, ...] = PREFIXES) -> DataFram
 def with_batch(symbols: DataFrame, size: int = BATCH_SIZE, place: str | None = None) -> DataFrame:
     """Adds the number of the batch a symbol belongs to: in name order, or by a given 0-based place."""
     if size < 1:
-        raise ValueError("batch size must be at least 1")
+        raise ValueError("a batch holds one symbol or more")
     rows = symbols if place else ranked(symbols)
     batched = rows.withColumn("batch", F.floor(F.col(place or "place") / size).cast("bigint"))
     return batched if place else batched.drop("place")
