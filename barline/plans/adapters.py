@@ -44,18 +44,24 @@ def candles(spark: SparkSession, folder: str, *intervals: str) -> DataFrame:
     return candles_from_ticks(ticks, list(intervals))
 
 
-def candles_sql(*intervals: str) -> str:
+def spans_sql(*intervals: str) -> str:
+    """Every event once for each interval, with the bar that holds it."""
     rows = ", ".join(f"('{i}', {INTERVAL_SECONDS[i]}::bigint)" for i in intervals)
     floor = "make_timestamp(epoch_us(ts) // (secs * 1000000) * secs * 1000000)"
     step = "to_microseconds(secs * 1000000)"
     start = f"case iv when '1w' then date_trunc('week', ts)::timestamp when '1M' then date_trunc('month', ts)::timestamp else {floor} end"
-    return f"""candles as (
-  select upper(event_type) as symbol, iv as "interval", {start} as open_time,
-         {start} + case iv when '1M' then interval 1 month else {step} end - interval 1 millisecond as close_time,
+    return f"""tick_bars as (
+  select *, upper(event_type) as symbol, iv as "interval", {start} as open_time,
+         {start} + case iv when '1M' then interval 1 month else {step} end as bar_end
+  from events cross join (values {rows}) w(iv, secs))"""
+
+
+def candles_sql(*intervals: str) -> str:
+    return f"""{spans_sql(*intervals)}, candles as (
+  select symbol, "interval", open_time, bar_end - interval 1 millisecond as close_time,
          arg_min(value, ts) as open, max(value) as high, min(value) as low, arg_max(value, ts) as close,
          sum(value) as volume, cast(count(*) as bigint) as number_of_trades
-  from events cross join (values {rows}) w(iv, secs)
-  group by 1, 2, 3, 4)"""
+  from tick_bars group by 1, 2, 3, 4)"""
 
 
 def user_days(spark: SparkSession, folder: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from barline.functions.sql import register_gap_function
 from barline.functions.text import url_to_path as landing_path
+from barline.functions.time import epoch_seconds
 from barline.operators import backfill, gaps, runs, universe
 from barline.plans import query
 from barline.plans.adapters import (
@@ -14,6 +15,8 @@ from barline.plans.adapters import (
     GAP_START,
     GAPS_SQL,
     LANDING,
+    candles,
+    candles_sql,
     table,
     user_days,
     user_universe,
@@ -148,11 +151,9 @@ def forced_plan(spark, folder):
     _, landed = _landed(spark, folder)
     symbols, days = users(spark, folder).select("symbol"), user_days(spark, folder)
     job = Backfill("1d", GAP_START, GAP_END, LANDING, universe=UniverseFilter())
-    plans = [
-        backfill.plan_files(job, days, symbols, BASE_URL, landed, force).select(F.lit(mode).alias("mode"), "symbol", "path")
-        for mode, force in (("kept", False), ("forced", True))
-    ]
-    return plans[0].unionAll(plans[1])
+    rows = gaps.with_landed(backfill.all_files(job, days, symbols, BASE_URL), landed, LANDING)
+    modes = F.array_compact(F.array(F.when(~F.col("landed"), "kept"), F.lit("forced")))
+    return rows.select(F.explode(modes).alias("mode"), "symbol", "path")
 
 
 @query(f"""with {GAPS_SQL}, {LOG_SQL},
@@ -168,11 +169,19 @@ def run_record(spark, folder):
     clicks = table(spark, folder, "events").where("event_type = 'click'").select("user_id").distinct()
     inserted = clicks.select((F.col("user_id") % 10).alias("batch"), F.concat(F.lit("u"), "user_id").alias("path"))
     record = backfill.run_record(MONTHLY_JOB, users(spark, folder), batches, inserted)
-    files = F.aggregate("batches", F.lit(0).cast("bigint"), lambda n, b: n + F.size(b.inserted))
-    return record.select(
-        "interval", "first_day", "source", "symbol_count", "url_count", "failed", "status",
-        F.size("batches").cast("bigint").alias("batches"), files.alias("inserted"),
-    )
+    return record.select("interval", "first_day", "source", "symbol_count", "url_count", "failed", "status", "batches", "inserted")
+
+
+@query(f"""with {LOG_SQL},
+loaded as (select user_id % 10 as batch, count(distinct user_id) as n from events where event_type = 'click' group by 1)
+select batches.*, case when failed > 0 then 'complete_with_errors' else 'complete' end as status, cast(coalesce(n, 0) as bigint) as inserted
+from batches left join loaded using (batch)""")
+def run_batches(spark, folder):
+    """The batches of that run, each with the number of files it loaded."""
+    batches = runs.batch_status(runs.outcome_counts(_log(spark, folder)), continue_on_error=True)
+    clicks = table(spark, folder, "events").where("event_type = 'click'").select("user_id").distinct()
+    inserted = clicks.select((F.col("user_id") % 10).alias("batch"), F.concat(F.lit("u"), "user_id").alias("path"))
+    return backfill.run_batches(batches, inserted)
 
 
 def _log(spark, folder):
@@ -298,3 +307,42 @@ def sql_missing_days(spark, folder):
     return spark.sql(
         f"select date_format(d, 'yyyy-MM-dd') as day from missing_days('U7', '1d', date'{GAP_START}', date'{GAP_END}')"
     )
+
+
+@query(f"""with {GAPS_SQL}
+select symbol, '1d' as "interval", strftime(d, '%Y-%m-%d') as day from missing
+union all select 'NOBODY', '1d', strftime(d, '%Y-%m-%d') from calendar""")
+def sql_missing_days_of_many(spark, folder):
+    """Days without a bar of a list of series, one of which has none, by the SQL function in a lateral join."""
+    user_days(spark, folder).createOrReplaceTempView("barline_days")
+    nobody = spark.range(1).select(F.lit("NOBODY").alias("symbol"), F.lit("1d").alias("interval"))
+    users(spark, folder).unionByName(nobody).createOrReplaceTempView("barline_wanted")
+    register_gap_function(spark, "barline_days")
+    return spark.sql(f"""select w.symbol, w.interval, date_format(m.d, 'yyyy-MM-dd') as day
+        from barline_wanted w, lateral missing_days(w.symbol, w.interval, date'{GAP_START}', date'{GAP_END}') m""")
+
+
+RANGES_FROM, RANGES_TO = "2023-12-31", "2024-02-02"
+
+
+@query(f"""with {candles_sql("15m", "1h", "1w", "1M")},
+wanted as (select distinct symbol, iv as "interval" from candles cross join (values ('15m'), ('1h'), ('1w'), ('1M'), ('3m')) w(iv)),
+ticked as (
+  select '15m' as "interval", g as t, row_number() over (order by g) as i from generate_series(timestamp '{RANGES_FROM}', timestamp '{RANGES_TO}' + interval 1 day - interval 1 second, interval 15 minute) s(g)
+  union all select '3m', g, row_number() over (order by g) from generate_series(timestamp '{RANGES_FROM}', timestamp '{RANGES_TO}' + interval 1 day - interval 1 second, interval 3 minute) s(g)
+  union all select '1h', g, row_number() over (order by g) from generate_series(timestamp '{RANGES_FROM}', timestamp '{RANGES_TO}' + interval 1 day - interval 1 second, interval 1 hour) s(g)
+  union all select '1w', g, row_number() over (order by g) from generate_series(timestamp '2024-01-01', timestamp '{RANGES_TO}', interval 7 day) s(g)
+  union all select '1M', g, row_number() over (order by g) from generate_series(timestamp '2024-01-01', timestamp '{RANGES_TO}', interval 1 month) s(g)),
+lost as (
+  select symbol, "interval", t, i, i - row_number() over (partition by symbol, "interval" order by i) as island
+  from wanted join ticked using ("interval")
+  where not exists (select 1 from candles c where c.symbol = wanted.symbol and c."interval" = wanted."interval" and c.open_time = t))
+select symbol, "interval", cast(epoch_us(min(t)) // 1000000 as bigint) as first_time, cast(epoch_us(max(t)) // 1000000 as bigint) as last_time,
+  cast(count(*) as bigint) as bars
+from lost group by symbol, "interval", island""")
+def missing_ranges(spark, folder):
+    """Stretches of missing bars within days, weeks and months; one interval is not there at all."""
+    bars = candles(spark, folder, "15m", "1h", "1w", "1M")
+    wanted = bars.select("symbol").distinct().selectExpr("symbol", "explode(array('15m', '1h', '1w', '1M', '3m')) as interval")
+    rows = gaps.missing_ranges(bars, wanted, RANGES_FROM, RANGES_TO, chunk_bars=500)
+    return rows.select("symbol", "interval", epoch_seconds("first_open").alias("first_time"), epoch_seconds("last_open").alias("last_time"), "bars")

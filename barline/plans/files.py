@@ -9,22 +9,34 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from barline.functions.time import epoch_micros, epoch_seconds, epoch_to_ntz
+from barline.operators import catalog
 from barline.operators.quality import require_valid
+from barline.operators.ratio import ratios
 from barline.plans import query
-from barline.plans.adapters import SCHEMAS, candles, candles_sql, scratch, table
-from barline.plans.market import FULL_SQL, TIME_SQL, full
-from barline.schemas import CANDLE, RAW
+from barline.plans.adapters import RATIO_SQL, SCHEMAS, candles, candles_sql, pairs, scratch, spans_sql, table
+from barline.plans.market import FULL_SQL, PRICES, RATIO_COLUMNS_SQL, TIME_SQL, full, r6
+from barline.schemas import CANDLE, INTERVALS, RAW
 from barline.sources import klines
-from barline.sources.candles import append_candles, compact_candles, read_candles, write_candles
+from barline.sources.candles import (
+    append_candles,
+    compact_candles,
+    compact_fragments,
+    csv_to_parquet,
+    read_candles,
+    save_bucketed,
+    stored_series,
+    write_candles,
+)
 from barline.sources.klines import file_lines, parse_lines, read_klines, to_candles, unzip, with_path_keys
-from barline.streaming.loads import stream_load
+from barline.streaming import bars
+from barline.streaming.loads import read_counts, stream_load
 from barline.streaming.ticks import open_candles, stream_candles
 
 
-def _raw(bars, *more):
+def _raw(rows, *more):
     """Candles as raw kline rows, even hours in milliseconds and odd ones in microseconds."""
     unit = F.when(F.floor(epoch_seconds() / 3600) % 2 == 0, 1000).otherwise(1)
-    raw = bars.withColumns(
+    raw = rows.withColumns(
         {
             "open_time": F.floor(epoch_micros("open_time") / unit).cast("bigint"),
             "close_time": F.floor(epoch_micros("close_time") / unit).cast("bigint"),
@@ -34,9 +46,9 @@ def _raw(bars, *more):
     return raw.select("symbol", "interval", *RAW.fieldNames(), *more)
 
 
-def _write_raw(bars, folder):
+def _write_raw(rows, folder):
     """Raw kline files below <folder>/daily/klines/<symbol>/<interval>/."""
-    _raw(bars).write.partitionBy("symbol", "interval").mode("append").csv(f"{folder}/daily/klines")
+    _raw(rows).write.partitionBy("symbol", "interval").mode("append").csv(f"{folder}/daily/klines")
 
 
 def _packed(files):
@@ -56,11 +68,11 @@ def _packed(files):
     return files.select(path.alias("path"), "text").mapInPandas(pack, "path string, content binary")
 
 
-def _archives(bars):
+def _archives(rows):
     """Archives with one day of one series each."""
     line = F.to_csv(F.struct(*RAW.fieldNames()))
     day = F.date_format(epoch_to_ntz("open_time"), "yyyy-MM-dd")
-    lines = _raw(bars).select("symbol", "interval", day.alias("day"), line.alias("line"))
+    lines = _raw(rows).select("symbol", "interval", day.alias("day"), line.alias("line"))
     return _packed(lines.groupBy("symbol", "interval", "day").agg(F.array_join(F.collect_list("line"), "\n").alias("text")))
 
 
@@ -112,17 +124,20 @@ def stream_load_twice(spark, folder):
     return full(read_candles(spark, f"{base}/table"))
 
 
+def _ticks(rows):
+    return rows.select(F.upper("event_type").alias("symbol"), "ts", F.col("event_id").alias("seq"), "value")
+
+
+def _event_stream(spark, folder):
+    return spark.readStream.schema(SCHEMAS["events"]).option("pathGlobFilter", "events.parquet").parquet(folder)
+
+
 @query(LOADED_SQL)
 def streamed_candles(spark, folder):
     """Hourly candle rows from a stream of ticks: those the watermark has closed, and the open ones after the run."""
     base = scratch(spark)
-    events = spark.readStream.schema(SCHEMAS["events"]).option("pathGlobFilter", "events.parquet").parquet(folder)
-
-    def ticks(rows):
-        return rows.select(F.upper("event_type").alias("symbol"), "ts", F.col("event_id").alias("seq"), "value")
-
     (
-        stream_candles(ticks(events), "1h")
+        stream_candles(_ticks(_event_stream(spark, folder)), "1h")
         .writeStream.format("parquet")
         .option("path", f"{base}/bars")
         .option("checkpointLocation", f"{base}/mark")
@@ -131,7 +146,42 @@ def streamed_candles(spark, folder):
         .awaitTermination()
     )
     closed = spark.read.schema(CANDLE).parquet(f"{base}/bars")
-    return full(closed.unionByName(open_candles(ticks(table(spark, folder, "events")), closed, "1h")))
+    return full(closed.unionByName(open_candles(_ticks(table(spark, folder, "events")), closed, "1h")))
+
+
+@query(f"with {candles_sql(*INTERVALS)} select {FULL_SQL} from candles")
+def streamed_intervals(spark, folder):
+    """Candle rows of all intervals from one stream of ticks, months and weeks by the calendar."""
+    base = scratch(spark)
+    bars.start_parts(_ticks(_event_stream(spark, folder)), f"{base}/parts", f"{base}/mark").awaitTermination()
+    closed = bars.candles_from_parts(bars.read_parts(spark, f"{base}/parts"))
+    return full(closed.unionByName(open_candles(_ticks(table(spark, folder, "events")), closed, INTERVALS)))
+
+
+HELD_BACK, LATE_INTERVALS = 40, ["15m", "1h", "1d", "1M"]
+
+
+def _late_parts(spark, folder, base):
+    """Parts of a stream whose last run finds ticks of all times that were held back before."""
+    events, back = table(spark, folder, "events"), F.col("event_id") % HELD_BACK == 0
+    for rows in (events.where(~back), events.where(back)):
+        rows.write.mode("append").parquet(f"{base}/in")
+        stream = spark.readStream.schema(SCHEMAS["events"]).parquet(f"{base}/in")
+        bars.start_parts(_ticks(stream), f"{base}/parts", f"{base}/mark", intervals=LATE_INTERVALS).awaitTermination()
+    return bars.read_parts(spark, f"{base}/parts")
+
+
+LATE_SQL = f"""with {spans_sql(*LATE_INTERVALS)},
+mark as (select epoch_ms(max(ts)) - 3600000 as w from events where event_id % {HELD_BACK} <> 0)"""
+
+
+@query(f"""{LATE_SQL}
+select symbol, "interval", {TIME_SQL} as time, event_id as seq, cast(epoch_us(ts) as bigint) as us, value
+from tick_bars, mark where event_id % {HELD_BACK} = 0 and epoch_ms(bar_end) <= w""")
+def late_ticks(spark, folder):
+    """Ticks that a stream met only after their bars had closed, once for each such bar."""
+    late = bars.late_ticks(_late_parts(spark, folder, scratch(spark)))
+    return late.select("symbol", "interval", epoch_seconds().alias("time"), "seq", epoch_micros("ts").alias("us"), "value")
 
 
 @query(LOADED_SQL)
@@ -183,3 +233,68 @@ def damaged_lines(spark, folder):
         good = klines.parse_lines(lines, strict=False).groupBy(F.col("path").alias("symbol")).agg(F.count(F.lit(1)).cast("string").alias("line"))
         parts += [bad, good.select(F.lit(f"good {source}").alias("source"), "symbol", "line")]
     return parts[0].unionAll(parts[1]).unionAll(parts[2]).unionAll(parts[3])
+
+
+def _loaded_in_parts(spark, folder, root):
+    """A table after three loads: of all series, of two of them again for later days, and of one again that is there already."""
+    c = candles(spark, folder, "1h", "1d")
+    day = lambda d: F.expr(f"timestamp_ntz'2024-01-{d} 00:00:00'")
+    write_candles(c.where((F.col("open_time") < day(16)) | ~F.col("symbol").isin("CLICK", "VIEW")), root)
+    append_candles(c.where((F.col("open_time") >= day(16)) & F.col("symbol").isin("CLICK", "VIEW")), root)
+    append_candles(c.where(F.col("symbol") == "ERROR"), root)
+
+
+@query(f"""with {candles_sql("1h", "1d")}
+select symbol, "interval", cast(epoch_us(min(open_time)) // 1000000 as bigint) as first_time,
+  cast(epoch_us(max(open_time)) // 1000000 as bigint) as last_time, cast(count(*) as bigint) as "count"
+from candles group by 1, 2""")
+def stored_catalog(spark, folder):
+    """Coverage of a stored table, from the footers of its files."""
+    root = scratch(spark)
+    _loaded_in_parts(spark, folder, root)
+    return catalog.stored_coverage(stored_series(spark, root)).drop("base_asset", "quote_asset")
+
+
+@query(f"""with {candles_sql("1h", "1d")}
+select symbol, "interval", cast(count(*) as bigint) as rows, symbol in ('CLICK', 'VIEW') as rewritten, cast(1 as bigint) as files
+from candles group by 1, 2""")
+def compacted_fragments(spark, folder):
+    """Rows and files of every series after three loads and a compaction, and whether it was rewritten."""
+    base = scratch(spark)
+    _loaded_in_parts(spark, folder, f"{base}/table")
+    done = compact_fragments(spark, f"{base}/table", f"{base}/staging").withColumn("rewritten", F.lit(True))
+    rows = spark.read.schema(CANDLE).parquet(f"{base}/table").select("symbol", "interval", F.col("_metadata.file_path").alias("file"))
+    rows = rows.groupBy("symbol", "interval").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("file").alias("files"))
+    return rows.join(done, ["symbol", "interval"], "left").fillna({"rewritten": False})
+
+
+@query(f"""with {candles_sql("1h")}
+select cast(count(*) as bigint) as rows, cast(count(*) as bigint) as written, true as several from candles""")
+def load_in_batches(spark, folder):
+    """What an incremental load counted that took a few files at a time."""
+    base = scratch(spark)
+    _write_raw(candles(spark, folder, "1h"), f"{base}/in")
+    limits = {"max_files": 2, "counts": f"{base}/counts"}
+    stream_load(spark, f"{base}/in", f"{base}/table", f"{base}/mark", keys=_plain_keys, **limits).awaitTermination()
+    sums = [F.sum(c).alias(c) for c in ("rows", "written")]
+    return read_counts(spark, f"{base}/counts").agg(*sums, (F.count(F.lit(1)) > 1).alias("several"))
+
+
+@query(LOADED_SQL)
+def converted_files(spark, folder):
+    """Raw kline files converted in one step to the candle table's format."""
+    base = scratch(spark)
+    _write_raw(candles(spark, folder, "1h"), f"{base}/in")
+    csv_to_parquet(spark, f"{base}/in", f"{base}/table", _plain_keys)
+    return full(read_candles(spark, f"{base}/table"))
+
+
+@query(f"""with {candles_sql("1h", "1d")}, {RATIO_SQL}
+select base_symbol, quote_symbol, "interval", {TIME_SQL} as time, {RATIO_COLUMNS_SQL} from ratio""")
+def ratio_stored(spark, folder):
+    """Ratio candles of a list of pairs from a table that is bucketed by moment."""
+    base = scratch(spark)
+    name = f"barline_{base.rsplit('/', 1)[1]}"
+    save_bucketed(candles(spark, folder, "1h", "1d"), name, base, 8)
+    rows = ratios(spark.table(name), pairs(spark, folder), placed=True)
+    return rows.select("base_symbol", "quote_symbol", "interval", epoch_seconds().alias("time"), *r6(*PRICES), "base_close", "quote_close")

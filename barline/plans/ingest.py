@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from barline.functions.sql import register_time_function
 from barline.functions.time import epoch_micros, epoch_seconds, epoch_to_ntz
 from barline.operators.quality import duplicate_keys, quality_report as report, split_valid
+from barline.operators.requests import checked
 from barline.plans import query
 from barline.plans.adapters import candles, candles_sql, table
 from barline.plans.market import TIME_SQL
@@ -157,3 +158,24 @@ def json_defaults(spark, folder):
         for kind, rows, key, flag in kinds
     ]
     return parts[0].unionAll(parts[1]).unionAll(parts[2])
+
+
+@query(f"""with asked as (
+  select event_id, case when event_id % 7 = 0 then 'no-' || event_id when event_id % 31 = 0 then repeat('x', 21) else event_type end as symbol,
+    case when event_id % 5 = 0 then '7m' else '1h' end as iv, user_id as a, case when event_id % 11 = 0 then user_id when event_id % 4 > 0 then user_id + 1 end as z,
+    case when event_id % 3 > 0 then event_id % 13 end as n, event_id % 520 as length, case event_id % 17 when 0 then 'up' when 1 then 'asc' else 'desc' end as sort from events)
+select event_id, case when event_id % 7 = 0 or event_id % 31 = 0 then 'symbol' when iv = '7m' then 'interval' when a >= z then 'range' when n < 1 then 'limit'
+  when length not between 1 and 500 then 'length' when sort = 'up' then 'order' end as problem from asked""")
+def request_checks(spark, folder):
+    """The first argument of each of many requests that breaks its rule."""
+    requests = table(spark, folder, "events").selectExpr(
+        "event_id",
+        "case when event_id % 7 = 0 then concat('no-', event_id) when event_id % 31 = 0 then repeat('x', 21) else event_type end as symbol",
+        "if(event_id % 5 = 0, '7m', '1h') as interval",
+        "user_id as from",
+        "case when event_id % 11 = 0 then user_id when event_id % 4 > 0 then user_id + 1 end as to",
+        "case when event_id % 3 > 0 then event_id % 13 end as limit",
+        "event_id % 520 as length",
+        "case event_id % 17 when 0 then 'up' when 1 then 'asc' else 'desc' end as order",
+    )
+    return checked(requests).select("event_id", "problem")

@@ -143,11 +143,10 @@ def test_copies_of_a_key_keep_the_first_by_file(spark, tmp_path):
     assert [r.volume for r in got.collect()] == [99.0]
 
 
-def test_copies_are_reduced_by_hash_before_the_shuffle(make):
+def test_copies_are_reduced_before_the_shuffle_in_one_read(make):
     text = candles.keep_first(make(random_candles(1, [3])))._jdf.queryExecution().executedPlan().toString()
-    all_rows = text[: text.index("Union") + text[text.index("Union") :].index("SortAggregate")]
-    assert "partial_first" in all_rows and "HashAggregate" in all_rows and "Sort [" not in all_rows
-    assert text.index("partial_first") > text.index("Exchange hashpartitioning")
+    assert text.count("Exchange hashpartitioning") == 1 and text.count("Scan ExistingRDD") == 1
+    assert text.index("partial_min") > text.index("Exchange hashpartitioning")
 
 
 def test_copies_that_differ_keep_the_smallest(make):
