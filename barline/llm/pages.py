@@ -3,16 +3,21 @@
 A page is read as one sequence of words and tags. A word scores by the most telling element around
 it, a tag by its name; both weights come from labelled pages: those that mark their article up
 themselves (one article or main element) tell which words belong. The best contiguous
-region is found by one linear scan (largest running sum). Blocks within the region whose own elements speak
-against them (menus, forms, comments, adverts inside an article) are left out.
+region is found by one linear scan (largest running sum). It is completed by its container: the element
+that holds the region, or the outermost one around it that speaks for content. There, all blocks count that some element
+speaks for, so a title or a last paragraph that an advert or a menu cuts off comes back. Blocks whose elements
+speak against them (menus, forms, comments, adverts inside an article) are left out.
 
 Weights are log-odds of a word inside against outside the article for each element name and each
-class or id word; fixed prior counts stand in for names that the labelled pages don't show. The article mark itself is an element like any
-other, so pages without one are judged by their other elements.
+class or id word; an element's are added up, so that `content search-results` is no search form. Few prior counts stand in for
+names that the labelled pages don't show. The article mark itself is an element like any other, so pages
+without one are judged by their other elements. Open elements are linked to their parents, so a page costs time and
+memory in proportion to its length, however deep it is nested.
 
 Defined cases: a null or empty page, or one without text, has the text ''; a page that breaks off
 keeps what it holds; equal pages have equal texts; without labelled pages the prior counts alone
-decide. Character references are decoded, also nested in text, never in tags.
+decide. Character references are decoded, also nested in text, never in tags. An input column with the name of the
+new one is replaced.
 """
 
 from __future__ import annotations
@@ -31,7 +36,9 @@ from barline.llm.common import bounded_sample
 
 SAMPLE_PAGES = 4000
 MOST_FEATURES = 20_000
-PRIOR = 50.0
+PRIOR = 3.0
+AGAINST_FROM = -1.0
+SPEAKS_FROM = 0.5
 
 # Elements by their meaning in HTML.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -52,13 +59,15 @@ NAMES_AGAINST = (
 NAMES_FOR = "article content body post entry story main text prose".split()
 ROLES_AGAINST = "navigation banner complementary contentinfo search form dialog alert menu menubar".split()
 
+# A value may hold any quote if it has none around it; a quote that is never closed is a plain character.
+_ATTRIBUTES = r"(?:[^<>\"'=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s<>]*+)|[\"'])*+"
 MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(script|style|noscript|template|svg|math|iframe|textarea|title|select)\b[^>]*(?:>.*?(?:</\1\s*>|\Z)|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)(?:>|(?=<)|\Z)",
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)"
+    r"|<(script|style|noscript|template|svg|math|iframe|textarea|title|select)\b[^>]*+(?:>.*?(?:</\1\s*+>|\Z)|\Z)"
+    rf"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)({_ATTRIBUTES})(?:>|(?=<)|\Z)",
     re.S | re.I,
 )
-ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
+ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*+=\s*+(\"[^\"]*+\"|'[^']*+'|[^\s>]++))?", re.I)
 NAME_PART = re.compile(r"[a-z]+")
 SPACES = re.compile(r"\s+")
 
@@ -78,52 +87,69 @@ def features(name: str, attributes: str) -> tuple[str, ...]:
     return tuple(dict.fromkeys(out))
 
 
-def blocks(page: str):
-    """The page as ('text', words, path) and ('tag', name) items; a path is the tuple of features of the open elements.
+class Page:
+    """A page as items (text or None, name or '', element) in order, and its elements as linked lists by number.
 
-    Blocks are texts between block-level tags; a path's innermost element comes last.
+    An item is a block of text between block-level tags, or a tag. Element 0 is the page itself.
     """
-    stack, parts, at = [], [], 0
-    out = []
-
-    def flush():
-        text = SPACES.sub(" ", entities.unescape("".join(parts))).strip()
-        parts.clear()
-        if text:
-            out.append(("text", text, path))
-
-    path = ()
-    for m in MARKUP.finditer(page):
-        if m.start() > at:
-            parts.append(page[at : m.start()])
-        at = m.end()
-        name = (m[3] or "").lower()
-        if not name:
-            continue
-        block = name in BLOCKS or name in HIDDEN
-        if block:
-            flush()
-        if m[2]:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    # A closing inline tag never closes a block around it.
-                    if block or not any(s[0] in BLOCKS for s in stack[k + 1 :]):
-                        del stack[k:]
-                    break
-        elif name not in VOID and not m[4].endswith("/"):
+
+    def __init__(self, page: str):
+        self.items: list[tuple[str | None, str, int]] = []
+        self.parent, self.features, self.name = [0], [()], [""]
+        self.first, self.end = [0], [0]
+        stack, blocks, open_at = [0], [], {}
+        parts, at = [], 0
+
+        def flush():
+            text = SPACES.sub(" ", entities.unescape("".join(parts))).strip()
+            parts.clear()
+            if text:
+                self.items.append((text, "", stack[-1]))
+
+        def close(size: int):
+            while len(stack) > size:
+                element = stack.pop()
+                self.end[element] = len(self.items)
+                open_at[self.name[element]].pop()
+                if blocks and blocks[-1] == len(stack):
+                    blocks.pop()
+
+        for m in MARKUP.finditer(page):
+            if m.start() > at:
+                parts.append(page[at : m.start()])
+            at = m.end()
+            name = (m[3] or "").lower()
+            if not name:
+                continue
+            block = name in BLOCKS or name in HIDDEN
             if block:
-                # A block starts: open inline elements and an open paragraph end here.
-                while stack and (stack[-1][0] not in BLOCKS or stack[-1][0] == "p"):
-                    stack.pop()
-                if name in ("li", "dt", "dd", "tr", "td", "th", "option") and stack and stack[-1][0] == name:
-                    stack.pop()
-            stack.append((name, features(name, m[4])))
-        path = tuple(f for _, f in stack)
-        out.append(("tag", name, path))
-    if at < len(page):
-        parts.append(page[at:])
-    flush()
-    return out
+                flush()
+            if m[2]:
+                # A closing inline tag never closes a block around it.
+                if open_at.get(name) and (block or not blocks or blocks[-1] <= open_at[name][-1]):
+                    close(open_at[name][-1])
+            elif name not in VOID and not m[4].endswith("/"):
+                if block:
+                    # A block starts: open inline elements and an open paragraph end here.
+                    while len(stack) > 1 and (self.name[stack[-1]] not in BLOCKS or self.name[stack[-1]] == "p"):
+                        close(len(stack) - 1)
+                    if name in ("li", "dt", "dd", "tr", "td", "th", "option") and self.name[stack[-1]] == name:
+                        close(len(stack) - 1)
+                self.parent.append(stack[-1])
+                self.features.append(features(name, m[4]))
+                self.name.append(name)
+                self.first.append(len(self.items))
+                self.end.append(0)
+                open_at.setdefault(name, []).append(len(stack))
+                if name in BLOCKS:
+                    blocks.append(len(stack))
+                stack.append(len(self.name) - 1)
+            self.items.append((None, name, stack[-1]))
+        if at < len(page):
+            parts.append(page[at:])
+        flush()
+        close(1)
+        self.end[0] = len(self.items)
 
 
 @dataclass
@@ -131,19 +157,28 @@ class Model:
     words: dict[str, float]  # log-odds of a word in an element with this feature
     tags: dict[str, float]
 
-    def word(self, path: tuple) -> float:
-        """Score of one word: the strongest feature against it, else the strongest for it."""
-        low, high = 0.0, 0.0
-        for f in path:
-            for x in f:
-                w = self.words.get(x, 0.0)
-                low, high = min(low, w), max(high, w)
-        return max(low, -4.0) if low < -1 else min(1.0, 0.5 + high / 4)
+    def own(self, features: tuple) -> float:
+        return sum(self.words.get(x, 0.0) for x in features)
+
+    def spoken(self, page: Page) -> tuple[list[float], list[float], list[float]]:
+        """For every element what it says itself, and the strongest that it or one around it says against and for its words."""
+        own, low, high = [], [], []
+        for features, parent in zip(page.features, page.parent, strict=True):
+            w = self.own(features)
+            own.append(w)
+            low.append(min(low[parent] if low else 0.0, w))
+            high.append(max(high[parent] if high else 0.0, w))
+        return own, low, high
 
     def tag(self, name: str) -> float:
         return self.tags.get(name, -0.3)
 
 
+def word_score(low: float, high: float) -> float:
+    """Score of one word: the strongest voice against it, else the strongest for it."""
+    return max(low, -4.0) if low < AGAINST_FROM else min(1.0, 0.5 + high / 4)
+
+
 def prior() -> Counter:
     """Counts (feature, inside) that stand in for pages that no labelled page shows."""
     out = Counter()
@@ -161,21 +196,30 @@ def prior() -> Counter:
 
 def counted(page: str) -> Counter:
     """Words by (feature, inside the article) and tags by ('<name', inside), for a page with one article or main element."""
-    seq = blocks(page)
-    marks = [p for kind, n, p in seq if kind == "tag" and n in ("article", "main") and p and p[-1][0] == n]
-    if not marks or sum(f[0] == "article" for p in marks for f in p[-1:]) > 1:
+    p = Page(page)
+    marks = [n for n in p.name if n in ("article", "main")]
+    if not marks or marks.count("article") > 1:
         return Counter()
-    out = Counter()
     drop = set(AGAINST) | set(HIDDEN)
-    for kind, x, path in seq:
-        names = {f[0] for f in path}
-        inside = int(bool(names & {"article", "main"}) and not names & drop)
-        if kind == "text":
-            n = x.count(" ") + 1
-            for f in {y for f in path for y in f}:
-                out[f, inside] += n
+    in_article, dropped = [], []
+    for name, parent in zip(p.name, p.parent, strict=True):
+        in_article.append(name in ("article", "main") or bool(in_article) and in_article[parent])
+        dropped.append(name in drop or bool(dropped) and dropped[parent])
+    out, held = Counter(), [[0, 0] for _ in p.name]
+    for text, name, element in p.items:
+        inside = int(in_article[element] and not dropped[element])
+        if text is None:
+            out["<" + name, inside] += 1
         else:
-            out["<" + x, inside] += 1
+            held[element][inside] += text.count(" ") + 1
+    # Elements come after those around them, so sums go up in one pass from the end.
+    for element in range(len(p.name) - 1, 0, -1):
+        for side in (0, 1):
+            n = held[element][side]
+            if n:
+                held[p.parent[element]][side] += n
+                for f in p.features[element]:
+                    out[f, side] += n
     return out
 
 
@@ -214,26 +258,40 @@ def fit(pages: DataFrame, html: str = "html", key: str = "page_id") -> Model:
     return learned(Counter({(r.feature, r.inside): r.n for r in found}))
 
 
+def _container(page: Page, own: list[float], first: int, last: int) -> int:
+    """The element that holds the items from `first` to `last`, or the outermost around it that speaks for content."""
+    element = page.items[first][2]
+    while element and page.end[element] <= last:
+        element = page.parent[element]
+    found, around = element, element
+    while around and own[around] >= AGAINST_FROM and page.name[around] not in ("html", "body"):
+        if own[around] > SPEAKS_FROM:
+            found = around
+        around = page.parent[around]
+    return found
+
+
 def main_text(page: str | None, model: Model) -> str:
-    """The best contiguous region's blocks, without those that their elements speak against."""
+    """The best contiguous region and what else of its container some element speaks for, without blocks spoken against."""
     if not page:
         return ""
-    seq = blocks(page)
+    p = Page(page)
+    own, low, high = model.spoken(p)
     best, best_span, run, start = 0.0, (0, 0), 0.0, 0
-    known = {}
-    for k, (kind, x, path) in enumerate(seq):
-        if kind == "text":
-            if path not in known:
-                known[path] = model.word(path)
-            gain = known[path] * (x.count(" ") + 1)
-        else:
-            gain = model.tag(x)
+    for k, (text, name, element) in enumerate(p.items):
+        gain = model.tag(name) if text is None else word_score(low[element], high[element]) * (text.count(" ") + 1)
         if run <= 0:
             run, start = 0.0, k
         run += gain
         if run > best:
             best, best_span = run, (start, k + 1)
-    return "\n".join(x for kind, x, path in seq[slice(*best_span)] if kind == "text" and known[path] > 0)
+    region = [k for k in range(*best_span) if p.items[k][0] is not None and low[p.items[k][2]] >= AGAINST_FROM]
+    if not region:
+        return ""
+    container = _container(p, own, region[0], region[-1])
+    more = range(p.first[container], p.end[container]) if container and p.name[container] not in ("html", "body") else ()
+    kept = set(region) | {k for k in more if p.items[k][0] is not None and low[p.items[k][2]] >= AGAINST_FROM and high[p.items[k][2]] > SPEAKS_FROM}
+    return "\n".join(p.items[k][0] for k in sorted(kept))
 
 
 def extract(pages: DataFrame, model: Model, html: str = "html", into: str = "text") -> DataFrame:
