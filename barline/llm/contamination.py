@@ -5,9 +5,10 @@ else is lower-cased. Windows of WINDOW template tokens of the benchmark items an
 a hash join; documents send only windows whose hash passes a fixed-size bitmap of the benchmark's hashes,
 so the join sees few of them whatever the corpus. A document is contaminated by an item if at least
 NEED of the item's windows are found close together in it, and if the slots agree: the values of
-the item's placeholders map to the document's values one to one, as a re-parameterised question
-has them, along an alignment in which each window of either side has one partner. As a capital may only mark the start of a sentence or a line in capitals, every window is matched with
-names as placeholders, with names as words, and with the capitals that open a sentence as names, too.
+the item's placeholders each have one value in the document, as a re-parameterised question
+has them (two may have the same), along an alignment in which each window of either side has one partner. Numbers may be written
+in words. As a capital may only mark the start of a sentence or a line in capitals, every window is matched with
+names as placeholders, with names as words, and with the capitals that open a sentence and words all in capitals as names, too.
 
 A document also is contaminated by a part of an item, if RUN consecutive windows of the item (RUN + WINDOW - 1 words)
 stand in it one after the other and their slots agree.
@@ -50,6 +51,12 @@ dollar dollars cent cents euro euros usd eur gbp percent degree degrees
 watt watts kw volt volts amp amps joule joules hz khz mhz ghz kb mb gb tb kmh mph
 """.split()
 
+# Numbers in words.
+NUMBERS = """
+zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen
+twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion
+""".split()
+
 _MEMBER = np.zeros(256, bool)
 _MEMBER[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 _DIGIT = np.zeros(256, bool)
@@ -61,9 +68,26 @@ _STOP[[ord(c) for c in ".!?:\n"]] = True
 
 WORD, NUMBER, UNIT, NAME = range(4)
 _KIND = mixed(np.arange(1, 5, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-_UNIT_HASHES = np.sort(
-    np.concatenate([span_hashes(np.frombuffer(u.encode(), np.uint8), np.array([0]), np.array([len(u)])) for u in UNITS])
-)
+
+
+def _hashes(words: list[str]) -> np.ndarray:
+    return np.sort(np.concatenate([span_hashes(np.frombuffer(w.encode(), np.uint8), np.array([0]), np.array([len(w)])) for w in words]))
+
+
+_UNIT_HASHES, _NUMBER_HASHES = _hashes(UNITS), _hashes(NUMBERS)
+
+
+def _among(hashes: np.ndarray, known: np.ndarray) -> np.ndarray:
+    return known[np.minimum(np.searchsorted(known, hashes), len(known) - 1)] == hashes
+
+
+def _capitals(data: np.ndarray) -> np.ndarray:
+    """Marks the first byte of the capitals of the basic Latin, Latin-1, Greek and Cyrillic alphabets."""
+    out = _CAPITAL[data]
+    lead, next_ = data[:-1], data[1:]
+    latin = (lead == 0xC3) & (next_ >= 0x80) & (next_ <= 0x9E) & (next_ != 0x97)
+    out[:-1] |= latin | ((lead == 0xCE) & (next_ >= 0x91) & (next_ <= 0xAB)) | ((lead == 0xD0) & (next_ >= 0x90) & (next_ <= 0xAF))
+    return out
 
 
 class Tokens:
@@ -73,33 +97,37 @@ class Tokens:
         n = len(data)
         member = _MEMBER[data]
         digit = _DIGIT[data]
-        if n > 2:  # a point or comma between digits belongs to the number
-            mark = (data[1:-1] == 46) | (data[1:-1] == 44)
+        if n > 2:  # a point, comma or stroke between digits belongs to the number
+            mark = (data[1:-1] == 46) | (data[1:-1] == 44) | (data[1:-1] == 47)
             member[1:-1] |= mark & digit[:-2] & digit[2:]
         self.start, self.end, self.row = spans_of(member, offsets)
         low = folded(data)
         plain = span_hashes(low, self.start, self.end)
         digits = np.concatenate([[0], np.cumsum(digit)])
-        capitals = np.concatenate([[0], np.cumsum(_CAPITAL[data])])
+        capital_at = _capitals(data)
+        capitals = np.concatenate([[0], np.cumsum(capital_at)])
+        letters = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
         stops = np.concatenate([[0], np.cumsum(_STOP[data])])
         length = self.end - self.start
         some = digits[self.end] - digits[self.start]
-        first = _CAPITAL[data[self.start]] if len(length) else np.zeros(0, bool)
+        first = capital_at[self.start] if len(length) else np.zeros(0, bool)
         before = np.concatenate([[0], self.end[:-1]])[: len(length)]
         opens = np.concatenate([[True], self.row[1:] != self.row[:-1]])[: len(length)] if len(length) else first
         opens = opens | (stops[self.start] > stops[np.minimum(before, self.start)])
-        capital = first & (capitals[self.end] - capitals[self.start] == 1) & (length > 1) & (some == 0)
+        n_capitals, n_letters = capitals[self.end] - capitals[self.start], letters[self.end] - letters[self.start]
+        capital = first & (n_capitals == 1) & (n_letters > 1) & (some == 0)
+        loud = (n_capitals == n_letters) & (n_letters > 1)
         name = capital & ~opens
         kind = np.full(len(length), WORD)
         kind[name] = NAME
-        at = np.minimum(np.searchsorted(_UNIT_HASHES, plain), len(_UNIT_HASHES) - 1)
-        kind[_UNIT_HASHES[at] == plain] = UNIT
+        kind[_among(plain, _UNIT_HASHES)] = UNIT
+        kind[_among(plain, _NUMBER_HASHES)] = NUMBER
         kind[(some > 0) & (some >= length - 2 * (some < length)) & digit[np.minimum(self.start, max(0, n - 1))]] = NUMBER
         self.kind = kind
         slot = (kind == NUMBER) | (kind == UNIT)
         self.words = np.where(slot, _KIND[kind], plain)
         self.names = np.where(kind == NAME, _KIND[NAME], self.words)
-        self.capital = (kind == NAME) | (capital & (kind == WORD))
+        self.capital = (kind == NAME) | ((capital | loud) & (kind == WORD))
         self.capitals = np.where(self.capital, _KIND[NAME], self.words)
         self.plain = plain
 
@@ -253,7 +281,7 @@ def _longest(hits: list[dict]) -> tuple[int, int, int]:
 
 
 def _slots(hits: list[dict]) -> tuple[int, float] | None:
-    """Changed slots and agreement, if the item's values map to the document's one to one."""
+    """Changed slots and agreement, if each of the item's values has one value in the document."""
     votes = defaultdict(lambda: defaultdict(int))
     for h in hits:
         for place, value in zip(h["slots"], h["slot_values"], strict=True):
@@ -262,7 +290,7 @@ def _slots(hits: list[dict]) -> tuple[int, float] | None:
     total = sum(sum(v.values()) for v in votes.values())
     to = [max(v, key=v.get) for v in votes.values()]
     same = agreed / total if total else 1.0
-    if same < SLOTS_AGREE or len(set(to)) < SLOTS_AGREE * len(to):
+    if same < SLOTS_AGREE:
         return None
     return sum(v != t for v, t in zip(votes, to, strict=True)), same
 
