@@ -3,12 +3,12 @@
 Training counts hashed n-grams per language on labelled rows and keeps, for each language, the most
 telling ones. The filters of all languages are sliced the other way: slot i of one shared array
 holds a bitmask with a bit per language, so that HASHES lookups and an AND return all languages
-that hold an n-gram. A text's score of a language is its count of n-grams with that bit, less the
+that hold an n-gram; over 64 languages take an array for each 64. A text's score of a language is its count of n-grams with that bit, less the
 count that the filter's false positives explain, divided by what is left of the n-grams.
 
 Defined cases: a null text or one without a letter is `und` with score 0, as is every text when
 nothing could be learned; ties go to the first language by name; a repeated row gets the same
-prediction; extra columns pass through `predict`.
+prediction; extra columns pass through `predict`, but those named like an added one are replaced.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ HASHES = 3
 SLOTS = 1 << 18
 PER_LANGUAGE = 20_000
 SAMPLE_ROWS = 20_000
-MOST_LANGUAGES = 64
+MASK_BITS = 64
 
 _A = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
@@ -73,24 +73,28 @@ def slots(codes: np.ndarray) -> list[np.ndarray]:
 @dataclass
 class Model:
     languages: list[str]
-    table: np.ndarray  # bitmask per slot
+    tables: list[np.ndarray]  # bitmask per slot, for MASK_BITS languages each
     wrong: list[float]  # each language's rate of false positives
 
-    def masks(self, codes: np.ndarray) -> np.ndarray:
-        first, *rest = slots(codes)
-        out = self.table[first]
-        for s in rest:
-            out = out & self.table[s]
+    def masks(self, codes: np.ndarray) -> list[np.ndarray]:
+        places = slots(codes)
+        out = []
+        for table in self.tables:
+            mask = table[places[0]]
+            for s in places[1:]:
+                mask = mask & table[s]
+            out.append(mask)
         return out
 
     def scores(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """A corrected share of n-grams per row and language, 0 to 1."""
         codes, at = grams(data, offsets)
-        found = self.masks(codes)
+        masks = self.masks(codes)
         total = np.maximum(1, np.diff(at))
         out = np.zeros((len(total), len(self.languages)))
         for j, wrong in enumerate(self.wrong):
-            hits = np.concatenate([[0], np.cumsum((found >> found.dtype.type(j)) & found.dtype.type(1), dtype=np.int64)])
+            found = masks[j // MASK_BITS]
+            hits = np.concatenate([[0], np.cumsum((found >> found.dtype.type(j % MASK_BITS)) & found.dtype.type(1), dtype=np.int64)])
             share = (hits[at[1:]] - hits[at[:-1]]) / total
             out[:, j] = np.clip((share - wrong) / max(1e-9, 1 - wrong), 0, 1)
         return out
@@ -125,11 +129,9 @@ def fit(rows: DataFrame, text: str = "text", lang: str = "lang") -> Model | None
     rows = rows.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(text).alias("t"), F.col(lang).alias("l"))
     counts = bounded_sample(rows, "t", SAMPLE_ROWS).mapInArrow(_counts, "lang string, code long, n long")
     counts = counts.groupBy("code", "lang").agg(F.sum("n").alias("n"))
-    sums = {r.lang: r.n for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).orderBy("lang").limit(MOST_LANGUAGES + 1).collect()}
+    sums = {r.lang: r.n for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).orderBy("lang").collect()}
     if not sums:
         return None
-    if len(sums) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
     total = F.create_map(*[F.lit(x) for kv in sums.items() for x in kv])
     share = F.col("n") / total[F.col("lang")]
     by_code = counts.withColumn("share", share).groupBy("code").agg(F.collect_list(F.struct("lang", "share", "n")).alias("all"))
@@ -144,14 +146,15 @@ def fit(rows: DataFrame, text: str = "text", lang: str = "lang") -> Model | None
     picked = few.toPandas()
     names = sorted(sums)
     kind = np.uint8 if len(names) <= 8 else np.uint64
-    table = np.zeros(SLOTS, kind)
+    tables = [np.zeros(SLOTS, kind) for _ in range(0, len(names), MASK_BITS)]
     full = []
     for j, name in enumerate(names):
         codes = picked.code[picked.lang == name].to_numpy(np.uint32)
+        table, bit = tables[j // MASK_BITS], kind(j % MASK_BITS)
         for s in slots(codes):
-            table[s] |= kind(1 << j)
-        full.append(float(((table >> kind(j)) & kind(1)).mean()) ** HASHES)
-    return Model(names, table, full)
+            table[s] |= kind(1) << bit
+        full.append(float(((table >> bit) & kind(1)).mean()) ** HASHES)
+    return Model(names, tables, full)
 
 
 HAS_LETTER = r"\p{L}"
