@@ -232,9 +232,12 @@ def _proposals(q: int, least: float):
 
         def add(x, y, more):
             first = (keys[x] == keys[y]).argmax(1) == band[x]
-            x, y = x[first], y[first]
+            # A pair is told in its first band only; that its row has more to try is told in any case, by a pair with itself.
+            rest = np.unique(x[more & ~first]) if q else x[:0]
+            x, y, more = x[first], y[first], more[first]
             found.append(np.stack([np.minimum(doc[x], doc[y]), np.maximum(doc[x], doc[y])]))
-            cut.append(more[first])
+            found.append(np.stack([doc[rest], doc[rest]]))
+            cut.extend([more, np.ones(len(rest), bool)])
 
         for rows in np.split(order, cuts):
             rows = rows[np.argsort(doc[rows], kind="stable")]
@@ -326,11 +329,13 @@ def _links(docs: DataFrame, reps: DataFrame, text: str, least: float) -> DataFra
         task = F.pmod(F.xxhash64("key", "part", "ask_part"), F.lit(4 * partitions(spark))).cast("int")
         found = asked.withColumn("task", task).groupBy("task").applyInArrow(_proposals(q, least), PROPOSALS)
         found = kept(found.groupBy("a", "b").agg(F.max("cut").alias("cut")))
-        more = not found.where("cut").isEmpty()
+        # Round 0 has not met the pairs between two later blocks of a bucket.
+        more = tried is None or not found.where("cut").isEmpty()
+        pairs = found.where("a <> b")
         if tried is None:
-            pairs = found.hint("merge")
+            pairs = pairs.hint("merge")
         else:
-            pairs = found.join(tried.select("a", "b"), ["a", "b"], "left_anti")
+            pairs = pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
         checked = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(_confirmed(least), "a long, b long, ok boolean")
         checked = kept(checked.groupBy("a", "b").agg(F.max("ok").alias("ok")))
         if labels is None or not checked.where("ok").isEmpty():
@@ -382,9 +387,24 @@ def groups(docs: DataFrame, text: str = "text", least: float = LEAST) -> DataFra
 
 
 def deduplicated(docs: DataFrame, text: str = "text", least: float = LEAST) -> DataFrame:
-    """The rows whose document stands for its group; all columns as they are."""
-    gone = groups(docs, text, least).where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """One row of each group, with all columns as they are: the one with the smallest id.
+
+    Rows that share an id, or have none, are judged each by its own text: they come after those with an id of their own, and
+    of rows equal in id and text one stays. Rows without a word belong to no group, so only their equals go.
+    """
+    shared = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1 or doc_id is null").select(F.col("doc_id").alias("shared_id"))
+    shared = kept(shared)
+    if shared.isEmpty():
+        gone = groups(docs, text, least).where("not kept").select("doc_id").distinct()
+        return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    # Such rows get numbers above all usual ids, from their id and text.
+    number = F.xxhash64(docs["doc_id"], docs[text]).bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+    alone = shared["shared_id"].isNull() & docs["doc_id"].isNotNull()
+    joined = docs.join(shared, docs["doc_id"].eqNullSafe(shared["shared_id"]), "left")
+    rows = joined.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.when(alone, docs["doc_id"]).otherwise(number).alias("doc_id"))
+    rows = kept(rows.dropDuplicates(["doc_id"]))
+    gone = groups(rows.select("doc_id", F.col(f"row.{text}").alias("text")), "text", least).where("not kept").select("doc_id").distinct()
+    return rows.join(gone, "doc_id", "left_anti").select("row.*")
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:
