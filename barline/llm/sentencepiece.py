@@ -12,7 +12,7 @@ Characters that are no piece become their bytes.
 
 Defined cases: a null text has null ids, an empty one none; decoding restores every text without
 U+2581, which reads as a blank; equal texts have equal ids; a model without byte pieces, or one
-that is not BPE, is refused.
+that is not BPE, is refused; an input column with the name of an added one is replaced.
 """
 
 from __future__ import annotations
@@ -304,7 +304,8 @@ def encode(docs: DataFrame, v: Vocabulary, text: str = "text") -> DataFrame:
             exact.append(raw is None or raw == data[offsets[k] : offsets[k + 1]].tobytes())
         return pa.StructArray.from_arrays([ids, pa.array(sums, pa.string()), pa.array(exact, pa.bool_())], ["ids", "decoded_sha256", "exact"])
 
-    return docs.withColumn("_coded", run(F.col(text))).select("*", "_coded.*").drop("_coded")
+    rows = docs.withColumn("_coded", run(F.col(text)))
+    return rows.withColumns({c: F.col(f"_coded.{c}") for c in ("ids", "decoded_sha256", "exact")}).drop("_coded")
 
 
 def decode(docs: DataFrame, v: Vocabulary, ids: str = "ids", into: str = "decoded") -> DataFrame:
