@@ -317,12 +317,12 @@ def test_languages_of_held_out_texts(spark, folder, edges):
 def test_masks_return_every_language_that_holds_a_gram():
     import numpy as np
 
-    model = language.Model(["a", "b"], np.zeros(language.SLOTS, np.uint8), [0.0, 0.0])
+    model = language.Model(["a", "b"], [np.zeros(language.SLOTS, np.uint8)], [0.0, 0.0])
     codes = np.arange(1000, dtype=np.uint32) * np.uint32(7919)
     for bit, mine in ((1, codes[:600]), (2, codes[400:])):
         for s in language.slots(mine):
-            model.table[s] |= np.uint8(bit)
-    masks = model.masks(codes)
+            model.tables[0][s] |= np.uint8(bit)
+    (masks,) = model.masks(codes)
     assert (masks[:600] & 1).all() and (masks[400:] & 2).all() and (masks[:400] & 2).mean() < 0.01
 
 
