@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -25,10 +26,12 @@ def partitions(spark: SparkSession) -> int:
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder named by the cluster; one below the warehouse where none is named."""
+    """The shared folder named by the cluster; one below the warehouse where none is named, unless executors could not see it."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+        if folder.startswith(("file:", "/")) and not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir is not set, and the warehouse lies on this machine only")
     return folder.rstrip("/")
 
 

@@ -27,4 +27,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 SQL: dict[str, str] = {
     "op5_suffix_array_dedup": sql.REPEATS,
     "op9_minhash_near_dedup": sql.NEAR_DUPLICATES,
+    "op11_conversation_repair": sql.CONVERSATIONS,
+    "op12_spelling_variants": sql.SPELLING,
 }

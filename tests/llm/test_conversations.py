@@ -6,10 +6,12 @@ import random
 import re
 import zlib
 
+import duckdb
+import pyarrow as pa
 import pytest
 
 from barline.llm import conversations
-from barline.llm.queries import QUERIES
+from barline.llm.queries import QUERIES, SQL
 
 COLUMNS = ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"]
 SCHEMA = "conv_id long, turn long, role string, text string"
@@ -149,3 +151,16 @@ def test_query(spark, tmp_path):
 def test_empty_table(spark, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/conversations.parquet")
     assert QUERIES["op11_conversation_repair"](spark, str(tmp_path)).collect() == []
+
+
+def test_sql_next_to_plain_version():
+    rows = [*random_rows(31, 200, 9), *((900 + k, 0, "user", "Alone.") for k in range(60)), (None, None, None, None), (None, 3, "user", "a.")]
+    columns = zip(("conv_id", "turn", "role", "text"), (pa.int64(), pa.int64(), pa.string(), pa.string()), zip(*rows, strict=True), strict=True)
+    con = duckdb.connect()
+    con.register("conversations", pa.table({name: pa.array(values, kind) for name, kind, values in columns}))
+    found = con.execute(SQL["op11_conversation_repair"])
+    assert [d[0] for d in found.description] == COLUMNS
+    left = by_conversation(plain_damage(rows))
+    nothing = (0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())
+    want = {c: plain(left[c]) if c in left else nothing for c in {r[0] for r in rows}}
+    assert sorted(((r[0], tuple(r[1:])) for r in found.fetchall()), key=str) == sorted(want.items(), key=str)

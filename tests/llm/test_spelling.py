@@ -5,11 +5,13 @@ import re
 import zlib
 from collections import Counter
 
+import duckdb
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from barline.llm import spelling
-from barline.llm.queries import QUERIES
+from barline.llm.queries import QUERIES, SQL
 
 LETTERS = "abcdeéß"
 
@@ -112,3 +114,14 @@ def test_empty_tables_and_clashing_columns(spark, folder):
     docs = spark.createDataFrame([(1, "ab CD", "r")], "doc_id long, text string, run string")
     assert [r.run for r in spelling.runs(docs).collect()] == ["ab", "cd"]
     assert spelling.runs(docs).select(F.count("*")).first()[0] == 2
+
+
+def test_sql_next_to_plain_version():
+    rng = random.Random(14)
+    words = ["".join(rng.choice("aabé") for _ in range(rng.randint(5, 8))) for _ in range(60)]
+    docs = [(k if k % 7 else None, " ".join(w.upper() if k % 2 else w for w in rng.choices(words, weights=range(1, 61), k=40))) for k in range(200)] + [(3, None), (4, "")]
+    con = duckdb.connect()
+    con.register("documents", pa.table({"doc_id": pa.array([d for d, _ in docs], pa.int64()), "text": pa.array([t for _, t in docs], pa.string())}))
+    got = con.execute(SQL["op12_spelling_variants"]).fetchall()
+    want = plain(plain_words(docs))
+    assert sorted(map(tuple, got)) == want and any(r[1] for r in want)
