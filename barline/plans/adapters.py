@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,7 +33,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def scratch(spark: SparkSession) -> str:
     """A new folder below the cluster's shared checkpoint folder, or below the warehouse where none is set."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = spark.conf.get("spark.sql.warehouse.dir")
+        if base.startswith(("file:", "/")) and not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir is not set, and the warehouse lies on this machine only")
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
