@@ -2,9 +2,11 @@
 
 import hashlib
 import random
+import struct
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from barline.llm import neardup, repeats, syncmers
@@ -49,13 +51,93 @@ def test_edited_texts_and_fingerprints(spark, folder, edges):
     assert got[None].n_chars == len(edges[9][1])
 
 
+def plain_hash(*parts):
+    """Spark's xxhash64 of strings and longs."""
+    seed = 42
+    for p in parts:
+        raw = p.encode() if isinstance(p, str) else struct.pack("<q", p)
+        seed = xxhash.xxh64_intdigest(raw, seed=seed)
+    return seed - (1 << 64) if seed >> 63 else seed
+
+
+def plain_form(letters, s, k):
+    """{anchor: place} of all closed syncmers of a form."""
+    if not letters:
+        return {}
+    h = [plain_hash(x) for x in letters]
+
+    def smer(i, n):
+        return h[i] if n == 1 else plain_hash(smer(i, n // 2), smer(i + n // 2, n // 2))
+
+    out = {}
+    for i in range(len(h) - k + 1):
+        sub = [smer(j, s) for j in range(i, i + k - s + 1)]
+        if min(sub) in (sub[0], sub[-1]):
+            out.setdefault(plain_hash(plain_hash(sub[0], sub[-1]), sub[s]), i + 1)
+    return out or {plain_hash(*h): 1}
+
+
+def plain_print(text):
+    words = (text or "").strip(" \t\n").split()
+    cut = [x for w in words for x in (w if len(w) > 24 or len(w.encode()) > 2 * len(w) else [w])]
+    short = len((text or "").strip(" \t\n")) <= 512
+    return plain_form(cut, 2, 5), plain_form(list(" ".join(words)), 4, 12) if short else None
+
+
+def plain_likeness(a, b):
+    one, two = (a[1], b[1]) if a[1] is not None and b[1] is not None else (a[0], b[0])
+    both = sorted(set(one) | set(two))[:128]
+    return len([x for x in both if x in one and x in two]) / len(both) if both else 1.0
+
+
+CHINESE = [chr(k) for k in range(0x4E00, 0x4E00 + 800)]
+
+
+def test_fingerprints_and_likeness_against_a_plain_version(spark):
+    rng = random.Random(3)
+    texts = [None, "", " \n", "one", "a b c d", "x" * 700, "short text of eight words is all here", prose(rng, 40), prose(rng, 120)]
+    texts += [prose(rng, 9) + " " + "".join(rng.choice("abcdef") for _ in range(300)), "".join(rng.choices(CHINESE, k=600))]
+    texts += ["".join(rng.choices(CHINESE, k=40)) + "\n\t" + prose(rng, 30), prose(rng, 120) + "\U0001f600 " * 3]
+    rows = [(k, a, b) for k, (a, b) in enumerate((a, b) for a in texts for b in (a, rng.choice(texts)))]
+    df = spark.createDataFrame(rows, "k int, a string, b string")
+    df = syncmers.fingerprint(syncmers.fingerprint(df, "a", "p"), "b", "q")
+    for r in df.withColumn("near", syncmers.likeness("p", "q")).collect():
+        own, other = plain_print(r.a), plain_print(r.b)
+        assert list(r.p_words) == sorted(own[0])[:128] and (r.p_chars is None) == (own[1] is None)
+        assert list(r.p_word_places) == [own[0][x] for x in r.p_words]
+        if r.p_chars is not None:
+            assert list(r.p_chars) == sorted(own[1])[:128] and list(r.p_char_places) == [own[1][x] for x in r.p_chars]
+        assert r.near == pytest.approx(plain_likeness(own, other))
+
+
 def test_an_edit_moves_only_its_own_anchors(spark):
     rng = random.Random(1)
     w = prose(rng, 400).split()
-    texts = [(0, " ".join(w)), (1, " ".join([*w[:200], "edit", *w[201:]])), (2, prose(rng, 400))]
-    df = syncmers.fingerprint(spark.createDataFrame(texts, "doc_id long, text string"), "text", "p")
-    a, b, c = (set(r.p) for r in df.orderBy("doc_id").collect())
-    assert len(a & b) / len(a | b) > 0.85 and len(a & c) / len(a | c) < 0.1
+    chinese, few = "".join(rng.choices(CHINESE, k=400)), prose(rng, 9)
+    parts = [prose(rng, 20) for _ in range(8)]
+    pairs = [
+        (0, " ".join(w), " ".join([*w[:200], "edit", *w[201:]])),
+        (1, " ".join(w), prose(rng, 400)),
+        (2, chinese, chinese[:200] + "".join(rng.choices(CHINESE, k=200))),
+        (3, few, few[: len(few) - len(few) // 2] + prose(rng, 9)[: len(few) // 2]),
+        (4, " ".join(parts), " ".join(parts)),
+        (5, " ".join(parts), " ".join(reversed(parts))),
+    ]
+    df = spark.createDataFrame(pairs, "k long, a string, b string")
+    df = syncmers.fingerprint(syncmers.fingerprint(df, "a", "p"), "b", "q")
+    got = df.select("k", syncmers.likeness("p", "q").alias("near"), syncmers.in_order("p", "q").alias("order")).orderBy("k").collect()
+    near, order = [r.near for r in got], [r.order for r in got]
+    assert near[0] > 0.85 and near[1] < 0.1 and 0.2 < near[2] < 0.6 and 0.1 < near[3] < 0.6
+    assert near[4] == order[4] == 1.0 and near[5] < 1.0 and order[5] < 1.0
+
+
+def test_the_next_document_of_repeated_ids(spark, folder):
+    """Nulls come first among rows of one id, inside a group of ids and across groups."""
+    got = syncmers.query(spark, folder([(1, None), (1, "b" * 8), (5000, "c" * 8), (5000, None), (9000, "d" * 8)])).collect()
+    want = {"d" * 8: "", "c" * 8: "", "b" * 8: "dddd"}
+    for t, after in want.items():
+        edited = hashlib.sha256((t[: 8 - 8 // 2] + after).encode()).hexdigest()
+        assert edited in [r.edited_sha256 for r in got], t
 
 
 def test_order_reaches_over_groups_of_ids(spark, folder):
