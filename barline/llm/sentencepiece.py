@@ -2,7 +2,7 @@
 
 A text gets a blank in front, as the model says, and is cut before each run of blanks; no piece
 crosses such a cut. (A blank stands for the model's U+2581 throughout.) The distinct units of
-some megabytes of text are laid end to end and the suffixes at their characters sorted; a binary search of
+some megabytes of text that the worker has not met lately are laid end to end and the suffixes at their characters sorted; a binary search of
 every piece then gives its range of occurrences, which are the edges of a lattice over the units. Edges are
 sorted by place and relaxed until nothing changes. The models at hand are BPE, so an edge may be
 taken when it spans exactly two current symbols, and in each round a unit takes its best such
@@ -32,8 +32,10 @@ from barline.llm.words import flat, mixed, pieces, span_hashes
 
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
-PIECE_BYTES = 1 << 22
-BLOCK_BYTES = 1 << 20
+PIECE_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 19
+MEMO_UNITS = 1 << 18  # units a worker remembers, of at most MEMO_UNIT bytes each
+MEMO_UNIT = 32
 LONG = 48
 BETWEEN = 0xFF  # never part of UTF-8
 
@@ -89,7 +91,7 @@ def edges(data: np.ndarray, places: np.ndarray, v: Vocabulary) -> tuple[np.ndarr
     n = high - low
     which = np.repeat(np.arange(len(n)), n)
     at = order[np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())]
-    by_place = np.lexsort((v.chars[which], at))
+    by_place = np.argsort(at * (v.longest + 1) + v.chars[which])  # a place has one piece of a length
     at, which = at[by_place], which[by_place]
     return at, at + v.chars[which], v.multi[which]
 
@@ -169,11 +171,8 @@ def segment(data: np.ndarray, begin: np.ndarray, v: Vocabulary) -> tuple[np.ndar
         spread = np.repeat(best, np.diff(np.append(cuts, len(ready))))
         take = ready[key[ready] == spread]
         # Of pieces with one first character and score, the edge list has one per end; the shorter one comes first.
-        _, one = np.unique(unit[take], return_index=True)
-        take = take[one]
-        all_edges = np.flatnonzero(edge)
-        middle = all_edges[np.searchsorted(all_edges, i[take], "right")]
-        edge[middle] = False
+        take = take[np.concatenate([[True], unit[take][1:] != unit[take][:-1]])]
+        edge[np.flatnonzero(edge)[count[i[take]]]] = False
         symbol[i[take]] = piece[take]
         left = np.zeros(len(begin), bool)
         left[unit[take]] = True
@@ -221,13 +220,47 @@ def _units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return wide, starts[some], ends[some], row[some]
 
 
-def _distinct(wide: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """One unit of each kind, and the kind of every unit. Kinds go by a hash; units that a second hash tells apart stay alone."""
+def _distinct(wide: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One unit of each kind, the kind of every unit, and the kinds' keys: two hashes and the length.
+
+    Kinds go by a hash; units that the rest of the key tells apart stay alone.
+    """
     h, check = span_hashes(wide, starts, ends), span_hashes(_OTHER[wide], starts, ends)
     _, one, kind = np.unique(h, return_index=True, return_inverse=True)
     odd = np.flatnonzero((check[one][kind] != check) | ((ends - starts)[one][kind] != ends - starts))
     kind[odd] = len(one) + np.arange(len(odd))
-    return np.concatenate([one, odd]), kind
+    one = np.concatenate([one, odd])
+    return one, kind, np.stack([h[one], check[one], (ends - starts)[one].astype(np.uint64)])
+
+
+class Memo:
+    """Ids of short units met lately, by their keys; what it holds spares work and changes no result."""
+
+    def __init__(self, limit: int = MEMO_UNITS):
+        self.limit = limit
+        self.keys = np.zeros((3, 0), np.uint64)  # sorted by the first hash, which is unique
+        self.begin = self.count = np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.int32)
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which keys are held, and the places of all in the memo."""
+        if not self.keys.shape[1]:
+            return np.zeros(keys.shape[1], bool), np.zeros(keys.shape[1], np.int64)
+        at = np.minimum(np.searchsorted(self.keys[0], keys[0]), self.keys.shape[1] - 1)
+        return (self.keys[:, at] == keys).all(0), at
+
+    def add(self, keys: np.ndarray, ids: np.ndarray, counts: np.ndarray, used: np.ndarray) -> None:
+        """Takes in units with their ids, one after the other; a full memo keeps of the old ones the `used`."""
+        take = np.flatnonzero(keys[2] <= MEMO_UNIT)[: self.limit]
+        old = np.arange(self.keys.shape[1])
+        if len(old) + len(take) > self.limit:
+            old = old[used][: self.limit - len(take)]
+        all_keys = np.concatenate([self.keys[:, old], keys[:, take]], 1)
+        _, one = np.unique(all_keys[0], return_index=True)
+        begin = np.concatenate([self.begin[old], len(self.ids) + (np.cumsum(counts) - counts)[take]])[one]
+        n = np.concatenate([self.count[old], counts[take]])[one]
+        self.ids = _taken(np.concatenate([self.ids, ids]), begin, n)
+        self.keys, self.begin, self.count = all_keys[:, one], np.cumsum(n) - n, n
 
 
 def _taken(values: np.ndarray, begin: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -235,17 +268,19 @@ def _taken(values: np.ndarray, begin: np.ndarray, n: np.ndarray) -> np.ndarray:
     return values[np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())]
 
 
-def _encode_piece(data: np.ndarray, offsets: np.ndarray, v: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+def _encode_piece(data: np.ndarray, offsets: np.ndarray, v: Vocabulary, memo: Memo) -> tuple[np.ndarray, np.ndarray]:
     """Ids of a piece's rows, one after the other, and how many each has."""
     if b"\xe2\x96\x81" in data.tobytes():
         raw = data.tobytes()
         texts = [raw[a:b].replace(BLANK.encode(), b" ") for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
         data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in texts])])
     wide, starts, ends, row = _units(data, offsets)
-    one, kind = _distinct(wide, starts, ends)
-    ids, counts, size = [], [], ends[one] - starts[one]
+    one, kind, keys = _distinct(wide, starts, ends)
+    held, place = memo.find(keys)
+    new = np.flatnonzero(~held)
+    fresh, ids, counts, size = one[new], [], [], (ends - starts)[one[new]]
     total, first = np.cumsum(size), 0
-    while first < len(one):
+    while first < len(fresh):
         done = total[first - 1] if first else 0
         last = max(first + 1, int(np.searchsorted(total, done + BLOCK_BYTES, "right")))
         n = size[first:last] + 1
@@ -253,22 +288,31 @@ def _encode_piece(data: np.ndarray, offsets: np.ndarray, v: Vocabulary) -> tuple
         block = np.full(n.sum(), BETWEEN, np.uint8)
         keep = np.ones(len(block), bool)
         keep[begin + n - 1] = False
-        block[keep] = _taken(wide, starts[one[first:last]], n - 1)
+        block[keep] = _taken(wide, starts[fresh[first:last]], n - 1)
         got, count = segment(block, begin, v)
         ids.append(got)
         counts.append(count)
         first = last
     ids = np.concatenate(ids) if ids else np.zeros(0, np.int32)
     counts = np.concatenate(counts) if counts else np.zeros(0, np.int64)
-    n = counts[kind]
+    begin, n = np.zeros(len(one), np.int64), np.zeros(len(one), np.int64)
+    begin[held], n[held] = memo.begin[place[held]], memo.count[place[held]]
+    begin[new], n[new] = len(memo.ids) + np.cumsum(counts) - counts, counts
+    begin, n = begin[kind], n[kind]
     per_row = np.bincount(row, n, len(offsets) - 1).astype(np.int64)
-    return _taken(ids, (np.cumsum(counts) - counts)[kind], n), per_row
+    out = _taken(np.concatenate([memo.ids, ids]), begin, n)
+    if len(new):
+        used = np.zeros(len(memo.count), bool)
+        used[place[held]] = True
+        memo.add(keys[:, new], ids, counts, used)
+    return out, per_row
 
 
-def encode_batch(texts: pa.Array, v: Vocabulary) -> pa.Array:
-    """Ids of a batch of texts as list<int32>."""
+def encode_batch(texts: pa.Array, v: Vocabulary, memo: Memo | None = None) -> pa.Array:
+    """Ids of a batch of texts as list<int32>; a memo carries units over to the next batch."""
     data, offsets = flat(texts)
-    parts = [_encode_piece(piece, at, v) for _, _, piece, at in pieces(data, offsets, PIECE_BYTES)]
+    memo = Memo() if memo is None else memo
+    parts = [_encode_piece(piece, at, v, memo) for _, _, piece, at in pieces(data, offsets, PIECE_BYTES)]
     ids = np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.int32)
     total = np.concatenate([[0], np.cumsum(np.concatenate([p[1] for p in parts]) if parts else [])])
     return pa.ListArray.from_arrays(pa.array(total.astype(np.int32)), pa.array(ids, pa.int32()), mask=texts.is_null())
@@ -294,9 +338,11 @@ def encode(docs: DataFrame, v: Vocabulary, text: str = "text") -> DataFrame:
     Decoding in the same pass spares a second set of workers and sends no text back.
     """
 
+    memo = Memo()  # every task starts with a copy of its own
+
     @F.arrow_udf("struct<ids:array<int>,decoded_sha256:string,exact:boolean>")
     def run(texts: pa.Array) -> pa.Array:
-        ids = encode_batch(texts, v)
+        ids = encode_batch(texts, v, memo)
         data, offsets = flat(texts)
         sums, exact = [], []
         for k, raw in enumerate(decoded(ids, v)):

@@ -346,6 +346,24 @@ def test_a_blank_mark_in_a_text_reads_as_a_blank():
     assert sentencepiece.decode_batch(ids, v).to_pylist() == ["a b", None, ""]
 
 
+def test_units_met_before_are_not_segmented_again(monkeypatch):
+    rng = random.Random(14)
+    m, v = library.SentencePieceProcessor(model_file=sentencepiece.MODEL_FILE), sentencepiece.vocabulary()
+    batches = [[f"{prose(rng, 40)} x{rng.random()} {'long' * 30} é你 {k}" for k in range(20)] + ["", None] for _ in range(4)]
+    seen, segment = [], sentencepiece.segment
+    monkeypatch.setattr(sentencepiece, "segment", lambda data, begin, v: (seen.append(data.tobytes()), segment(data, begin, v))[1])
+    for memo in (sentencepiece.Memo(), sentencepiece.Memo(5), sentencepiece.Memo(0)):
+        for texts in [*batches, *batches]:
+            got = sentencepiece.encode_batch(pa.array(texts, pa.string()), v, memo).to_pylist()
+            assert got == [None if t is None else m.encode(t) for t in texts]
+            assert len(memo.count) <= memo.limit and len(memo.ids) == memo.count.sum()
+    memo = sentencepiece.Memo()
+    sentencepiece.encode_batch(pa.array(["some words in a text"]), v, memo)
+    seen.clear()
+    sentencepiece.encode_batch(pa.array(["a text in some new words"]), v, memo)
+    assert seen == [b" new\xff"]
+
+
 # Pipeline and empty tables
 
 
