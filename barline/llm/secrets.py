@@ -1,30 +1,35 @@
 """Secret scan: fixed patterns, and probabilistic automata inferred from labelled credentials.
 
 The fixed patterns find assignments, access keys and hex strings. What they find, all over the
-corpus, serves as labelled credentials: a sample of their values by hash, one set per pattern,
-becomes a prefix tree over character classes, and statistically compatible states are merged
-(a Hoeffding bound on their outgoing frequencies) into a probabilistic automaton per format. Every
+corpus, serves as labelled credentials: all distinct values, one set per pattern, run as words of
+character classes through an automaton that starts as one state. In rounds, Spark counts what follows
+every state and every move that has no target yet; such a move leads to the first statistically
+compatible state (a Hoeffding bound on the frequencies of up to LOOK symbols ahead), or to a new one, until no
+move is open. This folds the prefix tree of all values without building it. Every
 other candidate token of every text is then scored by the automata against a model of ordinary
-tokens, and those that read like a credential are added as spans of kind `format`.
+tokens, the class bigrams of all tokens of all texts, and those that read like a credential are added as spans of kind `format`.
 
 Defined cases: a null or empty text has no spans; equal texts have equal spans; a corpus without
 labelled credentials gives no automaton, so only the fixed patterns count; an empty table gives an
-empty result. Extra columns pass through `scan` untouched; its result column can be renamed.
+empty result. Equal values, and equal texts, are learned from once. Extra columns pass through `scan` untouched; its result column can be renamed.
 """
 
 from __future__ import annotations
 
 import hashlib
-import random
 import re
+from collections import Counter
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from math import log, sqrt
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barline.llm.common import documents
+from barline.llm.common import documents, kept
+from barline.llm.words import flat, pieces
 
 KINDS = ["assign", "access", "hex", "format"]
 FORMAT = KINDS.index("format")
@@ -42,12 +47,11 @@ ASSIGN_LEAST = 8
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % ASSIGN_LEAST)
 TOKEN = re.compile(r"[A-Za-z0-9+/_=.-]+")
 
-SAMPLE_VALUES = 400
-SAMPLE_TOKENS = 4000
-TOKENS_OF_TEXT = 20
-SLOTS = 16
+LOOK = 4  # symbols ahead of a state that its test compares
+LEAST_ARRIVALS = 8  # what follows fewer arrivals is not compared
 ALPHA = 0.05
 LEAST_GAIN = 0.25
+BINS = 1024
 
 SPANS = "array<struct<kind:int,start:int,stop:int>>"
 
@@ -71,88 +75,105 @@ def shape(token: str) -> str:
     return token.translate(_CLASSES)
 
 
-@dataclass
-class Automaton:
-    """States with counts of arrivals, ends, and moves by symbol."""
-
-    arrivals: list[int] = field(default_factory=lambda: [0])
-    ends: list[int] = field(default_factory=lambda: [0])
-    moves: list[dict[str, tuple[int, int]]] = field(default_factory=lambda: [{}])  # symbol: (state, count)
-
-    def add(self, word: str) -> None:
-        at = 0
-        self.arrivals[0] += 1
-        for c in word:
-            to, n = self.moves[at].get(c, (len(self.arrivals), 0))
-            if not n:
-                self.arrivals.append(0)
-                self.ends.append(0)
-                self.moves.append({})
-            self.moves[at][c] = (to, n + 1)
-            self.arrivals[to] += 1
-            at = to
-        self.ends[at] += 1
-
-    def alike(self, a: int, b: int) -> bool:
+END = "$"
+Moves = list[dict[str, int]]  # per state the target of each symbol
+
+
+def ahead(word: str, at: int) -> str:
+    """The LOOK symbols of a word from a place on, END being its last."""
+    return word[at : at + LOOK] + (END if at + LOOK > len(word) else "")
+
+
+def visits(word: str, moves: Moves):
+    """(state, symbol of an open move or "", symbols ahead) along a word's way, up to its end or the first open move."""
+    at = 0
+    for k, c in enumerate(word):
+        yield at, "", ahead(word, k)
+        to = moves[at].get(c)
+        if to is None:
+            yield at, c, ahead(word, k + 1)
+            return
+        at = to
+    yield at, "", END
+
+
+class Tree:
+    """Arrivals by the symbols ahead, up to LOOK of them."""
+
+    def __init__(self):
+        self.n: dict[str, int] = {}
+        self.after: dict[str, set[str]] = {}
+
+    def add(self, symbols: str, n: int) -> None:
+        self.n[""] = self.n.get("", 0) + n
+        for k, c in enumerate(symbols):
+            self.after.setdefault(symbols[:k], set()).add(c)
+            self.n[symbols[: k + 1]] = self.n.get(symbols[: k + 1], 0) + n
+
+    def alike(self, other: Tree) -> bool:
         """Hoeffding test on the end and move frequencies of two states and of what follows them."""
-        todo = [(a, b)]
+        todo = [""]
         while todo:
-            a, b = todo.pop()
-            na, nb = self.arrivals[a], self.arrivals[b]
+            w = todo.pop()
+            na, nb = self.n.get(w, 0), other.n.get(w, 0)
             if not na or not nb:
                 continue
             bound = sqrt(0.5 * log(2 / ALPHA)) * (1 / sqrt(na) + 1 / sqrt(nb))
-            if abs(self.ends[a] / na - self.ends[b] / nb) > bound:
-                return False
-            for c in {*self.moves[a], *self.moves[b]}:
-                (ta, ca), (tb, cb) = self.moves[a].get(c, (-1, 0)), self.moves[b].get(c, (-1, 0))
+            for c in {*self.after.get(w, ()), *other.after.get(w, ())}:
+                ca, cb = self.n.get(w + c, 0), other.n.get(w + c, 0)
                 if abs(ca / na - cb / nb) > bound:
                     return False
-                if ca and cb and ta != tb and min(self.arrivals[ta], self.arrivals[tb]) >= 8:
-                    todo.append((ta, tb))
+                if len(w) + 1 < LOOK and c != END and min(ca, cb) >= LEAST_ARRIVALS:
+                    todo.append(w + c)
         return True
 
-    def fold(self, into: int, tree: int) -> None:
-        """Adds a subtree that nothing else points to into a state."""
-        todo = [(into, tree)]
-        while todo:
-            a, b = todo.pop()
-            self.arrivals[a] += self.arrivals[b]
-            self.ends[a] += self.ends[b]
-            for c, (tb, cb) in self.moves[b].items():
-                ta, ca = self.moves[a].get(c, (-1, 0))
-                if ca:
-                    self.moves[a][c] = (ta, ca + cb)
-                    todo.append((ta, tb))
+    def fold(self, other: Tree) -> None:
+        for w, n in other.n.items():
+            self.n[w] = self.n.get(w, 0) + n
+        for w, cs in other.after.items():
+            self.after.setdefault(w, set()).update(cs)
+
+
+Table = list[tuple[dict[str, tuple[int, float]], float]]
+
+
+def table(moves: Moves, trees: list[Tree]) -> Table:
+    """Per state: target and log probability by symbol, and log probability of the end; add-half smoothed."""
+    out = []
+    for to, tree in zip(moves, trees, strict=True):
+        total = tree.n[""] + 0.5 * (len(to) + 2)
+        out.append(({c: (t, log((tree.n.get(c, 0) + 0.5) / total)) for c, t in to.items()}, log((tree.n.get(END, 0) + 0.5) / total)))
+    return out
+
+
+def merged(kinds: list[int], counted: Callable[[dict[int, Moves]], dict[tuple[int, int, str, str], int]]) -> list[Table]:
+    """The automaton of each kind; `counted` gives for automata how often all words make each of their `visits`.
+
+    In every round the open moves, in order of state and symbol, are led to the first compatible state or to a new one.
+    """
+    moves: dict[int, Moves] = {k: [{}] for k in kinds}
+    tables: dict[int, Table] = {}
+    while len(tables) < len(moves):
+        found: dict[int, dict[tuple[int, str], Tree]] = {k: {} for k in moves if k not in tables}
+        for (kind, state, symbol, symbols), n in counted({k: moves[k] for k in found}).items():
+            found[kind].setdefault((state, symbol), Tree()).add(symbols, n)
+        for kind, trees in found.items():
+            mine = moves[kind]
+            known = [trees.get((k, ""), Tree()) for k in range(len(mine))]
+            waiting = sorted(at for at in trees if at[1])
+            if not waiting:
+                tables[kind] = table(mine, known)
+            for state, c in waiting:
+                tree = trees[state, c]
+                same = next((k for k, t in enumerate(known) if t.alike(tree)), None)
+                if same is None:
+                    same = len(known)
+                    known.append(tree)
+                    mine.append({})
                 else:
-                    self.moves[a][c] = (tb, cb)
-
-    def merged(self) -> Automaton:
-        """States in breadth-first order, each folded into the first compatible state already kept."""
-        kept, waiting = [0], [(0, c) for c in sorted(self.moves[0])]
-        while waiting:
-            source, c = waiting.pop(0)
-            to, n = self.moves[source][c]
-            if to in kept:
-                continue
-            same = next((k for k in kept if self.alike(k, to)), None)
-            if same is None:
-                kept.append(to)
-                waiting += [(to, x) for x in sorted(self.moves[to])]
-                continue
-            self.moves[source][c] = (same, n)
-            known = set(kept)
-            self.fold(same, to)
-            waiting += [(k, x) for k in kept for x, (t, _) in self.moves[k].items() if t not in known and (k, x) not in waiting]
-        return self
-
-    def table(self) -> list[tuple[dict[str, tuple[int, float]], float]]:
-        """Per state: log probability and target by symbol, and log probability of the end; add-half smoothed."""
-        out = []
-        for i, moves in enumerate(self.moves):
-            total = self.arrivals[i] + 0.5 * (len(moves) + 2)
-            out.append(({c: (to, log((n + 0.5) / total)) for c, (to, n) in moves.items()}, log((self.ends[i] + 0.5) / total)))
-        return out
+                    known[same].fold(tree)
+                mine[state][c] = same
+    return [tables[k] for k in sorted(tables)]
 
 
 UNSEEN = log(1e-3)
@@ -182,91 +203,170 @@ class Model:
         if word not in self.known:
             if len(self.known) >= 1 << 16:
                 self.known.clear()
-            self.known[word] = self._gain(word)
+            self.known[word] = self.word_gain(word)
         return self.known[word]
 
-    def _gain(self, word: str) -> float:
+    def word_gain(self, word: str) -> float:
         plain = sum(self.ordinary.get(p, UNSEEN) for p in zip("^" + word, word + "$", strict=True))
         return max((likelihood(t, word) for t in self.automata), default=-1e9) / len(word) - plain / len(word)
 
 
+def ordinary(pairs: dict[str, int]) -> dict[tuple[str, str], float]:
+    """Log probability of a class after a class."""
+    firsts = Counter()
+    for p, n in pairs.items():
+        firsts[p[0]] += n
+    return {(p[0], p[1]): log((n + 0.5) / (firsts[p[0]] + 10)) for p, n in pairs.items()}
+
+
 def learned(values: dict[int, list[str]], tokens: list[str]) -> Model | None:
-    """Automata of the labelled values by kind, and class bigrams of ordinary tokens."""
-    automata = []
-    for kind in sorted(values):
-        tree = Automaton()
-        for v in sorted(values[kind]):
-            tree.add(shape(v))
-        automata.append(tree.merged().table())
-    if not automata:
+    """Automata of the labelled values by kind, and class bigrams of ordinary tokens, from lists at hand."""
+    words = Counter((kind, shape(v)) for kind, vs in values.items() for v in vs)
+    if not words:
         return None
-    pairs, firsts = {}, {}
-    for t in tokens:
-        word = shape(t)
-        for a, b in zip("^" + word, word + "$", strict=True):
-            pairs[a, b] = pairs.get((a, b), 0) + 1
-            firsts[a] = firsts.get(a, 0) + 1
-    model = Model(automata, {(a, b): log((n + 0.5) / (firsts[a] + 10)) for (a, b), n in pairs.items()}, 0)
+
+    def counted(moves):
+        out = Counter()
+        for (kind, word), n in words.items():
+            for visit in visits(word, moves[kind]) if kind in moves else ():
+                out[(kind, *visit)] += n
+        return out
+
+    pairs = Counter(a + b for t in tokens for a, b in zip("^" + shape(t), shape(t) + END, strict=True))
+    model = Model(merged(sorted(values), counted), ordinary(pairs), 0)
     seen = sorted(model.gain(v) for vs in values.values() for v in vs)
     model.threshold = max(LEAST_GAIN, seen[len(seen) // 100])
-    model.shortest = min(len(v) for vs in values.values() for v in vs)
+    model.shortest = min(len(word) for _, word in words)
     model.known.clear()
     return model
 
 
-def _hash(*parts: str) -> int:
-    return int.from_bytes(hashlib.blake2b("\x00".join(parts).encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
+# Classes of bytes for the bigrams; 0 is what parts tokens.
+_SYMBOLS = "^" + "".join(sorted({*_CLASS.values(), *"+/_=.-"}))
+_CODES = np.zeros(256, np.uint8)
+for _c in filter(TOKEN.fullmatch, map(chr, range(128))):
+    _CODES[ord(_c)] = _SYMBOLS.index(shape(_c))
+PAIRS = [a + b for a in _SYMBOLS for b in END + _SYMBOLS[1:]]
 
 
-def _size(kind: int) -> int:
-    return (SAMPLE_TOKENS if kind == FORMAT else SAMPLE_VALUES) // SLOTS
+def pair_counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """How often each row of a piece has each of PAIRS in its tokens."""
+    rows, size = len(offsets) - 1, len(_SYMBOLS)
+    wide = np.zeros(len(data) + rows + 1, np.int64)
+    row = np.repeat(np.arange(rows), np.diff(offsets) + 1)
+    wide[1 + np.arange(len(data)) + np.repeat(np.arange(rows), np.diff(offsets))] = _CODES[data]
+    out = np.bincount((row * size + wide[:-1]) * size + wide[1:], minlength=rows * size * size).reshape(rows, -1)
+    out[:, 0] = 0
+    return out
 
 
 def _examples(batches):
-    """(kind, hash, value): of each kind and slot of hashes, the smallest of the partition's values and ordinary tokens."""
-    best = {}
+    """(kind, key, counts): distinct labelled values; for `format` the digest of a text and its pair counts."""
     for batch in batches:
-        found = set()
-        for text in batch.column(0).to_pylist():
-            if not text:
-                continue
-            for start, kind, end in base_spans(text):
-                m = ASSIGN.match(text, start) if kind == 0 else None
-                found.add((kind, m[2] if m else text[start:end], ""))
-            words = TOKEN.findall(text)
-            if words:
-                draw = random.Random(_hash(text))
-                found.update((FORMAT, draw.choice(words), f"{k} {_hash(text)}") for k in range(min(TOKENS_OF_TEXT, len(words))))
-        for kind, value, at in found:
-            if len(value) <= 256:
-                h = _hash(value, at)
-                best.setdefault((kind, h % SLOTS), set()).add((h, value))
-        best = {k: set(sorted(v)[: _size(k[0])]) for k, v in best.items()}
-    rows = [(k, h, v) for (k, _), few in best.items() for h, v in few]
-    kinds = (pa.int32(), pa.int64(), pa.string())
-    yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in rows], t) for c, t in enumerate(kinds)], ["kind", "hash", "value"])
+        found, texts = set(), batch.column(0)
+        for text in texts.to_pylist():
+            if text:
+                for start, kind, end in base_spans(text):
+                    m = ASSIGN.match(text, start) if kind == 0 else None
+                    found.add((kind, (m[2] if m else text[start:end]).encode()))
+        rows = [(kind, value, None) for kind, value in found]
+        data, offsets = flat(texts)
+        for _, _, piece, at in pieces(data, offsets):
+            raw = piece.tobytes()
+            for k, counts in enumerate(pair_counts(piece, at).astype(np.int32)):
+                if counts.any():
+                    digest = hashlib.blake2b(raw[at[k] : at[k + 1]], digest_size=16).digest()
+                    rows.append((FORMAT, digest, counts.tobytes()))
+        kinds = (pa.int32(), pa.binary(), pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in rows], t) for c, t in enumerate(kinds)], ["kind", "key", "counts"])
+
+
+def _words(batches):
+    """(kind, word, n) of distinct examples: shapes of values; for `format` pairs of classes."""
+    for batch in batches:
+        found, total = Counter(), np.zeros(len(PAIRS), np.int64)
+        for kind, key, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if counts is None:
+                found[kind, shape(key.decode())] += 1
+            else:
+                total += np.frombuffer(counts, np.int32)
+        found.update({(FORMAT, PAIRS[k]): int(total[k]) for k in np.flatnonzero(total)})
+        rows = [(kind, word, n) for (kind, word), n in found.items()]
+        kinds = (pa.int32(), pa.string(), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in rows], t) for c, t in enumerate(kinds)], ["kind", "word", "n"])
+
+
+MOST_VISITS = 1 << 18  # kinds of visits that a task counts before it hands them on
+
+
+def _visited(moves: dict[int, Moves]):
+    def told(found):
+        kinds = (pa.int32(), pa.int32(), pa.string(), pa.string())
+        columns = [pa.array([x[c] for x in found], t) for c, t in enumerate(kinds)]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(found.values(), pa.int64())], ["kind", "state", "symbol", "symbols", "n"])
+
+    def run(batches):
+        found = Counter()
+        for batch in batches:
+            for kind, word, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for visit in visits(word, moves[kind]):
+                    found[(kind, *visit)] += n
+                if len(found) > MOST_VISITS:
+                    yield told(found)
+                    found.clear()
+        yield told(found)
+
+    return run
+
+
+def nth_smallest(rows: DataFrame, at: int) -> float:
+    """The value that `at` others precede in order; `rows` has values x and their counts n."""
+    low, high = rows.agg(F.min("x"), F.max("x")).first()
+    while low < high:
+        place = F.least(F.floor((F.col("x") - low) / ((high - low) / BINS)), F.lit(BINS - 1))
+        some = rows.where(F.col("x").between(low, high)).groupBy(place.alias("bin"))
+        for r in sorted(some.agg(F.sum("n").alias("n"), F.min("x").alias("low"), F.max("x").alias("high")).collect()):
+            if at < r.n:
+                low, high = r.low, r.high
+                break
+            at -= r.n
+    return low
 
 
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Model | None:
-    """Learns the formats from what the fixed patterns find in all texts.
-
-    Of each kind the SAMPLE_VALUES distinct values with the smallest hashes are taken, and of the ordinary tokens,
-    drawn by hash from whole texts, SAMPLE_TOKENS.
-    """
-    order = F.struct(F.col("hash"), F.col("value"))
-    size = F.when(F.col("kind") == FORMAT, _size(FORMAT)).otherwise(_size(0))
-    picked = (
+    """Learns the formats from all distinct values that the fixed patterns find, and ordinary tokens from all distinct texts."""
+    found = (
         docs.select(text)
-        .mapInArrow(_examples, "kind int, hash long, value string")
-        .groupBy("kind", F.pmod("hash", F.lit(SLOTS)).alias("slot"))
-        .agg(F.array_sort(F.collect_set(order)).alias("all"))
-        .select("kind", F.explode(F.slice("all", F.lit(1), size)["value"]).alias("value"))
-        .collect()
+        .mapInArrow(_examples, "kind int, key binary, counts binary")
+        .groupBy("kind", "key")
+        .agg(F.first("counts").alias("counts"))
+        .select("kind", "key", "counts")
+        .mapInArrow(_words, "kind int, word string, n long")
+        .groupBy("kind", "word")
+        .agg(F.sum("n").alias("n"))
     )
-    values, tokens = {}, []
-    for r in sorted(picked):
-        (tokens if r.kind == FORMAT else values.setdefault(r.kind, [])).append(r.value)
-    return learned(values, tokens)
+    rows = kept(found)
+    words = rows.where(F.col("kind") != FORMAT)
+    facts = words.groupBy("kind").agg(F.sum("n").alias("n"), F.min(F.length("word")).alias("least")).collect()
+    if not facts:
+        return None
+
+    def counted(moves):
+        seen = words.where(F.col("kind").isin(list(moves))).mapInArrow(_visited(moves), "kind int, state int, symbol string, symbols string, n long")
+        total = seen.groupBy("kind", "state", "symbol", "symbols").agg(F.sum("n").alias("n")).collect()
+        return {(r.kind, r.state, r.symbol, r.symbols): r.n for r in sorted(total)}
+
+    pairs = {r.word: r.n for r in sorted(rows.where(F.col("kind") == FORMAT).collect())}
+    model = Model(merged(sorted(r.kind for r in facts), counted), ordinary(pairs), 0, min(r.least for r in facts))
+
+    def gains(batches):
+        for batch in batches:
+            gain = [model.word_gain(w) for w in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(gain, pa.float64()), batch.column(1)], ["x", "n"])
+
+    seen = kept(words.select("word", "n").mapInArrow(gains, "x double, n long").groupBy("x").agg(F.sum("n").alias("n")))
+    model.threshold = max(LEAST_GAIN, nth_smallest(seen, sum(r.n for r in facts) // 100))
+    return model
 
 
 def spans(text: str | None, model: Model | None) -> list[tuple[int, int, int]]:

@@ -293,6 +293,33 @@ def test_short_letter_only_and_late_digit_credentials_are_judged(spark):
     assert secrets.spans(f"see {value(80)}7 there", late) == [(4, secrets.FORMAT, 85)]
 
 
+def test_formats_are_learned_from_all_values_and_tokens(spark):
+    rng = random.Random(15)
+    value = lambda n: "".join(rng.choice("abcdefghkmnpqxyzABDGHKXYZ0123456789") for _ in range(n))
+    texts = [f"{prose(rng, 12)} password={value(9 + k % 30)} {value(6)}_x é {prose(rng, 3)}" for k in range(900)]
+    texts += [f"token: {value(700)}", f"AKIA{value(16).upper()} then {HEX}", "", "é 你 !", "...", *texts[:50]]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate([*texts, None])], "doc_id long, text string")
+    values = {}
+    for text in texts:
+        for start, kind, end in secrets.base_spans(text):
+            m = secrets.ASSIGN.match(text, start) if kind == 0 else None
+            values.setdefault(kind, set()).add(m[2] if m else text[start:end])
+    assert len(values[0]) == 901 and max(map(len, values[0])) == 700
+    want = secrets.learned({k: sorted(v) for k, v in values.items()}, [t for text in set(texts) for t in secrets.TOKEN.findall(text)])
+    got = secrets.fit(docs)
+    assert (got.automata, got.ordinary, got.threshold, got.shortest) == (want.automata, want.ordinary, want.threshold, want.shortest)
+    assert secrets.fit(docs.repartition(7)).automata == got.automata
+
+
+def test_nth_smallest(spark):
+    rng = random.Random(16)
+    for xs in ([0.5] * 9, [rng.gauss(0, 1) ** 9 for _ in range(400)], [1.0, 1.0 + 2**-52, 1.0 + 2**-51, -1e9]):
+        rows = spark.createDataFrame([(x, 1 + k % 3) for k, x in enumerate(xs)], "x double, n long")
+        flat = sorted(x for k, x in enumerate(xs) for _ in range(1 + k % 3))
+        for at in (0, len(flat) // 100, len(flat) // 2, len(flat) - 1):
+            assert secrets.nth_smallest(rows, at) == flat[at]
+
+
 def test_redaction(spark):
     df = spark.createDataFrame([(1, f"a password=abcdefgh1 b {HEX}", 5), (2, None, 6), (3, "plain", 7)], "doc_id long, text string, spans int")
     got = {r.doc_id: (r.text, r.spans) for r in secrets.redact(df, None).collect()}
