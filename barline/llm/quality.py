@@ -3,9 +3,9 @@
 LABELLERS look at one statistic each (symbols, capitals, repetition, ...) and vote good, bad or
 abstain; they overlap, and none is trusted. The counts of all vote patterns over the whole corpus are
 a table of at most 3 ** 8 rows, on which expectation-maximisation estimates each labeller's accuracy
-and the share of bad texts. The posterior of a text's pattern is its label, and a bounded sample of labelled texts
-trains a linear scorer over hashed word shapes, which then judges every text alone. The `labels`
-table is not used.
+and the share of bad texts. The posterior of a text's pattern is its label, and all labelled texts
+train a linear scorer over hashed word shapes, which then judges every text alone: Newton steps on the logistic
+loss, whose sums over the texts Spark takes. The `labels` table is not used.
 
 Defined cases: a null or empty text, or one without words, has the lowest score, 0, and is
 rejected; an empty corpus trains nothing and yields no rows; equal texts have equal scores.
@@ -13,18 +13,23 @@ rejected; an empty corpus trains nothing and yields no rows; equal texts have eq
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barline.llm.common import bounded_sample, documents
+from barline.llm.common import documents, kept
 from barline.llm.words import LOWER, SPACE, flat, mixed, pieces, span_hashes, spans_of
 
 SHAPES = 256
-SAMPLE_ROWS = 6000
+SHRINK = 1e-4
+LEAST_STEP = 1e-6  # a smaller Newton step is the last
+SUMS = 16  # sums that reach the driver in each step
+CHUNK = 2048
 ROUNDS = 200
 LEAST_SCORE = 0.5
 
@@ -163,14 +168,6 @@ def features(s: np.ndarray, shares: np.ndarray) -> np.ndarray:
     return np.concatenate([shares, dense], 1)
 
 
-def _patterns(batches):
-    for batch in batches:
-        data, offsets = flat(batch.column(0))
-        found = [codes(votes(statistics(piece, at)[0])) for _, _, piece, at in pieces(data, offsets)]
-        code, n = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.int64),) * 2
-        yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(n.astype(np.int64))], ["code", "n"])
-
-
 def _training_rows(batches):
     for batch in batches:
         data, offsets = flat(batch.column(0))
@@ -180,32 +177,83 @@ def _training_rows(batches):
             yield pa.RecordBatch.from_arrays([pa.array(codes(votes(s))), pa.array([r.tobytes() for r in x])], ["code", "x"])
 
 
+def sums(x: np.ndarray, y: np.ndarray, weight: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Weighted logistic loss of some rows at a point, its gradient and its second derivatives, in one array; the bias is last."""
+    x = np.concatenate([x, np.ones((len(x), 1))], 1)
+    z = x @ at
+    p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+    loss = weight @ (np.logaddexp(0, z) - y * z)
+    return np.concatenate([[loss], x.T @ (weight * (p - y)), ((x * (weight * p * (1 - p))[:, None]).T @ x).ravel()])
+
+
+def minimised(total: Callable[[np.ndarray], np.ndarray], size: int) -> np.ndarray:
+    """Where the shrunken loss is least: Newton steps, each halved until the loss does not grow."""
+    shrink = np.full(size, SHRINK)
+    shrink[-1] = 0
+
+    def evaluated(at):
+        out = total(at)
+        return out[0] + 0.5 * (shrink * at) @ at, out[1 : size + 1] + shrink * at, out[size + 1 :].reshape(size, size) + np.diag(shrink + 1e-12)
+
+    at = np.zeros(size)
+    loss, slope, curve = evaluated(at)
+    for _ in range(ROUNDS):
+        step = np.linalg.solve(curve, slope)
+        new = evaluated(at - step)
+        while new[0] > loss + 1e-12 and np.abs(step).max() >= LEAST_STEP:
+            step /= 2
+            new = evaluated(at - step)
+        at = at - step
+        loss, slope, curve = new
+        if np.abs(step).max() < LEAST_STEP:
+            break
+    return at
+
+
+def _summed(label: dict[int, float], weights: tuple[float, float], at: np.ndarray):
+    """(group, task, blob): the sums over a task's training rows."""
+
+    def run(batches):
+        total = 0.0
+        for batch in batches:
+            y = np.array([label[c] for c in batch.column(0).to_pylist()])
+            for k in range(0, len(y), CHUNK):
+                x = np.frombuffer(b"".join(batch.column(1).slice(k, CHUNK).to_pylist()), np.float32).reshape(-1, len(at) - 1).astype(float)
+                mine = y[k : k + CHUNK]
+                total = total + sums(x, mine, mine * weights[1] + (1 - mine) * weights[0], at)
+        if isinstance(total, np.ndarray):
+            task = TaskContext.get().partitionId()
+            yield pa.RecordBatch.from_arrays([pa.array([task % SUMS], pa.int32()), pa.array([task], pa.int32()), pa.array([total.tobytes()])], ["group", "task", "blob"])
+
+    return run
+
+
+def _added(rows: pa.Table) -> pa.Table:
+    rows = rows.sort_by("task")
+    total = sum(np.frombuffer(b.as_py()) for b in rows.column("blob"))
+    return pa.table({"group": rows.column("group").slice(0, 1), "blob": pa.array([total.tobytes()], pa.binary())})
+
+
 def fit(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Model | None:
-    """Votes of all texts, EM on their patterns, then logistic regression on at most about SAMPLE_ROWS texts."""
-    found = docs.select(text).mapInArrow(_patterns, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).collect()
+    """Votes of all texts, EM on their patterns, then logistic regression on all texts."""
+    rows = kept(docs.select(text).mapInArrow(_training_rows, "code long, x binary"))
+    found = sorted(rows.groupBy("code").agg(F.count("*").alias("n")).collect())
     if not found:
         return None
-    label, table = posteriors(np.array([r.code for r in found]), np.array([r.n for r in found], float))
-    sample = bounded_sample(docs.select(key, text), key, SAMPLE_ROWS).select(text)
-    rows = sample.mapInArrow(_training_rows, "code long, x binary").toPandas()
-    if not len(rows):
-        return None
-    x = np.stack([np.frombuffer(b, np.float32) for b in rows.x]).astype(float)
-    y = np.array([label[c] for c in rows.code])
+    count = np.array([r.n for r in found], float)
+    label, table = posteriors(np.array([r.code for r in found]), count)
+    good = np.array([label[r.code] for r in found])
     # Each class weighs half, so that the smaller one is not drowned.
-    weight = y * 0.5 / max(y.sum(), 1e-9) + (1 - y) * 0.5 / max((1 - y).sum(), 1e-9)
-    w, b = np.zeros(x.shape[1]), 0.0
-    mw, vw, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
-    for t in range(1, 401):
-        p = 1 / (1 + np.exp(-np.clip(x @ w + b, -30, 30)))
-        g = weight * (p - y)
-        gw, gb = x.T @ g + 1e-4 * w, g.sum()
-        mw, vw = 0.9 * mw + 0.1 * gw, 0.999 * vw + 0.001 * gw**2
-        mb, vb = 0.9 * mb + 0.1 * gb, 0.999 * vb + 0.001 * gb**2
-        up = 0.1 / (1 - 0.9**t)
-        w -= up * mw / (np.sqrt(vw / (1 - 0.999**t)) + 1e-8)
-        b -= up * mb / (np.sqrt(vb / (1 - 0.999**t)) + 1e-8)
-    return Model(w, float(b), table)
+    weights = tuple(0.5 / max(count @ y, 1e-9) for y in (1 - good, good))
+
+    def total(at):
+        parts = rows.mapInArrow(_summed(label, weights, at), "group int, task int, blob binary")
+        parts = parts.groupBy("group").applyInArrow(_added, "group int, blob binary").collect()
+        return sum(np.frombuffer(r.blob) for r in sorted(parts))
+
+    # The number of words is no feature, and the bias is one. Rounded, so that the order of the sums does not show.
+    at = np.round(minimised(total, SHAPES + len(STATISTICS)), 8)
+    return Model(at[:-1], float(at[-1]), table)
 
 
 def score_column(model: Model | None, text: str = "text") -> Column:

@@ -250,6 +250,28 @@ def test_accuracies_follow_the_votes():
     assert right > 0.97 and np.allclose(table[1, :, quality.GOOD], hits, atol=0.05)
 
 
+def test_the_scorer_is_trained_on_all_texts(spark):
+    import numpy as np
+
+    rng = random.Random(17)
+    wide = ["".join(rng.choice("abdeilmnorst") for _ in range(rng.randint(2, 9))) for _ in range(500)]
+    texts = [junk(rng, ["caps", "symbols", "table", "repeat"][k % 4]) if k % 7 == 0 else prose(rng, 30, wide) for k in range(7000)]
+    docs = spark.createDataFrame(list(enumerate([*texts, None])), "doc_id long, text string")
+    model = quality.fit(docs.repartition(5, "doc_id"))
+    s, shares = quality.statistics(*quality.flat(pa.array([*texts, ""])))
+    x, code = quality.features(s, shares).astype(np.float32).astype(float), quality.codes(quality.votes(s))
+    pattern, n = np.unique(code, return_counts=True)
+    label, table = quality.posteriors(pattern, n.astype(float))
+    y = np.array([label[c] for c in code])
+    weight = y * 0.5 / y.sum() + (1 - y) * 0.5 / (1 - y).sum()
+    # The slope of the loss over all 7,001 texts, not over some of them, is zero at the weights.
+    g = weight * (1 / (1 + np.exp(-(x @ model.weights + model.bias))) - y)
+    assert abs(x.T @ g + quality.SHRINK * model.weights).max() < 1e-7 and abs(g.sum()) < 1e-7
+    assert np.allclose(model.accuracies, table)
+    again = quality.fit(docs.repartition(2))
+    assert np.array_equal(again.weights, model.weights) and again.bias == model.bias
+
+
 # Secrets
 
 HEX = "9f8e7d6c5b4a39281706f5e4d3c2b1a09f8e7d6c"
