@@ -5,6 +5,8 @@ import random
 import struct
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -173,6 +175,77 @@ def test_runs_cut_by_segments_change_nothing(spark, folder, monkeypatch):
     assert sorted(rows(repeats.query(spark, folder(docs)))) == sorted(repeats.brute(docs))
 
 
+FEW = ["kal ", "ost ", "mir ", "tun ", "vez ", "pix "]
+
+
+def few_words(rng, n):
+    return "".join(rng.choice(FEW) for _ in range(n))
+
+
+@pytest.mark.parametrize("hot", [1, 32])
+def test_passages_amid_anchors_that_repeat_by_chance(spark, folder, monkeypatch, hot):
+    """Passages of one window and more, so that of a run only windows on one side of its anchor repeat."""
+    rng = random.Random(10 + hot)
+    docs = []
+    for k in range(60):
+        whole = few_words(rng, 40)
+        at = rng.randrange(60)
+        passage = whole[at : at + rng.randint(49, 90)]
+        docs += [(2 * k, few_words(rng, rng.randint(0, 30)) + passage + few_words(rng, rng.randint(0, 30))), (rng.choice([2 * k + 1, 2 * k]), few_words(rng, rng.randint(0, 30)) + passage)]
+    docs += [(None, docs[5][1] + "end"), (500, docs[8][1]), (501, None), (501, docs[9][1][1:])]
+    monkeypatch.setattr(repeats, "HOT", hot)
+    got = rows(repeats.query(spark, folder(docs)))
+    assert sorted(got, key=repr) == sorted(repeats.brute(docs), key=repr)
+    assert sum(0 < r[2] < r[1] for r in got) > 20
+
+
+class Steps:
+    """The steps of op 5 one after the other, without Spark."""
+
+    def __init__(self, docs, ranges=3, chunks=4):
+        def of(table, column, n):
+            return [table.filter(pc.equal(table.column(column), k)) for k in range(n)]
+
+        ids = pa.array([repeats.LAST if d is None else d for d, _ in docs], pa.int64())
+        chunk = pa.array([hash(d) % chunks for d, _ in docs], pa.int32())
+        batch = pa.RecordBatch.from_pydict({"id": ids, "text": pa.array([t for _, t in docs], pa.string()), "chunk": chunk})
+        cuts = np.array([b"m", b"p"], f"S{repeats.LENGTH}")
+        texts = of(pa.Table.from_batches([*repeats._dealt([batch.slice(0, 50)]), *repeats._dealt([batch.slice(50)])]), "chunk", chunks)
+        none = repeats._message([])
+        self.sent = pa.concat_tables(repeats._send_fingerprints(ranges)(t, none) for t in texts)
+        self.answers = pa.concat_tables([none, *(repeats._repeated(t) for t in of(self.sent, "place", ranges) if t.num_rows)])
+        self.records = pa.concat_tables(repeats._send_records(ranges, cuts)(t, a) for t, a in zip(texts, of(self.answers, "chunk", chunks), strict=True))
+        self.verdicts = pa.concat_tables([none, *(repeats._judge(t) for t in of(self.records, "place", ranges) if t.num_rows)])
+        cut = pa.concat_tables(repeats._cut(ranges, cuts, False)(t, v) for t, v in zip(texts, of(self.verdicts, "chunk", chunks), strict=True))
+        self.rows = [tuple(r.values()) for r in cut.drop_columns(["kept"]).to_pylist()]
+
+
+@pytest.mark.parametrize(("hot", "segment", "windows"), [(32, 1 << 18, 1 << 20), (1, 1 << 18, 1), (2, 128, 50), (32, 100, 300)])
+def test_steps_against_a_dictionary(edges, monkeypatch, hot, segment, windows):
+    for name, value in (("HOT", hot), ("SEGMENT", segment), ("WINDOWS", windows)):
+        monkeypatch.setattr(repeats, name, value)
+    for seed in range(6):
+        rng = random.Random(seed)
+        docs = [(k, t) for k, t in enumerate(near_copies(rng, 30, 60))] + edges
+        for k in range(40):
+            passage = few_words(rng, 30)[rng.randrange(4) :][: rng.randint(49, 90)]
+            docs += [(rng.choice([100 + k, 100, None]), few_words(rng, rng.randint(0, 20)) + passage + few_words(rng, rng.randint(0, 20))) for _ in range(rng.randint(1, 4))]
+        assert sorted(Steps(docs).rows, key=repr) == sorted(repeats.brute(docs), key=repr)
+
+
+def test_anchors_that_repeat_by_chance_are_not_sent():
+    """Most 20-byte strings of these texts are in two of them, hardly any 50-byte string is: no records are sent for the former."""
+    rng = random.Random(4)
+    docs = [(k, few_words(rng, 400)) for k in range(120)]
+    grams = [g for _, t in docs for g in {t[k : k + 20] for k in range(0, len(t) - 19, 4)}]
+    assert len(set(grams)) < 0.6 * len(grams)
+    steps = Steps(docs)
+    assert sorted(steps.rows) == sorted(repeats.brute(docs))
+    payload = steps.records.filter(pc.equal(steps.records.column("kind"), repeats.RECORDS)).column("payload").to_pylist()
+    assert sum(map(len, payload)) < 0.1 * sum(len(t) for _, t in docs)
+    assert sum(map(len, steps.answers.column("payload").to_pylist())) < 0.1 * sum(map(len, steps.sent.column("payload").to_pylist()))
+
+
 def test_multikey_order():
     rng = random.Random(2)
     data = np.frombuffer("".join(rng.choice("ab") for _ in range(500)).encode(), np.uint8)
